@@ -461,3 +461,4 @@ def shape(spark, sf_dir):
 
 # the remaining registered queries live in sibling modules
 from quarry.plans import queries_explore  # noqa: E402,F401
+from quarry.plans import queries_cluster  # noqa: E402,F401

@@ -111,11 +111,30 @@ def _assemble(df: DataFrame, features, out: str = "__features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
+def sklearn_tol(data: DataFrame, k: int, tol: float = 1e-4, col: str = "__features") -> float:
+    """Spark's k-means stops when every centre moved at most ``tol_spark``;
+    scikit-learn stops when the *sum* of squared centre shifts is at most
+    ``tol * mean feature variance``. ``sqrt(tol * mean_var / k)`` makes
+    Spark stop only where scikit-learn would (one aggregate job)."""
+    from pyspark.ml.stat import Summarizer
+    row = data.select(Summarizer.metrics("variance", "count").summary(F.col(col)).alias("s")).first()
+    var = row["s"]["variance"].toArray()
+    n = row["s"]["count"]
+    if n <= 1 or len(var) == 0:
+        return tol
+    mean_var = float(sum(var) / len(var)) * (n - 1) / n  # population variance
+    return max((tol * mean_var / k) ** 0.5, 1e-12)
+
+
 def fit_kmeans(df: DataFrame, features, k: int, seed: int = 713, max_iter: int = 300,
-               tol: float = 1e-4, n_init: int = 1, assembled: bool = False) -> KMeansModel:
+               tol: float | str = "sklearn", n_init: int = 1,
+               assembled: bool = False) -> KMeansModel:
     """``pyspark.ml`` k-means (k-means|| init); best of ``n_init`` seeds by
-    training cost."""
+    training cost. ``tol='sklearn'`` translates scikit-learn's relative
+    default (1e-4) into Spark's absolute per-centre criterion."""
     data = df if assembled else _assemble(df, features)
+    if tol == "sklearn":
+        tol = sklearn_tol(data, k)
     best = None
     for i in range(n_init):
         model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol,
@@ -169,8 +188,24 @@ def create_cluster(df: DataFrame, key: str, features: list[str], k: int,
     return ClusterResult(rows, labelled, stats, model, centroids)
 
 
+def _fit_many(data: DataFrame, features, ks: list[int], seed: int, max_iter: int,
+              parallel: int, use):
+    """Fit one model per k. The fits are independent, so up to ``parallel``
+    of them run as concurrent Spark jobs (their per-iteration jobs are small
+    and would leave most of a cluster idle one at a time)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(k):
+        return use(k, fit_kmeans(data, features, k, seed=seed, max_iter=max_iter, assembled=True))
+
+    if parallel <= 1 or len(ks) <= 1:
+        return [one(k) for k in ks]
+    with ThreadPoolExecutor(max_workers=min(parallel, len(ks))) as pool:
+        return list(pool.map(one, ks))
+
+
 def elbow(df: DataFrame, features, ks=range(2, 12), seed: int = 713, max_iter: int = 300,
-          scaler: str | None = None) -> DataFrame:
+          scaler: str | None = None, parallel: int = 4) -> DataFrame:
     """Inertia for each k (the elbow curve), ``(k, inertia, drop)`` where
     ``drop`` is the relative decrease from the previous k. The assembled
     features are persisted once and reused by every fit."""
@@ -178,11 +213,10 @@ def elbow(df: DataFrame, features, ks=range(2, 12), seed: int = 713, max_iter: i
     if scaler and not isinstance(features, str):
         data = apply_scaler(df, fit_scaler(df, features, scaler))
     data = _assemble(data, features).select("__features").persist(StorageLevel.MEMORY_AND_DISK)
+    data.count()  # fill the cache once, before the concurrent fits read it
     try:
-        out = []
-        for k in ks:
-            m = fit_kmeans(data, features, k, seed=seed, max_iter=max_iter, assembled=True)
-            out.append((int(k), float(m.summary.trainingCost)))
+        out = _fit_many(data, features, list(ks), seed, max_iter, parallel,
+                        lambda k, m: (int(k), float(m.summary.trainingCost)))
     finally:
         data.unpersist()
     rows = []
@@ -195,16 +229,14 @@ def elbow(df: DataFrame, features, ks=range(2, 12), seed: int = 713, max_iter: i
 
 
 def k_grid(df: DataFrame, key: str, features, ks=range(2, 6), seed: int = 713,
-           max_iter: int = 300) -> DataFrame:
+           max_iter: int = 300, parallel: int = 4) -> DataFrame:
     """Labels of every row for each k: long frame ``(key, k, cluster)``."""
     data = _assemble(df.select(key, *([features] if isinstance(features, str) else features)),
                      features).select(key, "__features").persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    for k in ks:
-        m = fit_kmeans(data, features, k, seed=seed, max_iter=max_iter, assembled=True)
-        centers = centers_of(m)
-        parts.append(m.transform(data).select(key, F.lit(int(k)).alias("k"), "cluster"))
-        del centers
+    data.count()  # fill the cache once, before the concurrent fits read it
+    parts = _fit_many(data, features, list(ks), seed, max_iter, parallel,
+                      lambda k, m: m.transform(data).select(key, F.lit(int(k)).alias("k"),
+                                                            "cluster"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

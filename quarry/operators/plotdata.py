@@ -156,14 +156,16 @@ def kde_grid(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0,
               .select((F.lit(mn) + (F.col("b") + F.lit(0.5)) * F.lit(w)).alias("center"), "c"))
     lo, hi = mn - cut * h, mx + cut * h
     step = (hi - lo) / (gridsize - 1)
-    grid = [lo + i * step for i in range(gridsize)]
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
-    sums = binned.agg(*[F.sum(F.col("c") * F.exp(F.lit(-0.5) * F.pow((F.lit(g) - F.col("center")) / F.lit(h), 2)))
-                        .alias(f"g{i}") for i, g in enumerate(grid)])
-    stacked = F.explode(F.array(*[F.struct(F.lit(g).alias("grid_x"),
-                                           (F.col(f"g{i}") * F.lit(norm)).alias("density"))
-                                  for i, g in enumerate(grid)]))
-    return sums.select(stacked.alias("s")).select(F.lit(col).alias("column_name"), "s.*")
+    # every (bin, grid point) pair: bins x gridsize rows, fixed by the
+    # parameters whatever the data size; one grouped sum per grid point
+    i = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1)))
+    pairs = binned.select("center", "c", i.alias("i")).withColumn(
+        "grid_x", F.lit(lo) + F.col("i") * F.lit(step))
+    kernel = F.exp(F.lit(-0.5) * F.pow((F.col("grid_x") - F.col("center")) / F.lit(h), 2))
+    return (pairs.groupBy("i", "grid_x").agg(F.sum(F.col("c") * kernel).alias("__s"))
+            .select(F.lit(col).alias("column_name"), "grid_x",
+                    (F.col("__s") * F.lit(norm)).alias("density")))
 
 
 def scatter_sample(df: DataFrame, by: str, n: int, key, cols: list[str], seed: int = 0) -> DataFrame:

@@ -74,7 +74,7 @@ SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment,
 # ----------------------------------------------------------- acquisition
 
 
-@register("acquire_latest_ties", WIDE_SELECT_SQL + """
+ACQUIRE_TIES_SQL = WIDE_SELECT_SQL + """
 FROM customer c
 JOIN orders o ON o.o_custkey = c.c_custkey
 JOIN (SELECT o_custkey, MAX(o_orderdate) AS max_date FROM orders GROUP BY o_custkey) t
@@ -83,7 +83,10 @@ LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
 WHERE c.c_acctbal IS NOT NULL AND o.o_totalprice IS NOT NULL
   AND o.o_orderdate >= TIMESTAMP '2001-01-01' AND o.o_orderdate < TIMESTAMP '2002-01-01'
-""")
+"""
+
+
+@register("acquire_latest_ties", ACQUIRE_TIES_SQL)
 def acquire_latest_ties(spark, sf_dir):
     return latest_orders_wide(spark, sf_dir, 2001, ties="keep")
 
@@ -462,3 +465,4 @@ def shape(spark, sf_dir):
 # the remaining registered queries live in sibling modules
 from quarry.plans import queries_explore  # noqa: E402,F401
 from quarry.plans import queries_cluster  # noqa: E402,F401
+from quarry.plans import queries_wrangle  # noqa: E402,F401

@@ -10,7 +10,7 @@ from quarry.operators import cluster
 from quarry.operators.joins import attach_centroids
 from quarry.operators.scale import apply_scaler, fit_scaler
 from quarry.plans.catalog import register
-from quarry.plans.queries_explore import customer_features
+from quarry.plans.acquire import customer_features
 from quarry.sources.tables import read_table
 
 _FEATS = ["l_quantity", "l_discount"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import clean, plotdata, profile, split, stats
 from quarry.operators.scale import apply_scaler, fit_scaler, inverse_scaler
+from quarry.plans.acquire import customer_features
 from quarry.plans.catalog import GAPPY_LINEITEM_SQL, gappy_lineitem, register
 from quarry.sources.tables import read_table
 
@@ -151,16 +152,6 @@ feat AS (SELECT c.c_custkey, c.c_acctbal, COALESCE(s.total_spend, 0.0) AS total_
            ON s.o_custkey = c.c_custkey)"""
 
 
-def customer_features(spark, sf_dir):
-    """Customers with (account balance, total spend): the income/spending
-    table of the clustering exercises."""
-    spend = (read_table(spark, sf_dir, "orders").groupBy("o_custkey")
-             .agg(F.sum("o_totalprice").alias("total_spend")))
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return (c.join(spend, c["c_custkey"] == spend["o_custkey"], "left").drop("o_custkey")
-            .withColumn("total_spend", F.coalesce("total_spend", F.lit(0.0))))
-
-
 @register("scale_minmax", "WITH " + _SPEND_SQL + """
 SELECT c_custkey,
        round_even((c_acctbal - min(c_acctbal) OVER ())

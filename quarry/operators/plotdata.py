@@ -60,16 +60,19 @@ def box_stats(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
     return df.sparkSession.createDataFrame(data, schema)
 
 
-def box_stats_by(df: DataFrame, by: str, col: str, whis: float = 1.5) -> DataFrame:
+def box_stats_by(df: DataFrame, by: str, col: str, whis: float = 1.5,
+                 heavy_rows: int | None = None) -> DataFrame:
     """Box-plot numbers of ``col`` for each category of ``by`` (box part of
-    the category x numeric panel). Quartiles use Spark's exact per-group
-    ``percentile``; the fences are joined back (broadcast once the number of
-    categories is proven small) for the whisker / outlier pass."""
+    the category x numeric panel). Exact per-group quartiles
+    (``grouped_quantiles``: no task holds a whole hot category); the fences
+    are joined back (broadcast once the number of categories is proven small)
+    for the whisker / outlier pass."""
+    from quarry.operators.quantiles import HEAVY_GROUP_ROWS, grouped_quantiles
     x = F.col(col).cast("double")
-    q = (df.groupBy(by).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-                            .alias("__q"), F.count(x).alias("n"))
-         .select(by, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                 F.col("__q")[2].alias("q3")))
+    q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75],
+                          heavy_rows=heavy_rows or HEAVY_GROUP_ROWS)
+    q = q.select(by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"),
+                 F.col("q2").alias("q3"))
     q = q.withColumns({"__lo": F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1")),
                        "__hi": F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))})
     fences = bounded_broadcast(q.select(by, "__lo", "__hi"))
@@ -113,22 +116,43 @@ def histogram_by(df: DataFrame, by: str, cols: list[str], bins: int = 10) -> Dat
 
 
 def pair_regression(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Least-squares line and correlation for every unordered column pair, in
-    one aggregate: ``(x, y, n, slope, intercept, r, r2)``."""
+    """Least-squares line and correlation for every unordered column pair:
+    ``(x, y, n, slope, intercept, r, r2)`` over the rows where both are
+    present (``regr_*`` semantics).
+
+    Two passes of plain sums (whole-stage codegen): the column means, then
+    per pair ``count`` and the sums of the mean-shifted values, squares and
+    cross products. Shifting by the mean keeps the co-moments numerically
+    stable; the finishing arithmetic is a projection of one row.
+    """
     pairs = list(combinations(cols, 2))
+    x = {c: F.col(c).cast("double") for c in cols}
+    means = df.agg(*[F.avg(x[c]).alias(c) for c in cols]).first()  # O(columns)
+    sh = {c: x[c] - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
     aggs = []
     for i, (a, b) in enumerate(pairs):
-        xa, yb = F.col(a).cast("double"), F.col(b).cast("double")
-        aggs += [F.regr_count(yb, xa).alias(f"n{i}"), F.regr_slope(yb, xa).alias(f"s{i}"),
-                 F.regr_intercept(yb, xa).alias(f"i{i}"), F.corr(xa, yb).alias(f"r{i}"),
-                 F.regr_r2(yb, xa).alias(f"q{i}")]
+        both = x[a].isNotNull() & x[b].isNotNull()
+        xa, yb = F.when(both, sh[a]), F.when(both, sh[b])
+        aggs += [F.count(xa).alias(f"n{i}"), F.sum(xa).alias(f"sx{i}"), F.sum(yb).alias(f"sy{i}"),
+                 F.sum(xa * xa).alias(f"sxx{i}"), F.sum(yb * yb).alias(f"syy{i}"),
+                 F.sum(xa * yb).alias(f"sxy{i}")]
     wide = df.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"n{i}").alias("n"),
-                 F.col(f"s{i}").alias("slope"), F.col(f"i{i}").alias("intercept"),
-                 F.col(f"r{i}").alias("r"), F.col(f"q{i}").alias("r2"))
-        for i, (a, b) in enumerate(pairs)]))
-    return wide.select(stacked.alias("p")).select("p.*")
+    rows = []
+    for i, (a, b) in enumerate(pairs):
+        n = F.col(f"n{i}")
+        cxx = F.col(f"sxx{i}") - F.col(f"sx{i}") * F.col(f"sx{i}") / n
+        cyy = F.col(f"syy{i}") - F.col(f"sy{i}") * F.col(f"sy{i}") / n
+        cxy = F.col(f"sxy{i}") - F.col(f"sx{i}") * F.col(f"sy{i}") / n
+        mx = F.lit(means[a] or 0.0) + F.col(f"sx{i}") / n
+        my = F.lit(means[b] or 0.0) + F.col(f"sy{i}") / n
+        ok = n > 0
+        slope = F.when(ok & (cxx != 0), cxy / cxx)
+        r = F.when(ok & (cxx != 0) & (cyy != 0), cxy / F.sqrt(cxx * cyy))
+        r2 = F.when(ok & (cxx != 0), F.when(cyy == 0, F.lit(1.0)).otherwise(r * r))
+        rows.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), n.alias("n"),
+                             slope.alias("slope"), (my - slope * mx).alias("intercept"),
+                             r.alias("r"), r2.alias("r2")))
+    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
 
 
 def kde_grid(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0,

@@ -172,3 +172,117 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             vals.append(a if lo_r == hi_r else a + (b - a) * t)
         out[c] = vals
     return out
+
+
+# ----------------------------------------------------------------- grouped
+
+HEAVY_GROUP_ROWS = 2_000_000
+
+
+def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
+                      heavy_rows: int = HEAVY_GROUP_ROWS, bins: int = 256,
+                      collect_max: int = DEFAULT_COLLECT_MAX) -> DataFrame:
+    """Exact quantiles of ``col`` per group: ``(by, n, q0, q1, ...)``.
+
+    Groups with at most ``heavy_rows`` values use Spark's exact
+    ``percentile`` (its per-group value map is bounded by that size). Larger
+    groups -- at most ``rows / heavy_rows`` of them, e.g. one key holding a
+    third of the table -- are resolved by the selection above, with the open
+    brackets of all heavy groups kept in a small table joined to the rows
+    (broadcast once its size is proven), so no task ever holds a whole
+    group.
+    """
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+    from quarry.operators.joins import bounded_broadcast
+
+    probs = list(probs)
+    x = _clean(df, col)
+    data = df.select(F.col(by).alias("__g"), x.alias("__x")).filter(F.col("__x").isNotNull())
+    sizes = data.groupBy("__g").agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("mn"),
+                                    F.max("__x").alias("mx"))
+    heavy = sizes.filter(F.col("n") > heavy_rows).collect()   # at most rows/heavy_rows groups
+    heavy_keys = [r["__g"] for r in heavy]
+    light = (data.filter(~F.col("__g").isin(heavy_keys)) if heavy_keys else data)
+    qexpr = F.percentile(F.col("__x"), F.array(*[F.lit(float(p)) for p in probs]))
+    light_q = light.groupBy("__g").agg(F.count(F.lit(1)).alias("n"), qexpr.alias("__q")).select(
+        F.col("__g").alias(by), "n", *[F.col("__q")[i].alias(f"q{i}") for i in range(len(probs))])
+    if not heavy:
+        return light_q
+    gtype = df.schema[by].dataType
+    # targets per heavy group
+    result: dict[tuple, float] = {}
+    open_t: dict[tuple, list] = {}
+    for r in heavy:
+        n = r["n"]
+        for p in probs:
+            pos = p * (n - 1)
+            for rank in {int(math.floor(pos)), int(math.ceil(pos))}:
+                if r["mn"] == r["mx"]:
+                    result[(r["__g"], rank)] = r["mn"]
+                else:
+                    open_t[(r["__g"], rank)] = [r["mn"], r["mx"], 0]
+    bschema = StructType([StructField("__g", gtype), StructField("bid", LongType()),
+                          StructField("lo", DoubleType()), StructField("hi", DoubleType())])
+    spark = df.sparkSession
+    for _level in range(_MAX_LEVELS):
+        if not open_t:
+            break
+        brackets = sorted({(g, lo, hi) for (g, _r), (lo, hi, _b) in open_t.items()},
+                          key=lambda t: (str(t[0]), t[1]))
+        bid_of = {b: i for i, b in enumerate(brackets)}
+        btab = bounded_broadcast(spark.createDataFrame(
+            [(g, i, lo, hi) for (g, lo, hi), i in bid_of.items()], bschema))
+        inside = data.join(btab, "__g").filter((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
+        w = (F.col("hi") - F.col("lo")) / F.lit(bins)
+        b_expr = F.when(w > 0, F.least(F.floor((F.col("__x") - F.col("lo")) / w), F.lit(bins - 1))) \
+            .otherwise(F.when(F.col("__x") > F.col("lo"), F.lit(bins - 1)).otherwise(F.lit(0)))
+        hist = (inside.groupBy("bid", b_expr.cast("int").alias("bin"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("mn"), F.max("__x").alias("mx"))
+                .collect())
+        per: dict[int, list] = defaultdict(list)
+        for h in hist:
+            per[h["bid"]].append((h["bin"], h["n"], h["mn"], h["mx"]))
+        to_fetch = {}
+        for (g, rank), (lo, hi, base) in list(open_t.items()):
+            cum = base
+            for _bin, n, bmn, bmx in sorted(per[bid_of[(g, lo, hi)]]):
+                if cum <= rank < cum + n:
+                    if bmn == bmx:
+                        result[(g, rank)] = bmn
+                        del open_t[(g, rank)]
+                    else:
+                        open_t[(g, rank)] = [bmn, bmx, cum]
+                        if n <= collect_max:
+                            to_fetch[(g, rank)] = (bmn, bmx, cum)
+                    break
+                cum += n
+        if to_fetch:
+            fb = sorted({(g, lo, hi) for (g, _r), (lo, hi, _b) in to_fetch.items()},
+                        key=lambda t: (str(t[0]), t[1]))
+            fid = {b: i for i, b in enumerate(fb)}
+            ftab = bounded_broadcast(spark.createDataFrame(
+                [(g, i, lo, hi) for (g, lo, hi), i in fid.items()], bschema))
+            rows = (data.join(ftab, "__g")
+                    .filter((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
+                    .select("bid", "__x").collect())
+            vals: dict[int, list] = defaultdict(list)
+            for r in rows:
+                vals[r["bid"]].append(r["__x"])
+            for (g, rank), (lo, hi, base) in to_fetch.items():
+                result[(g, rank)] = sorted(vals[fid[(g, lo, hi)]])[rank - base]
+                del open_t[(g, rank)]
+    if open_t:
+        raise RuntimeError("grouped quantile selection did not converge")
+    heavy_rows_out = []
+    for r in heavy:
+        n, qs = r["n"], []
+        for p in probs:
+            pos = p * (n - 1)
+            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
+            a, b = result[(r["__g"], lo_r)], result[(r["__g"], hi_r)]
+            qs.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
+        heavy_rows_out.append((r["__g"], n, *qs))
+    hschema = StructType([StructField(by, gtype), StructField("n", LongType())]
+                         + [StructField(f"q{i}", DoubleType()) for i in range(len(probs))])
+    return light_q.unionByName(spark.createDataFrame(heavy_rows_out, hschema))

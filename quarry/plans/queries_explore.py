@@ -344,3 +344,16 @@ def cluster_profile(spark, sf_dir):
     return p.select("l_returnflag", "n", *[F.bround(c, 6).alias(c) for c in
                                            ("avg_l_quantity", "avg_l_discount",
                                             "avg_l_extendedprice")])
+
+
+@register("quartiles_by_category", """
+SELECT l_returnflag, count(l_extendedprice) AS n, quantile_cont(l_extendedprice, 0.25) AS q0,
+       quantile_cont(l_extendedprice, 0.5) AS q1, quantile_cont(l_extendedprice, 0.75) AS q2
+FROM lineitem GROUP BY l_returnflag
+""")
+def quartiles_by_category(spark, sf_dir):
+    # heavy_rows=1 sends every category through the bounded selection path
+    # (the one a hot category takes at scale), so the check covers it
+    from quarry.operators.quantiles import grouped_quantiles
+    return grouped_quantiles(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
+                             "l_extendedprice", [0.25, 0.5, 0.75], heavy_rows=1)

@@ -93,3 +93,21 @@ def test_quantiles_all_missing(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     assert exact_quantiles(df, ["x"], [0.5])["x"] == [None]
     assert F is not None
+
+
+def test_grouped_quantiles_heavy_and_light(spark):
+    from quarry.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(11)
+    hot = rng.lognormal(0, 2, 3000)
+    rows = [("hot", float(v)) for v in hot] + [("hot", 7.0)] * 500
+    rows += [("small", float(v)) for v in rng.normal(0, 1, 40)] + [("one", 3.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    probs = [0.25, 0.5, 0.75]
+    out = {r["g"]: r for r in grouped_quantiles(df, "g", "x", probs, heavy_rows=100, bins=16,
+                                                collect_max=30).collect()}
+    for g in ("hot", "small", "one"):
+        vals = np.array([v for gg, v in rows if gg == g])
+        want = np.quantile(vals, probs)
+        got = [out[g][f"q{i}"] for i in range(3)]
+        assert np.allclose(got, want, rtol=1e-12), g
+        assert out[g]["n"] == len(vals)

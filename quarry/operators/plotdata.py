@@ -197,3 +197,50 @@ def scatter_sample(df: DataFrame, by: str, n: int, key, cols: list[str], seed: i
     chosen deterministically by hash order without ranking whole groups."""
     keys = [key] if isinstance(key, str) else list(key)
     return stratified_sample(df.select(*keys, by, *cols), by, n, key, seed)
+
+
+def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3.0,
+           bins: int = 2048) -> DataFrame:
+    """Per-category Gaussian KDE (the violin of a category x numeric panel):
+    ``(by, grid_x, density)``, bandwidth and grid per category as in
+    ``kde_grid``. Everything stays in Spark: per-category statistics (one
+    partial aggregate, broadcast once their count is proven small), fine bins
+    per category, then bins x grid pairs summed per grid point."""
+    x = F.col(col).cast("double")
+    st = (df.filter(x.isNotNull()).groupBy(by)
+          .agg(F.count(x).alias("__n"), F.stddev_samp(x).alias("__sd"), F.min(x).alias("__mn"),
+               F.max(x).alias("__mx"))
+          .filter(F.col("__sd") > 0)
+          .withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
+          .withColumn("__w", (F.col("__mx") - F.col("__mn")) / F.lit(bins))
+          .withColumn("__lo", F.col("__mn") - F.lit(cut) * F.col("__h"))
+          .withColumn("__step", ((F.col("__mx") + F.lit(cut) * F.col("__h")) - F.col("__lo"))
+                      / F.lit(gridsize - 1)))
+    st = bounded_broadcast(st)
+    b = F.least(F.floor((F.col("__x") - F.col("__mn")) / F.col("__w")), F.lit(bins - 1))
+    binned = (df.select(by, x.alias("__x")).filter(F.col("__x").isNotNull()).join(st, by)
+              .groupBy(by, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c")))
+    i = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1)))
+    pairs = (binned.join(st, by)
+             .select(by, "__c", "__h", "__n", "__lo", "__step",
+                     (F.col("__mn") + (F.col("__b") + F.lit(0.5)) * F.col("__w")).alias("__center"),
+                     i.alias("__i"))
+             .withColumn("grid_x", F.col("__lo") + F.col("__i") * F.col("__step")))
+    kernel = F.exp(F.lit(-0.5) * F.pow((F.col("grid_x") - F.col("__center")) / F.col("__h"), 2))
+    norm = F.lit(1.0) / (F.col("__n") * F.col("__h") * F.lit(math.sqrt(2.0 * math.pi)))
+    return (pairs.groupBy(by, "__i", "grid_x", "__n", "__h")
+            .agg(F.sum(F.col("__c") * kernel).alias("__s"))
+            .select(by, "grid_x", (F.col("__s") * norm).alias("density")))
+
+
+def univariate_panel(df: DataFrame, cols: list[str] | None = None, bins: int = 10,
+                     gridsize: int = 200) -> dict[str, DataFrame]:
+    """Box statistics, histogram and density curve of every numeric column
+    (the box + histogram-with-density panel), as three small frames."""
+    from quarry.operators.profile import _numeric_cols
+    cols = _numeric_cols(df, cols)
+    kdes = [kde_grid(df, c, gridsize) for c in cols]
+    kde = kdes[0]
+    for k in kdes[1:]:
+        kde = kde.unionByName(k)
+    return {"box": box_stats(df, cols), "hist": histogram(df, cols, bins), "kde": kde}

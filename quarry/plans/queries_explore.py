@@ -357,3 +357,28 @@ def quartiles_by_category(spark, sf_dir):
     from quarry.operators.quantiles import grouped_quantiles
     return grouped_quantiles(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
                              "l_extendedprice", [0.25, 0.5, 0.75], heavy_rows=1)
+
+
+@register("violin_kde", """
+WITH st AS (SELECT l_returnflag, count(l_extendedprice) AS n, stddev_samp(l_extendedprice) AS sd,
+                   min(l_extendedprice) AS mn, max(l_extendedprice) AS mx
+            FROM lineitem GROUP BY l_returnflag),
+p AS (SELECT l_returnflag, n, mn, mx, sd * pow(n, -0.2) AS h, (mx - mn) / 2048 AS w FROM st
+      WHERE sd > 0),
+b AS (SELECT l.l_returnflag,
+             p.mn + (least(floor((l.l_extendedprice - p.mn) / p.w), 2047) + 0.5) * p.w AS center,
+             count(*) AS c
+      FROM lineitem l JOIN p USING (l_returnflag) GROUP BY 1, 2),
+g AS (SELECT p.l_returnflag, r.i,
+             (p.mn - 3.0 * p.h) + r.i * (((p.mx + 3.0 * p.h) - (p.mn - 3.0 * p.h)) / 199) AS grid_x
+      FROM p, range(0, 200) r(i))
+SELECT g.l_returnflag, round_even(g.grid_x, 6) AS grid_x,
+       round_even(sum(b.c * exp(-0.5 * pow((g.grid_x - b.center) / p.h, 2)))
+                  * (1.0 / (p.n * p.h * sqrt(2.0 * pi()))), 15) AS density
+FROM g JOIN b USING (l_returnflag) JOIN p USING (l_returnflag)
+GROUP BY g.l_returnflag, g.i, g.grid_x, p.n, p.h
+""")
+def violin_kde(spark, sf_dir):
+    k = plotdata.kde_by(read_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice")
+    return k.select("l_returnflag", F.bround("grid_x", 6).alias("grid_x"),
+                    F.bround("density", 15).alias("density"))

@@ -182,7 +182,12 @@ def create_cluster(df: DataFrame, key: str, features: list[str], k: int,
     model = fit_kmeans(scaled, features, k, seed=seed, max_iter=max_iter)
     centers = centers_of(model)
     labelled = assign_nearest(scaled, features, centers, dist_col=None)
-    rows = df.join(labelled.select(key, "cluster"), on=key, how="inner") \
+    # label the original rows directly (scaled copies of the features are a
+    # projection of the same row): no join back on the key, no shuffle
+    sfx = "__scaled"
+    rows = assign_nearest(apply_scaler(df, stats, suffix=sfx), [c + sfx for c in features],
+                          centers, dist_col=None)
+    rows = rows.drop(*[c + sfx for c in features]) \
         .withColumn("cluster", label_concat(prefix, F.col("cluster")))
     centroids = centers_frame(df.sparkSession, inverse_values(stats, centers), features)
     return ClusterResult(rows, labelled, stats, model, centroids)
@@ -252,15 +257,17 @@ def scaled_vs_unscaled(df: DataFrame, key: str, features: list[str], k: int = 2,
                        seed: int = 713, max_iter: int = 300) -> DataFrame:
     """The same k-means on raw and on min-max scaled features: crosstab of
     the two labelings ``(cluster_raw, cluster_scaled, count)``."""
-    raw = fit_kmeans(df, features, k, seed=seed, max_iter=max_iter)
-    raw_lab = assign_nearest(df.select(key, *features), features, centers_of(raw),
-                             cluster_col="cluster_raw", dist_col=None)
-    stats = fit_scaler(df, features, "minmax")
-    sc = apply_scaler(df.select(key, *features), stats)
-    scm = fit_kmeans(sc, features, k, seed=seed, max_iter=max_iter)
-    sc_lab = assign_nearest(sc, features, centers_of(scm), cluster_col="cluster_scaled",
-                            dist_col=None)
-    both = raw_lab.select(key, "cluster_raw").join(sc_lab.select(key, "cluster_scaled"), key)
+    data = df.select(key, *features)
+    raw = fit_kmeans(data, features, k, seed=seed, max_iter=max_iter)
+    stats = fit_scaler(data, features, "minmax")
+    sfx = "__scaled"
+    sc = apply_scaler(data, stats, suffix=sfx)
+    scm = fit_kmeans(sc.select(*[F.col(c + sfx).alias(c) for c in features]), features, k,
+                     seed=seed, max_iter=max_iter)
+    # both labelings are projections of the same rows: one pass, no join
+    both = assign_nearest(sc, features, centers_of(raw), cluster_col="cluster_raw", dist_col=None)
+    both = assign_nearest(both, [c + sfx for c in features], centers_of(scm),
+                          cluster_col="cluster_scaled", dist_col=None)
     return contingency(both, "cluster_raw", "cluster_scaled")
 
 

@@ -51,8 +51,14 @@ def order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]]
                 result[(c, r)] = mn
             else:
                 open_t[(c, r)] = [mn, mx, 0]
+    # a column with at most collect_max values is fetched at once
+    first_fetch = {t: v for t, v in open_t.items() if stats[t[0]][0] <= collect_max}
     levels = 0
     while open_t:
+        if first_fetch:
+            to_fetch, first_fetch = first_fetch, {}
+            _fetch(df, to_fetch, open_t, result)
+            continue
         levels += 1
         if levels > _MAX_LEVELS:
             raise RuntimeError("exact quantile selection did not converge")
@@ -106,30 +112,30 @@ def order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]]
             else:
                 raise RuntimeError(f"rank {r} of {c} not found in bracket")
         if to_fetch:
-            fetch_brackets = sorted({(c, lo, hi) for (c, _r), (lo, hi, _b) in to_fetch.items()})
-            cond = None
-            for c, lo, hi in fetch_brackets:
-                x = _clean(df, c)
-                k = (x >= F.lit(lo)) & (x <= F.lit(hi))
-                cond = k if cond is None else cond | k
-            fetch_structs = []
-            for c, lo, hi in fetch_brackets:
-                x = _clean(df, c)
-                fetch_structs.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
-                                            F.struct(F.lit(c).alias("c"), F.lit(lo).alias("lo"),
-                                                     x.alias("x"))))
-            rows = (df.filter(cond).select(F.explode(F.array(*fetch_structs)).alias("s"))
-                    .filter(F.col("s").isNotNull()).select("s.*").collect())
-            values: dict[tuple[str, float], list[float]] = defaultdict(list)
-            for row in rows:
-                values[(row["c"], row["lo"])].append(row["x"])
-            for (c, r), (lo, _hi, base) in to_fetch.items():
-                vals = sorted(values[(c, lo)])
-                result[(c, r)] = vals[r - base]
-                del open_t[(c, r)]
+            _fetch(df, to_fetch, open_t, result)
     return result
 
 
+def _fetch(df: DataFrame, to_fetch: dict, open_t: dict, result: dict) -> None:
+    """Fetch the (small) brackets of ``to_fetch`` and index the ranks."""
+    fetch_brackets = sorted({(c, lo, hi) for (c, _r), (lo, hi, _b) in to_fetch.items()})
+    cond, fetch_structs = None, []
+    for c, lo, hi in fetch_brackets:
+        x = _clean(df, c)
+        k = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        cond = k if cond is None else cond | k
+        fetch_structs.append(F.when(k, F.struct(F.lit(c).alias("c"), F.lit(lo).alias("lo"),
+                                                x.alias("x"))))
+    rows = (df.filter(cond).select(F.explode(F.array(*fetch_structs)).alias("s"))
+            .filter(F.col("s").isNotNull()).select("s.*").collect())
+    values: dict[tuple[str, float], list[float]] = defaultdict(list)
+    for row in rows:
+        values[(row["c"], row["lo"])].append(row["x"])
+    for (c, r), (lo, _hi, base) in to_fetch.items():
+        result[(c, r)] = sorted(values[(c, lo)])[r - base]
+        del open_t[(c, r)]
+
+
 def column_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float | None, float | None]]:
     aggs = []
     for i, c in enumerate(cols):

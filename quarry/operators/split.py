@@ -78,12 +78,16 @@ def three_way_split(df: DataFrame, key, test_size: float = 0.2, validate_size: f
     n = df.count()
     _train, n_val, n_test = split_sizes(n, test_size, validate_size)
 
+    # a frame of at most FETCH_MAX rows is ordered on the driver in one job
+    small = (sorted((r["h"], r["k"]) for r in df.select(h.alias("h"), k.alias("k")).collect())
+             if n <= FETCH_MAX else None)
+
     def before(pos: int) -> Column:
         if pos <= 0:
             return F.lit(False)
         if pos >= n:
             return F.lit(True)
-        th, tk = _threshold(df, h, k, pos)
+        th, tk = small[pos] if small is not None else _threshold(df, h, k, pos)
         return (h < F.lit(th)) | ((h == F.lit(th)) & (k < F.lit(tk)))
 
     in_test = before(n_test)

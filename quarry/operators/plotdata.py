@@ -140,11 +140,12 @@ def pair_regression(df: DataFrame, cols: list[str]) -> DataFrame:
     rows = []
     for i, (a, b) in enumerate(pairs):
         n = F.col(f"n{i}")
-        cxx = F.col(f"sxx{i}") - F.col(f"sx{i}") * F.col(f"sx{i}") / n
-        cyy = F.col(f"syy{i}") - F.col(f"sy{i}") * F.col(f"sy{i}") / n
-        cxy = F.col(f"sxy{i}") - F.col(f"sx{i}") * F.col(f"sy{i}") / n
-        mx = F.lit(means[a] or 0.0) + F.col(f"sx{i}") / n
-        my = F.lit(means[b] or 0.0) + F.col(f"sy{i}") / n
+        nd = F.when(n > 0, n.cast("double"))      # NULL for an empty pair (ANSI-safe)
+        cxx = F.col(f"sxx{i}") - F.col(f"sx{i}") * F.col(f"sx{i}") / nd
+        cyy = F.col(f"syy{i}") - F.col(f"sy{i}") * F.col(f"sy{i}") / nd
+        cxy = F.col(f"sxy{i}") - F.col(f"sx{i}") * F.col(f"sy{i}") / nd
+        mx = F.lit(means[a] or 0.0) + F.col(f"sx{i}") / nd
+        my = F.lit(means[b] or 0.0) + F.col(f"sy{i}") / nd
         ok = n > 0
         slope = F.when(ok & (cxx != 0), cxy / cxx)
         r = F.when(ok & (cxx != 0) & (cyy != 0), cxy / F.sqrt(cxx * cyy))

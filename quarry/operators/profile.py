@@ -127,11 +127,28 @@ def value_counts_strings(df: DataFrame, dropna: bool = True) -> DataFrame:
 def value_counts_small(df: DataFrame, limit: int = 10, dropna: bool = True) -> DataFrame:
     """Value counts of every column with fewer than ``limit`` distinct values.
     One distinct-count job decides the columns, one job counts them."""
-    uniq = count_unique(df).collect()  # O(columns)
-    small = [r["column_name"] for r in uniq if r["n_unique"] < limit]
+    small = columns_with_few_values(df, limit)
     return value_counts_long(df, small, dropna)
 
 
+def columns_with_few_values(df: DataFrame, limit: int, cols: list[str] | None = None) -> list[str]:
+    """Columns with fewer than ``limit`` distinct (non-missing) values.
+
+    A HyperLogLog pass (no row expansion) rules out the columns that are
+    clearly wide; the exact distinct count (one Expand per column) runs only
+    for the remaining candidates, so the answer stays exact."""
+    cols = list(df.columns) if cols is None else cols
+    if not cols:
+        return []
+    approx = df.agg(*[F.approx_count_distinct(F.when(~is_missing(df, c), F.col(c)), 0.02)
+                      .alias(f"a{i}") for i, c in enumerate(cols)]).first()
+    candidates = [c for i, c in enumerate(cols) if approx[f"a{i}"] < 2 * limit + 8]
+    if not candidates:
+        return []
+    exact = {r["column_name"]: r["n_unique"] for r in count_unique(df, candidates).collect()}
+    return [c for c in cols if c in exact and exact[c] < limit]
+
+
 # ------------------------------------------------------------------- bins
 
 

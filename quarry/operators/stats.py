@@ -22,12 +22,14 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
                 F.sum(F.col("n") * F.col("m")).alias("s1"),
                 F.sum(F.col("n") * F.col("m") * F.col("m")).alias("s2"),
                 F.sum(F.col("n") * F.col("v")).alias("ss_within"))
-    ssb = F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")
+    ssb = F.col("s2") - F.try_divide(F.col("s1") * F.col("s1"), F.col("n"))
     dfb = F.col("n_groups") - 1
     dfw = F.col("n") - F.col("n_groups")
+    # try_divide: one group (dfb = 0) or one row per group (dfw = 0) -> NULL
     return tot.select("n_groups", "n", dfb.alias("df_between"), dfw.alias("df_within"),
                       ssb.alias("ss_between"), "ss_within",
-                      F.try_divide(ssb / dfb, F.col("ss_within") / dfw).alias("f_stat"))
+                      F.try_divide(F.try_divide(ssb, dfb), F.try_divide(F.col("ss_within"), dfw))
+                      .alias("f_stat"))
 
 
 def cluster_profile(df: DataFrame, cluster: str, features: list[str],

@@ -122,3 +122,17 @@ def test_k_grid_long(spark, blobs):
     g = cluster.k_grid(blobs, "id", ["x0", "x1"], ks=range(2, 4), seed=1)
     assert g.count() == 800 and set(g.columns) == {"id", "k", "cluster"}
     assert np is not None
+
+
+def test_anova_and_pairs_degenerate_inputs(spark):
+    from quarry.operators import plotdata, stats
+    one = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, v double")
+    r = stats.anova_oneway(one, "g", "v").first()
+    assert r["n_groups"] == 1 and r["f_stat"] is None
+    two = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("b", 7.0)], "g string, v double")
+    f = stats.anova_oneway(two, "g", "v").first()["f_stat"]
+    # scipy.stats.f_oneway([1, 2], [5, 7]) = 16.2
+    assert f == pytest.approx(16.2)
+    empty = spark.createDataFrame([(None, 1.0), (2.0, None)], "x double, y double")
+    p = plotdata.pair_regression(empty, ["x", "y"]).first()
+    assert p["n"] == 0 and p["slope"] is None

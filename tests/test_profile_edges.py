@@ -113,3 +113,20 @@ def test_table_info(spark, edge):
 
 def test_is_missing_on_strings(spark, edge):
     assert edge.filter(is_missing(edge, "s")).count() == 1
+
+
+def test_few_values_gate_is_exact(spark):
+    rows = [(i % 9, i % 10, i, "x" if i % 2 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, s string")
+    assert profile.columns_with_few_values(df, 10) == ["a", "s"]
+    assert profile.columns_with_few_values(df, 11) == ["a", "b", "s"]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 11])
+def test_profiles_independent_of_partitioning(spark, parts):
+    from conftest import SF001
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").repartition(parts)
+    base = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    for fn in (profile.count_unique, profile.missing_by_row,
+               lambda d: profile.binned_counts(d, ["l_quantity", "l_discount"])):
+        assert sorted(map(tuple, fn(li).collect())) == sorted(map(tuple, fn(base).collect()))

@@ -201,7 +201,7 @@ def scatter_sample(df: DataFrame, by: str, n: int, key, cols: list[str], seed: i
 
 
 def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3.0,
-           bins: int = 2048) -> DataFrame:
+           bins: int = 2048, max_groups: int = 1000) -> DataFrame:
     """Per-category Gaussian KDE (the violin of a category x numeric panel):
     ``(by, grid_x, density)``, bandwidth and grid per category as in
     ``kde_grid``. Everything stays in Spark: per-category statistics (one
@@ -217,7 +217,10 @@ def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3
           .withColumn("__lo", F.col("__mn") - F.lit(cut) * F.col("__h"))
           .withColumn("__step", ((F.col("__mx") + F.lit(cut) * F.col("__h")) - F.col("__lo"))
                       / F.lit(gridsize - 1)))
-    st = bounded_broadcast(st)
+    # bins x grid pairs are emitted per category: keep that product bounded
+    if st.limit(max_groups + 1).count() > max_groups:
+        raise ValueError(f"kde_by: more than {max_groups} categories in {by!r}")
+    st = F.broadcast(st)  # at most max_groups rows, checked above
     b = F.least(F.floor((F.col("__x") - F.col("__mn")) / F.col("__w")), F.lit(bins - 1))
     binned = (df.select(by, x.alias("__x")).filter(F.col("__x").isNotNull()).join(st, by)
               .groupBy(by, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c")))

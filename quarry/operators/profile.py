@@ -217,7 +217,8 @@ def binned_counts(df: DataFrame, cols: list[str] | None = None, bins: int = 10,
     counts = (df.select(F.explode(F.array(*bin_exprs)).alias("s")).select("s.*")
               .filter(F.col("bin").isNotNull())
               .groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("count")))
-    return (F.broadcast(all_bins).join(counts, ["column_name", "bin"], "left")
+    # counts has at most columns x bins rows (it is aggregated on them)
+    return (all_bins.join(F.broadcast(counts), ["column_name", "bin"], "left")
             .select("column_name", F.col("bin").cast("bigint").alias("bin"), "lo", "hi",
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 

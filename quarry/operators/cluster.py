@@ -111,19 +111,27 @@ def _assemble(df: DataFrame, features, out: str = "__features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
-def sklearn_tol(data: DataFrame, k: int, tol: float = 1e-4, col: str = "__features") -> float:
-    """Spark's k-means stops when every centre moved at most ``tol_spark``;
-    scikit-learn stops when the *sum* of squared centre shifts is at most
-    ``tol * mean feature variance``. ``sqrt(tol * mean_var / k)`` makes
-    Spark stop only where scikit-learn would (one aggregate job)."""
+def mean_feature_variance(data: DataFrame, col: str = "__features") -> float | None:
+    """Mean population variance of the assembled features (one job)."""
     from pyspark.ml.stat import Summarizer
     row = data.select(Summarizer.metrics("variance", "count").summary(F.col(col)).alias("s")).first()
     var = row["s"]["variance"].toArray()
     n = row["s"]["count"]
     if n <= 1 or len(var) == 0:
+        return None
+    return float(sum(var) / len(var)) * (n - 1) / n
+
+
+def sklearn_tol(data: DataFrame, k: int, tol: float = 1e-4, col: str = "__features",
+                mean_var: float | None = None) -> float:
+    """Spark's k-means stops when every centre moved at most ``tol_spark``;
+    scikit-learn stops when the *sum* of squared centre shifts is at most
+    ``tol * mean feature variance``. ``sqrt(tol * mean_var / k)`` makes
+    Spark stop only where scikit-learn would."""
+    mv = mean_var if mean_var is not None else mean_feature_variance(data, col)
+    if not mv:
         return tol
-    mean_var = float(sum(var) / len(var)) * (n - 1) / n  # population variance
-    return max((tol * mean_var / k) ** 0.5, 1e-12)
+    return max((tol * mv / k) ** 0.5, 1e-12)
 
 
 def fit_kmeans(df: DataFrame, features, k: int, seed: int = 713, max_iter: int = 300,
@@ -200,8 +208,11 @@ def _fit_many(data: DataFrame, features, ks: list[int], seed: int, max_iter: int
     and would leave most of a cluster idle one at a time)."""
     from concurrent.futures import ThreadPoolExecutor
 
+    mv = mean_feature_variance(data)  # once for all k
+
     def one(k):
-        return use(k, fit_kmeans(data, features, k, seed=seed, max_iter=max_iter, assembled=True))
+        return use(k, fit_kmeans(data, features, k, seed=seed, max_iter=max_iter,
+                                 tol=sklearn_tol(data, k, mean_var=mv), assembled=True))
 
     if parallel <= 1 or len(ks) <= 1:
         return [one(k) for k in ks]
@@ -210,7 +221,7 @@ def _fit_many(data: DataFrame, features, ks: list[int], seed: int, max_iter: int
 
 
 def elbow(df: DataFrame, features, ks=range(2, 12), seed: int = 713, max_iter: int = 300,
-          scaler: str | None = None, parallel: int = 4) -> DataFrame:
+          scaler: str | None = None, parallel: int = 8) -> DataFrame:
     """Inertia for each k (the elbow curve), ``(k, inertia, drop)`` where
     ``drop`` is the relative decrease from the previous k. The assembled
     features are persisted once and reused by every fit."""
@@ -234,7 +245,7 @@ def elbow(df: DataFrame, features, ks=range(2, 12), seed: int = 713, max_iter: i
 
 
 def k_grid(df: DataFrame, key: str, features, ks=range(2, 6), seed: int = 713,
-           max_iter: int = 300, parallel: int = 4) -> DataFrame:
+           max_iter: int = 300, parallel: int = 8) -> DataFrame:
     """Labels of every row for each k: long frame ``(key, k, cluster)``."""
     data = _assemble(df.select(key, *([features] if isinstance(features, str) else features)),
                      features).select(key, "__features").persist(StorageLevel.MEMORY_AND_DISK)

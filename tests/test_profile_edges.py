@@ -130,3 +130,16 @@ def test_profiles_independent_of_partitioning(spark, parts):
     for fn in (profile.count_unique, profile.missing_by_row,
                lambda d: profile.binned_counts(d, ["l_quantity", "l_discount"])):
         assert sorted(map(tuple, fn(li).collect())) == sorted(map(tuple, fn(base).collect()))
+
+
+def test_univariate_panel(spark):
+    from conftest import SF001
+    from quarry.operators.plotdata import univariate_panel
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_quantity", "l_discount")
+    panel = univariate_panel(li)
+    assert panel["box"].count() == 2 and panel["hist"].count() == 20
+    assert panel["kde"].count() == 400
+    # the density integrates to about one over the grid
+    rows = panel["kde"].filter("column_name = 'l_quantity'").orderBy("grid_x").collect()
+    step = rows[1]["grid_x"] - rows[0]["grid_x"]
+    assert abs(sum(r["density"] for r in rows) * step - 1.0) < 0.02

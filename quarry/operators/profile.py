@@ -73,16 +73,19 @@ def missing_by_row(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------- distinct / values
 
 
-def count_unique(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def count_unique(df: DataFrame, cols: list[str] | None = None,
+                 approx_rsd: float | None = None) -> DataFrame:
     """Exact distinct count (missing excluded) of every column:
     ``(column_name, n_unique)``. All columns in one aggregate (Spark expands
     each row once per distinct aggregate and de-duplicates with partial
-    aggregation)."""
+    aggregation). ``approx_rsd`` switches to HyperLogLog++ estimates (no row
+    expansion) for very wide or very large tables."""
     cols = list(df.columns) if cols is None else cols
     exprs = []
     for i, c in enumerate(cols):
         x = F.when(~is_missing(df, c), F.col(c))
-        exprs.append(F.count_distinct(x).alias(f"u{i}"))
+        exprs.append((F.approx_count_distinct(x, approx_rsd) if approx_rsd else F.count_distinct(x))
+                     .alias(f"u{i}"))
     wide = df.agg(*exprs)
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                            F.col(f"u{i}").alias("n_unique"))
@@ -143,12 +146,27 @@ def columns_with_few_values(df: DataFrame, limit: int, cols: list[str] | None =
     approx = df.agg(*[F.approx_count_distinct(F.when(~is_missing(df, c), F.col(c)), 0.02)
                       .alias(f"a{i}") for i, c in enumerate(cols)]).first()
     candidates = [c for i, c in enumerate(cols) if approx[f"a{i}"] < 2 * limit + 8]
-    if not candidates:
-        return []
-    exact = {r["column_name"]: r["n_unique"] for r in count_unique(df, candidates).collect()}
+    exact = exact_counts_below(df, limit, candidates)
     return [c for c in cols if c in exact and exact[c] < limit]
 
 
+def exact_counts_below(df: DataFrame, limit: int, cols: list[str] | None = None,
+                       approx: dict | None = None) -> dict[str, int]:
+    """Exact distinct counts of the columns whose HyperLogLog estimate is
+    below about twice ``limit`` (the others cannot be under ``limit``)."""
+    cols = list(df.columns) if cols is None else cols
+    if not cols:
+        return {}
+    if approx is None:
+        row = df.agg(*[F.approx_count_distinct(F.when(~is_missing(df, c), F.col(c)), 0.02)
+                       .alias(f"a{i}") for i, c in enumerate(cols)]).first()
+        approx = {c: row[f"a{i}"] for i, c in enumerate(cols)}
+    candidates = [c for c in cols if approx[c] < 2 * limit + 8]
+    if not candidates:
+        return {}
+    return {r["column_name"]: r["n_unique"] for r in count_unique(df, candidates).collect()}
+
+
 # ------------------------------------------------------------------- bins
 
 
@@ -237,16 +255,19 @@ def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
     Output ``(column_name, n_unique, kind, value, lo, hi, count)`` where kind
     is ``'value'`` or ``'bin'`` (``value`` holds the bin number for bins).
     """
-    uniq = {r["column_name"]: r["n_unique"] for r in count_unique(df).collect()}
+    # exact distinct counts only where they can fall under a threshold; a
+    # HyperLogLog pass screens out id-like columns without expanding rows
+    uniq = exact_counts_below(df, max(thresh + 1, numeric_limit))
     small, binned = [], []
     numeric = set(_numeric_cols(df, None))
     for c in df.columns:
+        if c not in uniq:
+            continue
         if uniq[c] <= thresh:
             small.append(c)
         elif uniq[c] < numeric_limit and c in numeric:
             binned.append(c)
-    nu = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(uniq[c]))]) \
-        if df.columns else None
+    nu = F.create_map(*[x for c in uniq for x in (F.lit(c), F.lit(uniq[c]))]) if uniq else None
     parts = []
     if small:
         parts.append(value_counts_long(df, small, dropna=False).select(

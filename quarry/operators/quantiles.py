@@ -190,8 +190,9 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
                       collect_max: int = DEFAULT_COLLECT_MAX) -> DataFrame:
     """Exact quantiles of ``col`` per group: ``(by, n, q0, q1, ...)``.
 
-    Groups with at most ``heavy_rows`` values use Spark's exact
-    ``percentile`` (its per-group value map is bounded by that size). Larger
+    Groups with at most ``heavy_rows`` values are ranked by a window per group
+    (each window task holds at most that many rows) and the two order
+    statistics around each quantile are interpolated. Larger
     groups -- at most ``rows / heavy_rows`` of them, e.g. one key holding a
     third of the table -- are resolved by the selection above, with the open
     brackets of all heavy groups kept in a small table joined to the rows
@@ -210,9 +211,7 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
     heavy = sizes.filter(F.col("n") > heavy_rows).collect()   # at most rows/heavy_rows groups
     heavy_keys = [r["__g"] for r in heavy]
     light = (data.filter(~F.col("__g").isin(heavy_keys)) if heavy_keys else data)
-    qexpr = F.percentile(F.col("__x"), F.array(*[F.lit(float(p)) for p in probs]))
-    light_q = light.groupBy("__g").agg(F.count(F.lit(1)).alias("n"), qexpr.alias("__q")).select(
-        F.col("__g").alias(by), "n", *[F.col("__q")[i].alias(f"q{i}") for i in range(len(probs))])
+    light_q = _light_group_quantiles(light, probs).withColumnRenamed("__g", by)
     if not heavy:
         return light_q
     gtype = df.schema[by].dataType
@@ -292,3 +291,31 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
     hschema = StructType([StructField(by, gtype), StructField("n", LongType())]
                          + [StructField(f"q{i}", DoubleType()) for i in range(len(probs))])
     return light_q.unionByName(spark.createDataFrame(heavy_rows_out, hschema))
+
+
+def _light_group_quantiles(data: DataFrame, probs: list[float]) -> DataFrame:
+    """Quantiles of ``__x`` per ``__g`` for groups of bounded size: rank
+    within the group (the window and the following aggregate share one
+    shuffle on ``__g``), keep the ranks around each quantile, interpolate
+    ``a + (b - a) * t`` exactly as the selection path does."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("__g").orderBy("__x")
+    ranked = (data.withColumn("__rn", F.row_number().over(w) - 1)
+              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__g"))))
+    n1 = (F.col("__n") - 1).cast("double")
+    pos = [F.lit(float(p)) * n1 for p in probs]
+    keep = None
+    for ps in pos:
+        k = (F.col("__rn") == F.floor(ps)) | (F.col("__rn") == F.ceil(ps))
+        keep = k if keep is None else keep | k
+    aggs = [F.max("__n").alias("n")]
+    for i, ps in enumerate(pos):
+        aggs += [F.max(F.when(F.col("__rn") == F.floor(ps), F.col("__x"))).alias(f"__a{i}"),
+                 F.max(F.when(F.col("__rn") == F.ceil(ps), F.col("__x"))).alias(f"__b{i}"),
+                 F.max(ps - F.floor(ps)).alias(f"__t{i}")]
+    g = ranked.filter(keep).groupBy("__g").agg(*aggs)
+    outs = []
+    for i in range(len(probs)):
+        a, b, t = F.col(f"__a{i}"), F.col(f"__b{i}"), F.col(f"__t{i}")
+        outs.append(F.when(t == 0, a).otherwise(a + (b - a) * t).alias(f"q{i}"))
+    return g.select("__g", "n", *outs)

@@ -15,8 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.missing import nan_to_null
-from quarry.functions.scalar import label_concat, map_lookup, parse_datetime, recode
+from quarry.functions.scalar import label_concat, map_lookup, recode
 from quarry.operators import clean, columns, profile
 from quarry.plans.acquire import latest_orders_wide
 from quarry.sources.sql import run_sql

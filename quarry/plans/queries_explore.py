@@ -131,8 +131,8 @@ def head_n(spark, sf_dir):
 @register("scale_standard", """
 SELECT l_orderkey, l_linenumber,
        round_even((l_extendedprice - avg(l_extendedprice) OVER ())
-                  / stddev_pop(l_extendedprice) OVER (), 9) AS l_extendedprice,
-       round_even((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 9)
+                  / stddev_pop(l_extendedprice) OVER (), 6) AS l_extendedprice,
+       round_even((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 6)
          AS l_quantity
 FROM lineitem
 """)
@@ -141,8 +141,8 @@ def scale_standard(spark, sf_dir):
                                                       "l_extendedprice", "l_quantity")
     out = apply_scaler(df, fit_scaler(df, ["l_extendedprice", "l_quantity"], "standard"))
     return out.select("l_orderkey", "l_linenumber",
-                      F.bround("l_extendedprice", 9).alias("l_extendedprice"),
-                      F.bround("l_quantity", 9).alias("l_quantity"))
+                      F.bround("l_extendedprice", 6).alias("l_extendedprice"),
+                      F.bround("l_quantity", 6).alias("l_quantity"))
 
 
 _SPEND_SQL = """

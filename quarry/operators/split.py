@@ -35,29 +35,52 @@ def hash_order(key, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key_text(key)))
 
 
-def _threshold(df: DataFrame, h: Column, k: Column, position: int) -> tuple[str, str]:
-    """The (hash, key) of the row at 0-based ``position`` in (h, key) order."""
-    prefix_len = PREFIX_STEP
-    prefix_val = ""
-    base = 0
-    while True:
-        scope = df if not prefix_val else df.filter(F.substring(h, 1, len(prefix_val)) == prefix_val)
-        counts = sorted((r["p"], r["n"]) for r in scope.groupBy(F.substring(h, 1, prefix_len).alias("p"))
+def _thresholds(df: DataFrame, h: Column, k: Column, positions: list[int]) -> dict:
+    """The (hash, key) of the rows at 0-based ``positions`` in (h, key) order.
+
+    Each level is one aggregate job shared by all positions: counts per hash
+    prefix (at most 16**PREFIX_STEP groups under each open prefix). A
+    position whose prefix group holds at most FETCH_MAX rows is resolved by
+    fetching that group; others refine their prefix by PREFIX_STEP digits."""
+    found: dict[int, tuple[str, str]] = {}
+    # open positions: pos -> (prefix, rows before the prefix)
+    open_p = {p: ("", 0) for p in positions}
+    while open_p:
+        prefixes = sorted({pre for pre, _b in open_p.values()})
+        plen = len(prefixes[0]) + PREFIX_STEP
+        if plen > 32:
+            plen = 32
+        scope = (df if prefixes == [""] else
+                 df.filter(F.substring(h, 1, len(prefixes[0])).isin(prefixes)))
+        counts = sorted((r["p"], r["n"]) for r in
+                        scope.groupBy(F.substring(h, 1, plen).alias("p"))
                         .agg(F.count(F.lit(1)).alias("n")).collect())
-        cum = base
-        for p, n in counts:
-            if cum + n > position:
-                break
-            cum += n
-        else:
-            raise RuntimeError("position beyond row count")
-        if n <= FETCH_MAX or prefix_len >= 32:
-            rows = sorted((r["h"], r["k"]) for r in
-                          df.filter(F.substring(h, 1, prefix_len) == p).select(h.alias("h"), k.alias("k"))
-                          .collect())
-            return rows[position - cum]
-        prefix_val, base = p, cum
-        prefix_len = min(32, prefix_len + PREFIX_STEP)
+        fetch, nxt = {}, {}
+        for pos, (pre, base) in open_p.items():
+            cum = base
+            for p, n in counts:
+                if not p.startswith(pre):
+                    continue
+                if cum + n > pos:
+                    break
+                cum += n
+            else:
+                raise RuntimeError("position beyond row count")
+            if n <= FETCH_MAX or plen >= 32:
+                fetch[pos] = (p, cum)
+            else:
+                nxt[pos] = (p, cum)
+        if fetch:
+            groups = sorted({p for p, _c in fetch.values()})
+            rows: dict[str, list] = {g: [] for g in groups}
+            for r in (df.filter(F.substring(h, 1, plen).isin(groups))
+                      .select(F.substring(h, 1, plen).alias("p"), h.alias("h"), k.alias("k"))
+                      .collect()):
+                rows[r["p"]].append((r["h"], r["k"]))
+            for pos, (p, cum) in fetch.items():
+                found[pos] = sorted(rows[p])[pos - cum]
+        open_p = nxt
+    return found
 
 
 def split_sizes(n: int, test_size: float = 0.2, validate_size: float = 0.3) -> tuple[int, int, int]:
@@ -78,16 +101,20 @@ def three_way_split(df: DataFrame, key, test_size: float = 0.2, validate_size: f
     n = df.count()
     _train, n_val, n_test = split_sizes(n, test_size, validate_size)
 
-    # a frame of at most FETCH_MAX rows is ordered on the driver in one job
-    small = (sorted((r["h"], r["k"]) for r in df.select(h.alias("h"), k.alias("k")).collect())
-             if n <= FETCH_MAX else None)
+    cuts = [p for p in (n_test, n_test + n_val) if 0 < p < n]
+    if n <= FETCH_MAX:
+        # a frame of at most FETCH_MAX rows is ordered on the driver in one job
+        small = sorted((r["h"], r["k"]) for r in df.select(h.alias("h"), k.alias("k")).collect())
+        found = {p: small[p] for p in cuts}
+    else:
+        found = _thresholds(df, h, k, cuts)
 
     def before(pos: int) -> Column:
         if pos <= 0:
             return F.lit(False)
         if pos >= n:
             return F.lit(True)
-        th, tk = small[pos] if small is not None else _threshold(df, h, k, pos)
+        th, tk = found[pos]
         return (h < F.lit(th)) | ((h == F.lit(th)) & (k < F.lit(tk)))
 
     in_test = before(n_test)

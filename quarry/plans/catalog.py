@@ -104,6 +104,13 @@ def acquire_latest_first(spark, sf_dir):
     return latest_orders_wide(spark, sf_dir, 2001, ties="first")
 
 
+@register("acquire_sql", ACQUIRE_TIES_SQL)
+def acquire_sql(spark, sf_dir):
+    # the acquire query as SQL text, planned by Catalyst over temp views
+    register_views(spark, sf_dir, ["customer", "orders", "nation", "region"])
+    return run_sql(spark, ACQUIRE_TIES_SQL)
+
+
 @register("sql_query", "SELECT * FROM customer")
 def sql_query(spark, sf_dir):
     register_views(spark, sf_dir, ["customer"])

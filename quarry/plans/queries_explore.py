@@ -382,3 +382,73 @@ def violin_kde(spark, sf_dir):
     k = plotdata.kde_by(read_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice")
     return k.select("l_returnflag", F.bround("grid_x", 6).alias("grid_x"),
                     F.bround("density", 15).alias("density"))
+
+
+# ------------------------------------------- more cases for the oracle gate
+
+
+@register("value_counts_with_missing", "WITH " + GAPPY_LINEITEM_SQL + """
+SELECT l_returnflag, count(*) AS count FROM gappy GROUP BY l_returnflag
+""")
+def value_counts_with_missing(spark, sf_dir):
+    return profile.value_counts(gappy_lineitem(spark, sf_dir), "l_returnflag", dropna=False)
+
+
+_GAPPY_NUM = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register("describe_with_missing", "WITH " + GAPPY_LINEITEM_SQL + """
+SELECT column_name, count, round_even(mean, 6) AS mean, round_even(std, 6) AS std, min,
+       q25, q50, q75, max
+FROM (""" + "\nUNION ALL".join(
+    f"""
+  SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,
+         CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25,
+         quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75,
+         CAST(max({c}) AS DOUBLE) AS max FROM gappy"""
+    for c in _GAPPY_NUM) + ")")
+def describe_with_missing(spark, sf_dir):
+    d = profile.describe(gappy_lineitem(spark, sf_dir), _GAPPY_NUM)
+    return d.select("column_name", "count", F.bround("mean", 6).alias("mean"),
+                    F.bround("std", 6).alias("std"), "min", "q25", "q50", "q75", "max")
+
+
+def _gappy_bins_sql():
+    from quarry.plans.catalog import _bins_sql
+    return ("WITH " + GAPPY_LINEITEM_SQL + "\nSELECT column_name, CAST(bin AS BIGINT) AS bin, lo, hi, "
+            "CAST(count AS BIGINT) AS count FROM (" + _bins_sql(_GAPPY_NUM, "gappy", "right") + ")")
+
+
+@register("binned_counts_with_missing", _gappy_bins_sql())
+def binned_counts_with_missing(spark, sf_dir):
+    return profile.binned_counts(gappy_lineitem(spark, sf_dir), _GAPPY_NUM, 10, "right")
+
+
+_JOINT_Q = ",\n".join(
+    f"q_{c} AS (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM gappy)"
+    for c in _IQR_COLS)
+
+
+@register("remove_outliers_joint", "WITH " + GAPPY_LINEITEM_SQL + ",\n" + _JOINT_Q + """
+SELECT gappy.* FROM gappy, """ + ", ".join(f"q_{c}" for c in _IQR_COLS) + """
+WHERE """ + "\n  AND ".join(
+    f"{c} > q_{c}.q1 - 1.5 * (q_{c}.q3 - q_{c}.q1) AND {c} < q_{c}.q3 + 1.5 * (q_{c}.q3 - q_{c}.q1)"
+    for c in _IQR_COLS))
+def remove_outliers_joint(spark, sf_dir):
+    return clean.remove_outliers(gappy_lineitem(spark, sf_dir), 1.5, _IQR_COLS, mode="joint")
+
+
+@register("sample_per_flag", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY l_returnflag
+           ORDER BY md5('7:' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)),
+                    CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)) AS rn
+  FROM lineitem)
+WHERE rn <= 20
+""")
+def sample_per_flag(spark, sf_dir):
+    # every flag holds about a third of lineitem: the hot-group path
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
+                                                      "l_extendedprice")
+    return split.stratified_sample(li, "l_returnflag", 20, ["l_orderkey", "l_linenumber"], seed=7)

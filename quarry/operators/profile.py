@@ -247,13 +247,15 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 10) -> D
 
 
 def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
-             bins: int = 10) -> DataFrame:
+             bins: int = 10, sort: str | None = None) -> DataFrame:
     """Per-column overview: distinct count; exact value counts (missing
     included) for columns with at most ``thresh`` distinct values; binned
     counts for non-string columns with fewer than ``numeric_limit``.
 
     Output ``(column_name, n_unique, kind, value, lo, hi, count)`` where kind
     is ``'value'`` or ``'bin'`` (``value`` holds the bin number for bins).
+    ``sort='count'`` orders each column's rows by count (descending),
+    ``sort='value'`` by value / bin (ascending, missing last).
     """
     # exact distinct counts only where they can fall under a threshold; a
     # HyperLogLog pass screens out id-like columns without expanding rows
@@ -288,8 +290,14 @@ def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("column_name", F.element_at(nu, F.col("column_name")).alias("n_unique"),
-                      "kind", "value", "lo", "hi", "count")
+    out = out.select("column_name", F.element_at(nu, F.col("column_name")).alias("n_unique"),
+                     "kind", "value", "lo", "hi", "count")
+    if sort == "count":
+        return out.orderBy("column_name", F.desc("count"), F.asc_nulls_last("value"))
+    if sort == "value":
+        order_key = F.when(F.col("kind") == "bin", F.lpad("value", 12, "0")).otherwise(F.col("value"))
+        return out.orderBy("column_name", F.asc_nulls_last(order_key))
+    return out
 
 
 # ---------------------------------------------------------- summaries

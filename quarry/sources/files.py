@@ -26,16 +26,24 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on any Hadoop-compatible file system."""
+    try:
+        spark.read.text(path).limit(0).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def snapshot(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Read-through cache: read the parquet dataset at ``path`` if it was
-    written completely, else build it, write it once and read it back.
+    written completely (its ``_SUCCESS`` marker exists), else build it, write
+    it and read it back. A folder left by a failed build has no marker and is
+    rebuilt.
 
-    Parquet keeps the types that a CSV round trip loses. The committer only
-    publishes files on job commit, so a failed build leaves nothing readable.
+    Parquet keeps the types that a CSV round trip loses.
     """
-    try:
+    if _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    build().write.mode("errorifexists").parquet(path)
+    build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

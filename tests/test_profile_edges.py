@@ -143,3 +143,14 @@ def test_univariate_panel(spark):
     rows = panel["kde"].filter("column_name = 'l_quantity'").orderBy("grid_x").collect()
     step = rows[1]["grid_x"] - rows[0]["grid_x"]
     assert abs(sum(r["density"] for r in rows) * step - 1.0) < 0.02
+
+
+def test_overview_sorted(spark):
+    from conftest import SF001
+    part = spark.read.parquet(f"{SF001}/part.parquet")
+    by_value = [r["value"] for r in profile.overview(part, sort="value").collect()
+                if r["kind"] == "bin"]
+    assert by_value == [str(i) for i in range(1, 11)]
+    counts = [r["count"] for r in profile.overview(part, sort="count").collect()
+              if r["column_name"] == "p_type"]
+    assert counts == sorted(counts, reverse=True)

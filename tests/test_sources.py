@@ -51,3 +51,11 @@ def test_jdbc_reader_arguments(spark):
     assert sql.db_url("zillow", "db.example", port=3306) == "jdbc:mysql://db.example:3306/zillow"
     with pytest.raises(ValueError):
         sql.read_jdbc(spark, "jdbc:mysql://h/db", query="select 1", table="t")
+
+
+def test_snapshot_rebuilds_incomplete_folder(spark):
+    path = os.path.join(_scratch(), "partial")
+    tables.read_table(spark, SF001, "nation").write.parquet(path)
+    os.remove(os.path.join(path, "_SUCCESS"))            # as if the job died before commit
+    out = files.snapshot(spark, path, lambda: tables.read_table(spark, SF001, "region"))
+    assert out.count() == 5 and os.path.exists(os.path.join(path, "_SUCCESS"))

@@ -33,6 +33,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+SMALL_SIDE_MAX_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_MAX_ROWS) -> DataFrame:
+    """For a small side that is itself computed from the data (centroids,
+    per-group statistics): evaluate it once, fetching at most ``max_rows + 1``
+    rows. Within the bound it is rebuilt from those rows and broadcast, so
+    the join does not recompute it; beyond the bound the frame is returned
+    unhinted and AQE picks the join from measured sizes."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
                    tiebreak: str | None = None) -> DataFrame:
     """Rows of ``tx`` carrying the latest ``date_col`` of their ``key``.
@@ -87,8 +102,8 @@ def lookup_chain(df: DataFrame, lookups: Iterable[Lookup],
 
 
 def attach_centroids(df: DataFrame, centroids: DataFrame, key: str = "cluster",
-                     prefix: str = "cen_", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                     prefix: str = "cen_", max_rows: int = SMALL_SIDE_MAX_ROWS) -> DataFrame:
     """Attach each row's cluster centroid (one row per cluster, broadcast)."""
     renamed = centroids.select(key, *[F.col(c).alias(prefix + c)
                                       for c in centroids.columns if c != key])
-    return df.join(bounded_broadcast(renamed, max_rows), on=key, how="left")
+    return df.join(small_side(renamed, max_rows), on=key, how="left")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from quarry.operators.joins import bounded_broadcast
+from quarry.operators.joins import small_side
 from quarry.operators.profile import binned_counts, histogram  # noqa: F401 (re-export)
 from quarry.operators.quantiles import column_stats, exact_quantiles
 from quarry.operators.split import stratified_sample
@@ -75,7 +75,7 @@ def box_stats_by(df: DataFrame, by: str, col: str, whis: float = 1.5,
                  F.col("q2").alias("q3"))
     q = q.withColumns({"__lo": F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1")),
                        "__hi": F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))})
-    fences = bounded_broadcast(q.select(by, "__lo", "__hi"))
+    fences = small_side(q.select(by, "__lo", "__hi"))
     w = (df.select(by, x.alias("__x")).join(fences, on=by, how="inner")
          .groupBy(by).agg(F.min(F.when(F.col("__x") >= F.col("__lo"), F.col("__x"))).alias("whisker_lo"),
                           F.max(F.when(F.col("__x") <= F.col("__hi"), F.col("__x"))).alias("whisker_hi"),
@@ -218,9 +218,10 @@ def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3
           .withColumn("__step", ((F.col("__mx") + F.lit(cut) * F.col("__h")) - F.col("__lo"))
                       / F.lit(gridsize - 1)))
     # bins x grid pairs are emitted per category: keep that product bounded
-    if st.limit(max_groups + 1).count() > max_groups:
+    st_rows = st.limit(max_groups + 1).collect()
+    if len(st_rows) > max_groups:
         raise ValueError(f"kde_by: more than {max_groups} categories in {by!r}")
-    st = F.broadcast(st)  # at most max_groups rows, checked above
+    st = F.broadcast(df.sparkSession.createDataFrame(st_rows, st.schema))  # evaluated once
     b = F.least(F.floor((F.col("__x") - F.col("__mn")) / F.col("__w")), F.lit(bins - 1))
     binned = (df.select(by, x.alias("__x")).filter(F.col("__x").isNotNull()).join(st, by)
               .groupBy(by, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c")))

@@ -154,8 +154,9 @@ def stratified_sample(df: DataFrame, by: str, n: int, key, seed: int = 0) -> Dat
     from pyspark.sql import Window
     h = hash_order(key, seed)
     u = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / float(16 ** 12)
-    from quarry.operators.joins import bounded_broadcast
-    sizes = bounded_broadcast(df.groupBy(by).agg(F.count(F.lit(1)).alias("__cnt")))
+    from quarry.operators.joins import small_side
+    # group sizes, evaluated once (broadcast when there are few groups)
+    sizes = small_side(df.groupBy(by).agg(F.count(F.lit(1)).alias("__cnt")))
     factor = 2.0
     while True:
         frac = F.least(F.lit(1.0), (F.lit(factor * n) + F.lit(16.0)) / F.col("__cnt"))

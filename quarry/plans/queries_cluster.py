@@ -24,8 +24,8 @@ def scaled_lineitem(spark, sf_dir):
 
 def first_row_centers(df, by: str, order: list[str], feats: list[str]) -> list[list[float]]:
     """Start centres taken from the data: per value of ``by`` (sorted), the
-    features of its first row in ``order``. One partial aggregate (min of a
-    struct), k rows to the driver."""
+    features of its first row in ``order`` (ties broken by the features).
+    One partial aggregate (min of a struct), k rows to the driver."""
     best = F.min(F.struct(*[F.col(c) for c in order], *[F.col(f).alias(f) for f in feats]))
     rows = df.groupBy(by).agg(best.alias("b")).orderBy(by).collect()
     return [[r["b"][f] for f in feats] for r in rows]
@@ -39,7 +39,8 @@ pts AS (SELECT l_orderkey, l_linenumber, l_returnflag,
         FROM lineitem, st),
 c0 AS (SELECT CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS INT) AS cluster, f0, f1
        FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag
-                                          ORDER BY l_orderkey, l_linenumber) AS rn FROM pts)
+                                          ORDER BY l_orderkey, l_linenumber, f0, f1) AS rn
+             FROM pts)
        WHERE rn = 1)"""
 
 

@@ -438,17 +438,20 @@ def remove_outliers_joint(spark, sf_dir):
     return clean.remove_outliers(gappy_lineitem(spark, sf_dir), 1.5, _IQR_COLS, mode="joint")
 
 
-@register("sample_per_flag", """
-SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM (
-  SELECT *, row_number() OVER (
-           PARTITION BY l_returnflag
-           ORDER BY md5('7:' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)),
-                    CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)) AS rn
+# (l_orderkey, l_linenumber) repeats in the driver's lineitem; these four
+# columns identify a row
+LI_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_LI_KEY_SQL = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in LI_KEY)
+
+
+@register("sample_per_flag", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag
+                               ORDER BY md5('7:' || {_LI_KEY_SQL}), {_LI_KEY_SQL}) AS rn
   FROM lineitem)
 WHERE rn <= 20
 """)
 def sample_per_flag(spark, sf_dir):
     # every flag holds about a third of lineitem: the hot-group path
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
-                                                      "l_extendedprice")
-    return split.stratified_sample(li, "l_returnflag", 20, ["l_orderkey", "l_linenumber"], seed=7)
+    li = read_table(spark, sf_dir, "lineitem").select(*LI_KEY, "l_returnflag", "l_extendedprice")
+    return split.stratified_sample(li, "l_returnflag", 20, LI_KEY, seed=7)

@@ -1,0 +1 @@
+"""Workflows and the registered query catalog (see ``catalog.QUERIES``)."""

@@ -1,0 +1 @@
+"""Sources and sinks: parquet tables, SQL over views, JDBC, CSV, snapshots, blobs."""

@@ -1,0 +1 @@
+"""Fitted statistics applied to Structured Streaming frames."""

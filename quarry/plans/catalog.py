@@ -283,10 +283,12 @@ def drop_missing(spark, sf_dir):
     return clean.drop_missing(gappy_lineitem(spark, sf_dir))
 
 
-@register("drop_rows_low_percent", "WITH " + GAPPY_LINEITEM_SQL + """
--- columns missing under 1 %: the five complete ones and l_returnflag
-SELECT * FROM gappy WHERE l_returnflag IS NOT NULL
-""")
+@register("drop_rows_low_percent", "WITH " + GAPPY_LINEITEM_SQL + """,
+r AS (SELECT count(*) AS n, """ + ", ".join(f"count({c}) AS c_{c}" for c in GAPPY_COLS) + """
+      FROM gappy)
+SELECT gappy.* FROM gappy, r
+WHERE """ + "\n  AND ".join(
+    f"({c} IS NOT NULL OR (r.n - r.c_{c}) / r.n >= 0.01)" for c in GAPPY_COLS))
 def drop_rows_low_percent(spark, sf_dir):
     return clean.drop_rows_low_percent(gappy_lineitem(spark, sf_dir))
 

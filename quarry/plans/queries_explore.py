@@ -13,44 +13,53 @@ from quarry.sources.tables import read_table
 
 # ------------------------------------------------------------- overview
 
-_PART_VALS = """
-vals AS (
-  SELECT 'p_partkey' AS column_name, CAST(p_partkey AS VARCHAR) AS value FROM part
-  UNION ALL SELECT 'p_name', p_name FROM part
-  UNION ALL SELECT 'p_brand', p_brand FROM part
-  UNION ALL SELECT 'p_type', p_type FROM part
-  UNION ALL SELECT 'p_size', CAST(p_size AS VARCHAR) FROM part
-  UNION ALL SELECT 'p_retailprice', CAST(p_retailprice AS VARCHAR) FROM part),
-nu AS (SELECT column_name, count(DISTINCT value) AS n_unique FROM vals GROUP BY column_name)"""
-
-
-@register("overview", "WITH " + _PART_VALS + """,
-small AS (SELECT v.column_name, nu.n_unique, 'value' AS kind, v.value,
-                 CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, count(*) AS count
-          FROM vals v JOIN nu USING (column_name) WHERE nu.n_unique <= 10
-          GROUP BY v.column_name, nu.n_unique, v.value),
-st AS (SELECT min(p_size) AS mn, max(p_size) AS mx FROM part),
-b AS (SELECT r.i + 1 AS bin,
-             CASE WHEN r.i = 0 THEN st.mn ELSE st.mn + r.i * ((st.mx - st.mn) / 10) END AS lo,
-             CASE WHEN r.i = 9 THEN st.mx ELSE st.mn + (r.i + 1) * ((st.mx - st.mn) / 10) END AS hi
-      FROM range(0, 10) r(i), st),
-k AS (SELECT 1 + (SELECT count(*) FROM range(1, 10) e(i)
-                  WHERE p.p_size > st.mn + e.i * ((st.mx - st.mn) / 10)) AS bin, count(*) AS n
-      FROM part p, st GROUP BY 1),
-binned AS (SELECT 'p_size' AS column_name, (SELECT n_unique FROM nu WHERE column_name = 'p_size')
-                  AS n_unique, 'bin' AS kind, CAST(b.bin AS VARCHAR) AS value,
-                  CAST(b.lo AS DOUBLE) AS lo, CAST(b.hi AS DOUBLE) AS hi, COALESCE(k.n, 0) AS count
-           FROM b LEFT JOIN k USING (bin))
+def _overview_sql(table: str, cols: list[str], numeric: list[str], thresh: int = 10,
+                  limit: int = 150, bins: int = 10) -> str:
+    """Oracle SQL for ``profile.overview``: the value-count / binned choice is
+    made in SQL from the distinct counts, not written in."""
+    vals = "\n  UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM {table}"
+                                 for c in cols)
+    parts = [f"""
+  SELECT v.column_name, nu.n_unique, 'value' AS kind, v.value,
+         CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, count(*) AS count
+  FROM vals v JOIN nu USING (column_name) WHERE nu.n_unique <= {thresh}
+  GROUP BY v.column_name, nu.n_unique, v.value"""]
+    for c in numeric:
+        st = f"(SELECT CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx FROM {table})"
+        w = f"((st.mx - st.mn) / {bins})"
+        parts.append(f"""
+  SELECT '{c}', nu.n_unique, 'bin', CAST(b.bin AS VARCHAR), b.lo, b.hi, COALESCE(k.n, 0)
+  FROM (SELECT r.i + 1 AS bin,
+               CASE WHEN r.i = 0 THEN st.mn ELSE st.mn + r.i * {w} END AS lo,
+               CASE WHEN r.i = {bins - 1} THEN st.mx ELSE st.mn + (r.i + 1) * {w} END AS hi
+        FROM range(0, {bins}) r(i), {st} st) b
+  JOIN nu ON nu.column_name = '{c}' AND nu.n_unique > {thresh} AND nu.n_unique < {limit}
+  LEFT JOIN (SELECT 1 + (SELECT count(*) FROM range(1, {bins}) e(i)
+                         WHERE t.{c} > st.mn + e.i * {w}) AS bin, count(*) AS n
+             FROM {table} t, {st} st WHERE t.{c} IS NOT NULL GROUP BY 1) k USING (bin)""")
+    return f"""WITH vals AS (
+  {vals}),
+nu AS (SELECT column_name, count(DISTINCT value) AS n_unique FROM vals GROUP BY column_name)
 SELECT column_name, CAST(n_unique AS BIGINT) AS n_unique, kind, value, lo, hi,
        CAST(count AS BIGINT) AS count
-FROM (SELECT * FROM small UNION ALL SELECT * FROM binned)
-""")
+FROM ({" UNION ALL ".join(parts)})"""
+
+
+@register("overview", _overview_sql(
+    "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    ["p_partkey", "p_size", "p_retailprice"]))
 def overview(spark, sf_dir):
-    # part: p_type has few values (value counts), p_size (50 values) is binned,
-    # the rest have too many distinct values to expand
     return profile.overview(read_table(spark, sf_dir, "part"), thresh=10)
 
 
+@register("overview_events", _overview_sql(
+    "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    ["event_id", "user_id", "value"]))
+def overview_events(spark, sf_dir):
+    # user_id has exactly 150 distinct values at sf0.01: not binned (< 150)
+    return profile.overview(read_table(spark, sf_dir, "events"), thresh=10)
+
+
 # ------------------------------------------------------------- outliers
 
 _IQR_COLS = ["l_extendedprice", "l_quantity", "l_tax"]

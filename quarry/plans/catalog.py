@@ -243,11 +243,8 @@ def missing_by_column(spark, sf_dir):
 
 @register("missing_summary", "WITH " + GAPPY_LINEITEM_SQL + """
 SELECT CAST(11 AS BIGINT) AS n_columns,
-       CAST((count_if(l_quantity IS NULL) > 0)::INT + (count_if(l_discount IS NULL) > 0)::INT
-          + (count_if(l_tax IS NULL) > 0)::INT + (count_if(l_returnflag IS NULL) > 0)::INT
-          + (count_if(l_linestatus IS NULL) > 0)::INT + (count_if(l_shipdate IS NULL) > 0)::INT
-          + (count_if(l_orderkey IS NULL) > 0)::INT + (count_if(l_extendedprice IS NULL) > 0)::INT
-          AS BIGINT) AS n_columns_with_missing
+       CAST(""" + " + ".join(f"(count_if({c} IS NULL) > 0)::INT" for c in GAPPY_COLS) + """
+            AS BIGINT) AS n_columns_with_missing
 FROM gappy
 """)
 def missing_summary(spark, sf_dir):

@@ -201,21 +201,81 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
     """
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-    from quarry.operators.joins import bounded_broadcast
-
     probs = list(probs)
     x = _clean(df, col)
     data = df.select(F.col(by).alias("__g"), x.alias("__x")).filter(F.col("__x").isNotNull())
     sizes = data.groupBy("__g").agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("mn"),
                                     F.max("__x").alias("mx"))
     heavy = sizes.filter(F.col("n") > heavy_rows).collect()   # at most rows/heavy_rows groups
-    heavy_keys = [r["__g"] for r in heavy]
-    light = (data.filter(~F.col("__g").isin(heavy_keys)) if heavy_keys else data)
-    light_q = _light_group_quantiles(light, probs).withColumnRenamed("__g", by)
     if not heavy:
-        return light_q
+        return _light_group_quantiles(data, probs).withColumnRenamed("__g", by)
+    if len(heavy) <= 1000:
+        light = data.filter(~F.col("__g").isin([r["__g"] for r in heavy]))
+    else:
+        light = data.join(sizes.filter(F.col("n") > heavy_rows).select("__g"), "__g", "left_anti")
+    light_q = _light_group_quantiles(light, probs).withColumnRenamed("__g", by)
     gtype = df.schema[by].dataType
-    # targets per heavy group
+    spark = df.sparkSession
+    bschema = StructType([StructField("__g", gtype), StructField("bid", LongType()),
+                          StructField("lo", DoubleType()), StructField("hi", DoubleType())])
+    # heavy groups in batches: each level collects at most about
+    # HIST_ROWS_MAX histogram rows (groups x ranks x bins)
+    per_group = 2 * len(probs) * bins
+    batch = max(1, HIST_ROWS_MAX // per_group)
+    result: dict[tuple, float] = {}
+    for i in range(0, len(heavy), batch):
+        result.update(_select_heavy(spark, data, heavy[i:i + batch], probs, bins, collect_max,
+                                    bschema))
+    heavy_rows_out = []
+    for r in heavy:
+        n, qs = r["n"], []
+        for p in probs:
+            pos = p * (n - 1)
+            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
+            a, b = result[(r["__g"], lo_r)], result[(r["__g"], hi_r)]
+            qs.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
+        heavy_rows_out.append((r["__g"], n, *qs))
+    hschema = StructType([StructField(by, gtype), StructField("n", LongType())]
+                         + [StructField(f"q{i}", DoubleType()) for i in range(len(probs))])
+    return light_q.unionByName(spark.createDataFrame(heavy_rows_out, hschema))
+
+
+def _light_group_quantiles(data: DataFrame, probs: list[float]) -> DataFrame:
+    """Quantiles of ``__x`` per ``__g`` for groups of bounded size: rank
+    within the group (the window and the following aggregate share one
+    shuffle on ``__g``), keep the ranks around each quantile, interpolate
+    ``a + (b - a) * t`` exactly as the selection path does."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("__g").orderBy("__x")
+    ranked = (data.withColumn("__rn", F.row_number().over(w) - 1)
+              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__g"))))
+    n1 = (F.col("__n") - 1).cast("double")
+    pos = [F.lit(float(p)) * n1 for p in probs]
+    keep = None
+    for ps in pos:
+        k = (F.col("__rn") == F.floor(ps)) | (F.col("__rn") == F.ceil(ps))
+        keep = k if keep is None else keep | k
+    aggs = [F.max("__n").alias("n")]
+    for i, ps in enumerate(pos):
+        aggs += [F.max(F.when(F.col("__rn") == F.floor(ps), F.col("__x"))).alias(f"__a{i}"),
+                 F.max(F.when(F.col("__rn") == F.ceil(ps), F.col("__x"))).alias(f"__b{i}"),
+                 F.max(ps - F.floor(ps)).alias(f"__t{i}")]
+    g = ranked.filter(keep).groupBy("__g").agg(*aggs)
+    outs = []
+    for i in range(len(probs)):
+        a, b, t = F.col(f"__a{i}"), F.col(f"__b{i}"), F.col(f"__t{i}")
+        outs.append(F.when(t == 0, a).otherwise(a + (b - a) * t).alias(f"q{i}"))
+    return g.select("__g", "n", *outs)
+
+
+HIST_ROWS_MAX = 2_000_000
+
+
+def _select_heavy(spark, data: DataFrame, heavy: list, probs: list[float], bins: int,
+                  collect_max: int, bschema) -> dict:
+    """Order statistics around ``probs`` for a batch of heavy groups."""
+    from quarry.operators.joins import bounded_broadcast
+
     result: dict[tuple, float] = {}
     open_t: dict[tuple, list] = {}
     for r in heavy:
@@ -227,9 +287,6 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
                     result[(r["__g"], rank)] = r["mn"]
                 else:
                     open_t[(r["__g"], rank)] = [r["mn"], r["mx"], 0]
-    bschema = StructType([StructField("__g", gtype), StructField("bid", LongType()),
-                          StructField("lo", DoubleType()), StructField("hi", DoubleType())])
-    spark = df.sparkSession
     for _level in range(_MAX_LEVELS):
         if not open_t:
             break
@@ -279,43 +336,4 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
                 del open_t[(g, rank)]
     if open_t:
         raise RuntimeError("grouped quantile selection did not converge")
-    heavy_rows_out = []
-    for r in heavy:
-        n, qs = r["n"], []
-        for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
-            a, b = result[(r["__g"], lo_r)], result[(r["__g"], hi_r)]
-            qs.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
-        heavy_rows_out.append((r["__g"], n, *qs))
-    hschema = StructType([StructField(by, gtype), StructField("n", LongType())]
-                         + [StructField(f"q{i}", DoubleType()) for i in range(len(probs))])
-    return light_q.unionByName(spark.createDataFrame(heavy_rows_out, hschema))
-
-
-def _light_group_quantiles(data: DataFrame, probs: list[float]) -> DataFrame:
-    """Quantiles of ``__x`` per ``__g`` for groups of bounded size: rank
-    within the group (the window and the following aggregate share one
-    shuffle on ``__g``), keep the ranks around each quantile, interpolate
-    ``a + (b - a) * t`` exactly as the selection path does."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("__g").orderBy("__x")
-    ranked = (data.withColumn("__rn", F.row_number().over(w) - 1)
-              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__g"))))
-    n1 = (F.col("__n") - 1).cast("double")
-    pos = [F.lit(float(p)) * n1 for p in probs]
-    keep = None
-    for ps in pos:
-        k = (F.col("__rn") == F.floor(ps)) | (F.col("__rn") == F.ceil(ps))
-        keep = k if keep is None else keep | k
-    aggs = [F.max("__n").alias("n")]
-    for i, ps in enumerate(pos):
-        aggs += [F.max(F.when(F.col("__rn") == F.floor(ps), F.col("__x"))).alias(f"__a{i}"),
-                 F.max(F.when(F.col("__rn") == F.ceil(ps), F.col("__x"))).alias(f"__b{i}"),
-                 F.max(ps - F.floor(ps)).alias(f"__t{i}")]
-    g = ranked.filter(keep).groupBy("__g").agg(*aggs)
-    outs = []
-    for i in range(len(probs)):
-        a, b, t = F.col(f"__a{i}"), F.col(f"__b{i}"), F.col(f"__t{i}")
-        outs.append(F.when(t == 0, a).otherwise(a + (b - a) * t).alias(f"q{i}"))
-    return g.select("__g", "n", *outs)
+    return result

@@ -111,3 +111,16 @@ def test_grouped_quantiles_heavy_and_light(spark):
         got = [out[g][f"q{i}"] for i in range(3)]
         assert np.allclose(got, want, rtol=1e-12), g
         assert out[g]["n"] == len(vals)
+
+
+def test_grouped_quantiles_in_batches(spark, monkeypatch):
+    import quarry.operators.quantiles as qmod
+    monkeypatch.setattr(qmod, "HIST_ROWS_MAX", 1)        # one heavy group per batch
+    rng = np.random.default_rng(5)
+    rows = [(f"g{i % 4}", float(v)) for i, v in enumerate(rng.normal(0, 1, 2000))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    out = {r["g"]: r for r in qmod.grouped_quantiles(df, "g", "x", [0.5], heavy_rows=10,
+                                                     bins=8, collect_max=20).collect()}
+    for g in ("g0", "g1", "g2", "g3"):
+        vals = np.array([v for gg, v in rows if gg == g])
+        assert out[g]["q0"] == pytest.approx(float(np.quantile(vals, 0.5)), rel=1e-12)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BINS = 1024
 DEFAULT_COLLECT_MAX = 20_000
+FETCH_BUDGET = 200_000      # values fetched per round, all brackets together
 _MAX_LEVELS = 80
 
 
@@ -51,7 +52,11 @@ def order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]]
                 result[(c, r)] = mn
             else:
                 open_t[(c, r)] = [mn, mx, 0]
-    # a column with at most collect_max values is fetched at once
+    # per-bracket fetch size, so that one round fetches at most FETCH_BUDGET
+    # values whatever the number of columns and quantiles
+    n_brackets = max(1, len({(c, lo, hi) for (c, _r), (lo, hi, _b) in open_t.items()}))
+    collect_max = min(collect_max, max(1000, FETCH_BUDGET // n_brackets))
+    # a column with at most that many values is fetched at once
     first_fetch = {t: v for t, v in open_t.items() if stats[t[0]][0] <= collect_max}
     levels = 0
     while open_t:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import label_concat, map_lookup, recode
 from quarry.operators import clean, columns, profile
 from quarry.plans.acquire import latest_orders_wide
+from quarry.plans.wrangle import NATION_NAMES
 from quarry.sources.sql import run_sql
 from quarry.sources.tables import read_table, register_views
 
@@ -127,9 +128,6 @@ def latest_max_date(spark, sf_dir):
 
 # ------------------------------------------------------- columns, filters
 
-SEGMENTS = ["BUILDING", "AUTOMOBILE", "MACHINERY"]
-
-
 @register("single_category_filter", "WITH " + GAPPY_LINEITEM_SQL + """
 SELECT l_orderkey, l_linenumber, l_returnflag, unit
 FROM (SELECT *, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_linenumber END AS unit FROM gappy)
@@ -170,10 +168,6 @@ def fill_constant(spark, sf_dir):
     return columns.fill_constant(df, {"l_discount": 0, "l_quantity": 1})
 
 
-# The code -> name dictionary used by the recode queries.
-NATION_NAMES = {0: "ALGERIA", 1: "ARGENTINA", 2: "BRAZIL"}
-
-
 @register("recode_map", """
 SELECT c_custkey, c_nationkey,
        COALESCE(CASE c_nationkey WHEN 0 THEN 'ALGERIA' WHEN 1 THEN 'ARGENTINA'

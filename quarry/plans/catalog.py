@@ -112,6 +112,40 @@ def acquire_sql(spark, sf_dir):
     return run_sql(spark, ACQUIRE_TIES_SQL)
 
 
+# bump when a snapshotted query changes, so an old snapshot is not read back
+SNAPSHOT_VERSION = 1
+
+
+def _scratch_path(spark, kind: str, sf_dir: str) -> str:
+    """A folder under the cluster's checkpoint directory, keyed by input."""
+    import hashlib
+    from quarry.session import checkpoint_dir
+    tag = hashlib.md5(f"{SNAPSHOT_VERSION}:{sf_dir}".encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/quarry-{kind}/{tag}"
+
+
+@register("acquire_snapshot", ACQUIRE_TIES_SQL)
+def acquire_snapshot(spark, sf_dir):
+    # read-through snapshot: built and written once per input, then read back
+    from quarry.sources.files import snapshot
+    return snapshot(spark, _scratch_path(spark, "snapshots", sf_dir) + "/acquire_2001",
+                    lambda: latest_orders_wide(spark, sf_dir, 2001, ties="keep"))
+
+
+@register("csv_roundtrip", "SELECT * FROM customer")
+def csv_roundtrip(spark, sf_dir):
+    # written as CSV with a leading row-label column (as pandas does), read
+    # back with the declared schema and the label column dropped
+    import uuid
+    from quarry.sources.files import read_csv, write_csv
+    cust = read_table(spark, sf_dir, "customer")
+    path = _scratch_path(spark, "csv", sf_dir) + f"/customer-{uuid.uuid4().hex}"
+    write_csv(cust.select(F.col("c_custkey").alias("row_label"), *cust.columns), path)
+    from pyspark.sql.types import LongType, StructField, StructType
+    schema = StructType([StructField("row_label", LongType())] + cust.schema.fields)
+    return read_csv(spark, path, schema=schema, index_col=True)
+
+
 @register("sql_query", "SELECT * FROM customer")
 def sql_query(spark, sf_dir):
     register_views(spark, sf_dir, ["customer"])

@@ -79,6 +79,31 @@ def assign_nearest(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "cluster", F.bround("dist2", 9).alias("dist2"))
 
 
+@register("stream_assign_nearest", "WITH " + _PTS_SQL + """
+SELECT l_orderkey, l_linenumber, cluster, round_even(least(d0, d1, d2), 9) AS dist2
+FROM """ + _assign_sql("pts", "c0", 3, 2))
+def stream_assign_nearest(spark, sf_dir):
+    # scaler and centres fitted on the table; the rows then arrive through a
+    # Structured Streaming source and are scored micro-batch by micro-batch
+    # into a parquet sink (exactly-once via the checkpoint), read back here
+    import uuid
+    from quarry.plans.catalog import _scratch_path
+    from quarry.sources.tables import stream_table
+    from quarry.streaming.scoring import start_scoring
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
+                                                      "l_returnflag", *_FEATS)
+    stats = fit_scaler(li, _FEATS, "minmax")
+    centers = first_row_centers(apply_scaler(li, stats), "l_returnflag",
+                                ["l_orderkey", "l_linenumber"], _FEATS)
+    base = _scratch_path(spark, "streams", sf_dir) + f"/{uuid.uuid4().hex}"
+    stream = stream_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_FEATS)
+    q = start_scoring(stream, stats, centers, base + "/out", base + "/checkpoint",
+                      available_now=True)
+    q.awaitTermination()
+    out = spark.read.parquet(base + "/out")
+    return out.select("l_orderkey", "l_linenumber", "cluster", F.bround("dist2", 9).alias("dist2"))
+
+
 @register("inertia_fixed_centers", "WITH " + _PTS_SQL + """
 SELECT round_even(sum(least(d0, d1, d2)), 6) AS inertia FROM """ + _assign_sql("pts", "c0", 3, 2))
 def inertia_fixed_centers(spark, sf_dir):

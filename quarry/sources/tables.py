@@ -22,3 +22,13 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register tables as temp views so ``spark.sql`` text can name them."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a Structured Streaming file source (schema taken from
+    the batch table; a glob over the file with ``basePath`` lets the stream
+    source read a single-file table)."""
+    path = table_path(sf_dir, name)
+    schema = spark.read.parquet(path).schema
+    return (spark.readStream.schema(schema).option("basePath", sf_dir.rstrip("/"))
+            .parquet(path[:-1] + "[" + path[-1] + "]"))

@@ -78,7 +78,11 @@ def _thresholds(df: DataFrame, h: Column, k: Column, positions: list[int]) -> di
                       .collect()):
                 rows[r["p"]].append((r["h"], r["k"]))
             for pos, (p, cum) in fetch.items():
-                found[pos] = sorted(rows[p])[pos - cum]
+                ordered = sorted(rows[p])
+                i = pos - cum
+                if i > 0 and ordered[i] == ordered[i - 1]:
+                    raise ValueError("split key is not unique: duplicate rows straddle a cut")
+                found[pos] = ordered[i]
         open_p = nxt
     return found
 
@@ -105,6 +109,8 @@ def three_way_split(df: DataFrame, key, test_size: float = 0.2, validate_size: f
     if n <= FETCH_MAX:
         # a frame of at most FETCH_MAX rows is ordered on the driver in one job
         small = sorted((r["h"], r["k"]) for r in df.select(h.alias("h"), k.alias("k")).collect())
+        if any(small[p] == small[p - 1] for p in cuts):
+            raise ValueError("split key is not unique: duplicate rows straddle a cut")
         found = {p: small[p] for p in cuts}
     else:
         found = _thresholds(df, h, k, cuts)

@@ -124,3 +124,10 @@ def test_grouped_quantiles_in_batches(spark, monkeypatch):
     for g in ("g0", "g1", "g2", "g3"):
         vals = np.array([v for gg, v in rows if gg == g])
         assert out[g]["q0"] == pytest.approx(float(np.quantile(vals, 0.5)), rel=1e-12)
+
+
+def test_split_rejects_duplicates_across_a_cut(spark):
+    # every key twice: some pair must straddle one of the cuts of 20 rows
+    df = spark.createDataFrame([(i // 2,) for i in range(20)], "k long")
+    with pytest.raises(ValueError):
+        split.three_way_split(df, "k").collect()

@@ -249,3 +249,17 @@ def univariate_panel(df: DataFrame, cols: list[str] | None = None, bins: int = 1
     for k in kdes[1:]:
         kde = kde.unionByName(k)
     return {"box": box_stats(df, cols), "hist": histogram(df, cols, bins), "kde": kde}
+
+
+def outlier_sample(df: DataFrame, col: str, key, n: int = 50, whis: float = 1.5,
+                   seed: int = 0) -> DataFrame:
+    """Up to ``n`` of the points beyond the box-plot fences (the dots of a
+    box plot), chosen in hash order; the number of outliers is in
+    ``box_stats``. Exact fences, then a per-task top-n: no full sort."""
+    from quarry.operators.split import sample_n
+    q1, q3 = exact_quantiles(df, [col], [0.25, 0.75])[col]
+    if q1 is None:
+        return df.limit(0)
+    lo, hi = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
+    x = F.col(col).cast("double")
+    return sample_n(df.filter((x < F.lit(lo)) | (x > F.lit(hi))), n, key, seed)

@@ -464,3 +464,15 @@ def sample_per_flag(spark, sf_dir):
     # every flag holds about a third of lineitem: the hot-group path
     li = read_table(spark, sf_dir, "lineitem").select(*LI_KEY, "l_returnflag", "l_extendedprice")
     return split.stratified_sample(li, "l_returnflag", 20, LI_KEY, seed=7)
+
+
+@register("outlier_sample", """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT event_id, value FROM events, q
+WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)
+ORDER BY md5('0:' || CAST(event_id AS VARCHAR)), CAST(event_id AS VARCHAR)
+LIMIT 20
+""")
+def outlier_sample_q(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "value")
+    return plotdata.outlier_sample(ev, "value", "event_id", n=20)

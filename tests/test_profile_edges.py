@@ -154,3 +154,13 @@ def test_overview_sorted(spark):
     counts = [r["count"] for r in profile.overview(part, sort="count").collect()
               if r["column_name"] == "p_type"]
     assert counts == sorted(counts, reverse=True)
+
+
+def test_statistics_on_all_missing_column(spark):
+    from quarry.operators import plotdata
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, float("nan"))], "a double, b double")
+    d = {r["column_name"]: r for r in profile.describe(df).collect()}
+    assert d["b"]["count"] == 0 and d["b"]["q50"] is None and d["a"]["q50"] == 2.0
+    b = {r["column_name"]: r for r in plotdata.box_stats(df, ["a", "b"]).collect()}
+    assert b["b"]["median"] is None and b["b"]["n_outliers"] == 0
+    assert profile.binned_counts(df, ["b"]).count() == 0

@@ -99,7 +99,9 @@ def stream_assign_nearest(spark, sf_dir):
     stream = stream_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_FEATS)
     q = start_scoring(stream, stats, centers, base + "/out", base + "/checkpoint",
                       available_now=True)
-    q.awaitTermination()
+    if not q.awaitTermination(1800):           # availableNow ends by itself; never hang
+        q.stop()
+        raise TimeoutError("streaming scoring did not finish")
     out = spark.read.parquet(base + "/out")
     return out.select("l_orderkey", "l_linenumber", "cluster", F.bround("dist2", 9).alias("dist2"))
 

@@ -49,7 +49,7 @@ def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_MAX_ROWS) -> DataFrame:
 
 
 def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
-                   tiebreak: str | None = None) -> DataFrame:
+                   tiebreak: str | None = None, hot_key_rows: int | None = None) -> DataFrame:
     """Rows of ``tx`` carrying the latest ``date_col`` of their ``key``.
 
     ``ties='keep'``: every row tied on the maximum date is kept (the inner
@@ -57,8 +57,16 @@ def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
     among ties the one with the smallest numeric ``tiebreak``; computed as a
     single ``max(struct(date, -tiebreak, row))`` aggregate (partial
     aggregation, no join).
+
+    ``hot_key_rows`` (``ties='keep'``): keys with more rows than this are
+    split off. Their maxima (at most ``rows / hot_key_rows`` of them) are
+    broadcast and joined to their rows without a shuffle. Only the other
+    rows take the shuffle join. By default a hot key is left to AQE's
+    skew-join split.
     """
     if ties == "keep":
+        if hot_key_rows is not None:
+            return _latest_split_hot(tx, key, date_col, hot_key_rows)
         maxes = tx.groupBy(key).agg(F.max(date_col).alias("__max_date"))
         joined = tx.join(maxes, on=key, how="inner")
         return joined.filter(F.col(date_col) == F.col("__max_date")).drop("__max_date")
@@ -73,6 +81,24 @@ def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
     raise ValueError(f"ties must be 'keep' or 'first', got {ties!r}")
 
 
+def _latest_split_hot(tx: DataFrame, key: str, date_col: str, hot_key_rows: int) -> DataFrame:
+    maxes = tx.groupBy(key).agg(F.max(date_col).alias("__max_date"),
+                                F.count(F.lit(1)).alias("__n"))
+    hot = maxes.filter(F.col("__n") > hot_key_rows).select(key, "__max_date").collect()
+    if not hot:
+        joined = tx.join(maxes.drop("__n"), on=key, how="inner")
+        return joined.filter(F.col(date_col) == F.col("__max_date")).drop("__max_date")
+    hot_keys = [r[key] for r in hot]
+    hot_tab = F.broadcast(tx.sparkSession.createDataFrame(
+        hot, maxes.select(key, "__max_date").schema))
+    hot_part = (tx.filter(F.col(key).isin(hot_keys)).join(hot_tab, on=key, how="inner")
+                .filter(F.col(date_col) == F.col("__max_date")))
+    cold_max = maxes.filter(F.col("__n") <= hot_key_rows).drop("__n")
+    cold_part = (tx.filter(~F.col(key).isin(hot_keys)).join(cold_max, on=key, how="inner")
+                 .filter(F.col(date_col) == F.col("__max_date")))
+    return hot_part.unionByName(cold_part).drop("__max_date")
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A left-outer dimension lookup: ``left_key`` of the fact side matches

@@ -20,7 +20,7 @@ ORDER_COLS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_o
 
 
 def latest_orders_wide(spark: SparkSession, sf_dir: str, year: int = 2001, ties: str = "keep",
-                       with_region: bool = True) -> DataFrame:
+                       with_region: bool = True, hot_key_rows: int | None = None) -> DataFrame:
     """Customers with their latest order (over all years), kept only when
     that order falls in ``year``; nation (and region) names attached.
 
@@ -30,7 +30,8 @@ def latest_orders_wide(spark: SparkSession, sf_dir: str, year: int = 2001, ties:
     """
     customers = read_table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", *ORDER_COLS)
-    latest = latest_per_key(orders, "o_custkey", "o_orderdate", ties=ties, tiebreak="o_orderkey")
+    latest = latest_per_key(orders, "o_custkey", "o_orderdate", ties=ties, tiebreak="o_orderkey",
+                            hot_key_rows=hot_key_rows if ties == "keep" else None)
     wide = (customers.join(latest, customers["c_custkey"] == latest["o_custkey"], "inner")
             .drop("o_custkey"))
     lookups = [Lookup(read_table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey",

@@ -105,6 +105,13 @@ def acquire_latest_first(spark, sf_dir):
     return latest_orders_wide(spark, sf_dir, 2001, ties="first")
 
 
+@register("acquire_hot_split", ACQUIRE_TIES_SQL)
+def acquire_hot_split(spark, sf_dir):
+    # customers with more than 14 orders take the broadcast (no-shuffle) path
+    # of the latest-order join, the others the shuffle join; same result
+    return latest_orders_wide(spark, sf_dir, 2001, ties="keep", hot_key_rows=14)
+
+
 @register("acquire_sql", ACQUIRE_TIES_SQL)
 def acquire_sql(spark, sf_dir):
     # the acquire query as SQL text, planned by Catalyst over temp views

@@ -58,3 +58,18 @@ def test_split_with_hot_key_is_exact(spark, skewed):
     s = split.three_way_split(skewed, "id")
     got = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
     assert (got["train"], got["validate"], got["test"]) == split.split_sizes(6000)
+
+
+def test_latest_per_key_hot_key_split(spark, skewed):
+    tx = skewed.select("id", "k", "d")
+    plain = sorted(r["id"] for r in joins.latest_per_key(tx, "k", "d").collect())
+    split_hot = joins.latest_per_key(tx, "k", "d", hot_key_rows=100)
+    assert sorted(r["id"] for r in split_hot.collect()) == plain
+    assert split_hot.columns == ["k", "id", "d"] or set(split_hot.columns) == {"k", "id", "d"}
+    # the hot key's rows join against a broadcast table
+    import io
+    from contextlib import redirect_stdout
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        split_hot.explain()
+    assert "BroadcastHashJoin" in buf.getvalue()

@@ -131,3 +131,13 @@ def test_split_rejects_duplicates_across_a_cut(spark):
     df = spark.createDataFrame([(i // 2,) for i in range(20)], "k long")
     with pytest.raises(ValueError):
         split.three_way_split(df, "k").collect()
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "k long, g string, x double")
+    assert split.three_way_split(empty, "k").count() == 0
+    assert split.sample_n(empty, 5, "k").count() == 0
+    assert split.stratified_sample(empty, "g", 3, "k").count() == 0
+    assert exact_quantiles(empty, ["x"], [0.5])["x"] == [None]
+    from quarry.operators.quantiles import grouped_quantiles
+    assert grouped_quantiles(empty, "g", "x", [0.5]).count() == 0

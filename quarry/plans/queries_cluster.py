@@ -115,15 +115,19 @@ def inertia_fixed_centers(spark, sf_dir):
             .agg(F.bround(F.sum("dist2"), 6).alias("inertia")))
 
 
-def _lloyd_sql(k: int, dims: int, iters: int) -> str:
-    ctes = [_PTS_SQL]
+def _lloyd_sql(k: int, dims: int, iters: int, pts_sql: str = _PTS_SQL,
+               final: str | None = None) -> str:
+    """Unrolled Lloyd iterations as a CTE chain over ``pts(f0..)`` from start
+    centres ``c0``; ``final`` is the closing SELECT over ``c<iters>``."""
+    ctes = [pts_sql]
     for t in range(1, iters + 1):
         feats = ", ".join(f"avg(f{i}) AS f{i}" for i in range(dims))
         ctes.append(f"a{t} AS {_assign_sql('pts', f'c{t - 1}', k, dims)}")
         ctes.append(f"""c{t} AS (SELECT cluster, {feats} FROM a{t} GROUP BY cluster
   UNION ALL SELECT * FROM c{t - 1} WHERE cluster NOT IN (SELECT cluster FROM a{t}))""")
     rounded = ", ".join(f"round_even(f{i}, 6) AS f{i}" for i in range(dims))
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT cluster, {rounded} FROM c{iters}"
+    tail = final or f"SELECT cluster, {rounded} FROM c{iters}"
+    return "WITH " + ",\n".join(ctes) + "\n" + tail
 
 
 @register("lloyd_fixed_start", _lloyd_sql(3, 2, 4))
@@ -253,3 +257,42 @@ def cluster_labels(spark, sf_dir):
     model = cluster.fit_kmeans(emb, "embedding", 3, seed=123)
     return (cluster.predict(model, emb, "embedding")
             .select("vec_id", "label", label_concat("cluster", F.col("cluster")).alias("cluster")))
+
+
+_CUST_PTS_SQL = """
+feat AS (SELECT c.c_custkey, c.c_mktsegment, c.c_acctbal, COALESCE(s.total_spend, 0.0) AS total_spend
+         FROM customer c LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS total_spend
+                                    FROM orders GROUP BY o_custkey) s
+           ON s.o_custkey = c.c_custkey),
+st AS (SELECT min(c_acctbal) AS mna, max(c_acctbal) AS mxa,
+              min(total_spend) AS mns, max(total_spend) AS mxs FROM feat),
+pts AS (SELECT c_custkey, c_mktsegment, (c_acctbal - mna) / (mxa - mna) AS f0,
+               (total_spend - mns) / (mxs - mns) AS f1 FROM feat, st),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY c_mktsegment) - 1 AS INT) AS cluster, f0, f1
+       FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment
+                                          ORDER BY c_custkey, f0, f1) AS rn FROM pts)
+       WHERE rn = 1)"""
+
+
+@register("create_cluster_fixed_start", _lloyd_sql(5, 2, 4, _CUST_PTS_SQL, """
+SELECT 'cluster_' || CAST(cluster AS VARCHAR) AS cluster,
+       round_even(f0 * (st.mxa - st.mna) + st.mna, 4) AS c_acctbal,
+       round_even(f1 * (st.mxs - st.mns) + st.mns, 4) AS total_spend
+FROM c4, st"""))
+def create_cluster_fixed_start(spark, sf_dir):
+    # the create-cluster workflow (min-max scale -> k-means -> cluster_<i>
+    # labels -> unscaled centres) with Lloyd iterations from data-derived
+    # start centres (first customer of each market segment) instead of a
+    # seeded k-means|| start, so the result is deterministic and SQL-checkable
+    from quarry.operators.scale import inverse_values
+    feats = ["c_acctbal", "total_spend"]
+    df = customer_features(spark, sf_dir).join(
+        read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
+    stats = fit_scaler(df, feats, "minmax")
+    scaled = apply_scaler(df, stats)
+    init = first_row_centers(scaled, "c_mktsegment", ["c_custkey"], feats)
+    centers = inverse_values(stats, cluster.lloyd(scaled, feats, init, iterations=4))
+    out = cluster.centers_frame(spark, centers, feats)
+    return out.select(label_concat("cluster_", F.col("cluster")).alias("cluster"),
+                      F.bround("c_acctbal", 4).alias("c_acctbal"),
+                      F.bround("total_spend", 4).alias("total_spend"))

@@ -6,7 +6,7 @@ functions  column expressions (missing values, recodes, labels, dates)
 sources    parquet tables, SQL over views, JDBC, CSV, snapshots, blobs
 operators  DataFrame -> DataFrame operators (columns, joins, profile,
            quantiles, clean, split, scale, cluster, plotdata, stats)
-plans      workflows (acquire, wrangle), materialisation, registered queries
+plans      workflows (acquire, prepare), materialisation, registered queries
 streaming  fitted scalers and centres applied to Structured Streaming
 
 Every operator builds a lazy Spark plan; data-dependent steps run one small

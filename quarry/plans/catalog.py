@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import label_concat, map_lookup, recode
 from quarry.operators import clean, columns, profile
 from quarry.plans.acquire import latest_orders_wide
-from quarry.plans.wrangle import NATION_NAMES
+from quarry.plans.workflow import NATION_NAMES
 from quarry.sources.sql import run_sql
 from quarry.sources.tables import read_table, register_views
 
@@ -505,4 +505,4 @@ def shape(spark, sf_dir):
 # the remaining registered queries live in sibling modules
 from quarry.plans import queries_explore  # noqa: E402,F401
 from quarry.plans import queries_cluster  # noqa: E402,F401
-from quarry.plans import queries_wrangle  # noqa: E402,F401
+from quarry.plans import queries_workflow  # noqa: E402,F401

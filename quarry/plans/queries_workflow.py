@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.catalog import ACQUIRE_TIES_SQL, register
 from quarry.plans.queries_explore import _iqr_chain_sql, _split_sql
-from quarry.plans.wrangle import wrangle_orders
+from quarry.plans.workflow import wrangle_orders
 
 _ctes, _last = _iqr_chain_sql(["o_totalprice", "total_qty", "c_acctbal"], "d")
 

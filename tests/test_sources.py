@@ -48,7 +48,7 @@ def test_snapshot_builds_once(spark):
 
 
 def test_jdbc_reader_arguments(spark):
-    assert sql.db_url("zillow", "db.example", port=3306) == "jdbc:mysql://db.example:3306/zillow"
+    assert sql.db_url("analytics", "db.example", port=3306) == "jdbc:mysql://db.example:3306/analytics"
     with pytest.raises(ValueError):
         sql.read_jdbc(spark, "jdbc:mysql://h/db", query="select 1", table="t")
 

@@ -59,3 +59,16 @@ def test_snapshot_rebuilds_incomplete_folder(spark):
     os.remove(os.path.join(path, "_SUCCESS"))            # as if the job died before commit
     out = files.snapshot(spark, path, lambda: tables.read_table(spark, SF001, "region"))
     assert out.count() == 5 and os.path.exists(os.path.join(path, "_SUCCESS"))
+
+
+def test_materialize_writes_under_checkpoint_dir(spark):
+    from quarry.plans.materialize import materialize
+    from quarry.session import checkpoint_dir
+    def norm(p):
+        return "/" + p.replace("file:", "").lstrip("/")
+
+    base = norm(checkpoint_dir(spark)).rstrip("/")
+    df = materialize(tables.read_table(spark, SF001, "region"), "region_copy")
+    paths = df.inputFiles()
+    assert df.count() == 5 and paths
+    assert all(norm(p).startswith(base + "/quarry-tables/region_copy-") for p in paths)

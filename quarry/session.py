@@ -9,6 +9,7 @@ creates a scratch one when the setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,8 +63,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the
-    cluster names one; otherwise (tests) makes a fresh local scratch folder.
+    This is the folder that the cluster names in ``spark.checkpoint.dir``. A
+    session on a cluster must name one: a folder made here would be on one
+    machine only. Only a local master, as in tests, gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

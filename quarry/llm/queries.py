@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import packing, token_counts, token_files
+from quarry.llm import mixing, oracles, packing, token_counts, token_files
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -17,6 +17,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(manifest)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "op8")))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op9")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"),
@@ -27,5 +31,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
 
 
-QUERIES = {f.__name__: f for f in (op6_token_files, op9_token_counts, op10_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
+ORACLE = {"op8_mixing": oracles.OP8}

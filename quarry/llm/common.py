@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +79,7 @@ def arrow_slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator
     n = batch.num_rows
     if not n:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i in range(n):
         if i > start and total + sizes[i] > max_bytes:

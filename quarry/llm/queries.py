@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language_id, mixing, oracles, packing, token_counts, token_files
+from quarry.llm import language_id, mixing, near_dedup, oracles, packing, token_counts, token_files
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -14,6 +14,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op6")
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), scratch.path("ids"),
@@ -35,5 +39,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_language_id, op4_near_dedup, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
 ORACLE = {"op8_mixing": oracles.OP8}

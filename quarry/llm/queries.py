@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language_id, mixing, near_dedup, oracles, packing, token_counts, token_files
+from quarry.llm import language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
 
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -39,5 +43,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op4_near_dedup, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op3_language_id, op4_near_dedup, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
 ORACLE = {"op8_mixing": oracles.OP8}

@@ -40,10 +40,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_slices, texts
+from quarry.llm.common import arrow_slices
 
 ORDER = 4
 TRAIN_DOCS = 256
@@ -177,17 +178,18 @@ def training_sample(docs: DataFrame, may_train: Column, train_docs: int = TRAIN_
     return out
 
 
-def predict(docs: DataFrame, trees: ContextTrees | None) -> DataFrame:
-    """(other columns of ``docs`` than ``text``, lang_pred, score)."""
-    keys = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + ["lang_pred string", "score double"])
+def predict(docs: DataFrame, trees: ContextTrees | None, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs`` with (_lang, _score) of its ``text``."""
+    docs = docs.select(*columns, F.col("text").alias("_text"))
+    keys = [f for f in docs.schema.fields if f.name in columns]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + ["_lang string", "_score double"])
     model = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
         for batch in batches:
-            for part in arrow_slices(batch, "text", SLICE):
-                values = part.column("text").cast(pa.large_string())
+            for part in arrow_slices(batch, "_text", SLICE):
+                values = pc.fill_null(part.column("_text"), "").cast(pa.large_string())
                 offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
                 held = values.buffers()[2]
                 data = np.frombuffer(held, np.uint8)[offsets[0]:offsets[-1]] if held and len(values) else np.empty(0, np.uint8)
@@ -201,17 +203,26 @@ def predict(docs: DataFrame, trees: ContextTrees | None) -> DataFrame:
                     label = [trees.labels[b] if k else "und" for b, k in zip(best, lettered, strict=True)]
                     score = np.where(lettered, score, 0.0)
                 columns = [part.column(f.name) for f in keys] + [pa.array(label, pa.string()), pa.array(score, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in keys] + ["lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in keys] + ["_lang", "_score"])
 
     return docs.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES,
-             min_count: int = MIN_COUNT, max_nodes: int = MAX_NODES) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score), trained on the labelled documents
-    that are not held out."""
-    rows = texts(docs)
+def trained(docs: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES,
+            min_count: int = MIN_COUNT, max_nodes: int = MAX_NODES) -> ContextTrees | None:
+    """Models of the labelled documents that are not held out."""
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang"), F.col("text"))
     samples = training_sample(labelled, ~held_out(F.col("doc_id")), train_docs, train_bytes)
-    trees = fit(samples, order, min_count, max_nodes) if samples else None
-    return predict(rows, trees).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return fit(samples, order, min_count, max_nodes) if samples else None
+
+
+def identify(docs: DataFrame, **settings) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score), trained on the labelled documents
+    that are not held out."""
+    out = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), trained(docs, **settings), ["doc_id"])
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def with_language(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` without the documents that are ``und``."""
+    return predict(docs, trained(docs, **settings), docs.columns).where(F.col("_lang") != "und").select(*docs.columns)

@@ -52,7 +52,7 @@ CHUNK = 4096
 
 @dataclass
 class Mix:
-    """``documents``: (doc_id, source, size, s, source_size, target, words,
+    """``documents``: (doc_id, source, size, s, source_size, target, words, row,
     off), one row per document. ``pieces``: (slot, s, off, pass, words), the
     words that a slot takes of the document at ``off`` of source ``s`` in the
     given pass over the stream."""
@@ -130,10 +130,12 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
-        block: int = BLOCK, seed: int = 0, prefix_digits: int = 3) -> Mix:
+        block: int = BLOCK, seed: int = 0, prefix_digits: int = 3, row: Column | None = None) -> Mix:
+    """``row`` may name the rows of ``docs``; ``documents`` then has it."""
     sized = scratch.write(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count("text").alias("size"),
-        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))).alias("key")), "sized")
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))).alias("key"),
+        (F.lit(None).cast("long") if row is None else row).alias("row")), "sized")
     sources = scratch.write(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
                             .withColumn("words", F.floor("target")), "sources")
     named = (sized.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -143,7 +145,7 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.5,
     before = named.groupBy("s", "prefix").agg(F.sum("size").alias("n")).select("s", "prefix", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("before"))
     documents = (named.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
                  .join(before, ["s", "prefix"])
-                 .select("doc_id", "source", "size", "s", "source_size", "target", "words", (F.col("inner") + F.col("before")).alias("off")))
+                 .select("doc_id", "source", "size", "s", "source_size", "target", "words", "row", (F.col("inner") + F.col("before")).alias("off")))
     documents = scratch.write(documents, "documents")
     passes = (documents.where("size > 0 and off < words")
               .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - 1 - F.col("off")) / F.col("source_size")))))
@@ -164,18 +166,20 @@ def taken(mixed: Mix) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
-def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
+def mixed_documents(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
     """The rows of the mix with the columns of ``docs``: a document once per
     pass that takes words of it; where a pass takes only its first words (at
     the target's end), those words joined by spaces. ``n_chars`` follows the
-    text. ``doc_id`` is to be the rows' key."""
-    d = mixed.documents
+    text. The rows are numbered and written first, so that rows that share an
+    id, or have none, are told apart."""
+    rows = scratch.write(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    mixed = mix(rows, scratch, row=F.col("_row"), **settings)
     sums = mixed.pieces.groupBy("s", "off", "pass").agg(F.sum("words").alias("_words"))
-    found = (sums.join(d.where("size > 0").select("s", "off", F.col("doc_id").alias("_id"), F.col("size").alias("_size")), ["s", "off"])
-             .select("_id", "_size", "_words"))
+    found = (sums.join(mixed.documents.where("size > 0").select("s", "off", F.col("row").alias("_found"), F.col("size").alias("_size")), ["s", "off"])
+             .select("_found", "_size", "_words"))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
-    joined = docs.join(found, docs["doc_id"] == found["_id"])
-    cut = joined.withColumn("text", F.when(F.col("_words") < F.col("_size"), first).otherwise(F.col("text")))
+    cut = (rows.join(found.hint("shuffle_hash"), F.col("_row") == F.col("_found"))
+           .withColumn("text", F.when(F.col("_words") < F.col("_size"), first).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)

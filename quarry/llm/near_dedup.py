@@ -177,3 +177,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, thres
     found = F.coalesce("component", "doc_id")
     return (sketch.drop("bands").join(grouped, on, "left")
             .select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept")))
+
+
+def first_of_each(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
+    """``docs`` without the documents that are not the first of their group.
+    Rows that share an id are one document; rows with a null id stay."""
+    gone = near_duplicates(docs, scratch, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone.distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -107,3 +107,5 @@ def test_edges(spark):
     assert li.identify(docs.limit(0)).collect() == []
     unlabelled = docs.withColumn("lang", docs.lang.substr(0, 0)).selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r.lang_pred for r in li.identify(unlabelled).collect()} == {"und"}
+    assert sorted(r.doc_id or -1 for r in li.with_language(docs).collect()) == sorted(d or -1 for d, p in got if p != "und")
+    assert li.with_language(docs).columns == docs.columns

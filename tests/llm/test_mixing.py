@@ -84,12 +84,15 @@ def test_schedule_is_even(spark):
 
 def test_rows_of_the_mix(spark):
     docs = spark.createDataFrame([(i, f"t{i} " * (i % 7), "ab"[i % 3 == 0], 0) for i in range(60)], "doc_id long, text string, source string, n_chars long")
-    mixed = mixing.mix(docs, Scratch(spark, "t8"), block=8)
-    out = mixing.mixed_documents(docs, mixed)
+    docs = docs.union(spark.createDataFrame([(None, "no id", "a", 0), (5, "same id", None, 0)], docs.schema))
+    mixed = mixing.mix(docs.where("doc_id is not null and text <> 'same id'"), Scratch(spark, "t8"), block=8)
+    out = mixing.mixed_documents(docs.where("doc_id is not null and text <> 'same id'"), Scratch(spark, "t8"), block=8)
     assert out.columns == docs.columns
     got = {r.doc_id: r.n for r in out.groupBy("doc_id").agg(F.sum(mixing.word_count("text")).alias("n")).collect()}
     assert got == {r.doc_id: r.taken for r in mixing.taken(mixed).collect() if r.taken}
     assert all(r.n_chars == len(r.text) for r in out.collect())
+    every = mixing.mixed_documents(docs, Scratch(spark, "t8"), block=8, share=2.0)
+    assert sorted(r.text for r in every.where("doc_id is null or text = 'same id'").collect()) == ["no id"] * 2 + ["same id"] * 2
 
 
 def test_empty_tables(spark):

@@ -113,6 +113,8 @@ def token_counts(docs: DataFrame, model: str, cache: str, scratch: Scratch, limi
                          "digest").where(F.col("doc_id").eqNullSafe(F.col("_first"))).select("digest", "text")
     fresh = texts_of.mapInArrow(encode, "digest string, tokenizer string, n_tokens long")
     fresh.dropDuplicates(["digest"]).write.mode("append").parquet(cache)
-    counts = read().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Written first: a join with a plain table, unlike one with an aggregation
+    # on the same key, is split where a digest is very common.
+    counts = scratch.write(read().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     return (digests.join(counts, "digest")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

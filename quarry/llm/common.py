@@ -108,6 +108,6 @@ def atomic_file(uri: str):
     fs, path = open_fs(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
     part = f"{path}.{uuid.uuid4().hex}.part"
-    with fs.open_output_stream(part) as out:
+    with fs.open_output_stream(part, compression=None) as out:
         yield out
     fs.move(part, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files
+from quarry.llm import language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files, warc
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -22,6 +22,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op5")
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), scratch.path("warc"), scratch))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op6")
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), scratch.path("ids"),
@@ -43,5 +48,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op3_language_id, op4_near_dedup, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
 ORACLE = {"op8_mixing": oracles.OP8}

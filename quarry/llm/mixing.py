@@ -27,7 +27,8 @@ The mix is a schedule of slots, each one block of ``block`` words.
 
 Offsets in a stream are running sums within (source, hash prefix) plus those
 of the prefixes before, so a source with a third of all rows is spread over
-all prefixes.
+all prefixes. The schedule grows with the input, though it is made from the
+few sources' rows, so its join is told to shuffle and never broadcasts it.
 
 A null text has size 0; a document of size 0 takes part with ``taken`` 0. Rows
 that repeat a document are documents of their own. A null id is returned as
@@ -41,7 +42,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Scratch
+from quarry.llm.common import Scratch, shuffle_partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -116,7 +117,7 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
              .withColumn("low", place(F.col("upto") - F.col("blocks")))
              .withColumn("high", F.when(F.col("upto") == n, F.lit(points).cast("long")).otherwise(place(F.col("upto")))))
     chunks = (parts.where("high > low").withColumn("first", F.explode(F.sequence("low", F.col("high") - 1, F.lit(CHUNK).cast("long"))))
-              .repartition("s", "first")
+              .repartition(shuffle_partitions(sources.sparkSession), "s", "first")
               .withColumn("point", F.explode(F.sequence("first", F.least(F.col("first") + (CHUNK - 1), F.col("high") - 1)))))
     slots = chunks.withColumn("slot", _reversed(F.col("point"), bits)).where(F.col("slot") < n)
     rank = _points_below(F.col("slot"), F.col("point"), F.col("high"), bits) - _points_below(F.col("slot"), F.col("point"), F.col("low"), bits)
@@ -154,7 +155,7 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.5,
     cut = (passes.withColumn("rank", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))))
            .withColumn("taken", F.least("stop", (F.col("rank") + 1) * block) - F.greatest("start", F.col("rank") * block))
            .select("s", "rank", "off", "pass", "taken"))
-    pieces = cut.join(schedule(sources, block), ["s", "rank"]).select("slot", "s", "off", "pass", F.col("taken").alias("words"))
+    pieces = cut.join(schedule(sources, block).hint("shuffle_merge"), ["s", "rank"]).select("slot", "s", "off", "pass", F.col("taken").alias("words"))
     return Mix(documents, pieces)
 
 

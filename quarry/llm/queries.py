@@ -4,8 +4,9 @@ parameters, to the whole of its table and derives the contract's columns."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files, warc
+from quarry.llm import cross_polytope, language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files, vantage_trees, warc
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -14,6 +15,10 @@ def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
 
 
+def op2_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_trees.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, Scratch(spark, "op2"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(manifest)
 
 
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op7"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "op8")))
 
@@ -48,5 +57,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op8_mixing, op9_token_counts, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing)}
 ORACLE = {"op8_mixing": oracles.OP8}

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from quarry.functions.scalar import label_concat
+from quarry.operators.quantiles import clean
 from quarry.operators.scale import ScalerStats, apply_scaler, fit_scaler, inverse_values
 
 
@@ -43,9 +44,11 @@ def sq_distance_array(array_col: str, center: list[float]) -> Column:
 
 
 def nearest(dists: list[Column]) -> Column:
-    """struct(d2, cluster) of the nearest centre; ties go to the lowest id."""
-    return F.array_min(F.array(*[F.struct(d.alias("d2"), F.lit(i).alias("cluster"))
+    """struct(d2, cluster) of the nearest centre; ties go to the lowest id. A
+    row with a missing feature (NULL or NaN) has no distance and no cluster."""
+    best = F.array_min(F.array(*[F.struct(d.alias("d2"), F.lit(i).alias("cluster"))
                                  for i, d in enumerate(dists)]))
+    return F.when(dists[0].isNotNull() & ~F.isnan(dists[0]), best)
 
 
 def assign_nearest(df: DataFrame, features, centers: list[list[float]],
@@ -72,7 +75,7 @@ def inertia(df: DataFrame, features, centers: list[list[float]]) -> float:
 def cluster_means(df: DataFrame, cluster_col: str, features: list[str]) -> DataFrame:
     """Mean of the members of each cluster (unscaled centroids)."""
     return (df.groupBy(cluster_col)
-            .agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features],
+            .agg(*[F.avg(clean(df, c)).alias(c) for c in features],
                  F.count(F.lit(1)).alias("n_members")))
 
 
@@ -93,6 +96,8 @@ def lloyd(df: DataFrame, features, init_centers: list[list[float]], iterations:
         rows = labelled.groupBy("cluster").agg(*means).collect()
         new = [list(c) for c in centers]
         for r in rows:
+            if r["cluster"] is None:
+                continue
             new[r["cluster"]] = [r[f"f{j}"] for j in range(dims)]
         shift = max(sum((a - b) ** 2 for a, b in zip(x, y)) for x, y in zip(centers, new))
         centers = new
@@ -250,13 +255,17 @@ def k_grid(df: DataFrame, key: str, features, ks=range(2, 6), seed: int = 713,
     data = _assemble(df.select(key, *([features] if isinstance(features, str) else features)),
                      features).select(key, "__features").persist(StorageLevel.MEMORY_AND_DISK)
     data.count()  # fill the cache once, before the concurrent fits read it
-    parts = _fit_many(data, features, list(ks), seed, max_iter, parallel,
-                      lambda k, m: m.transform(data).select(key, F.lit(int(k)).alias("k"),
-                                                            "cluster"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    try:
+        fits = _fit_many(data, features, list(ks), seed, max_iter, parallel,
+                         lambda k, m: (int(k), centers_of(m)))
+    finally:
+        data.unpersist()
+    # one scan labels every k
+    labels = df.select(key, *([features] if isinstance(features, str) else features))
+    for k, centers in fits:
+        labels = assign_nearest(labels, features, centers, cluster_col=f"__k{k}", dist_col=None)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"__k{k}").alias("cluster")) for k, _c in fits]))
+    return labels.select(key, each.alias("s")).select(key, "s.k", "s.cluster")
 
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:

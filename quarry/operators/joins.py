@@ -3,14 +3,15 @@
 Scale notes
 -----------
 * ``latest_per_key`` aggregates first (``max`` per key, map-side partial
-  aggregation) and joins back on the key alone with the date equality as a
-  residual condition. The aggregate's hash partitioning on the key is reused
-  by the join, and a key holding a third of all rows is a skewed *stream*
-  side against a one-row build side, which AQE's skew-join splits. A window
-  ``max(...) over (partition by key)`` would put that key into one task.
-* Dimension lookups broadcast a side only after ``bounded_broadcast`` has
-  proven a row bound with a ``limit(n+1).count()`` job; otherwise the join is
-  left to AQE (sort-merge, or broadcast if the runtime size is small).
+  aggregation) and joins back on (key, date), which Catalyst makes of the join
+  on the key and the date filter. That spreads the rows of a key holding a
+  third of the table over its dates, and AQE's skew-join splits what is left.
+  A window ``max(...) over (partition by key)`` would put that key into one
+  task.
+* No side is broadcast by hand. Tables computed from the data (centroids,
+  fences) are written first, so the planner knows their bytes and broadcasts
+  below its limit; beyond it, the join shuffles two plain tables and AQE splits
+  hot keys.
 """
 
 from __future__ import annotations
@@ -21,35 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that is broadcast without further thought.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it provably has at most ``max_rows``
-    rows. The check is a ``limit(max_rows + 1).count()`` job, which stops
-    reading once the bound is exceeded."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-SMALL_SIDE_MAX_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_MAX_ROWS) -> DataFrame:
-    """For a small side that is itself computed from the data (centroids,
-    per-group statistics): evaluate it once, fetching at most ``max_rows + 1``
-    rows. Within the bound it is rebuilt from those rows and broadcast, so
-    the join does not recompute it; beyond the bound the frame is returned
-    unhinted and AQE picks the join from measured sizes."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
 
 def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
-                   tiebreak: str | None = None, hot_key_rows: int | None = None) -> DataFrame:
+                   tiebreak: str | None = None) -> DataFrame:
     """Rows of ``tx`` carrying the latest ``date_col`` of their ``key``.
 
     ``ties='keep'``: every row tied on the maximum date is kept (the inner
@@ -57,16 +32,8 @@ def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
     among ties the one with the smallest numeric ``tiebreak``; computed as a
     single ``max(struct(date, -tiebreak, row))`` aggregate (partial
     aggregation, no join).
-
-    ``hot_key_rows`` (``ties='keep'``): keys with more rows than this are
-    split off. Their maxima (at most ``rows / hot_key_rows`` of them) are
-    broadcast and joined to their rows without a shuffle. Only the other
-    rows take the shuffle join. By default a hot key is left to AQE's
-    skew-join split.
     """
     if ties == "keep":
-        if hot_key_rows is not None:
-            return _latest_split_hot(tx, key, date_col, hot_key_rows)
         maxes = tx.groupBy(key).agg(F.max(date_col).alias("__max_date"))
         joined = tx.join(maxes, on=key, how="inner")
         return joined.filter(F.col(date_col) == F.col("__max_date")).drop("__max_date")
@@ -81,24 +48,6 @@ def latest_per_key(tx: DataFrame, key: str, date_col: str, ties: str = "keep",
     raise ValueError(f"ties must be 'keep' or 'first', got {ties!r}")
 
 
-def _latest_split_hot(tx: DataFrame, key: str, date_col: str, hot_key_rows: int) -> DataFrame:
-    maxes = tx.groupBy(key).agg(F.max(date_col).alias("__max_date"),
-                                F.count(F.lit(1)).alias("__n"))
-    hot = maxes.filter(F.col("__n") > hot_key_rows).select(key, "__max_date").collect()
-    if not hot:
-        joined = tx.join(maxes.drop("__n"), on=key, how="inner")
-        return joined.filter(F.col(date_col) == F.col("__max_date")).drop("__max_date")
-    hot_keys = [r[key] for r in hot]
-    hot_tab = F.broadcast(tx.sparkSession.createDataFrame(
-        hot, maxes.select(key, "__max_date").schema))
-    hot_part = (tx.filter(F.col(key).isin(hot_keys)).join(hot_tab, on=key, how="inner")
-                .filter(F.col(date_col) == F.col("__max_date")))
-    cold_max = maxes.filter(F.col("__n") <= hot_key_rows).drop("__n")
-    cold_part = (tx.filter(~F.col(key).isin(hot_keys)).join(cold_max, on=key, how="inner")
-                 .filter(F.col(date_col) == F.col("__max_date")))
-    return hot_part.unionByName(cold_part).drop("__max_date")
-
-
 @dataclass(frozen=True)
 class Lookup:
     """A left-outer dimension lookup: ``left_key`` of the fact side matches
@@ -112,14 +61,14 @@ class Lookup:
     unique: bool = True
 
 
-def lookup_chain(df: DataFrame, lookups: Iterable[Lookup],
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Chain of LEFT JOIN dimension lookups (broadcast when provably small)."""
+def lookup_chain(df: DataFrame, lookups: Iterable[Lookup]) -> DataFrame:
+    """Chain of LEFT JOIN dimension lookups; the planner broadcasts a dimension
+    below its byte limit."""
     for lk in lookups:
         if not lk.columns and lk.unique:
             continue  # dead lookup: no column requested, key unique
         cols = [lk.dim_key] + [c for c in lk.columns if c != lk.dim_key]
-        dim = bounded_broadcast(lk.dim.select(*cols), max_broadcast_rows)
+        dim = lk.dim.select(*cols)
         if lk.left_key == lk.dim_key:
             df = df.join(dim, on=lk.left_key, how="left")
         else:
@@ -128,8 +77,10 @@ def lookup_chain(df: DataFrame, lookups: Iterable[Lookup],
 
 
 def attach_centroids(df: DataFrame, centroids: DataFrame, key: str = "cluster",
-                     prefix: str = "cen_", max_rows: int = SMALL_SIDE_MAX_ROWS) -> DataFrame:
-    """Attach each row's cluster centroid (one row per cluster, broadcast)."""
+                     prefix: str = "cen_") -> DataFrame:
+    """Attach each row's cluster centroid (one row per cluster)."""
+    from quarry.plans.materialize import materialize
+
     renamed = centroids.select(key, *[F.col(c).alias(prefix + c)
                                       for c in centroids.columns if c != key])
-    return df.join(small_side(renamed, max_rows), on=key, how="left")
+    return df.join(materialize(renamed, "centroids"), on=key, how="left")

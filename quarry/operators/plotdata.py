@@ -14,13 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from quarry.operators.joins import small_side
+from quarry.functions.missing import is_missing
 from quarry.operators.profile import binned_counts, histogram  # noqa: F401 (re-export)
-from quarry.operators.quantiles import column_stats, exact_quantiles
+from quarry.operators.quantiles import clean, column_stats, exact_quantiles, grouped_quantiles
 from quarry.operators.split import stratified_sample
+from quarry.plans.materialize import materialize
 
 
-def _left_bin(x, start: float, width: float, bins: int):
+def _left_bin(x, mn: float | None, mx: float | None, bins: int):
+    """Bin 0 .. bins - 1 of equal width, left closed, the last with the maximum;
+    a constant column is widened by 0.5 on both sides as numpy does."""
+    if mn is None:
+        return F.lit(None).cast("int")
+    start, width = (mn - 0.5, 1.0 / bins) if mn == mx else (mn, (mx - mn) / bins)
     b = F.lit(0)
     for i in range(1, bins):
         b = b + (x >= F.lit(start + i * width)).cast("int")
@@ -41,7 +47,7 @@ def box_stats(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
             continue
         lo, hi = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
         fences[c] = (q1, med, q3)
-        x = F.col(c).cast("double")
+        x = clean(df, c)
         aggs += [F.min(F.when(x >= F.lit(lo), x)).alias(f"wl{i}"),
                  F.max(F.when(x <= F.lit(hi), x)).alias(f"wh{i}"),
                  F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"no{i}")]
@@ -60,23 +66,20 @@ def box_stats(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
     return df.sparkSession.createDataFrame(data, schema)
 
 
-def box_stats_by(df: DataFrame, by: str, col: str, whis: float = 1.5,
-                 heavy_rows: int | None = None) -> DataFrame:
+def box_stats_by(df: DataFrame, by: str, col: str, whis: float = 1.5) -> DataFrame:
     """Box-plot numbers of ``col`` for each category of ``by`` (box part of
-    the category x numeric panel). Exact per-group quartiles
-    (``grouped_quantiles``: no task holds a whole hot category); the fences
-    are joined back (broadcast once the number of categories is proven small)
-    for the whisker / outlier pass."""
-    from quarry.operators.quantiles import HEAVY_GROUP_ROWS, grouped_quantiles
-    x = F.col(col).cast("double")
-    q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75],
-                          heavy_rows=heavy_rows or HEAVY_GROUP_ROWS)
+    the category x numeric panel); a missing category is left out. Exact
+    per-group quartiles (``grouped_quantiles``); the fences are written and
+    joined to the rows for the whisker / outlier pass, so the planner knows
+    their size and AQE can split a hot category."""
+    df = df.filter(~is_missing(df, by))
+    q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75])
     q = q.select(by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"),
                  F.col("q2").alias("q3"))
     q = q.withColumns({"__lo": F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1")),
                        "__hi": F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))})
-    fences = small_side(q.select(by, "__lo", "__hi"))
-    w = (df.select(by, x.alias("__x")).join(fences, on=by, how="inner")
+    q = materialize(q, "fences")
+    w = (df.select(by, clean(df, col).alias("__x")).join(q.select(by, "__lo", "__hi"), on=by, how="inner")
          .groupBy(by).agg(F.min(F.when(F.col("__x") >= F.col("__lo"), F.col("__x"))).alias("whisker_lo"),
                           F.max(F.when(F.col("__x") <= F.col("__hi"), F.col("__x"))).alias("whisker_hi"),
                           F.count_if((F.col("__x") < F.col("__lo")) | (F.col("__x") > F.col("__hi")))
@@ -92,8 +95,8 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
     exprs = []
     for c, name in ((x, "bin_x"), (y, "bin_y")):
         _n, mn, mx = st[c]
-        exprs.append(_left_bin(F.col(c).cast("double"), mn, (mx - mn) / bins, bins).alias(name))
-    return (df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*exprs)
+        exprs.append(_left_bin(F.col(c).cast("double"), mn, mx, bins).alias(name))
+    return (df.filter(~is_missing(df, x) & ~is_missing(df, y)).select(*exprs)
             .groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -104,12 +107,9 @@ def histogram_by(df: DataFrame, by: str, cols: list[str], bins: int = 10) -> Dat
     structs = []
     for c in cols:
         _n, mn, mx = st[c]
-        if mn is None:
-            continue
-        xc = F.col(c).cast("double")
+        xc = clean(df, c)
         structs.append(F.struct(F.lit(c).alias("column_name"),
-                                F.when(xc.isNotNull() & ~F.isnan(xc),
-                                       _left_bin(xc, mn, (mx - mn) / bins, bins)).alias("bin")))
+                                F.when(xc.isNotNull(), _left_bin(xc, mn, mx, bins)).alias("bin")))
     return (df.select(by, F.explode(F.array(*structs)).alias("s")).select(by, "s.*")
             .filter(F.col("bin").isNotNull())
             .groupBy(by, "column_name", "bin").agg(F.count(F.lit(1)).alias("count")))
@@ -126,7 +126,7 @@ def pair_regression(df: DataFrame, cols: list[str]) -> DataFrame:
     stable; the finishing arithmetic is a projection of one row.
     """
     pairs = list(combinations(cols, 2))
-    x = {c: F.col(c).cast("double") for c in cols}
+    x = {c: clean(df, c) for c in cols}
     means = df.agg(*[F.avg(x[c]).alias(c) for c in cols]).first()  # O(columns)
     sh = {c: x[c] - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
     aggs = []
@@ -166,7 +166,7 @@ def kde_grid(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0,
     point is then a weighted kernel sum over the bin centres, computed as
     ``gridsize`` aggregate expressions over that small frame.
     """
-    x = F.col(col).cast("double")
+    x = clean(df, col)
     st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("mn"),
                 F.max(x).alias("mx")).first()
     n, sd, mn, mx = st["n"], st["sd"], st["mn"], st["mx"]
@@ -201,13 +201,16 @@ def scatter_sample(df: DataFrame, by: str, n: int, key, cols: list[str], seed: i
 
 
 def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3.0,
-           bins: int = 2048, max_groups: int = 1000) -> DataFrame:
+           bins: int = 2048) -> DataFrame:
     """Per-category Gaussian KDE (the violin of a category x numeric panel):
     ``(by, grid_x, density)``, bandwidth and grid per category as in
-    ``kde_grid``. Everything stays in Spark: per-category statistics (one
-    partial aggregate, broadcast once their count is proven small), fine bins
-    per category, then bins x grid pairs summed per grid point."""
-    x = F.col(col).cast("double")
+    ``kde_grid``; a missing category is left out. Per-category statistics
+    (partial aggregation, written so the planner knows their size), then fine
+    bins per category; a category's bins, at most ``bins`` numbers, become one
+    array that each of its grid points sums over, so no bin x grid rows are
+    made, for any number of categories."""
+    df = df.filter(~is_missing(df, by))
+    x = clean(df, col)
     st = (df.filter(x.isNotNull()).groupBy(by)
           .agg(F.count(x).alias("__n"), F.stddev_samp(x).alias("__sd"), F.min(x).alias("__mn"),
                F.max(x).alias("__mx"))
@@ -217,25 +220,24 @@ def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3
           .withColumn("__lo", F.col("__mn") - F.lit(cut) * F.col("__h"))
           .withColumn("__step", ((F.col("__mx") + F.lit(cut) * F.col("__h")) - F.col("__lo"))
                       / F.lit(gridsize - 1)))
-    # bins x grid pairs are emitted per category: keep that product bounded
-    st_rows = st.limit(max_groups + 1).collect()
-    if len(st_rows) > max_groups:
-        raise ValueError(f"kde_by: more than {max_groups} categories in {by!r}")
-    st = F.broadcast(df.sparkSession.createDataFrame(st_rows, st.schema))  # evaluated once
+    st = materialize(st, "kde")
     b = F.least(F.floor((F.col("__x") - F.col("__mn")) / F.col("__w")), F.lit(bins - 1))
     binned = (df.select(by, x.alias("__x")).filter(F.col("__x").isNotNull()).join(st, by)
-              .groupBy(by, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c")))
-    i = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1)))
-    pairs = (binned.join(st, by)
-             .select(by, "__c", "__h", "__n", "__lo", "__step",
-                     (F.col("__mn") + (F.col("__b") + F.lit(0.5)) * F.col("__w")).alias("__center"),
-                     i.alias("__i"))
-             .withColumn("grid_x", F.col("__lo") + F.col("__i") * F.col("__step")))
-    kernel = F.exp(F.lit(-0.5) * F.pow((F.col("grid_x") - F.col("__center")) / F.col("__h"), 2))
+              .groupBy(by, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c"))
+              .groupBy(by).agg(F.collect_list(F.struct("__b", "__c")).alias("__bins")))
+    grid = (binned.join(st, by)
+            .withColumn("__bins", F.transform("__bins", lambda s: F.struct(
+                (F.col("__mn") + (s["__b"] + F.lit(0.5)) * F.col("__w")).alias("at"), s["__c"].alias("c"))))
+            .withColumn("__points", F.transform(F.sequence(F.lit(0), F.lit(gridsize - 1)),
+                                                lambda i: F.col("__lo") + i * F.col("__step"))))
+
+    def density(point):
+        return F.aggregate("__bins", F.lit(0.0), lambda acc, s: acc + s["c"] * F.exp(
+            F.lit(-0.5) * F.pow((point - s["at"]) / F.col("__h"), F.lit(2.0))))
+
     norm = F.lit(1.0) / (F.col("__n") * F.col("__h") * F.lit(math.sqrt(2.0 * math.pi)))
-    return (pairs.groupBy(by, "__i", "grid_x", "__n", "__h")
-            .agg(F.sum(F.col("__c") * kernel).alias("__s"))
-            .select(by, "grid_x", (F.col("__s") * norm).alias("density")))
+    curve = F.explode(F.transform("__points", lambda p: F.struct(p.alias("grid_x"), (density(p) * norm).alias("density"))))
+    return grid.select(by, curve.alias("s")).select(by, "s.grid_x", "s.density")
 
 
 def univariate_panel(df: DataFrame, cols: list[str] | None = None, bins: int = 10,
@@ -251,15 +253,16 @@ def univariate_panel(df: DataFrame, cols: list[str] | None = None, bins: int = 1
     return {"box": box_stats(df, cols), "hist": histogram(df, cols, bins), "kde": kde}
 
 
-def outlier_sample(df: DataFrame, col: str, key, n: int = 50, whis: float = 1.5,
+def outlier_sample(df: DataFrame, col: str, key, n: int | None, whis: float = 1.5,
                    seed: int = 0) -> DataFrame:
-    """Up to ``n`` of the points beyond the box-plot fences (the dots of a
-    box plot), chosen in hash order; the number of outliers is in
+    """``n`` of the points beyond the box-plot fences (the dots of a box plot)
+    in hash order, or all of them for ``n=None``; the number of outliers is in
     ``box_stats``. Exact fences, then a per-task top-n: no full sort."""
     from quarry.operators.split import sample_n
     q1, q3 = exact_quantiles(df, [col], [0.25, 0.75])[col]
     if q1 is None:
         return df.limit(0)
     lo, hi = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
-    x = F.col(col).cast("double")
-    return sample_n(df.filter((x < F.lit(lo)) | (x > F.lit(hi))), n, key, seed)
+    x = clean(df, col)
+    beyond = df.filter((x < F.lit(lo)) | (x > F.lit(hi)))
+    return beyond if n is None else sample_n(beyond, n, key, seed)

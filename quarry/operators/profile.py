@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, NumericType, StringType, StructField,
                                StructType)
 
-from quarry.functions.missing import is_missing, missing_flag_sum
+from quarry.functions.missing import is_missing, nan_to_null, missing_flag_sum
 from quarry.operators.quantiles import column_stats, exact_quantiles
 
 
@@ -96,7 +96,8 @@ def count_unique(df: DataFrame, cols: list[str] | None = None,
 def value_counts(df: DataFrame, col: str, dropna: bool = True, sort: str = "count") -> DataFrame:
     """Frequencies of one column: ``(<col>, count)``; ``sort='count'``
     (descending, value as tie-break) or ``'value'`` (ascending, NULL last)."""
-    base = df if not dropna else df.filter(~is_missing(df, col))
+    base = nan_to_null(df.select(col))
+    base = base if not dropna else base.filter(F.col(col).isNotNull())
     out = base.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if sort == "count":
         return out.orderBy(F.desc("count"), F.asc_nulls_last(col))
@@ -181,9 +182,10 @@ def _numeric_cols(df: DataFrame, cols: list[str] | None) -> list[str]:
 
 def _edges(mn: float, mx: float, bins: int, widen_constant: bool) -> tuple[float, float, float]:
     """``(start, width, stop)`` of equal-width bins; a constant column is
-    widened by 0.1 % on both sides like pandas' ``cut``."""
-    if mn == mx and widen_constant:
-        d = 0.001 * abs(mn) if mn != 0 else 0.001
+    widened by 0.1 % on both sides like pandas' ``cut``, or by 0.5 like
+    ``numpy.histogram``."""
+    if mn == mx:
+        d = (0.001 * abs(mn) if mn != 0 else 0.001) if widen_constant else 0.5
         mn, mx = mn - d, mx + d
     return mn, (mx - mn) / bins, mx
 
@@ -256,24 +258,24 @@ def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
     counts for non-string columns with fewer than ``numeric_limit``.
 
     Output ``(column_name, n_unique, kind, value, lo, hi, count)`` where kind
-    is ``'value'`` or ``'bin'`` (``value`` holds the bin number for bins).
+    is ``'column'`` (one row per column, ``count`` its present values),
+    ``'value'`` or ``'bin'`` (``value`` holds the bin number for bins).
     ``sort='count'`` orders each column's rows by count (descending),
     ``sort='value'`` by value / bin (ascending, missing last).
     """
-    # exact distinct counts only where they can fall under a threshold; a
-    # HyperLogLog pass screens out id-like columns without expanding rows
-    uniq = exact_counts_below(df, max(thresh + 1, numeric_limit))
+    uniq = {r["column_name"]: r["n_unique"] for r in count_unique(df).collect()}
     small, binned = [], []
     numeric = set(_numeric_cols(df, None))
     for c in df.columns:
-        if c not in uniq:
-            continue
         if uniq[c] <= thresh:
             small.append(c)
         elif uniq[c] < numeric_limit and c in numeric:
             binned.append(c)
     nu = F.create_map(*[x for c in uniq for x in (F.lit(c), F.lit(uniq[c]))]) if uniq else None
-    parts = []
+    present = df.agg(*[F.count_if(~is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)]) if df.columns else None
+    parts = [present.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit("column").alias("kind"), F.lit(None).cast("string").alias("value"),
+                                                         F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), F.col(f"c{i}").alias("count"))
+                                                for i, c in enumerate(df.columns)])).alias("s")).select("s.*")] if df.columns else []
     if small:
         parts.append(value_counts_long(df, small, dropna=False).select(
             "column_name", F.lit("value").alias("kind"), "value",

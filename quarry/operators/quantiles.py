@@ -2,20 +2,25 @@
 
 Spark's exact ``percentile`` merges one value->count map per group into a
 single task: for a continuous column of a huge table that is an unbounded
-group. ``exact_quantiles`` instead *selects* the needed order statistics:
-
-1. one aggregate job: per column ``count``, ``min``, ``max``;
-2. per level, one aggregate job: the rows inside the still-open brackets are
-   binned into ``bins`` equal-width bins and counted (``count, min, max`` per
-   bin, map-side partial aggregation, at most ``brackets x bins`` result rows);
-   the bin holding each wanted rank becomes the next bracket;
-3. a bracket holding one distinct value is resolved; a bracket holding at most
-   ``collect_max`` rows is fetched sorted and indexed directly.
-
-Every job is a distributed aggregate; nothing unbounded reaches the driver or a
-single task, and heavy duplicates (a value with a third of all rows) resolve at
-once because their bin has ``min == max``. The result equals pandas'
-``quantile`` / numpy linear interpolation and DuckDB's ``quantile_cont``.
+group. Here the needed order statistics are *selected*.
+
+Whole columns (``exact_quantiles``): each wanted rank has a bracket of values. One job counts, finds the extremes and places the first brackets with
+``percentile_approx``, whose rank error is known to be about n / accuracy.
+One more job counts the rows below and inside every bracket with conditional
+sums (no row is expanded). A bracket of one value is resolved; one that holds
+few rows has its values counted and fetched; another is narrowed by the sketch
+again, which divides its rows by some thousands. Two or three scans settle any
+column, with the same steps at every size, for duplicates and for infinities.
+
+Groups (``grouped_quantiles``): rows are sorted by (group, value) in one range
+partitioning, written once, and numbered within their partitions. Counts per
+(partition, group) turn into offsets, offsets turn the wanted ranks into
+positions, and the positions are looked up. A group of any size is spread over
+partitions; nothing is collected; one path for all sizes.
+
+The result equals pandas' ``quantile`` / numpy linear interpolation and DuckDB's
+``quantile_cont``. Missing values (NULL, NaN) are left out, and so is a missing
+group.
 """
 
 from __future__ import annotations
@@ -23,322 +28,169 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BINS = 1024
-DEFAULT_COLLECT_MAX = 20_000
-FETCH_BUDGET = 200_000      # values fetched per round, all brackets together
-_MAX_LEVELS = 80
+ACCURACY = 10_000           # rank error of the sketch: rows / ACCURACY
+FETCH_VALUES = 20_000       # distinct rows fetched per job, all brackets together
+
+
+def clean(df: DataFrame, col: str):
+    """A column as a double, its missing values (NULL, NaN) as NULL."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+
+
+def column_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float | None, float | None]]:
+    aggs = []
+    for i, c in enumerate(cols):
+        x = clean(df, c)
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
 
 
-def _clean(df: DataFrame, col: str):
-    x = F.col(col).cast("double")
-    return F.when(x.isNotNull() & ~F.isnan(x), x)
+def _around(rank: int, base: int, rows: int) -> list[float]:
+    """Probabilities on both sides of a rank, wider than the sketch's error."""
+    at, slack = (rank - base) / max(1, rows - 1), 2.0 / ACCURACY
+    return [max(0.0, at - slack), min(1.0, at + slack)]
 
 
 def order_statistics(df: DataFrame, cols: list[str], ranks: dict[str, list[int]],
                      stats: dict[str, tuple[int, float, float]],
-                     bins: int = DEFAULT_BINS, collect_max: int = DEFAULT_COLLECT_MAX
-                     ) -> dict[tuple[str, int], float]:
+                     fetch_values: int = FETCH_VALUES) -> dict[tuple[str, int], float]:
     """Values at 0-based ``ranks`` (in ascending order, missing excluded)."""
     result: dict[tuple[str, int], float] = {}
-    # open targets: (col, rank) -> [lo, hi, base]
-    open_t: dict[tuple[str, int], list] = {}
-    for c in cols:
-        n, mn, mx = stats[c]
-        for r in ranks.get(c, []):
-            if mn == mx:
-                result[(c, r)] = mn
-            else:
-                open_t[(c, r)] = [mn, mx, 0]
-    # per-bracket fetch size, so that one round fetches at most FETCH_BUDGET
-    # values whatever the number of columns and quantiles
-    n_brackets = max(1, len({(c, lo, hi) for (c, _r), (lo, hi, _b) in open_t.items()}))
-    collect_max = min(collect_max, max(1000, FETCH_BUDGET // n_brackets))
-    # a column with at most that many values is fetched at once
-    first_fetch = {t: v for t, v in open_t.items() if stats[t[0]][0] <= collect_max}
-    levels = 0
+    # target -> (low, high, rows below low, rows in low..high)
+    open_t = {(c, r): (stats[c][1], stats[c][2], 0, stats[c][0]) for c in cols for r in ranks.get(c, [])}
+
+    def inside(c, low, high):
+        x = clean(df, c)
+        return x, (x >= F.lit(low)) & (x <= F.lit(high))
+
     while open_t:
-        if first_fetch:
-            to_fetch, first_fetch = first_fetch, {}
-            _fetch(df, to_fetch, open_t, result)
+        for t, (low, high, _base, _rows) in list(open_t.items()):
+            if low == high:
+                result[t] = low
+                del open_t[t]
+        brackets = sorted({(c, *b) for (c, _r), b in open_t.items()})
+        budget = max(1, fetch_values // max(1, len(brackets)))
+        small = [b for b in brackets if b[4] <= budget]
+        if small:
+            parts = []
+            for i, (c, low, high, _base, _rows) in enumerate(small):
+                x, k = inside(c, low, high)
+                parts.append(F.when(k, F.struct(F.lit(i).alias("i"), x.alias("x"))))
+            found = defaultdict(list)
+            for r in (df.select(F.explode(F.filter(F.array(*parts), lambda s: s.isNotNull())).alias("s"))
+                      .groupBy("s.i", "s.x").agg(F.count(F.lit(1)).alias("n")).collect()):
+                found[r["i"]].append((r["x"], r["n"]))
+            for i, b in enumerate(small):
+                for t in [t for t, v in open_t.items() if (t[0], *v) == b]:
+                    at = b[3]
+                    for x, n in sorted(found[i]):
+                        at += n
+                        if t[1] < at:
+                            result[t] = x
+                            del open_t[t]
+                            break
+        wide = sorted({(c, *b) for (c, _r), b in open_t.items()})
+        if not wide:
             continue
-        levels += 1
-        if levels > _MAX_LEVELS:
-            raise RuntimeError("exact quantile selection did not converge")
-        # brackets per column (identical or disjoint by construction)
-        brackets: dict[str, list[tuple[float, float, int]]] = defaultdict(list)
-        for (c, _r), (lo, hi, base) in open_t.items():
-            if (lo, hi, base) not in brackets[c]:
-                brackets[c].append((lo, hi, base))
-        structs = []
-        for ci, c in enumerate(cols):
-            if c not in brackets:
-                continue
-            x = _clean(df, c)
-            bid = None
-            binx = None
-            for bi, (lo, hi, _b) in enumerate(brackets[c]):
-                w = (hi - lo) / bins
-                inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-                if w > 0:
-                    b_expr = F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))
-                else:
-                    b_expr = F.when(x > F.lit(lo), F.lit(bins - 1)).otherwise(F.lit(0))
-                bid = F.when(inside, F.lit(bi)) if bid is None else bid.when(inside, F.lit(bi))
-                binx = (F.when(inside, b_expr) if binx is None else binx.when(inside, b_expr))
-            structs.append(F.struct(F.lit(ci).alias("ci"), bid.alias("bid"),
-                                    binx.cast("int").alias("bin"), x.alias("x")))
-        exploded = (df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-                    .filter(F.col("bid").isNotNull()))
-        hist = (exploded.groupBy("ci", "bid", "bin")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
-        per_bracket: dict[tuple[int, int], list] = defaultdict(list)
-        for row in hist:
-            per_bracket[(row["ci"], row["bid"])].append((row["bin"], row["n"], row["mn"], row["mx"]))
-        to_fetch: dict[tuple[str, int], list] = {}
-        for (c, r), (lo, hi, base) in list(open_t.items()):
-            ci = cols.index(c)
-            bi = brackets[c].index((lo, hi, base))
-            cum = base
-            for _bin, n, bmn, bmx in sorted(per_bracket[(ci, bi)]):
-                if cum <= r < cum + n:
-                    if bmn == bmx:
-                        result[(c, r)] = bmn
-                        del open_t[(c, r)]
-                    else:
-                        open_t[(c, r)] = [bmn, bmx, cum]
-                        if n <= collect_max:
-                            to_fetch[(c, r)] = [bmn, bmx, cum]
-                    break
-                cum += n
+        # the sketch of each wide bracket, then exact counts below and inside
+        aggs, asked = [], {}
+        for i, (c, low, high, base, rows) in enumerate(wide):
+            x, k = inside(c, low, high)
+            wanted = sorted(r for (cc, r), v in open_t.items() if (cc, *v) == (c, low, high, base, rows))
+            asked[i] = wanted
+            probs = [p for r in wanted for p in _around(r, base, rows)]
+            aggs.append(F.percentile_approx(F.when(k, x), probs, ACCURACY).alias(f"p{i}"))
+        guess = df.agg(*aggs).first()
+        sums, narrow = [], []
+        for i, (c, low, high, base, _rows) in enumerate(wide):
+            x, k = inside(c, low, high)
+            for j, r in enumerate(asked[i]):
+                lo, hi = guess[f"p{i}"][2 * j], guess[f"p{i}"][2 * j + 1]
+                narrow.append(((c, r), low, high, base, lo, hi))
+                sums += [F.count_if(k & (x < F.lit(lo))).alias(f"a{len(narrow)}"), F.count_if(k & (x <= F.lit(lo))).alias(f"b{len(narrow)}"),
+                         F.count_if(k & (x < F.lit(hi))).alias(f"c{len(narrow)}"), F.count_if(k & (x <= F.lit(hi))).alias(f"d{len(narrow)}")]
+        n = df.agg(*sums).first()
+        for m, (t, low, high, base, lo, hi) in enumerate(narrow, 1):
+            r, rows = t[1] - base, open_t[t][3]
+            if r < n[f"a{m}"]:
+                after = (low, math.nextafter(lo, -math.inf), base, n[f"a{m}"])
+            elif r < n[f"b{m}"]:
+                after = (lo, lo, base + n[f"a{m}"], n[f"b{m}"] - n[f"a{m}"])
+            elif r < n[f"c{m}"]:
+                after = (math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf), base + n[f"b{m}"], n[f"c{m}"] - n[f"b{m}"])
+            elif r < n[f"d{m}"]:
+                after = (hi, hi, base + n[f"c{m}"], n[f"d{m}"] - n[f"c{m}"])
             else:
-                raise RuntimeError(f"rank {r} of {c} not found in bracket")
-        if to_fetch:
-            _fetch(df, to_fetch, open_t, result)
+                after = (math.nextafter(hi, math.inf), high, base + n[f"d{m}"], rows - n[f"d{m}"])
+            open_t[t] = after
     return result
 
 
-def _fetch(df: DataFrame, to_fetch: dict, open_t: dict, result: dict) -> None:
-    """Fetch the (small) brackets of ``to_fetch`` and index the ranks."""
-    fetch_brackets = sorted({(c, lo, hi) for (c, _r), (lo, hi, _b) in to_fetch.items()})
-    cond, fetch_structs = None, []
-    for c, lo, hi in fetch_brackets:
-        x = _clean(df, c)
-        k = (x >= F.lit(lo)) & (x <= F.lit(hi))
-        cond = k if cond is None else cond | k
-        fetch_structs.append(F.when(k, F.struct(F.lit(c).alias("c"), F.lit(lo).alias("lo"),
-                                                x.alias("x"))))
-    rows = (df.filter(cond).select(F.explode(F.array(*fetch_structs)).alias("s"))
-            .filter(F.col("s").isNotNull()).select("s.*").collect())
-    values: dict[tuple[str, float], list[float]] = defaultdict(list)
-    for row in rows:
-        values[(row["c"], row["lo"])].append(row["x"])
-    for (c, r), (lo, _hi, base) in to_fetch.items():
-        result[(c, r)] = sorted(values[(c, lo)])[r - base]
-        del open_t[(c, r)]
-
-
-def column_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float | None, float | None]]:
-    aggs = []
-    for i, c in enumerate(cols):
-        x = _clean(df, c)
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
+def interpolate(a: float, b: float, t: float) -> float:
+    return a if t == 0 or a == b else a + (b - a) * t
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    bins: int = DEFAULT_BINS, collect_max: int = DEFAULT_COLLECT_MAX,
-                    stats: dict | None = None) -> dict[str, list[float | None]]:
+                    stats: dict | None = None, fetch_values: int = FETCH_VALUES) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles of each column (missing values
     excluded); ``None`` for a column without values."""
     stats = stats or column_stats(df, cols)
-    ranks: dict[str, list[int]] = {}
-    for c in cols:
-        n = stats[c][0]
-        if not n:
-            continue
-        rs = set()
-        for p in probs:
-            pos = p * (n - 1)
-            rs.add(int(math.floor(pos)))
-            rs.add(int(math.ceil(pos)))
-        ranks[c] = sorted(rs)
-    found = order_statistics(df, cols, ranks, stats, bins, collect_max)
+    ranks = {c: sorted({f(p * (stats[c][0] - 1)) for p in probs for f in (math.floor, math.ceil)}) for c in cols if stats[c][0]}
+    found = order_statistics(df, cols, ranks, stats, fetch_values)
     out: dict[str, list[float | None]] = {}
     for c in cols:
         n = stats[c][0]
         if not n:
             out[c] = [None] * len(probs)
             continue
-        vals = []
+        out[c] = []
         for p in probs:
             pos = p * (n - 1)
-            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
-            a, b = found[(c, lo_r)], found[(c, hi_r)]
-            t = pos - lo_r
-            vals.append(a if lo_r == hi_r else a + (b - a) * t)
-        out[c] = vals
+            out[c].append(interpolate(found[(c, math.floor(pos))], found[(c, math.ceil(pos))], pos - math.floor(pos)))
     return out
 
 
 # ----------------------------------------------------------------- grouped
 
-HEAVY_GROUP_ROWS = 2_000_000
-
-
-def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
-                      heavy_rows: int = HEAVY_GROUP_ROWS, bins: int = 256,
-                      collect_max: int = DEFAULT_COLLECT_MAX) -> DataFrame:
-    """Exact quantiles of ``col`` per group: ``(by, n, q0, q1, ...)``.
-
-    Groups with at most ``heavy_rows`` values are ranked by a window per group
-    (each window task holds at most that many rows) and the two order
-    statistics around each quantile are interpolated. Larger
-    groups -- at most ``rows / heavy_rows`` of them, e.g. one key holding a
-    third of the table -- are resolved by the selection above, with the open
-    brackets of all heavy groups kept in a small table joined to the rows
-    (broadcast once its size is proven), so no task ever holds a whole
-    group.
-    """
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-    probs = list(probs)
-    x = _clean(df, col)
-    data = df.select(F.col(by).alias("__g"), x.alias("__x")).filter(F.col("__x").isNotNull())
-    sizes = data.groupBy("__g").agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("mn"),
-                                    F.max("__x").alias("mx"))
-    heavy = sizes.filter(F.col("n") > heavy_rows).collect()   # at most rows/heavy_rows groups
-    if not heavy:
-        return _light_group_quantiles(data, probs).withColumnRenamed("__g", by)
-    if len(heavy) <= 1000:
-        light = data.filter(~F.col("__g").isin([r["__g"] for r in heavy]))
-    else:
-        light = data.join(sizes.filter(F.col("n") > heavy_rows).select("__g"), "__g", "left_anti")
-    light_q = _light_group_quantiles(light, probs).withColumnRenamed("__g", by)
-    gtype = df.schema[by].dataType
-    spark = df.sparkSession
-    bschema = StructType([StructField("__g", gtype), StructField("bid", LongType()),
-                          StructField("lo", DoubleType()), StructField("hi", DoubleType())])
-    # heavy groups in batches: each level collects at most about
-    # HIST_ROWS_MAX histogram rows (groups x ranks x bins)
-    per_group = 2 * len(probs) * bins
-    batch = max(1, HIST_ROWS_MAX // per_group)
-    result: dict[tuple, float] = {}
-    for i in range(0, len(heavy), batch):
-        result.update(_select_heavy(spark, data, heavy[i:i + batch], probs, bins, collect_max,
-                                    bschema))
-    heavy_rows_out = []
-    for r in heavy:
-        n, qs = r["n"], []
-        for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
-            a, b = result[(r["__g"], lo_r)], result[(r["__g"], hi_r)]
-            qs.append(a if lo_r == hi_r else a + (b - a) * (pos - lo_r))
-        heavy_rows_out.append((r["__g"], n, *qs))
-    hschema = StructType([StructField(by, gtype), StructField("n", LongType())]
-                         + [StructField(f"q{i}", DoubleType()) for i in range(len(probs))])
-    return light_q.unionByName(spark.createDataFrame(heavy_rows_out, hschema))
-
-
-def _light_group_quantiles(data: DataFrame, probs: list[float]) -> DataFrame:
-    """Quantiles of ``__x`` per ``__g`` for groups of bounded size: rank
-    within the group (the window and the following aggregate share one
-    shuffle on ``__g``), keep the ranks around each quantile, interpolate
-    ``a + (b - a) * t`` exactly as the selection path does."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("__g").orderBy("__x")
-    ranked = (data.withColumn("__rn", F.row_number().over(w) - 1)
-              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__g"))))
-    n1 = (F.col("__n") - 1).cast("double")
-    pos = [F.lit(float(p)) * n1 for p in probs]
-    keep = None
-    for ps in pos:
-        k = (F.col("__rn") == F.floor(ps)) | (F.col("__rn") == F.ceil(ps))
-        keep = k if keep is None else keep | k
-    aggs = [F.max("__n").alias("n")]
-    for i, ps in enumerate(pos):
-        aggs += [F.max(F.when(F.col("__rn") == F.floor(ps), F.col("__x"))).alias(f"__a{i}"),
-                 F.max(F.when(F.col("__rn") == F.ceil(ps), F.col("__x"))).alias(f"__b{i}"),
-                 F.max(ps - F.floor(ps)).alias(f"__t{i}")]
-    g = ranked.filter(keep).groupBy("__g").agg(*aggs)
-    outs = []
-    for i in range(len(probs)):
-        a, b, t = F.col(f"__a{i}"), F.col(f"__b{i}"), F.col(f"__t{i}")
-        outs.append(F.when(t == 0, a).otherwise(a + (b - a) * t).alias(f"q{i}"))
-    return g.select("__g", "n", *outs)
-
-
-HIST_ROWS_MAX = 2_000_000
 
-
-def _select_heavy(spark, data: DataFrame, heavy: list, probs: list[float], bins: int,
-                  collect_max: int, bschema) -> dict:
-    """Order statistics around ``probs`` for a batch of heavy groups."""
-    from quarry.operators.joins import bounded_broadcast
-
-    result: dict[tuple, float] = {}
-    open_t: dict[tuple, list] = {}
-    for r in heavy:
-        n = r["n"]
-        for p in probs:
-            pos = p * (n - 1)
-            for rank in {int(math.floor(pos)), int(math.ceil(pos))}:
-                if r["mn"] == r["mx"]:
-                    result[(r["__g"], rank)] = r["mn"]
-                else:
-                    open_t[(r["__g"], rank)] = [r["mn"], r["mx"], 0]
-    for _level in range(_MAX_LEVELS):
-        if not open_t:
-            break
-        brackets = sorted({(g, lo, hi) for (g, _r), (lo, hi, _b) in open_t.items()},
-                          key=lambda t: (str(t[0]), t[1]))
-        bid_of = {b: i for i, b in enumerate(brackets)}
-        btab = bounded_broadcast(spark.createDataFrame(
-            [(g, i, lo, hi) for (g, lo, hi), i in bid_of.items()], bschema))
-        inside = data.join(btab, "__g").filter((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
-        w = (F.col("hi") - F.col("lo")) / F.lit(bins)
-        b_expr = F.when(w > 0, F.least(F.floor((F.col("__x") - F.col("lo")) / w), F.lit(bins - 1))) \
-            .otherwise(F.when(F.col("__x") > F.col("lo"), F.lit(bins - 1)).otherwise(F.lit(0)))
-        hist = (inside.groupBy("bid", b_expr.cast("int").alias("bin"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("mn"), F.max("__x").alias("mx"))
-                .collect())
-        per: dict[int, list] = defaultdict(list)
-        for h in hist:
-            per[h["bid"]].append((h["bin"], h["n"], h["mn"], h["mx"]))
-        to_fetch = {}
-        for (g, rank), (lo, hi, base) in list(open_t.items()):
-            cum = base
-            for _bin, n, bmn, bmx in sorted(per[bid_of[(g, lo, hi)]]):
-                if cum <= rank < cum + n:
-                    if bmn == bmx:
-                        result[(g, rank)] = bmn
-                        del open_t[(g, rank)]
-                    else:
-                        open_t[(g, rank)] = [bmn, bmx, cum]
-                        if n <= collect_max:
-                            to_fetch[(g, rank)] = (bmn, bmx, cum)
-                    break
-                cum += n
-        if to_fetch:
-            fb = sorted({(g, lo, hi) for (g, _r), (lo, hi, _b) in to_fetch.items()},
-                        key=lambda t: (str(t[0]), t[1]))
-            fid = {b: i for i, b in enumerate(fb)}
-            ftab = bounded_broadcast(spark.createDataFrame(
-                [(g, i, lo, hi) for (g, lo, hi), i in fid.items()], bschema))
-            rows = (data.join(ftab, "__g")
-                    .filter((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
-                    .select("bid", "__x").collect())
-            vals: dict[int, list] = defaultdict(list)
-            for r in rows:
-                vals[r["bid"]].append(r["__x"])
-            for (g, rank), (lo, hi, base) in to_fetch.items():
-                result[(g, rank)] = sorted(vals[fid[(g, lo, hi)]])[rank - base]
-                del open_t[(g, rank)]
-    if open_t:
-        raise RuntimeError("grouped quantile selection did not converge")
-    return result
+def grouped_quantiles(df: DataFrame, by: str, col: str, probs: list[float]) -> DataFrame:
+    """Exact quantiles of ``col`` per group: ``(by, n, q0, q1, ...)``; a missing
+    group and missing values are left out."""
+    from quarry.functions.missing import is_missing
+    from quarry.plans.materialize import materialize
+
+    probs = [float(p) for p in probs]
+    data = (df.filter(~is_missing(df, by)).select(F.col(by).alias("__g"), clean(df, col).alias("__x"))
+            .filter(F.col("__x").isNotNull()))
+    # a third sort key spreads a value that very many rows share
+    ordered = (data.withColumn("__tie", F.monotonically_increasing_id())
+               .repartitionByRange("__g", "__x", "__tie").sortWithinPartitions("__g", "__x"))
+    placed = materialize(ordered.select("__g", "__x", F.monotonically_increasing_id().alias("__at")), "sorted")
+    part = F.shiftright("__at", 33)
+    runs = placed.groupBy("__g", part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = Window.partitionBy("__g").orderBy("__part")
+    runs = (runs.withColumn("__before", F.sum("__n").over(before) - F.col("__n"))
+            .withColumn("n", F.sum("__n").over(Window.partitionBy("__g"))))
+    # the ranks around each quantile that lie in this run
+    pos = F.transform(F.array(*[F.lit(p) for p in probs]), lambda p: p * (F.col("n") - 1).cast("double"))
+    wanted = F.array_distinct(F.flatten(F.transform(pos, lambda q: F.array(F.floor(q), F.ceil(q)))))
+    here = F.filter(wanted, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n")))
+    asked = materialize(runs.select("n", "__before", "__first", F.explode(here).alias("__rank"))
+                        .select("n", "__rank", (F.col("__first") + F.col("__rank") - F.col("__before")).alias("__at")), "ranks")
+    found = placed.join(asked, "__at")
+    n1 = (F.max("n") - 1).cast("double")
+    aggs = [F.max("n").alias("n")]
+    for i, p in enumerate(probs):
+        at = F.lit(p) * (F.col("n") - 1).cast("double")
+        aggs += [F.max(F.when(F.col("__rank") == F.floor(at), F.col("__x"))).alias(f"__a{i}"),
+                 F.max(F.when(F.col("__rank") == F.ceil(at), F.col("__x"))).alias(f"__b{i}"),
+                 (F.lit(p) * n1 - F.floor(F.lit(p) * n1)).alias(f"__t{i}")]
+    g = found.groupBy("__g").agg(*aggs)
+    outs = [F.when((F.col(f"__t{i}") == 0) | (F.col(f"__a{i}") == F.col(f"__b{i}")), F.col(f"__a{i}"))
+            .otherwise(F.col(f"__a{i}") + (F.col(f"__b{i}") - F.col(f"__a{i}")) * F.col(f"__t{i}")).alias(f"q{i}")
+            for i in range(len(probs))]
+    return g.select(F.col("__g").alias(by), "n", *outs)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from quarry.operators.quantiles import clean
+
 
 @dataclass(frozen=True)
 class ScalerStats:
@@ -37,12 +39,12 @@ def fit_scaler(df: DataFrame, cols: list[str], kind: str = "minmax") -> ScalerSt
     cols = list(cols)
     if kind == "minmax":
         aggs = [e for i, c in enumerate(cols)
-                for e in (F.min(F.col(c).cast("double")).alias(f"a{i}"),
-                          F.max(F.col(c).cast("double")).alias(f"b{i}"))]
+                for e in (F.min(clean(df, c)).alias(f"a{i}"),
+                          F.max(clean(df, c)).alias(f"b{i}"))]
     elif kind == "standard":
         aggs = [e for i, c in enumerate(cols)
-                for e in (F.avg(F.col(c).cast("double")).alias(f"a{i}"),
-                          F.stddev_pop(F.col(c).cast("double")).alias(f"b{i}"))]
+                for e in (F.avg(clean(df, c)).alias(f"a{i}"),
+                          F.stddev_pop(clean(df, c)).alias(f"b{i}"))]
     else:
         raise ValueError("kind must be 'minmax' or 'standard'")
     row = df.agg(*aggs).first()

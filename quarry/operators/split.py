@@ -25,10 +25,14 @@ FETCH_MAX = 50_000       # rows fetched to the driver at the final level
 
 
 def key_text(key) -> Column:
+    """The key as one text; NULL if any part is. Parts of a composite key are
+    joined by ``|``, and a ``|`` or backslash inside a part is escaped, so
+    different keys have different texts."""
     cols = [key] if isinstance(key, str) else list(key)
     if len(cols) == 1:
         return F.col(cols[0]).cast("string")
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    parts = [F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for c in cols]
+    return F.concat(*[x for p in parts for x in (F.lit("|"), p)][1:])
 
 
 def hash_order(key, seed: int) -> Column:
@@ -102,18 +106,12 @@ def three_way_split(df: DataFrame, key, test_size: float = 0.2, validate_size: f
     ``key`` (a column or list of columns) must identify rows uniquely."""
     h = hash_order(key, seed)
     k = key_text(key)
-    n = df.count()
+    n, without = df.agg(F.count(F.lit(1)), F.count_if(k.isNull())).first()
+    if without:
+        raise ValueError(f"{without} rows have no complete split key")
     _train, n_val, n_test = split_sizes(n, test_size, validate_size)
 
-    cuts = [p for p in (n_test, n_test + n_val) if 0 < p < n]
-    if n <= FETCH_MAX:
-        # a frame of at most FETCH_MAX rows is ordered on the driver in one job
-        small = sorted((r["h"], r["k"]) for r in df.select(h.alias("h"), k.alias("k")).collect())
-        if any(small[p] == small[p - 1] for p in cuts):
-            raise ValueError("split key is not unique: duplicate rows straddle a cut")
-        found = {p: small[p] for p in cuts}
-    else:
-        found = _thresholds(df, h, k, cuts)
+    found = _thresholds(df, h, k, [p for p in (n_test, n_test + n_val) if 0 < p < n])
 
     def before(pos: int) -> Column:
         if pos <= 0:
@@ -129,13 +127,6 @@ def three_way_split(df: DataFrame, key, test_size: float = 0.2, validate_size: f
     return df.withColumn(column, label)
 
 
-def banana_split(df: DataFrame, key, seed: int = 713) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(train, validate, test) frames of the 56/24/20 split."""
-    s = three_way_split(df, key, seed=seed, column="__split")
-    return tuple(s.filter(F.col("__split") == part).drop("__split")
-                 for part in ("train", "validate", "test"))
-
-
 def sample_n(df: DataFrame, n: int, key, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows (or all), chosen by hash order: deterministic and
     independent of partitioning. Each task keeps its own top ``n`` only."""
@@ -149,31 +140,15 @@ def head_n(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, by: str, n: int, key, seed: int = 0) -> DataFrame:
-    """Up to ``n`` rows per value of ``by``, the ones first in hash order.
-
-    A window over each group would sort a hot group in one task. Instead the
-    group sizes (one partial aggregate) set a hash threshold per group that
-    keeps about ``2n`` rows; the exact top ``n`` is then ranked inside that
-    small remainder. Groups that kept too few rows are retried with a wider
-    threshold, so the result is exact.
-    """
+    """Up to ``n`` rows per value of ``by``, the ones first in hash order; rows
+    whose ``by`` is missing are left out.
+
+    The rank limit is pushed below the exchange (``WindowGroupLimit``): each
+    task keeps its own first ``n`` rows per value, so at most tasks x n rows
+    of a value meet, however hot it is."""
     from pyspark.sql import Window
-    h = hash_order(key, seed)
-    u = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / float(16 ** 12)
-    from quarry.operators.joins import small_side
-    # group sizes, evaluated once (broadcast when there are few groups)
-    sizes = small_side(df.groupBy(by).agg(F.count(F.lit(1)).alias("__cnt")))
-    factor = 2.0
-    while True:
-        frac = F.least(F.lit(1.0), (F.lit(factor * n) + F.lit(16.0)) / F.col("__cnt"))
-        kept = (df.join(sizes, on=by, how="inner")
-                .withColumn("__u", u).filter(F.col("__u") <= frac))
-        w = Window.partitionBy(by).orderBy(h, key_text(key))
-        ranked = kept.withColumn("__rn", F.row_number().over(w))
-        kept_n = kept.groupBy(by).agg(F.count(F.lit(1)).alias("__k"))
-        short = (sizes.join(kept_n, on=by, how="left")
-                 .filter(F.coalesce("__k", F.lit(0)) < F.least(F.col("__cnt"), F.lit(n)))
-                 .limit(1).count())
-        if short == 0:
-            return ranked.filter(F.col("__rn") <= n).drop("__rn", "__u", "__cnt")
-        factor *= 4
+
+    from quarry.functions.missing import is_missing
+    w = Window.partitionBy(by).orderBy(hash_order(key, seed), key_text(key))
+    ranked = df.filter(~is_missing(df, by)).withColumn("__rn", F.row_number().over(w))
+    return ranked.filter(F.col("__rn") <= n).drop("__rn")

@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.missing import is_missing
+from quarry.operators.quantiles import clean
+
 
 def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     """One-way ANOVA F statistic of ``value`` across the groups of ``group``.
 
-    Per group ``count, avg, var_pop`` (one partially aggregated job), then a
-    second aggregate over the group rows:
-    ``ss_within = sum(n_g * var_g)``, ``ss_between = sum(n_g * avg_g^2) -
-    (sum(n_g * avg_g))^2 / N``. Output ``(n_groups, n, df_between,
+    One job finds the grand mean ``m``. Per group, ``count``, the mean's
+    distance ``d_g`` from ``m`` and ``var_pop`` (partially aggregated), then an
+    aggregate over the group rows: ``ss_within = sum(n_g * var_g)``,
+    ``ss_between = sum(n_g * d_g^2)``, which stays exact where values are large
+    and groups close. Missing values and a missing group are left out. Output ``(n_groups, n, df_between,
     df_within, ss_between, ss_within, f_stat)``.
     """
-    x = F.col(value).cast("double")
+    df = df.filter(~is_missing(df, group))
+    x = clean(df, value)
+    grand = df.agg(F.avg(x)).first()[0]
+    x = x - F.lit(grand if grand is not None else 0.0)
     g = (df.filter(x.isNotNull()).groupBy(group)
          .agg(F.count(x).alias("n"), F.avg(x).alias("m"), F.var_pop(x).alias("v")))
     tot = g.agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n").alias("n"),
@@ -35,8 +42,8 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
 def cluster_profile(df: DataFrame, cluster: str, features: list[str],
                     target: str | None = None) -> DataFrame:
     """Size and feature means (and target mean) of every cluster."""
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(F.col(c).cast("double")).alias(f"avg_{c}")
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(clean(df, c)).alias(f"avg_{c}")
                                             for c in features]
     if target:
-        aggs.append(F.avg(F.col(target).cast("double")).alias(f"avg_{target}"))
+        aggs.append(F.avg(clean(df, target)).alias(f"avg_{target}"))
     return df.groupBy(cluster).agg(*aggs)

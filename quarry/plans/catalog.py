@@ -107,9 +107,9 @@ def acquire_latest_first(spark, sf_dir):
 
 @register("acquire_hot_split", ACQUIRE_TIES_SQL)
 def acquire_hot_split(spark, sf_dir):
-    # customers with more than 14 orders take the broadcast (no-shuffle) path
-    # of the latest-order join, the others the shuffle join; same result
-    return latest_orders_wide(spark, sf_dir, 2001, ties="keep", hot_key_rows=14)
+    # the same plan: a hot customer's rows are spread over its dates by the
+    # (key, date) join and split by the skew-join rule
+    return latest_orders_wide(spark, sf_dir, 2001, ties="keep")
 
 
 @register("acquire_sql", ACQUIRE_TIES_SQL)
@@ -123,11 +123,20 @@ def acquire_sql(spark, sf_dir):
 SNAPSHOT_VERSION = 1
 
 
+def _input_state(spark, sf_dir: str) -> str:
+    """Names, lengths and times of the input files, so that a snapshot of
+    other contents is not read back."""
+    files = sorted(f for t in ("customer", "orders", "nation", "region") for f in read_table(spark, sf_dir, t).inputFiles())
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    states = [path(f).getFileSystem(conf).getFileStatus(path(f)) for f in files]
+    return str([(f, s.getLen(), s.getModificationTime()) for f, s in zip(files, states)])
+
+
 def _scratch_path(spark, kind: str, sf_dir: str) -> str:
     """A folder under the cluster's checkpoint directory, keyed by input."""
     import hashlib
     from quarry.session import checkpoint_dir
-    tag = hashlib.md5(f"{SNAPSHOT_VERSION}:{sf_dir}".encode()).hexdigest()[:12]
+    tag = hashlib.md5(f"{SNAPSHOT_VERSION}:{sf_dir}:{_input_state(spark, sf_dir)}".encode()).hexdigest()[:12]
     return f"{checkpoint_dir(spark).rstrip('/')}/quarry-{kind}/{tag}"
 
 

@@ -3,6 +3,8 @@ plot data, group statistics."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarry.operators import clean, plotdata, profile, split, stats
@@ -23,7 +25,9 @@ def _overview_sql(table: str, cols: list[str], numeric: list[str], thresh: int =
   SELECT v.column_name, nu.n_unique, 'value' AS kind, v.value,
          CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, count(*) AS count
   FROM vals v JOIN nu USING (column_name) WHERE nu.n_unique <= {thresh}
-  GROUP BY v.column_name, nu.n_unique, v.value"""]
+  GROUP BY v.column_name, nu.n_unique, v.value""", """
+  SELECT v.column_name, nu.n_unique, 'column', NULL, NULL, NULL, count(v.value)
+  FROM vals v JOIN nu USING (column_name) GROUP BY v.column_name, nu.n_unique"""]
     for c in numeric:
         st = f"(SELECT CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx FROM {table})"
         w = f"((st.mx - st.mn) / {bins})"
@@ -320,27 +324,41 @@ def scatter_sample(spark, sf_dir):
 # ----------------------------------------------------------- group stats
 
 
-@register("anova_f", """
-WITH g AS (SELECT l_returnflag, count(l_extendedprice) AS n, avg(l_extendedprice) AS m,
-                  var_pop(l_extendedprice) AS v
-           FROM lineitem GROUP BY l_returnflag),
-t AS (SELECT count(*) AS n_groups, sum(n) AS n, sum(n * m) AS s1, sum(n * m * m) AS s2,
-             sum(n * v) AS ss_within FROM g)
+def _anova_sql(table: str) -> str:
+    return f"""
+t AS (SELECT avg(l_extendedprice) AS grand FROM {table} WHERE l_returnflag IS NOT NULL),
+g AS (SELECT l_returnflag, count(l_extendedprice) AS n, avg(l_extendedprice) AS m
+      FROM {table} WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag),
+w AS (SELECT sum((l.l_extendedprice - g.m) * (l.l_extendedprice - g.m)) AS ss_within
+      FROM {table} l JOIN g USING (l_returnflag)),
+b AS (SELECT count(*) AS n_groups, sum(n) AS n, sum(n * (m - grand) * (m - grand)) AS ss_between FROM g, t)
 SELECT n_groups, CAST(n AS BIGINT) AS n, n_groups - 1 AS df_between,
        CAST(n - n_groups AS BIGINT) AS df_within,
-       round_even((s2 - s1 * s1 / n) / 1e6, 3) AS ss_between_m,
+       round_even(ss_between / 1e6, 3) AS ss_between_m,
        round_even(ss_within / 1e6, 3) AS ss_within_m,
-       round_even(((s2 - s1 * s1 / n) / (n_groups - 1)) / (ss_within / (n - n_groups)), 6) AS f_stat
-FROM t
-""")
-def anova_f(spark, sf_dir):
-    a = stats.anova_oneway(read_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice")
+       round_even((ss_between / (n_groups - 1)) / (ss_within / (n - n_groups)), 6) AS f_stat
+FROM b, w
+"""
+
+
+def _anova(df):
+    a = stats.anova_oneway(df, "l_returnflag", "l_extendedprice")
     return a.select("n_groups", "n", "df_between", "df_within",
                     F.bround(F.col("ss_between") / 1e6, 3).alias("ss_between_m"),
                     F.bround(F.col("ss_within") / 1e6, 3).alias("ss_within_m"),
                     F.bround("f_stat", 6).alias("f_stat"))
 
 
+@register("anova_f", "WITH " + _anova_sql("lineitem"))
+def anova_f(spark, sf_dir):
+    return _anova(read_table(spark, sf_dir, "lineitem"))
+
+
+@register("anova_f_with_missing", "WITH " + GAPPY_LINEITEM_SQL + "," + _anova_sql("gappy"))
+def anova_f_with_missing(spark, sf_dir):
+    return _anova(gappy_lineitem(spark, sf_dir))
+
+
 @register("cluster_profile", """
 SELECT l_returnflag, count(*) AS n, round_even(avg(l_quantity), 6) AS avg_l_quantity,
        round_even(avg(l_discount), 6) AS avg_l_discount,
@@ -361,11 +379,10 @@ SELECT l_returnflag, count(l_extendedprice) AS n, quantile_cont(l_extendedprice,
 FROM lineitem GROUP BY l_returnflag
 """)
 def quartiles_by_category(spark, sf_dir):
-    # heavy_rows=1 sends every category through the bounded selection path
     # (the one a hot category takes at scale), so the check covers it
     from quarry.operators.quantiles import grouped_quantiles
     return grouped_quantiles(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
-                             "l_extendedprice", [0.25, 0.5, 0.75], heavy_rows=1)
+                             "l_extendedprice", [0.25, 0.5, 0.75])
 
 
 @register("violin_kde", """
@@ -476,3 +493,74 @@ LIMIT 20
 def outlier_sample_q(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "value")
     return plotdata.outlier_sample(ev, "value", "event_id", n=20)
+
+
+# ------------------------- the same operators over a table with missing values
+
+def _on_gappy(name: str, keep: str = "TRUE") -> str:
+    """The oracle of ``name`` over the rows of ``gappy`` that ``keep`` names."""
+    from quarry.plans.catalog import ORACLE
+    sql = re.sub(r"\blineitem\b", "present", ORACLE[name])
+    rest = sql[sql.index("WITH") + 4:] if sql.lstrip().startswith("WITH") else None
+    head = "WITH " + GAPPY_LINEITEM_SQL + f", present AS (SELECT * FROM gappy WHERE {keep})"
+    return head + (", " + rest if rest else "\n" + sql)
+
+
+@register("box_stats_with_missing", _on_gappy("box_stats"))
+def box_stats_with_missing(spark, sf_dir):
+    return plotdata.box_stats(gappy_lineitem(spark, sf_dir),
+                              ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@register("box_stats_by_category_with_missing", _on_gappy("box_stats_by_category", "l_returnflag IS NOT NULL"))
+def box_stats_by_category_with_missing(spark, sf_dir):
+    return plotdata.box_stats_by(gappy_lineitem(spark, sf_dir), "l_returnflag", "l_extendedprice")
+
+
+@register("quartiles_by_category_with_missing", _on_gappy("quartiles_by_category", "l_returnflag IS NOT NULL"))
+def quartiles_by_category_with_missing(spark, sf_dir):
+    from quarry.operators.quantiles import grouped_quantiles
+    return grouped_quantiles(gappy_lineitem(spark, sf_dir), "l_returnflag", "l_extendedprice", [0.25, 0.5, 0.75])
+
+
+@register("violin_kde_with_missing", _on_gappy("violin_kde", "l_returnflag IS NOT NULL"))
+def violin_kde_with_missing(spark, sf_dir):
+    k = plotdata.kde_by(gappy_lineitem(spark, sf_dir), "l_returnflag", "l_extendedprice")
+    return k.select("l_returnflag", F.bround("grid_x", 6).alias("grid_x"),
+                    F.bround("density", 15).alias("density"))
+
+
+@register("sample_per_flag_with_missing", _on_gappy("sample_per_flag", "l_returnflag IS NOT NULL"))
+def sample_per_flag_with_missing(spark, sf_dir):
+    li = gappy_lineitem(spark, sf_dir).select(*LI_KEY, "l_returnflag", "l_extendedprice")
+    return split.stratified_sample(li, "l_returnflag", 20, LI_KEY, seed=7)
+
+
+@register("histogram_2d_with_missing", _on_gappy("histogram_2d", "l_quantity IS NOT NULL AND l_discount IS NOT NULL"))
+def histogram_2d_with_missing(spark, sf_dir):
+    both = gappy_lineitem(spark, sf_dir).filter("l_quantity IS NOT NULL AND l_discount IS NOT NULL")
+    return plotdata.histogram_2d(both, "l_quantity", "l_discount")
+
+
+@register("pair_regression_with_missing", _on_gappy("pair_regression"))
+def pair_regression_with_missing(spark, sf_dir):
+    out = plotdata.pair_regression(gappy_lineitem(spark, sf_dir), _PAIR_COLS)
+    return out.select("x", "y", "n", *[F.bround(c, 6).alias(c)
+                                       for c in ("slope", "intercept", "r", "r2")])
+
+
+@register("kde_grid_with_missing", _on_gappy("kde_grid", "l_quantity IS NOT NULL").replace("l_extendedprice", "l_quantity")
+          .replace("l_quantity,\n         CASE", "l_extendedprice,\n         CASE"))
+def kde_grid_with_missing(spark, sf_dir):
+    out = plotdata.kde_grid(gappy_lineitem(spark, sf_dir), "l_quantity")
+    return out.select("column_name", F.bround("grid_x", 6).alias("grid_x"),
+                      F.bround("density", 15).alias("density"))
+
+
+@register("cluster_profile_with_missing", _on_gappy("cluster_profile"))
+def cluster_profile_with_missing(spark, sf_dir):
+    p = stats.cluster_profile(gappy_lineitem(spark, sf_dir), "l_returnflag",
+                              ["l_quantity", "l_discount"], "l_extendedprice")
+    return p.select("l_returnflag", "n", *[F.bround(c, 6).alias(c) for c in
+                                           ("avg_l_quantity", "avg_l_discount",
+                                            "avg_l_extendedprice")])

@@ -13,7 +13,7 @@ def make_blobs(spark: SparkSession, n: int = 300, centers: int = 4, std: float =
     ``box``; columns ``id, x0..x{dims-1}, true_cluster``. Generated on the
     executors from ``spark.range``; deterministic for a fixed ``partitions``."""
     lo, hi = box
-    cen = spark.range(centers).select(
+    cen = spark.range(0, centers, 1, 1).select(
         F.col("id").cast("int").alias("true_cluster"),
         *[(F.rand(seed * 1000 + d) * (hi - lo) + lo).alias(f"c{d}") for d in range(dims)])
     pts = spark.range(0, n, 1, partitions).withColumn(

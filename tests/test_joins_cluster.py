@@ -31,13 +31,6 @@ def test_lookup_chain_left_and_dead(spark):
     assert out.columns == ["dim_id", "k", "dim_desc"] or "dim_desc" in out.columns
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(3)
-    assert joins.bounded_broadcast(small, max_rows=2) is small
-    hinted = joins.bounded_broadcast(small, max_rows=10)
-    assert hinted is not small
-
-
 def test_scaler_inverse_roundtrip_and_constant(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0), (10.0, 5.0)], "a double, b double")
     for kind in ("minmax", "standard"):

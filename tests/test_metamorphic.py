@@ -24,8 +24,8 @@ def test_selection_and_grouping(spark, li, parts):
     re = li.repartition(parts)
     cols = ["l_quantity", "l_extendedprice"]
     assert exact_quantiles(re, cols, [0.1, 0.5, 0.9]) == exact_quantiles(li, cols, [0.1, 0.5, 0.9])
-    assert _rows(grouped_quantiles(re, "l_returnflag", "l_extendedprice", [0.5], heavy_rows=100)) == \
-        _rows(grouped_quantiles(li, "l_returnflag", "l_extendedprice", [0.5], heavy_rows=100))
+    assert _rows(grouped_quantiles(re, "l_returnflag", "l_extendedprice", [0.5])) == \
+        _rows(grouped_quantiles(li, "l_returnflag", "l_extendedprice", [0.5]))
     assert _rows(clean.remove_outliers(re, 1.5, cols)) == _rows(clean.remove_outliers(li, 1.5, cols))
 
 

@@ -14,17 +14,23 @@ on full sets and union-find grouping.
 3. Bands of ``rows`` cells. In every bucket (band, cells) each member is
    paired with the smallest one only; pairs are verified on full sets and the
    links are grouped.
-4. Buckets that still hold different components are looked at again: each
-   member outside the component of the bucket's smallest one is paired with
-   the bucket's members of other components that share two bands at least and
-   whose set size allows the threshold. These are verified too, and the
+4. Buckets that still hold different components are looked at again, some
+   rounds long: members outside the bucket's smallest component are paired
+   with one member of it, drawn by a hash that differs by bucket and round.
+   A document shares buckets with those most like it, so nearly every one that
+   belongs to a group finds a partner here after a few pairs.
+5. In buckets that then still hold different components, each member outside
+   the smallest one is paired with all members of other components, where set
+   sizes allow the threshold and the share of equal signature cells is not
+   ``SLACK`` standard errors below it. These are verified too, and the
    components of all links together are the result. After that, each two
-   members of a bucket are in one component or were compared or ruled out, so
-   the components lose nothing that the bands found; within a large group of
-   near copies no pairs but those to its smallest member are made.
+   members of a bucket are in one component, or were compared, or ruled out, so
+   the components lose nothing that the bands found; and a large group of near
+   copies is joined by a few pairs per member, not by all of them.
 
 With 28 bands of 4 cells a pair of similarity 0.8 shares no band with a
-probability of 4e-7 and fewer than two with 8e-6; 1 - (1 - s^4)^28.
+probability of 4e-7, 1 - (1 - s^4)^28; the cut of step 5 rules one out with
+4e-6.
 
 Confirmed links have 100 * intersection >= 80 * union (``threshold`` in
 percent) on the full sets.
@@ -51,6 +57,8 @@ from quarry.llm.graph import components
 
 BANDS, ROWS = 28, 4
 WORDS, THRESHOLD = 4, 80
+#: Rounds of drawn partners; standard errors of the last step's cut.
+ROUNDS, SLACK = 3, 4.5
 SLICE = 2 << 20
 
 
@@ -96,23 +104,27 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, bands) of each document."""
+    """(doc_id, n_shingles, d1, d2, bands, cells) of each document; ``cells`` are
+    the low bits of the signature's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in arrow_slices(batch, "text", SLICE):
                 elements, offsets = shingles(*column_bytes(part.column("text")), words)
-                keys = band_keys(super_minhash(elements, offsets, bands * rows), bands, rows)
+                signatures = super_minhash(elements, offsets, bands * rows)
+                keys = band_keys(signatures, bands, rows)
+                low = (signatures & U(0xFFFF)).astype(np.uint16).view(np.int16).reshape(-1)
                 sums = []
                 for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
                     total = np.concatenate([np.zeros(1, U), np.cumsum(mix(elements ^ U(salt)), dtype=U)])
                     sums.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1).view(np.int64)))
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * bands * rows), pa.array(low))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(sums[0]), pa.array(sums[1]), lists],
-                    names=["doc_id", "n_shingles", "d1", "d2", "bands"])
+                    [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(sums[0]), pa.array(sums[1]), lists, cells],
+                    names=["doc_id", "n_shingles", "d1", "d2", "bands", "cells"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, cells array<short>")
 
 
 def verify(pairs: DataFrame, held: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -139,43 +151,63 @@ def verify(pairs: DataFrame, held: DataFrame, words: int = WORDS, threshold: int
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, threshold: int = THRESHOLD,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     given = texts(docs)
     sketch = scratch.write(sketches(given, words, bands, rows), "sketch")
     key = ["d1", "d2", "n_shingles"]
-    classes = sketch.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")).where("rep is not null")
+    classes = (sketch.where("n_shingles > 0").groupBy(*key)
+               .agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("cells").alias("cells")).where("rep is not null"))
     classes = scratch.write(classes, "classes")
-    placed = classes.select("rep", "n_shingles", "bands", F.explode("bands").alias("bucket"))
+    placed = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     members = scratch.write(placed.join(shared.select("bucket", "lead"), "bucket"), "members")
-    pairs = scratch.write(members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     held = scratch.write(given.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").distinct(), "held")
-    links = scratch.write(verify(pairs, held, words, threshold), "links")
-    first = components(links, scratch, "first")
-    # buckets that hold more than one component
-    named = (members.join(first, members["rep"] == first["node"], "left")
-             .select("bucket", "rep", "lead", "n_shingles", "bands", F.coalesce("component", "rep").alias("c")))
-    named = scratch.write(named, "named")
-    mixed = (named.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.when(F.col("rep") == F.col("lead"), F.col("c"))).alias("main"))
-             .where("low <> high").select("bucket", "main"))
-    open_ = scratch.write(named.join(mixed, "bucket"), "open")
-    side = lambda p, df: df.select("bucket", *[F.col(c).alias(f"{p}_{c}") for c in ("rep", "c", "n_shingles", "bands")])
+
+    tested = scratch.write(members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "tested-0")
+    groups = components(scratch.write(verify(tested, held, words, threshold), "links-0"), scratch, "groups-0")
+
+    def buckets_by_component(step: int) -> tuple[DataFrame, DataFrame]:
+        """Members with their component ``c``, and the buckets that hold several:
+        (bucket, main, drawn), a member of the smallest component ``main``."""
+        named = scratch.write(members.join(groups, members["rep"] == groups["node"], "left")
+                              .select("bucket", "rep", F.coalesce("component", "rep").alias("c")), f"named-{step}")
+        drawn = F.min(F.struct("c", F.xxhash64("rep", "bucket", F.lit(step)).alias("h"), "rep"))
+        mixed = (named.groupBy("bucket").agg(drawn.alias("first"), F.max("c").alias("high")).where("first.c <> high")
+                 .select("bucket", F.col("first.c").alias("main"), F.col("first.rep").alias("drawn")))
+        return named, scratch.write(mixed, f"mixed-{step}")
+
+    def grouped_with(pairs: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+        """The groups with the links among ``pairs``, and all pairs tested."""
+        fresh = scratch.write(pairs.join(tested, ["a", "b"], "left_anti"), f"fresh-{step}")
+        stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        links = scratch.write(stars.union(verify(fresh, held, words, threshold)), f"links-{step}")
+        return components(links, scratch, f"groups-{step}"), tested.union(fresh)
+
+    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    for step in range(1, rounds + 1):
+        named, mixed = buckets_by_component(step)
+        groups, tested = grouped_with(named.join(mixed, "bucket").where("c <> main").select(*pair("rep", "drawn")).distinct(), step)
+
+    named, mixed = buckets_by_component(rounds + 1)
+    open_ = scratch.write(named.join(mixed.select("bucket", "main"), "bucket").join(classes.select("rep", "n_shingles", "cells"), "rep"), "open")
+    side = lambda p, df: df.select("bucket", *[F.col(c).alias(f"{p}_{c}") for c in ("rep", "c", "n_shingles", "cells")])
     small, large = F.least("x_n_shingles", "y_n_shingles"), F.greatest("x_n_shingles", "y_n_shingles")
-    more = (side("x", open_.where("c <> main")).join(side("y", open_), "bucket")
-            .where((F.col("x_c") != F.col("y_c")) & (100 * small >= threshold * large)
-                   & (F.size(F.array_intersect("x_bands", "y_bands")) >= min(2, bands)))
-            .select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    late = verify(more, held, words, threshold)
-    stars = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = components(stars.union(late), scratch, "last")
-    grouped = (classes.drop("bands").join(final, classes["rep"] == final["node"], "left")
+    share, count = threshold / 100, bands * rows
+    least = int(max(0.0, share * count - SLACK * (share * (1 - share) * count) ** 0.5))
+    equal = F.aggregate(F.zip_with("x_cells", "y_cells", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, e: n + e)
+    last = (side("x", open_.where("c <> main")).join(side("y", open_), "bucket")
+            .where((F.col("x_c") != F.col("y_c")) & (100 * small >= threshold * large) & (equal >= least))
+            .select(*pair("x_rep", "y_rep")).distinct())
+    groups, tested = grouped_with(last, rounds + 1)
+
+    grouped = (classes.drop("bands", "cells").join(groups, classes["rep"] == groups["node"], "left")
                .select(*[F.col(k).alias(f"_{k}") for k in key], F.coalesce("component", "rep").alias("component")))
+    grouped = scratch.write(grouped, "grouped")
     on = (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n_shingles") == F.col("_n_shingles"))
     found = F.coalesce("component", "doc_id")
-    return (sketch.drop("bands").join(grouped, on, "left")
+    return (sketch.drop("bands", "cells").join(grouped, on, "left")
             .select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept")))
 
 

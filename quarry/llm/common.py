@@ -53,7 +53,8 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         # Spark deletes the shuffle files of a finished plan once the driver's
         # heap is collected, which may come late; large jobs need the disk.
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

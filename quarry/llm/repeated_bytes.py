@@ -135,9 +135,9 @@ def _blocks(width: int, size: int):
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c).take(at) for c in ("key", "th", "alone", "one")]
-                    + [pa.array((low[row] + back[row] - far).astype(np.int32)), pa.array((far - near + 1).astype(np.int32)), pa.array(far.astype(np.int32)),
-                       pa.array(b.astype(np.int32)), pa.array(core.view(np.int64)), pa.array(cover.view(np.int64))],
-                    names=["key", "th", "alone", "one", "low", "n", "back", "b", "core", "cover"])
+                    + [pa.array(low[row].astype(np.int32)), pa.array((low[row] + back[row] - far).astype(np.int32)), pa.array((far - near + 1).astype(np.int32)),
+                       pa.array(far.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(core.view(np.int64)), pa.array(cover.view(np.int64))],
+                    names=["key", "th", "alone", "one", "run", "low", "n", "back", "b", "core", "cover"])
     return run
 
 
@@ -187,23 +187,38 @@ def _with_bytes(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor: int = ANCHOR, block: int = 8) -> DataFrame:
     """``docs`` as of ``keyed`` -> (key, th, low, high): the bytes low ..
-    high - 1 are covered by repeated windows. Spans may touch and overlap."""
+    high - 1 are covered by repeated windows. Spans may touch and overlap.
+
+    Each pass writes what the next ones need and drops what they don't."""
+    def spans(rows: DataFrame, name: str) -> DataFrame:
+        return scratch.write(rows.select("key", "th", "low", (F.col("low") + F.col("n") - 1 + width).alias("high")), name)
+
     runs_ = docs.select(F.col("_key").alias("key"), F.col("_th").alias("th"), F.col("_text").alias("text"))
     records = scratch.write(runs_.mapInArrow(_run_rows(width, anchor), "key long, th int, low int, n int, back int, one long, two long"), "records")
     again = records.groupBy("one").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("one")
     shared = scratch.write(records.join(again, "one", "left_semi").withColumn("alone", F.lit(True)), "shared")
     scratch.drop("records")
-    whole_runs, open_runs = _refine(shared, ["one"], "two", scratch, "runs")
-    schema = "key long, th int, alone boolean, one long, low int, n int, back int, b int, core long, cover long"
-    blocks = scratch.write(_with_bytes(docs, open_runs, width).mapInArrow(_blocks(width, block), schema), "blocks")
-    whole_blocks, open_blocks = _refine(blocks, ["one", "b", "core"], "cover", scratch, "blocks")
+    done, open_ = _refine(shared, ["one"], "two", scratch, "runs")
+    whole_runs = spans(done, "whole-runs")
+    open_runs = scratch.write(_with_bytes(docs, open_, width), "open-runs")
+    scratch.drop("shared", "runs-kinds")
+
+    schema = "key long, th int, alone boolean, one long, run int, low int, n int, back int, b int, core long, cover long"
+    blocks = scratch.write(open_runs.mapInArrow(_blocks(width, block), schema), "blocks")
+    done, open_ = _refine(blocks, ["one", "b", "core"], "cover", scratch, "blocks")
+    whole_blocks = spans(done, "whole-blocks")
+    run = [F.col(c).alias(f"_{c}") for c in ("key", "th", "low", "bytes")]
+    held = (open_.join(open_runs.select(*run), (F.col("key") == F.col("_key")) & (F.col("th") == F.col("_th")) & (F.col("run") == F.col("_low")))
+            .withColumn("bytes", F.substring("_bytes", F.col("low") - F.col("run") + 1, F.col("n") + (width - 1))))
     schema = "key long, th int, alone boolean, one long, low int, back int, whole long"
-    windows = scratch.write(_with_bytes(docs, open_blocks.drop("b", "core"), width).mapInArrow(_windows(width), schema), "windows")
+    windows = scratch.write(held.select("key", "th", "alone", "one", "low", "n", "back", "bytes").mapInArrow(_windows(width), schema), "windows")
+    scratch.drop("open-runs", "blocks", "blocks-kinds")
+
     digits = ["one", "back", "whole"]
     equal = windows.groupBy(*digits).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*digits)
-    single = windows.where("alone").join(equal, digits, "left_semi").withColumn("n", F.lit(1))
-    span = lambda df: df.select("key", "th", "low", (F.col("low") + F.col("n") - 1 + width).alias("high"))
-    return span(whole_runs).union(span(whole_blocks)).union(span(single))
+    single = spans(windows.where("alone").join(equal, digits, "left_semi").withColumn("n", F.lit(1)), "single-windows")
+    scratch.drop("windows")
+    return whole_runs.union(whole_blocks).union(single)
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -249,7 +249,8 @@ FROM orders
 def parse_date(spark, sf_dir):
     df = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_text"))
-    return df.withColumn("parsed", F.to_timestamp_ntz("date_text"))
+    parsed = columns.parse_date_column(df.withColumn("parsed", F.col("date_text")), "parsed")
+    return parsed.withColumn("parsed", F.col("parsed").cast("timestamp_ntz"))
 
 
 @register("label_concat", """

@@ -111,8 +111,8 @@ SELECT round_even(sum(least(d0, d1, d2)), 6) AS inertia FROM """ + _assign_sql("
 def inertia_fixed_centers(spark, sf_dir):
     pts = scaled_lineitem(spark, sf_dir)
     centers = first_row_centers(pts, "l_returnflag", ["l_orderkey", "l_linenumber"], _FEATS)
-    return (cluster.assign_nearest(pts, _FEATS, centers)
-            .agg(F.bround(F.sum("dist2"), 6).alias("inertia")))
+    return spark.createDataFrame([(cluster.inertia(pts, _FEATS, centers),)], "inertia double").select(
+        F.bround("inertia", 6).alias("inertia"))
 
 
 def _lloyd_sql(k: int, dims: int, iters: int, pts_sql: str = _PTS_SQL,
@@ -139,37 +139,35 @@ def lloyd_fixed_start(spark, sf_dir):
     return out.select("cluster", F.bround("f0", 6).alias("f0"), F.bround("f1", 6).alias("f1"))
 
 
+# all dimensions of the driver's embeddings
+_DIMS = [f"x{i}" for i in range(64)]
+
+
 def _emb_xy(spark, sf_dir):
     return read_table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", F.col("embedding")[0].cast("double").alias("x0"),
-        F.col("embedding")[1].cast("double").alias("x1"))
+        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(_DIMS)])
 
 
-@register("centroid_attach", """
-WITH e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x0,
-                  CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
-c AS (SELECT label, avg(x0) AS cx0, avg(x1) AS cx1 FROM e GROUP BY label)
-SELECT e.label, e.vec_id, e.x0, e.x1, round_even(c.cx0, 9) AS cen_x0, round_even(c.cx1, 9) AS cen_x1
-FROM e LEFT JOIN c USING (label)
-""")
+_EMB_SQL = ("e AS (SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {x}" for i, x in enumerate(_DIMS))
+            + " FROM embeddings)")
+
+
+@register("centroid_attach", "WITH " + _EMB_SQL + ", c AS (SELECT label, " + ", ".join(f"avg({x}) AS c{x}" for x in _DIMS)
+          + " FROM e GROUP BY label) SELECT e.label, e.vec_id, " + ", ".join(f"e.{x}" for x in _DIMS) + ", "
+          + ", ".join(f"round_even(c.c{x}, 9) AS cen_{x}" for x in _DIMS) + " FROM e LEFT JOIN c USING (label)")
 def centroid_attach(spark, sf_dir):
     e = _emb_xy(spark, sf_dir)
-    cents = cluster.cluster_means(e, "label", ["x0", "x1"]).select("label", "x0", "x1")
+    cents = cluster.cluster_means(e, "label", _DIMS).select("label", *_DIMS)
     out = attach_centroids(e, cents, key="label")
-    return out.select("label", "vec_id", "x0", "x1", F.bround("cen_x0", 9).alias("cen_x0"),
-                      F.bround("cen_x1", 9).alias("cen_x1"))
+    return out.select("label", "vec_id", *_DIMS, *[F.bround(f"cen_{x}", 9).alias(f"cen_{x}") for x in _DIMS])
 
 
-@register("cluster_means", """
-SELECT label AS cluster, round_even(avg(CAST(embedding[1] AS DOUBLE)), 9) AS x0,
-       round_even(avg(CAST(embedding[2] AS DOUBLE)), 9) AS x1, count(*) AS n_members
-FROM embeddings GROUP BY label
-""")
+@register("cluster_means", "WITH " + _EMB_SQL + " SELECT label AS cluster, "
+          + ", ".join(f"round_even(avg({x}), 9) AS {x}" for x in _DIMS) + ", count(*) AS n_members FROM e GROUP BY label")
 def cluster_means_q(spark, sf_dir):
     e = _emb_xy(spark, sf_dir).withColumnRenamed("label", "cluster")
-    m = cluster.cluster_means(e, "cluster", ["x0", "x1"])
-    return m.select("cluster", F.bround("x0", 9).alias("x0"), F.bround("x1", 9).alias("x1"),
-                    "n_members")
+    m = cluster.cluster_means(e, "cluster", _DIMS)
+    return m.select("cluster", *[F.bround(x, 9).alias(x) for x in _DIMS], "n_members")
 
 
 @register("cluster_vs_class", """

@@ -47,6 +47,7 @@ def wrangle_orders(spark: SparkSession, sf_dir: str, year: int = 2001, seed: int
           .drop("l_orderkey"))
     df = columns.keep_category_single(df, "c_mktsegment", SEGMENTS, "n_returned", 1)
     df = columns.fill_constant(df, {"n_returned": 0})
+    df = columns.fill_constant(df, {"n_lines": 1})
     # the steps below run ~a dozen statistics jobs: read them from one table
     df = materialize(df, "wrangle_base")
     df = clean.drop_missing(df, 0.75, 0.75)

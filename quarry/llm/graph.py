@@ -52,8 +52,13 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
 
-def _size(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(links: DataFrame) -> bool:
+    """Whether the links are stars: each node has one smaller neighbour and no
+    larger ones, or larger ones only."""
+    ends = (links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+            .union(links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.agg(F.coalesce(F.sum((F.col("down") + F.col("up") > 1).cast("long")), F.lit(0))).first()[0] == 0
 
 
 def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
@@ -62,9 +67,9 @@ def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     node to itself are no links."""
     start = (links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
              .where("a <> b"))
-    now = scratch.write(start.mapInArrow(_contract, "u long, v long"), f"{name}-0")
-    size, step = _size(now), 0
-    while True:
+    now = scratch.write(start.mapInArrow(_contract, "u long, v long").distinct(), f"{name}-0")
+    step = 0
+    while not _settled(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -72,12 +77,7 @@ def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
         step += 1
-        after = scratch.write(small, f"{name}-{step}")
-        new = _size(after)
+        now = scratch.write(small, f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
-        now = after
-        if new == size:
-            break
-        size = new
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

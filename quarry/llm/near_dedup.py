@@ -58,7 +58,7 @@ from quarry.llm.graph import components
 BANDS, ROWS = 28, 4
 WORDS, THRESHOLD = 4, 80
 #: Rounds of drawn partners; standard errors of the last step's cut.
-ROUNDS, SLACK = 3, 4.5
+ROUNDS, SLACK = 2, 4.5
 SLICE = 2 << 20
 
 

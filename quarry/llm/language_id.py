@@ -53,7 +53,7 @@ TRAIN_BYTES = 32 << 10
 MIN_COUNT = 6
 MAX_NODES = 12_000
 SLICE = 4 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN_LETTER = re.compile("[A-Za-z]")
 
 
 @dataclass
@@ -201,7 +201,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, columns: list[str]) ->
                 offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
                 held = values.buffers()[2]
                 data = np.frombuffer(held, np.uint8)[offsets[0]:offsets[-1]] if held and len(values) else np.empty(0, np.uint8)
-                lettered = np.fromiter((bool(_LETTER.search(t)) for t in values.to_pylist()), bool, len(values))
+                lettered = np.fromiter((bool(_PLAIN_LETTER.search(t)) or any(map(str.isalpha, t)) for t in values.to_pylist()), bool, len(values))
                 if trees is None or not trees.labels:
                     label, score = ["und"] * len(values), np.zeros(len(values))
                 else:

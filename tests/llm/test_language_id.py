@@ -98,7 +98,7 @@ def test_labels_are_no_input_of_a_prediction(spark):
 def test_edges(spark):
     schema = "doc_id long, text string, lang string, score string, held_out int"
     rows = [(i, f"the cat and the dog {i}", "en", None, 1) for i in range(20)] + [(i, f"le chat et le chien {i}", "fr", "x", 1) for i in range(20, 40)]
-    rows += [(50, None, "en", None, None), (51, "", None, None, 1), (52, "123 ... \U0001f600", "en", None, 1), (None, "the dog", None, None, 1), (None, None, "fr", None, 1), (3, "the cat and the dog 3", "en", None, 1), (60, "the dog " * 20000, None, None, 1)]
+    rows += [(50, None, "en", None, None), (51, "", None, None, 1), (52, "123 ... \U0001f600 ½ Ⅷ _", "en", None, 1), (None, "the dog", None, None, 1), (None, None, "fr", None, 1), (3, "the cat and the dog 3", "en", None, 1), (60, "the dog " * 20000, None, None, 1)]
     docs = spark.createDataFrame(rows, schema)
     got = [(r.doc_id, r.lang_pred) for r in li.identify(docs).collect()]
     assert len(got) == len(rows)

@@ -14,22 +14,21 @@ on full sets and union-find grouping.
 3. Bands of ``rows`` cells. In every bucket (band, cells) each member is
    paired with the smallest one only; pairs are verified on full sets and the
    links are grouped.
-4. Buckets that still hold different components are looked at again, some
-   rounds long: members outside the bucket's smallest component are paired
-   with one member of it, drawn by a hash that differs by bucket and round.
-   A document shares buckets with those most like it, so nearly every one that
-   belongs to a group finds a partner here after a few pairs.
-5. In buckets that then still hold different components, each member outside
-   the smallest one is paired with all members of other components, where set
-   sizes allow the threshold and the share of equal signature cells is not
-   ``SLACK`` standard errors below it. These are verified too, and the
-   components of all links together are the result. After that, each two
-   members of a bucket are in one component, or were compared, or ruled out, so
-   the components lose nothing that the bands found; and a large group of near
-   copies is joined by a few pairs per member, not by all of them.
+4. Buckets that then still hold different components are looked at again, in
+   tiles: a bucket is cut into parts of about ``part_rows`` members by a hash,
+   and each two parts meet in a task with their texts. The task compares
+   members of different components, unless both are in the bucket's smallest
+   one, where set sizes allow the threshold, the share of equal signature cells
+   is not ``SLACK`` standard errors below it, this is the first band that both
+   share, and the links found so far in the task do not join them already. It
+   passes on the links that join something, never a pair that fails, so a
+   large group of look-alikes costs comparisons but no rows. The components of
+   all links together are the result. Each two members of a bucket are then in
+   one component, or were compared, or ruled out: the components lose nothing
+   that the bands found.
 
 With 28 bands of 4 cells a pair of similarity 0.8 shares no band with a
-probability of 4e-7, 1 - (1 - s^4)^28; the cut of step 5 rules one out with
+probability of 4e-7, 1 - (1 - s^4)^28; the cut of step 4 rules one out with
 4e-6.
 
 Confirmed links have 100 * intersection >= 80 * union (``threshold`` in
@@ -52,13 +51,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.bytehash import U, column_bytes, mix, shingles
-from quarry.llm.common import Scratch, arrow_slices, texts
-from quarry.llm.graph import components
+from quarry.llm.common import Scratch, arrow_slices, shuffle_partitions, texts
+from quarry.llm.graph import Forest, components
 
 BANDS, ROWS = 28, 4
 WORDS, THRESHOLD = 4, 80
-#: Rounds of drawn partners; standard errors of the last step's cut.
-ROUNDS, SLACK = 2, 4.5
+#: Standard errors of the cut, and members of a part, in step 4.
+SLACK, PART_ROWS = 4.5, 512
 SLICE = 2 << 20
 
 
@@ -150,8 +149,61 @@ def verify(pairs: DataFrame, held: DataFrame, words: int = WORDS, threshold: int
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
+def _tile_links(words: int, threshold: int, least_cells: int):
+    """The links that join something in each tile of open buckets."""
+    tile = ("bucket", "low", "high")
+
+    def links_of(rows: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        bucket, low, high, part, rep, c, main = (rows.column(x).to_numpy() for x in ("bucket", "low", "high", "part", "rep", "c", "main"))
+        wide = lambda x: np.concatenate([k.flatten().to_numpy() for k in rows.column(x).chunks]).reshape(len(rep), -1)
+        bands, cells = wide("bands"), wide("cells")
+        elements, offsets = shingles(*column_bytes(rows.column("text").combine_chunks()), words)
+        size = np.diff(offsets)
+        found = []
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            forest = Forest()
+            inside = low[start] == high[start]
+            for x in range(start, stop):
+                if c[x] == main[x]:
+                    continue
+                y = np.arange(start, stop)
+                y = y[(c[y] != c[x]) & ((c[y] == main[x]) | (y > x)) & (inside | (part[y] != part[x]))
+                      & (100 * np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x]))]
+                y = y[(cells[y] == cells[x]).sum(axis=1) >= least_cells]
+                same = bands[y] == bands[x]
+                y = y[bands[x][same.argmax(axis=1)] == bucket[x]]
+                for k in y.tolist():
+                    # members of one component stand for each other
+                    if forest.root(int(c[x])) == forest.root(int(c[k])):
+                        continue
+                    a, b = elements[offsets[x]:offsets[x + 1]], elements[offsets[k]:offsets[k + 1]]
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * common >= threshold * (len(a) + len(b) - common):
+                        forest.join(int(c[x]), int(c[k]))
+                        found.append((int(c[x]), int(c[k])))
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for piece in arrow_slices(batch, "text", SLICE):
+                rows = pa.Table.from_batches([piece])
+                rows = rows if held is None else pa.concat_tables([held, rows])
+                key = np.column_stack([rows.column(t).to_numpy() for t in tile])
+                cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+                last = int(cuts[-1]) if len(cuts) else 0
+                if last:
+                    yield links_of(rows.slice(0, last), [0, *cuts.tolist()])
+                held = rows.slice(last)
+        if held is not None and held.num_rows:
+            yield links_of(held, [0, held.num_rows])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, threshold: int = THRESHOLD,
-                    bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, part_rows: int = PART_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     given = texts(docs)
     sketch = scratch.write(sketches(given, words, bands, rows), "sketch")
@@ -164,45 +216,27 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, thres
     members = scratch.write(placed.join(shared.select("bucket", "lead"), "bucket"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     held = scratch.write(given.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").distinct(), "held")
-
-    tested = scratch.write(members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "tested-0")
-    groups = components(scratch.write(verify(tested, held, words, threshold), "links-0"), scratch, "groups-0")
-
-    def buckets_by_component(step: int) -> tuple[DataFrame, DataFrame]:
-        """Members with their component ``c``, and the buckets that hold several:
-        (bucket, main, drawn), a member of the smallest component ``main``."""
-        named = scratch.write(members.join(groups, members["rep"] == groups["node"], "left")
-                              .select("bucket", "rep", F.coalesce("component", "rep").alias("c")), f"named-{step}")
-        drawn = F.min(F.struct("c", F.xxhash64("rep", "bucket", F.lit(step)).alias("h"), "rep"))
-        mixed = (named.groupBy("bucket").agg(drawn.alias("first"), F.max("c").alias("high")).where("first.c <> high")
-                 .select("bucket", F.col("first.c").alias("main"), F.col("first.rep").alias("drawn")))
-        return named, scratch.write(mixed, f"mixed-{step}")
-
-    def grouped_with(pairs: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
-        """The groups with the links among ``pairs``, and all pairs tested."""
-        fresh = scratch.write(pairs.join(tested, ["a", "b"], "left_anti"), f"fresh-{step}")
-        stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        links = scratch.write(stars.union(verify(fresh, held, words, threshold)), f"links-{step}")
-        return components(links, scratch, f"groups-{step}"), tested.union(fresh)
-
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    for step in range(1, rounds + 1):
-        named, mixed = buckets_by_component(step)
-        groups, tested = grouped_with(named.join(mixed, "bucket").where("c <> main").select(*pair("rep", "drawn")).distinct(), step)
-
-    named, mixed = buckets_by_component(rounds + 1)
-    open_ = scratch.write(named.join(mixed.select("bucket", "main"), "bucket").join(classes.select("rep", "n_shingles", "cells"), "rep"), "open")
-    side = lambda p, df: df.select("bucket", *[F.col(c).alias(f"{p}_{c}") for c in ("rep", "c", "n_shingles", "cells")])
-    small, large = F.least("x_n_shingles", "y_n_shingles"), F.greatest("x_n_shingles", "y_n_shingles")
+    pairs = members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    groups = components(scratch.write(verify(pairs, held, words, threshold), "links"), scratch, "groups")
+
+    # buckets that hold several components, in tiles
+    named = scratch.write(members.join(groups, members["rep"] == groups["node"], "left")
+                          .select("bucket", "rep", F.coalesce("component", "rep").alias("c")), "named")
+    mixed = (named.groupBy("bucket").agg(F.min("c").alias("main"), F.max("c").alias("other"), F.count(F.lit(1)).alias("n"))
+             .where("main <> other").select("bucket", "main", F.ceil(F.col("n") / part_rows).cast("int").alias("parts")))
+    seats = (named.join(scratch.write(mixed, "mixed"), "bucket").withColumn("part", F.pmod(F.hash("rep"), F.col("parts")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("bucket", "rep", "c", "main", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")))
+    sets = classes.select(F.col("rep").alias("doc_id"), "bands", "cells").join(held, "doc_id").withColumnRenamed("doc_id", "rep")
+    tile = ["bucket", "low", "high"]
+    spread = (seats.join(sets, "rep").repartition(shuffle_partitions(docs.sparkSession), *tile).sortWithinPartitions(*tile))
     share, count = threshold / 100, bands * rows
     least = int(max(0.0, share * count - SLACK * (share * (1 - share) * count) ** 0.5))
-    equal = F.aggregate(F.zip_with("x_cells", "y_cells", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, e: n + e)
-    last = (side("x", open_.where("c <> main")).join(side("y", open_), "bucket")
-            .where((F.col("x_c") != F.col("y_c")) & (100 * small >= threshold * large) & (equal >= least))
-            .select(*pair("x_rep", "y_rep")).distinct())
-    groups, tested = grouped_with(last, rounds + 1)
+    late = spread.mapInArrow(_tile_links(words, threshold, least), "a long, b long").distinct()
+    stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = components(scratch.write(stars.union(late), "all-links"), scratch, "final")
 
-    grouped = (classes.drop("bands", "cells").join(groups, classes["rep"] == groups["node"], "left")
+    grouped = (classes.drop("bands", "cells").join(final, classes["rep"] == final["node"], "left")
                .select(*[F.col(k).alias(f"_{k}") for k in key], F.coalesce("component", "rep").alias("component")))
     grouped = scratch.write(grouped, "grouped")
     on = (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n_shingles") == F.col("_n_shingles"))

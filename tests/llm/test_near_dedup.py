@@ -74,7 +74,7 @@ def test_chains_groups_and_odd_rows(spark):
     rng.shuffle(rows)
     schema = "doc_id long, text string, bands string, component string"
     docs = spark.createDataFrame([(*r, None, "c") for r in rows], schema)
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_duplicates(docs, Scratch(spark, "t4")).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_duplicates(docs, Scratch(spark, "t4"), part_rows=4).collect()}
     assert got == plain(rows)
     extra = spark.createDataFrame([(503, "one", None, None), (None, "one two", None, None), (None, None, None, None)], schema)
     out = nd.near_duplicates(docs.union(extra), Scratch(spark, "t4")).collect()

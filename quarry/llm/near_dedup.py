@@ -213,7 +213,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, thres
     classes = scratch.write(classes, "classes")
     placed = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
-    members = scratch.write(placed.join(shared.select("bucket", "lead"), "bucket"), "members")
+    # written first: a join of two plain tables is split at a very common bucket
+    shared = scratch.write(shared.select("bucket", "lead"), "shared")
+    members = scratch.write(placed.join(shared, "bucket"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     held = scratch.write(given.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").distinct(), "held")
     pairs = members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()

@@ -167,7 +167,7 @@ def _refine(rows: DataFrame, core: list[str], cover: str, scratch: Scratch, name
     whether it is still to be settled."""
     payload = [c for c in rows.columns if c not in (*core, cover)]
     kinds = scratch.write(rows.groupBy(*core, cover).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*payload)).alias("_row")), f"{name}-kinds")
-    several = kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select(*core)
+    several = scratch.write(kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select(*core), f"{name}-several")
     done = rows.join(kinds.where("_n > 1").select(*core, cover), [*core, cover], "left_semi").where("alone")
     open_ = (kinds.join(several, core, "left_semi").select(*core, "_row.*", "_n")
              .withColumn("alone", F.col("alone") & (F.col("_n") == 1)).drop("_n"))
@@ -189,19 +189,21 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
     """``docs`` as of ``keyed`` -> (key, th, low, high): the bytes low ..
     high - 1 are covered by repeated windows. Spans may touch and overlap.
 
-    Each pass writes what the next ones need and drops what they don't."""
+    Each pass writes what the next ones need and drops what they don't. Counts
+    are written before they are joined to the rows they count: a join of two
+    plain tables is split where a digit is very common."""
     def spans(rows: DataFrame, name: str) -> DataFrame:
         return scratch.write(rows.select("key", "th", "low", (F.col("low") + F.col("n") - 1 + width).alias("high")), name)
 
     runs_ = docs.select(F.col("_key").alias("key"), F.col("_th").alias("th"), F.col("_text").alias("text"))
     records = scratch.write(runs_.mapInArrow(_run_rows(width, anchor), "key long, th int, low int, n int, back int, one long, two long"), "records")
-    again = records.groupBy("one").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("one")
+    again = scratch.write(records.groupBy("one").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("one"), "again")
     shared = scratch.write(records.join(again, "one", "left_semi").withColumn("alone", F.lit(True)), "shared")
-    scratch.drop("records")
+    scratch.drop("records", "again")
     done, open_ = _refine(shared, ["one"], "two", scratch, "runs")
     whole_runs = spans(done, "whole-runs")
     open_runs = scratch.write(_with_bytes(docs, open_, width), "open-runs")
-    scratch.drop("shared", "runs-kinds")
+    scratch.drop("shared", "runs-kinds", "runs-several")
 
     schema = "key long, th int, alone boolean, one long, run int, low int, n int, back int, b int, core long, cover long"
     blocks = scratch.write(open_runs.mapInArrow(_blocks(width, block), schema), "blocks")
@@ -212,12 +214,12 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
             .withColumn("bytes", F.substring("_bytes", F.col("low") - F.col("run") + 1, F.col("n") + (width - 1))))
     schema = "key long, th int, alone boolean, one long, low int, back int, whole long"
     windows = scratch.write(held.select("key", "th", "alone", "one", "low", "n", "back", "bytes").mapInArrow(_windows(width), schema), "windows")
-    scratch.drop("open-runs", "blocks", "blocks-kinds")
+    scratch.drop("open-runs", "blocks", "blocks-kinds", "blocks-several")
 
     digits = ["one", "back", "whole"]
-    equal = windows.groupBy(*digits).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*digits)
+    equal = scratch.write(windows.groupBy(*digits).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*digits), "equal")
     single = spans(windows.where("alone").join(equal, digits, "left_semi").withColumn("n", F.lit(1)), "single-windows")
-    scratch.drop("windows")
+    scratch.drop("windows", "equal")
     return whole_runs.union(whole_blocks).union(single)
 
 

@@ -243,8 +243,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, thres
     grouped = scratch.write(grouped, "grouped")
     on = (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & (F.col("n_shingles") == F.col("_n_shingles"))
     found = F.coalesce("component", "doc_id")
-    return (sketch.drop("bands", "cells").join(grouped, on, "left")
-            .select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept")))
+    out = scratch.write(sketch.drop("bands", "cells").join(grouped, on, "left")
+                        .select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept")), "result")
+    scratch.drop("sketch", "classes", "shared", "members", "held", "links", "named", "mixed", "all-links", "grouped")
+    return out
 
 
 def first_of_each(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:

@@ -56,6 +56,8 @@ from quarry.llm.graph import Forest, components
 
 BANDS, ROWS = 28, 4
 WORDS, THRESHOLD = 4, 80
+#: Words of a shingle where documents are dropped; fewer link more documents.
+STAGE_WORDS = 5
 #: Standard errors of the cut, and members of a part, in step 4.
 SLACK, PART_ROWS = 4.5, 512
 SLICE = 2 << 20
@@ -249,8 +251,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, thres
     return out
 
 
-def first_of_each(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
+def first_of_each(docs: DataFrame, scratch: Scratch, words: int = STAGE_WORDS, **settings) -> DataFrame:
     """``docs`` without the documents that are not the first of their group.
     Rows that share an id are one document; rows with a null id stay."""
-    gone = near_duplicates(docs, scratch, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone"))
+    gone = near_duplicates(docs, scratch, words, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone.distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -24,7 +24,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op4"), words=4)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

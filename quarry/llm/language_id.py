@@ -187,10 +187,10 @@ def training_sample(docs: DataFrame, may_train: Column, train_docs: int = TRAIN_
 
 
 def predict(docs: DataFrame, trees: ContextTrees | None, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with (_lang, _score) of its ``text``."""
+    """``columns`` of ``docs`` with (_lang, _score, _lettered) of its ``text``."""
     docs = docs.select(*columns, F.col("text").alias("_text"))
     keys = [f for f in docs.schema.fields if f.name in columns]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + ["_lang string", "_score double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + ["_lang string", "_score double", "_lettered boolean"])
     model = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,8 +210,8 @@ def predict(docs: DataFrame, trees: ContextTrees | None, columns: list[str]) ->
                     score = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
                     label = [trees.labels[b] if k else "und" for b, k in zip(best, lettered, strict=True)]
                     score = np.where(lettered, score, 0.0)
-                columns = [part.column(f.name) for f in keys] + [pa.array(label, pa.string()), pa.array(score, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in keys] + ["_lang", "_score"])
+                columns = [part.column(f.name) for f in keys] + [pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(lettered)]
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in keys] + ["_lang", "_score", "_lettered"])
 
     return docs.mapInArrow(run, schema)
 
@@ -232,5 +232,6 @@ def identify(docs: DataFrame, **settings) -> DataFrame:
 
 
 def with_language(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the documents that are ``und``."""
-    return predict(docs, trained(docs, **settings), docs.columns).where(F.col("_lang") != "und").select(*docs.columns)
+    """``docs`` without the documents whose text is null or holds no letter. What
+    only lacks a learned label stays."""
+    return predict(docs, trained(docs, **settings), docs.columns).where("_lettered").select(*docs.columns)

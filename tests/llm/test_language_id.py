@@ -109,3 +109,11 @@ def test_edges(spark):
     assert {r.lang_pred for r in li.identify(unlabelled).collect()} == {"und"}
     assert sorted(r.doc_id or -1 for r in li.with_language(docs).collect()) == sorted(d or -1 for d, p in got if p != "und")
     assert li.with_language(docs).columns == docs.columns
+
+
+def test_unlabelled_tables_keep_their_documents(spark):
+    rows = [(1, "clean text", None), (2, "123 ...", None), (3, None, None), (4, "", None), (None, "another \u00e9", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.text for r in li.with_language(docs).collect()) == ["another \u00e9", "clean text"]
+    named = spark.createDataFrame([(i, "und und", "und") for i in range(8)], docs.schema)
+    assert li.with_language(named).count() == 8

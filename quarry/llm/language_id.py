@@ -18,7 +18,7 @@ task then scores a text with ``order`` table look-ups and one addition per
 byte for all languages together.
 
 Training uses a bounded sample: of each language the ``train_docs`` documents
-with the smallest hash (a hash bound per label, from its count, keeps the
+with a text and the smallest hash (a hash bound per label, from their count, keeps the
 candidates few at any size), up to ``train_bytes`` bytes of each. Counting keeps
 contexts seen at least ``min_count`` times, and at most ``max_nodes`` of them.
 The table therefore has a size that does not grow with the input:
@@ -170,14 +170,14 @@ def held_out(doc_id: Column) -> Column:
 
 def training_sample(docs: DataFrame, may_train: Column, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> dict[str, list[bytes]]:
     """At most ``train_docs`` x ``train_bytes`` bytes per label, on the driver."""
-    labelled = docs.where(may_train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).withColumn("lang", F.col("lang").cast("string"))
+    labelled = docs.where(may_train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0)).withColumn("lang", F.col("lang").cast("string"))
     # One number per label: hashes up to a bound that some 4 x train_docs
     # documents of the label keep, so the sort below sees few rows.
     bounds = {r["lang"]: (1 << 63) - 1 if r["n"] <= 4 * train_docs else -(1 << 63) + ((4 * train_docs) << 64) // r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not bounds:
         return {}
     bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
-    rows = (labelled.withColumn("h", F.xxhash64("doc_id")).where((F.col("h") <= bound[F.col("lang")]) & (F.length("text") > 0))
+    rows = (labelled.withColumn("h", F.xxhash64("doc_id")).where(F.col("h") <= bound[F.col("lang")])
             .select("lang", "h", "doc_id", F.substring(F.encode("text", "UTF-8"), 1, train_bytes).alias("data")))
     first = Window.partitionBy("lang").orderBy("h", "doc_id", "data")
     out: dict[str, list[bytes]] = {}

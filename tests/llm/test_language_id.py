@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import language_id as li
 from quarry.llm.common import table
@@ -117,3 +118,10 @@ def test_unlabelled_tables_keep_their_documents(spark):
     assert sorted(r.text for r in li.with_language(docs).collect()) == ["another \u00e9", "clean text"]
     named = spark.createDataFrame([(i, "und und", "und") for i in range(8)], docs.schema)
     assert li.with_language(named).count() == 8
+
+
+def test_empty_texts_do_not_shrink_the_sample(spark):
+    rows = [(i, f"the text {i}" if i % 200 == 0 else (None if i % 2 else ""), "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    every = li.training_sample(docs, F.lit(True), train_docs=20)
+    assert len(every["en"]) == 20

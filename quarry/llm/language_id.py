@@ -11,18 +11,19 @@ is exactly the sum of -log2 p over its bytes. Statistics are frozen after
 training.
 
 Since nothing changes while texts are scored, the distributions are worked out
-once: the context trees of all languages share one set of nodes, and a table
-holds the code length of every symbol at every node in every language (a node
-that a language never saw has the values of its longest known suffix there). A
-task then scores a text with ``order`` table look-ups and one addition per
-byte for all languages together.
+once: the context trees of all languages share one set of nodes, a table holds
+the code length of every symbol at every node of a language's own tree, and an
+index gives each language's row of it for every shared node (where a language
+lacks the node, that of its longest known suffix). A task then walks ``order``
+nodes per byte once for all languages, and adds a look-up for each.
 
 Training uses a bounded sample: of each language the ``train_docs`` documents
 with a text and the smallest hash (a hash bound per label, from their count, keeps the
 candidates few at any size), up to ``train_bytes`` bytes of each. Counting keeps
-contexts seen at least ``min_count`` times, and at most ``max_nodes`` of them.
-The table therefore has a size that does not grow with the input:
-max_nodes x symbols x languages x 4 bytes.
+contexts that a language saw at least ``min_count`` times, and its ``max_nodes``
+most frequent ones at most. Neither other languages nor the size of their samples
+take any from it. The tables have a size that does not grow with the input:
+two of at most max_nodes x symbols x languages x 4 bytes.
 
 The learned labels compete; the score is the probability of the best label
 when all are equally likely before the text is read. A text that is null or
@@ -60,15 +61,21 @@ _PLAIN_LETTER = re.compile("[A-Za-z]")
 class ContextTrees:
     """Frozen models of all labels over one set of nodes. ``symbol``: byte to
     symbol (bytes never trained on share one); ``child``: node x symbol to the
-    node of the context one byte longer, or -1; ``cost``: (node, symbol) x
-    label, bits."""
+    node of the context one byte longer, or -1; ``rows``: label x node to the
+    row of ``code`` that holds there; ``code``: row x symbol, bits."""
 
     labels: list[str]
     symbol: np.ndarray
     child: np.ndarray
-    cost: np.ndarray
+    rows: np.ndarray
+    code: np.ndarray
     order: int
 
+    @property
+    def cost(self) -> np.ndarray:
+        """(node, symbol) x label, bits."""
+        return self.code[self.rows].transpose(1, 2, 0).reshape(-1, len(self.labels))
+
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code lengths (texts x labels) of texts laid end to end."""
         n, symbols = len(data), self.child.shape[1]
@@ -91,10 +98,12 @@ class ContextTrees:
             known = longer >= 0
             node[at[known]] = longer[known]
             going[at[~known]] = False
-        cost = self.cost[node.astype(np.int64) * symbols + x]
         out = np.zeros((len(lengths), len(self.labels)))
         if filled.any():
-            out[filled] = np.add.reduceat(cost, offsets[:-1][filled], axis=0, dtype=np.float64)
+            code = self.code.ravel()
+            for k, rows in enumerate(self.rows):
+                cost = code[(rows.astype(np.int64) * symbols)[node] + x]
+                out[filled, k] = np.add.reduceat(cost, offsets[:-1][filled], dtype=np.float64)
         return out
 
 
@@ -127,25 +136,29 @@ def fit(samples: dict[str, list[bytes]], order: int = ORDER, min_count: int = MI
     symbol = np.full(256, len(seen), np.uint8 if len(seen) < 256 else np.int16)
     symbol[seen] = np.arange(len(seen))
     width = len(seen) + 1
-    weight: dict[bytes, int] = {}
+    own = []
     for tree in counted:
-        for context, follow in tree.items():
-            weight[context] = max(weight.get(context, 0), sum(follow.values()))
-    # a context's suffixes are at least as frequent, so this cut keeps them
-    chosen = sorted((c for c, n in weight.items() if n >= min_count or not c), key=lambda c: (-weight[c] if c else float("-inf"), len(c), c))[:max_nodes]
-    chosen.sort(key=lambda c: (len(c), c))
+        weight = {context: sum(follow.values()) for context, follow in tree.items()}
+        # a context's suffixes are at least as frequent, so this cut keeps them
+        kept = sorted((c for c, n in weight.items() if n >= min_count or not c), key=lambda c: (-weight[c] if c else float("-inf"), len(c), c))[:max_nodes]
+        own.append(sorted(kept, key=lambda c: (len(c), c)))
+    chosen = sorted({c for kept in own for c in kept}, key=lambda c: (len(c), c))
     number = {c: i for i, c in enumerate(chosen)}
+    parent = np.array([number[c[:-1]] for c in chosen])
+    depth = np.array([len(c) for c in chosen])
     child = np.full((len(chosen), width), -1, np.int32)
-    cost = np.empty((len(chosen), width, len(labels)), np.float32)
-    probability = np.empty((len(chosen), width))
     for context, i in number.items():
         if context:
             child[number[context[:-1]], symbol[context[-1]]] = i
-    for k, tree in enumerate(counted):
-        for context, i in number.items():
+    rows = np.full((len(labels), len(chosen)), -1, np.int32)
+    tables, done = [], 0
+    for k, (tree, kept) in enumerate(zip(counted, own, strict=True)):
+        place = {c: i for i, c in enumerate(kept)}
+        probability = np.empty((len(kept), width))
+        for i, context in enumerate(kept):
             # the unseen symbol stands for all bytes without a symbol and the end
-            shorter = probability[number[context[:-1]]] if context else np.append(np.full(width - 1, 1 / 257), (257 - width + 1) / 257)
-            follow = tree.get(context)
+            shorter = probability[place[context[:-1]]] if context else np.append(np.full(width - 1, 1 / 257), (257 - width + 1) / 257)
+            follow = tree[context]
             if not follow:
                 probability[i] = shorter
                 continue
@@ -160,8 +173,13 @@ def fit(samples: dict[str, list[bytes]], order: int = ORDER, min_count: int = MI
             probability[i] = p
         bits = -np.log2(probability)
         bits[:, -1] += np.log2(max(1, 257 - width + 1))
-        cost[:, :, k] = bits
-    return ContextTrees(labels, symbol, child, cost.reshape(-1, len(labels)), order)
+        tables.append(bits.astype(np.float32))
+        rows[k, [number[c] for c in kept]] = np.arange(done, done + len(kept))
+        done += len(kept)
+        for n in range(1, order + 1):
+            at = np.flatnonzero((depth == n) & (rows[k] < 0))
+            rows[k, at] = rows[k, parent[at]]
+    return ContextTrees(labels, symbol, child, rows, np.concatenate(tables), order)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -125,3 +125,45 @@ def test_empty_texts_do_not_shrink_the_sample(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     every = li.training_sample(docs, F.lit(True), train_docs=20)
     assert len(every["en"]) == 20
+
+
+def accuracy(trees, tests):
+    data = b"".join(t for _, t in tests)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in tests])])
+    best = trees.bits(np.frombuffer(data, np.uint8), offsets).argmin(axis=1)
+    return {label: np.mean([trees.labels[b] == label for b, (t, _) in zip(best, tests, strict=True) if t == label]) for label in trees.labels}
+
+
+def test_labels_take_no_nodes_from_each_other():
+    rng = random.Random(8)
+    samples = {"big": [bytes(rng.choices(b"abcd ", k=20000))], "rare": [b"the cat and the dog " * 8]}
+    both, alone = li.fit(samples, 4, 6, 150), li.fit({"rare": samples["rare"]}, 4, 6, 150)
+    text = b"the dog and a cat "
+    at = np.array([0, len(text)])
+    # the alphabets differ, so only bytes of both are compared
+    assert (both.rows[1] >= 0).all() and len(np.unique(both.rows[1])) == len(alone.code)
+    assert both.bits(np.frombuffer(text, np.uint8), at)[0, 1] == pytest.approx(alone.bits(np.frombuffer(text, np.uint8), at)[0, 0], rel=1e-5)
+
+
+def test_accuracy_with_a_rare_label(spark):
+    by_label = {}
+    for r in table(spark, SF, "documents").where("lang is not null and text <> ''").orderBy("doc_id").collect():
+        by_label.setdefault(r.lang, []).append(r.text.encode())
+    rare = min(by_label)
+    trees = li.fit({k: v[:8 if k == rare else 60] for k, v in by_label.items()})
+    got = accuracy(trees, [(k, t) for k, v in by_label.items() for t in v[60:120]])
+    assert got.pop(rare) >= 0.9 and min(got.values()) >= 0.97
+
+
+def test_accuracy_with_many_labels():
+    rng = random.Random(4)
+    samples, tests = {}, []
+    for k in range(40):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 8))) for _ in range(150)]
+        texts = [" ".join(rng.choices(words, k=60)).encode() for _ in range(30)]
+        samples[f"l{k:02}"] = texts[:20]
+        tests += [(f"l{k:02}", t) for t in texts[20:]]
+    trees = li.fit(samples)
+    shares = np.array([len(np.unique(r)) for r in trees.rows])
+    assert shares.min() >= 0.7 * shares.max() > 200
+    assert min(accuracy(trees, tests).values()) >= 0.95

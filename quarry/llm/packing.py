@@ -11,10 +11,12 @@ sequences' free space finds that sequence in log time: an inner node holds the
 most room of its two sides, and the search walks to the left side whenever
 that has enough.
 
-A sequence is padded to 2048 unless its length is a power of two. Of those
-that first-fit decreasing leaves with another length, a group's last step cuts
-the pieces anew: laid end to end in the same order, they fill whole sequences,
-and the rest is cut into lengths that are powers of two. No padding is left.
+A sequence is padded to 2048 unless its length is a power of two. First-fit
+decreasing leaves most sequences a few ids short, so a group's last step takes
+the emptiest of them apart, as few as hold what the others lack: their pieces,
+laid end to end, fill the gaps, and the rest is cut into whole sequences and
+lengths that are powers of two. No padding is left, and only documents of the
+sequences taken apart are cut.
 
 Null texts count as empty: such a document is its end id alone. Repeated rows
 are packed once each. A null id is dealt and returned as null. An empty table
@@ -82,22 +84,30 @@ def pack_group(lengths: list[int], capacity: int) -> list[list[tuple[int, int, i
         out += [[(i, start, capacity)] for start in range(0, n - n % capacity, capacity)]
         if n % capacity:
             rest.append((i, n - n % capacity, n % capacity))
-    loose = []
+    open_bins = []
     for members in first_fit_decreasing([p[2] for p in rest], capacity):
         pieces = [rest[m] for m in members]
         total = sum(p[2] for p in pieces)
         if total == capacity or total & (total - 1) == 0:
             out.append(pieces)
         else:
-            loose += pieces
-    left = sum(p[2] for p in loose)
-    wanted = [capacity] * (left // capacity)
+            open_bins.append((total, pieces))
+    open_bins.sort(key=lambda b: b[0])
+    gaps = sum(capacity - total for total, _ in open_bins)
+    given = apart = 0
+    while given < gaps:
+        total = open_bins[apart][0]
+        given, gaps, apart = given + total, gaps - (capacity - total), apart + 1
+    # the fullest first, whose gaps are the smallest
+    wanted = [(capacity - total, pieces) for total, pieces in reversed(open_bins[apart:])]
+    left = given - gaps
+    wanted += [(capacity, [])] * (left // capacity)
     left %= capacity
-    wanted += [1 << b for b in reversed(range(left.bit_length())) if left >> b & 1]
-    pieces = iter(loose)
+    wanted += [(1 << b, []) for b in reversed(range(left.bit_length())) if left >> b & 1]
+    pieces = (p for _, members in open_bins[:apart] for p in members)
     doc, start, have = 0, 0, 0
-    for size in wanted:
-        sequence = []
+    for size, members in wanted:
+        sequence = list(members)
         while size:
             if not have:
                 doc, start, have = next(pieces)

@@ -140,3 +140,23 @@ def test_queries_give_one_row_per_document(spark):
     n = table(spark, SF, "documents").count()
     assert QUERIES["op6_token_files"](spark, SF).count() == n
     assert QUERIES["op9_token_counts"](spark, SF).count() == n
+
+
+def test_few_packed_remainders_are_cut():
+    rng = random.Random(2)
+    for draw in (lambda: rng.randint(1, 99), lambda: rng.randint(1, 400), lambda: max(1, int(rng.lognormvariate(3, 1)))):
+        lengths = [draw() for _ in range(512)]
+        out = packing.pack_group(lengths, 100)
+        pieces = sorted(p for s in out for p in s)
+        at = [0] * len(lengths)
+        for i, start, n in pieces:
+            assert start == at[i] and n > 0
+            at[i] += n
+        assert at == lengths
+        totals = [sum(n for _, _, n in s) for s in out]
+        assert all(t == 100 or t & (t - 1) == 0 for t in totals) and sum(t < 100 for t in totals) <= 9
+        whole = sum(n // 100 + (n % 100 > 0) for n in lengths)
+        last = [0] * len(lengths)
+        for i, start, _ in pieces:
+            last[i] += start >= lengths[i] - lengths[i] % 100
+        assert len(pieces) >= whole and sum(n > 1 for n in last) <= 512 // 16

@@ -1,8 +1,10 @@
 """Packing documents into fixed-size training sequences.
 
-Documents are dealt to random groups (a hash of their id, their text and a
-seed) and each group is packed on its own: a group has a bounded mean number
-of documents whatever the size of the table, and no key can make one large.
+Documents are dealt to random groups (a hash of a seed and their row number in
+a written copy, so that a task that runs again deals alike) and each group is
+packed on its own: a group has a bounded mean number of documents whatever the
+size of the table, and no key can make one large, not even that of a row that
+is repeated.
 
 Within a group a document of n ids gives floor(n / 2048) full sequences and a
 remainder. The remainders are packed by first-fit decreasing: largest first,
@@ -34,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import texts
+from quarry.llm.common import Scratch, texts
 from quarry.llm.token_files import encode_rows, unpack_ids
 
 #: Mean number of documents in a group.
@@ -123,8 +125,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048,
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one
     row per piece. ``sequence_id`` is the group's number times 2^32 plus the
     sequence's number in the group."""
-    groups = max(1, -(-docs.count() // group_docs))
-    rows = texts(docs).withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups)))
+    given = Scratch(docs.sparkSession, "packing").write(texts(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    groups = max(1, -(-given.count() // group_docs))
+    rows = given.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(groups))).drop("row")
     coded = encode_rows(rows, tokenizer, end_id)
 
     def pack_one(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

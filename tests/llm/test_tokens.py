@@ -142,6 +142,16 @@ def test_queries_give_one_row_per_document(spark):
     assert QUERIES["op9_token_counts"](spark, SF).count() == n
 
 
+def test_repeated_rows_are_dealt_to_many_groups(spark):
+    docs = spark.range(2000).selectExpr("cast(null as long) doc_id", "if(id % 2 = 0, null, 'same') text")
+    rows = packing.pack(docs, vocabulary("byte_bpe_50k.json"), 1, capacity=64, group_docs=50).collect()
+    groups = {}
+    for r in rows:
+        if r.start == 0:
+            groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert sum(groups.values()) == 2000 and len(groups) == 40 and max(groups.values()) < 120
+
+
 def test_few_packed_remainders_are_cut():
     rng = random.Random(2)
     for draw in (lambda: rng.randint(1, 99), lambda: rng.randint(1, 400), lambda: max(1, int(rng.lognormvariate(3, 1)))):

@@ -14,15 +14,16 @@ of one distribution. Layout::
             uint64 length of the index, uint64 length of the documents, "QPLANES1"
 
 ``write_ids`` encodes documents, orders them by ``doc_id`` and writes one file
-per range of ids; ``read_ids`` gets every document's ids back from the files.
-The ranges come from approximate quantiles of the key column alone. Each task
+per range; ``read_ids`` gets every document's ids back from the files. The
+ranges are drawn over (id, number of ids, digest of the ids, row number), so
+rows of one id, however many, are spread over files in order. Each task
 writes its file under a name of the range, whole or not at all, so a lost
 executor's files are written again in the same form.
 
 Null texts count as empty: such a document has the end id alone. Rows with the
-same ``doc_id`` stay separate rows next to each other, ordered by their ids. A
-null ``doc_id`` is written as the smallest integer and read back as null. An
-empty table gives no file and no row. Other columns play no part.
+same ``doc_id`` stay separate rows next to each other, ordered by their number
+of ids and a digest of them. A null ``doc_id`` is written as the smallest
+integer and read back as null. An empty table gives no file and no row. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -177,14 +178,11 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, scratch
     before; one row per file."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    rows = texts(docs)
-    cuts = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx("doc_id", cuts, 10_000).alias("cuts")).first()["cuts"] if cuts else []
-    bounds = sorted(set(found or []))
-    shard = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
-    keyed = rows.select(F.when(F.col("doc_id").isNull(), 0).otherwise(shard).cast("int").alias("shard"),
-                        F.coalesce("doc_id", F.lit(_NO_KEY)).alias("doc_id"), "text")
-    ordered = encode_rows(keyed, tokenizer, end_id).repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "n", "ids")
+    rows = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_KEY))).withColumn("row", F.monotonically_increasing_id())
+    # written first: the ranges are drawn from rows that stay as they are
+    coded = scratch.write(encode_rows(rows, tokenizer, end_id).withColumn("digest", F.xxhash64("ids")), "coded")
+    order = ["doc_id", "n", "digest", "row"]
+    ordered = coded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("shard"), "doc_id", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zstd, now, file, writer, done = zstandard.ZstdDecompressor(), None, None, None, []
@@ -209,6 +207,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, scratch
             yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done]) for i in range(4)], schema=_MANIFEST)
 
     files = scratch.write(ordered.mapInArrow(write, "shard long, path string, n_docs long, n_ids long"), "manifest")
+    scratch.drop("coded")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
 

@@ -142,6 +142,17 @@ def test_queries_give_one_row_per_document(spark):
     assert QUERIES["op9_token_counts"](spark, SF).count() == n
 
 
+def test_rows_of_one_id_are_spread_over_files(spark):
+    scratch = Scratch(spark, "t6")
+    docs = spark.range(2000).selectExpr("cast(if(id % 2 = 0, null, 7) as long) doc_id", "if(id % 3 = 0, null, 'same') text")
+    manifest = token_files.write_ids(docs, scratch.path("ids"), vocabulary("word_bpe_49k.json"), 2, scratch)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 700
+    rows = sorted(token_files.read_ids(manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None] * 1000 + [7] * 1000
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:i]) for i in range(2000)]
+
+
 def test_repeated_rows_are_dealt_to_many_groups(spark):
     docs = spark.range(2000).selectExpr("cast(null as long) doc_id", "if(id % 2 = 0, null, 'same') text")
     rows = packing.pack(docs, vocabulary("byte_bpe_50k.json"), 1, capacity=64, group_docs=50).collect()

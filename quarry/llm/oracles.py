@@ -29,3 +29,25 @@ SELECT doc_id, size, source_size, target,
        CAST(greatest(0, least(size, floor(target) - off)) + greatest(0, least(size, floor(target) - source_size - off)) AS BIGINT) AS taken
 FROM o
 """
+
+OP11 = r"""
+WITH e AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS BIGINT) AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v, row_number() OVER () AS n
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (
+  SELECT a.n AS anchor, a.vec_id AS anchor_id, c.n, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum([a.v[i] * c.v[i] FOR i IN range(1, least(len(a.v), len(c.v)) + 1)]) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.n <> c.n
+  WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score, n AS positive
+  FROM p WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, n) <= 5)
+SELECT pos.anchor_id, pos.positive_id, p.vec_id AS negative_id, pos.positive_score, p.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY pos.anchor, pos.positive ORDER BY p.score DESC, p.vec_id NULLS LAST, p.n) AS INTEGER) AS rank
+FROM pos JOIN p ON p.anchor = pos.anchor AND NOT p.same
+ AND 80 * pos.positive_score <= 100 * p.score AND p.score <= pos.positive_score
+QUALIFY rank <= 5
+"""

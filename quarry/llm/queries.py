@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import cross_polytope, language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files, vantage_trees, warc
+from quarry.llm import cross_polytope, hard_negatives, language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files, vantage_trees, warc
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -57,5 +57,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing)}
-ORACLE = {"op8_mixing": oracles.OP8}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    found = hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, Scratch(spark, "op11"), label=moved)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing, op11_hard_negatives)}
+ORACLE = {"op8_mixing": oracles.OP8, "op11_hard_negatives": oracles.OP11}

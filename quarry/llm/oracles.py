@@ -51,3 +51,45 @@ FROM pos JOIN p ON p.anchor = pos.anchor AND NOT p.same
  AND 80 * pos.positive_score <= 100 * p.score AND p.score <= pos.positive_score
 QUALIFY rank <= 5
 """
+
+OP12 = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc(conv_id, s, i, x) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM t
+  UNION ALL
+  SELECT conv_id, s, i + 1, CASE WHEN y % 2 = 1 THEN xor(y >> 1, CAST(3988292384 AS BIGINT)) ELSE y >> 1 END
+  FROM (SELECT conv_id, s, i, CASE WHEN i % 8 = 0 THEN xor(x, CAST(ascii(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE x END AS y FROM crc WHERE i < 8 * length(s)) AS b),
+h AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS first, xor(x, CAST(4294967295 AS BIGINT)) % 6 AS h FROM crc WHERE i = 8 * length(s)),
+r AS (
+  SELECT h.conv_id, 0 AS part, pos, role, text FROM h JOIN t ON t.conv_id = h.first AND pos <= h.h
+  UNION ALL
+  SELECT h.conv_id, 1, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h.h),
+o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, role, text FROM r),
+path AS (
+  SELECT conv_id, depth, length(text) AS n_chars, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY depth) AS k FROM o
+  UNION ALL
+  SELECT conv_id, 0, 0, CAST([] AS STRUCT(r VARCHAR, t VARCHAR)[]) FROM h),
+node AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(n_chars) AS n_chars FROM path GROUP BY k, depth),
+child AS (
+  SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+below AS (
+  SELECT p.k, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.n_chars) AS saved_tokens
+  FROM node u LEFT JOIN child c ON c.k = u.k JOIN path p ON p.conv_id = u.conv_id AND p.depth <= u.depth
+  GROUP BY p.k),
+ends AS (
+  SELECT k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT * FROM path QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) AS w GROUP BY k)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(c.n_children, 0) AS n_children, b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM node n JOIN below b ON b.k = n.k
+LEFT JOIN child c ON c.k = n.k
+LEFT JOIN ends e ON e.k = n.k
+LEFT JOIN node up ON n.depth > 0 AND up.k = n.k[1:n.depth - 1]
+"""

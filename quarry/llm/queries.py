@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import cross_polytope, hard_negatives, language_id, mixing, near_dedup, oracles, packing, repeated_bytes, token_counts, token_files, vantage_trees, warc
+from quarry.llm import cross_polytope, hard_negatives, language_id, mixing, near_dedup, oracles, packing, prefix_trie, repeated_bytes, token_counts, token_files, vantage_trees, warc
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -64,5 +64,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing, op11_hard_negatives)}
-ORACLE = {"op8_mixing": oracles.OP8, "op11_hard_negatives": oracles.OP11}
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op12")
+    turns, conversations = prefix_trie.rebuilt(table(spark, sf_dir, "conversations"), scratch)
+    return prefix_trie.trie(turns, conversations, scratch)
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing, op11_hard_negatives, op12_prefix_trie)}
+ORACLE = {"op8_mixing": oracles.OP8, "op11_hard_negatives": oracles.OP11, "op12_prefix_trie": oracles.OP12}

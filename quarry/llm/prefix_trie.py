@@ -107,10 +107,10 @@ def paths(turns: DataFrame) -> DataFrame:
 def _hash_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of lists, in order, to one row per list with its SHA-256."""
     now, state = None, None
-    names = ["a", "b", "depth", "ends_sha256"]
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("depth", pa.int64()), ("ends_sha256", pa.string())])
 
-    def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in now), pa.array([state.hexdigest()])], names=names)
+    def done() -> dict:
+        return dict(zip(schema.names, (*now, state.hexdigest()), strict=True))
 
     for batch in batches:
         out = []
@@ -121,9 +121,9 @@ def _hash_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, state = (a, b, depth), hashlib.sha256(ids.encode())
             else:
                 state.update(b"," + ids.encode())
-        yield from out
+        yield pa.RecordBatch.from_pylist(out, schema)
     if now is not None:
-        yield done()
+        yield pa.RecordBatch.from_pylist([done()], schema)
 
 
 def ends(whole: DataFrame, scratch: Scratch) -> DataFrame:

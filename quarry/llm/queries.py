@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import cross_polytope, hard_negatives, language_id, mixing, near_dedup, oracles, packing, prefix_trie, repeated_bytes, token_counts, token_files, vantage_trees, warc
+from quarry.llm import cross_polytope, hard_negatives, language_id, mixing, near_dedup, oracles, packing, pii, prefix_trie, repeated_bytes, token_counts, token_files, vantage_trees, warc
 from quarry.llm.common import Scratch, table
 from quarry.llm.encode import vocabulary
 
@@ -70,5 +70,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(turns, conversations, scratch)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing, op11_hard_negatives, op12_prefix_trie)}
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[pii.count_of(k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.as_text(patterns_only=True).cast("binary"), 256).alias("base_sha256"), pii.as_text().alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_bytes, op2_vantage_trees, op3_language_id, op4_near_dedup, op5_warc, op6_token_files, op7_cross_polytope, op8_mixing, op9_token_counts, op10_packing, op11_hard_negatives, op12_prefix_trie, op13_pii)}
 ORACLE = {"op8_mixing": oracles.OP8, "op11_hard_negatives": oracles.OP11, "op12_prefix_trie": oracles.OP12}

@@ -1,70 +1,30 @@
-"""K-means clustering: assignment to fixed centres, Lloyd iterations as
-DataFrame jobs, ``pyspark.ml`` fits, elbow sweeps, label grids, summaries.
+"""Clustering workflows: scale, fit and label, elbow sweeps, label grids,
+comparisons of clusterings, summaries, and ``pyspark.ml`` fits.
 
-Centres are O(k x d) numbers held on the driver and inlined into the plan as
-literals, so assignment is a projection (no join, no shuffle); each Lloyd
-step is one ``groupBy(cluster)`` aggregate with map-side partial
-aggregation, so a cluster holding most rows costs nothing extra.
+The fits are those of ``kmeans``, centres and labels those of ``distance``; a
+workflow's input is written once, since a fit reads it many times. ``fit_kmeans``
+and ``fit_bisecting`` are ``pyspark.ml``'s own.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from quarry.functions.scalar import label_concat
+from quarry.operators import kmeans
+from quarry.operators.distance import assign_nearest, nearest_of
 from quarry.operators.quantiles import clean
-from quarry.operators.scale import ScalerStats, apply_scaler, fit_scaler, inverse_values
+from quarry.operators.scale import ScalerStats, apply_scaler, fit_scaler, forward_values, inverse_values
+from quarry.plans.materialize import materialize
 
 
-# ------------------------------------------------------------ assignment
-
-
-def sq_distance(features: list[str], center: list[float]) -> Column:
-    terms = [(F.col(c).cast("double") - F.lit(float(v))) * (F.col(c).cast("double") - F.lit(float(v)))
-             for c, v in zip(features, center)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
-def sq_distance_array(array_col: str, center: list[float]) -> Column:
-    """Squared distance between an ARRAY<float|double> column and a centre."""
-    cen = F.array(*[F.lit(float(v)) for v in center])
-    diffs = F.zip_with(F.col(array_col), cen,
-                       lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def nearest(dists: list[Column]) -> Column:
-    """struct(d2, cluster) of the nearest centre; ties go to the lowest id. A
-    row with a missing feature (NULL or NaN) has no distance and no cluster."""
-    best = F.array_min(F.array(*[F.struct(d.alias("d2"), F.lit(i).alias("cluster"))
-                                 for i, d in enumerate(dists)]))
-    return F.when(dists[0].isNotNull() & ~F.isnan(dists[0]), best)
-
-
-def assign_nearest(df: DataFrame, features, centers: list[list[float]],
-                   cluster_col: str = "cluster", dist_col: str | None = "dist2") -> DataFrame:
-    """Label every row with its nearest centre (``cluster`` INT, and the
-    squared distance). ``features`` is a list of numeric columns or the name
-    of one array column."""
-    if isinstance(features, str):
-        dists = [sq_distance_array(features, c) for c in centers]
-    else:
-        dists = [sq_distance(list(features), c) for c in centers]
-    best = nearest(dists)
-    out = df.withColumn("__best", best).withColumn(cluster_col, F.col("__best.cluster"))
-    if dist_col:
-        out = out.withColumn(dist_col, F.col("__best.d2"))
-    return out.drop("__best")
+# ------------------------------------------------------------- summaries
 
 
 def inertia(df: DataFrame, features, centers: list[list[float]]) -> float:
@@ -79,31 +39,11 @@ def cluster_means(df: DataFrame, cluster_col: str, features: list[str]) -> DataF
                  F.count(F.lit(1)).alias("n_members")))
 
 
-def lloyd(df: DataFrame, features, init_centers: list[list[float]], iterations: int = 10,
+def lloyd(df: DataFrame, features, init_centers: list[list[float]], iterations: int = 300,
           tol: float = 0.0) -> list[list[float]]:
-    """Lloyd iterations from fixed initial centres; a centre without members
-    stays where it is. One aggregate job per iteration, O(k x d) result."""
-    centers = [list(map(float, c)) for c in init_centers]
-    is_array = isinstance(features, str)
-    dims = len(centers[0])
-    for _ in range(iterations):
-        labelled = assign_nearest(df, features, centers, dist_col=None)
-        if is_array:
-            means = [F.avg(F.element_at(F.col(features), j + 1).cast("double")).alias(f"f{j}")
-                     for j in range(dims)]
-        else:
-            means = [F.avg(F.col(c).cast("double")).alias(f"f{j}") for j, c in enumerate(features)]
-        rows = labelled.groupBy("cluster").agg(*means).collect()
-        new = [list(c) for c in centers]
-        for r in rows:
-            if r["cluster"] is None:
-                continue
-            new[r["cluster"]] = [r[f"f{j}"] for j in range(dims)]
-        shift = max(sum((a - b) ** 2 for a, b in zip(x, y)) for x, y in zip(centers, new))
-        centers = new
-        if shift <= tol:
-            break
-    return centers
+    """Centres after Lloyd iterations from fixed initial ones, until they rest (see
+    ``kmeans``) or after ``iterations``."""
+    return kmeans.fit(df, features, len(init_centers), start=init_centers, max_iter=iterations, tol=tol).centers
 
 
 # ----------------------------------------------------------- MLlib fits
@@ -172,100 +112,66 @@ def centers_frame(spark: SparkSession, centers: list[list[float]], cols: list[st
     return spark.createDataFrame([(i, *map(float, c)) for i, c in enumerate(centers)], schema)
 
 
-def canonical_order(centers: list[list[float]]) -> list[list[float]]:
-    """Centres sorted lexicographically (labels then become comparable)."""
-    return sorted(centers)
-
-
 @dataclass
 class ClusterResult:
     rows: DataFrame          # input rows + ``cluster`` label text
     scaled: DataFrame        # key + scaled features + integer cluster
     scaler: ScalerStats
-    model: KMeansModel
+    model: kmeans.Fit
     centroids: DataFrame     # unscaled centres, one row per cluster
 
 
 def create_cluster(df: DataFrame, key: str, features: list[str], k: int,
                    scaler: str = "minmax", seed: int = 713, max_iter: int = 300,
-                   prefix: str = "cluster_") -> ClusterResult:
-    """Scale, fit k-means, label rows ``cluster_<i>``, unscale the centres."""
-    stats = fit_scaler(df, features, scaler)
-    scaled = apply_scaler(df.select(key, *features), stats)
-    model = fit_kmeans(scaled, features, k, seed=seed, max_iter=max_iter)
-    centers = centers_of(model)
-    labelled = assign_nearest(scaled, features, centers, dist_col=None)
+                   prefix: str = "cluster_", start: list[list[float]] | None = None,
+                   n_init: int = 1, tol: float = kmeans.TOL) -> ClusterResult:
+    """Scale, fit k-means, label rows ``cluster_<i>``, unscale the centres.
+    ``start`` gives start centres in the features' own units; without it they are
+    drawn (best of ``n_init`` draws)."""
+    table = materialize(df, "cluster-input")
+    stats = fit_scaler(table, features, scaler)
+    scaled = apply_scaler(table.select(key, *features), stats)
+    model = kmeans.fit(scaled, features, k, key=key, seed=seed, n_init=n_init, max_iter=max_iter, tol=tol,
+                       start=None if start is None else forward_values(stats, start))
+    labelled = assign_nearest(scaled, features, model.centers, dist_col=None)
     # label the original rows directly (scaled copies of the features are a
     # projection of the same row): no join back on the key, no shuffle
     sfx = "__scaled"
-    rows = assign_nearest(apply_scaler(df, stats, suffix=sfx), [c + sfx for c in features],
-                          centers, dist_col=None)
+    rows = assign_nearest(apply_scaler(table, stats, suffix=sfx), [c + sfx for c in features],
+                          model.centers, dist_col=None)
     rows = rows.drop(*[c + sfx for c in features]) \
         .withColumn("cluster", label_concat(prefix, F.col("cluster")))
-    centroids = centers_frame(df.sparkSession, inverse_values(stats, centers), features)
+    centroids = centers_frame(df.sparkSession, inverse_values(stats, model.centers), features)
     return ClusterResult(rows, labelled, stats, model, centroids)
 
 
-def _fit_many(data: DataFrame, features, ks: list[int], seed: int, max_iter: int,
-              parallel: int, use):
-    """Fit one model per k. The fits are independent, so up to ``parallel``
-    of them run as concurrent Spark jobs (their per-iteration jobs are small
-    and would leave most of a cluster idle one at a time)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    mv = mean_feature_variance(data)  # once for all k
-
-    def one(k):
-        return use(k, fit_kmeans(data, features, k, seed=seed, max_iter=max_iter,
-                                 tol=sklearn_tol(data, k, mean_var=mv), assembled=True))
-
-    if parallel <= 1 or len(ks) <= 1:
-        return [one(k) for k in ks]
-    with ThreadPoolExecutor(max_workers=min(parallel, len(ks))) as pool:
-        return list(pool.map(one, ks))
-
-
 def elbow(df: DataFrame, features, ks=range(2, 12), seed: int = 713, max_iter: int = 300,
-          scaler: str | None = None, parallel: int = 8) -> DataFrame:
+          scaler: str | None = None, key: str | list[str] | None = None, n_init: int = 1) -> DataFrame:
     """Inertia for each k (the elbow curve), ``(k, inertia, drop)`` where
-    ``drop`` is the relative decrease from the previous k. The assembled
-    features are persisted once and reused by every fit."""
-    data = df
+    ``drop`` is the relative decrease from the previous k. All fits share their
+    scans."""
+    names = [features] if isinstance(features, str) else list(features)
+    keys = [key] if isinstance(key, str) else list(key or [])
+    data = materialize(df.select(*dict.fromkeys([*keys, *names])), "elbow-input")
     if scaler and not isinstance(features, str):
-        data = apply_scaler(df, fit_scaler(df, features, scaler))
-    data = _assemble(data, features).select("__features").persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()  # fill the cache once, before the concurrent fits read it
-    try:
-        out = _fit_many(data, features, list(ks), seed, max_iter, parallel,
-                        lambda k, m: (int(k), float(m.summary.trainingCost)))
-    finally:
-        data.unpersist()
-    rows = []
-    for i, (k, cost) in enumerate(out):
-        prev = out[i - 1][1] if i else None
-        rows.append((k, cost, None if not prev else (prev - cost) / prev))
+        data = apply_scaler(data, fit_scaler(data, features, scaler))
+    fits = kmeans.sweep(data, features, list(ks), key=key, seed=seed, n_init=n_init, max_iter=max_iter)
+    rows, prev = [], None
+    for k, fit in fits.items():
+        rows.append((k, float(fit.inertia), None if not prev else (prev - fit.inertia) / prev))
+        prev = fit.inertia
     schema = StructType([StructField("k", IntegerType()), StructField("inertia", DoubleType()),
                          StructField("drop", DoubleType())])
     return df.sparkSession.createDataFrame(rows, schema)
 
 
 def k_grid(df: DataFrame, key: str, features, ks=range(2, 6), seed: int = 713,
-           max_iter: int = 300, parallel: int = 8) -> DataFrame:
+           max_iter: int = 300, n_init: int = 1) -> DataFrame:
     """Labels of every row for each k: long frame ``(key, k, cluster)``."""
-    data = _assemble(df.select(key, *([features] if isinstance(features, str) else features)),
-                     features).select(key, "__features").persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()  # fill the cache once, before the concurrent fits read it
-    try:
-        fits = _fit_many(data, features, list(ks), seed, max_iter, parallel,
-                         lambda k, m: (int(k), centers_of(m)))
-    finally:
-        data.unpersist()
-    # one scan labels every k
-    labels = df.select(key, *([features] if isinstance(features, str) else features))
-    for k, centers in fits:
-        labels = assign_nearest(labels, features, centers, cluster_col=f"__k{k}", dist_col=None)
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"__k{k}").alias("cluster")) for k, _c in fits]))
-    return labels.select(key, each.alias("s")).select(key, "s.k", "s.cluster")
+    labels = materialize(df.select(key, *([features] if isinstance(features, str) else features)), "grid-input")
+    fits = kmeans.sweep(labels, features, list(ks), key=key, seed=seed, n_init=n_init, max_iter=max_iter)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), nearest_of(features, fit.centers)["cluster"].alias("cluster")) for k, fit in fits.items()]))
+    return labels.select(key, each.alias("s")).select(key, "s.k", "s.cluster")  # one scan labels every k
 
 
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -273,22 +179,107 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
-def scaled_vs_unscaled(df: DataFrame, key: str, features: list[str], k: int = 2,
-                       seed: int = 713, max_iter: int = 300) -> DataFrame:
-    """The same k-means on raw and on min-max scaled features: crosstab of
-    the two labelings ``(cluster_raw, cluster_scaled, count)``."""
-    data = df.select(key, *features)
-    raw = fit_kmeans(data, features, k, seed=seed, max_iter=max_iter)
-    stats = fit_scaler(data, features, "minmax")
+def adjusted_rand(counts: DataFrame, a: str, b: str, n: str = "count") -> DataFrame:
+    """The adjusted Rand index of two labelings from their contingency table
+    ``(a, b, count)``: ``(n_rows, n_pairs_both, adjusted_rand)``. Rows without one
+    of the labels take no part; two labelings of one cluster each agree (1)."""
+    t = counts.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("a"), F.col(b).alias("b"), F.col(n).alias("n"))
+    pairs = lambda c: F.sum(F.col(c) * (F.col(c) - 1) / 2)
+    cells = t.agg(F.sum("n").alias("n_rows"), pairs("n").alias("both"))
+    one = t.groupBy("a").agg(F.sum("n").alias("n")).agg(pairs("n").alias("in_a"))
+    other = t.groupBy("b").agg(F.sum("n").alias("n")).agg(pairs("n").alias("in_b"))
+    n_rows, both, in_a, in_b = (*cells.first(), *one.first(), *other.first())
+    index = None
+    if n_rows:
+        total = n_rows * (n_rows - 1) / 2
+        by_chance = in_a * in_b / total if total else 0.0
+        most = (in_a + in_b) / 2
+        index = 1.0 if most == by_chance else (both - by_chance) / (most - by_chance)
+    return counts.sparkSession.createDataFrame([(int(n_rows or 0), int(both or 0), index)], "n_rows long, n_pairs_both long, adjusted_rand double")
+
+
+def match_labels(cells: list[tuple[int, int, int]], k: int) -> list[int]:
+    """For each label of the first labeling the one of the second that it stands
+    for: the one-to-one matching with the most rows in common (``cells`` are
+    (a, b, count)), found by augmenting along shortest paths."""
+    cost = [[0] * k for _ in range(k)]
+    for a, b, n in cells:
+        cost[a][b] = -n
+    row_of, potential, shadow = [-1] * (k + 1), [0] * (k + 1), [0] * (k + 1)
+    for a in range(k):
+        row_of[k], at = a, k
+        least, via, used = [float("inf")] * k, [k] * k, [False] * (k + 1)
+        while row_of[at] >= 0:
+            used[at], row = True, row_of[at]
+            for b in range(k):
+                if not used[b]:
+                    gap = cost[row][b] - potential[row] - shadow[b]
+                    if gap < least[b]:
+                        least[b], via[b] = gap, at
+            step, after = min((least[b], b) for b in range(k) if not used[b])
+            for b in range(k + 1):
+                if used[b]:
+                    potential[row_of[b]] += step
+                    shadow[b] -= step
+                elif b < k:
+                    least[b] -= step
+            at = after
+        while at != k:
+            row_of[at], at = row_of[via[at]], via[at]
+    matched = [0] * k
+    for b in range(k):
+        matched[row_of[b]] = b
+    return matched
+
+
+@dataclass
+class Comparison:
+    crosstab: DataFrame      # cluster_raw, cluster_scaled, count
+    agreement: DataFrame     # n_rows, n_pairs_both, adjusted_rand
+    profile: DataFrame       # run, cluster, matched, n_members, then center_, mean_, min_, max_ of each feature
+    raw: kmeans.Fit
+    scaled: kmeans.Fit
+
+
+def compare_scaling(df: DataFrame, key: str, features: list[str], k: int = 2, seed: int = 713, max_iter: int = 300,
+                    scaler: str = "minmax", start: list[list[float]] | None = None, n_init: int = 1) -> Comparison:
+    """The same k-means on raw and on scaled features, from the same starts (the
+    given ones, in the features' units, or each run's own draws): how far the
+    two labelings agree, and the centres, sizes and profiles of both. ``matched`` is the
+    other run's cluster that stands for a cluster. Rows with a missing feature have
+    no cluster and are left out."""
+    data = materialize(df.select(key, *features), "compare-input")
+    stats = fit_scaler(data, features, scaler)
     sfx = "__scaled"
-    sc = apply_scaler(data, stats, suffix=sfx)
-    scm = fit_kmeans(sc.select(*[F.col(c + sfx).alias(c) for c in features]), features, k,
-                     seed=seed, max_iter=max_iter)
+    both = apply_scaler(data, stats, suffix=sfx)
+    raw = kmeans.fit(data, features, k, key=key, seed=seed, n_init=n_init, max_iter=max_iter, start=start)
+    scaled = kmeans.fit(both, [c + sfx for c in features], k, key=key, seed=seed, n_init=n_init, max_iter=max_iter,
+                        start=None if start is None else forward_values(stats, start))
     # both labelings are projections of the same rows: one pass, no join
-    both = assign_nearest(sc, features, centers_of(raw), cluster_col="cluster_raw", dist_col=None)
-    both = assign_nearest(both, [c + sfx for c in features], centers_of(scm),
-                          cluster_col="cluster_scaled", dist_col=None)
-    return contingency(both, "cluster_raw", "cluster_scaled")
+    both = assign_nearest(both, features, raw.centers, cluster_col="cluster_raw", dist_col=None)
+    both = assign_nearest(both, [c + sfx for c in features], scaled.centers, cluster_col="cluster_scaled", dist_col=None)
+    both = both.where(F.col("cluster_raw").isNotNull() & F.col("cluster_scaled").isNotNull())
+    crosstab = contingency(both, "cluster_raw", "cluster_scaled")
+    cells = [tuple(r) for r in crosstab.collect()]  # k x k counts
+    size = max(len(raw.centers), len(scaled.centers))
+    to_scaled = match_labels(cells, size)
+    centers = {"raw": raw.centers, "scaled": inverse_values(stats, scaled.centers)}
+    facts = [(run, i, to_scaled[i] if run == "raw" else to_scaled.index(i), *map(float, c)) for run, cs in centers.items() for i, c in enumerate(cs)]
+    schema = "run string, c int, matched int, " + ", ".join(f"`center_{f}` double" for f in features)
+    facts = df.sparkSession.createDataFrame(facts, schema)
+    runs = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.col(f"cluster_{r}").alias("cluster")) for r in centers]))
+    profile = (both.select(runs.alias("s"), *features).groupBy("s.run", "s.cluster")
+               .agg(F.count(F.lit(1)).alias("n_members"), *[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in features for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))]))
+    profile = facts.join(profile.withColumnRenamed("cluster", "c"), ["run", "c"], "left").withColumnRenamed("c", "cluster")
+    profile = profile.fillna(0, ["n_members"])
+    return Comparison(crosstab, adjusted_rand(crosstab, "cluster_raw", "cluster_scaled"), profile, raw, scaled)
+
+
+def scaled_vs_unscaled(df: DataFrame, key: str, features: list[str], k: int = 2, seed: int = 713, max_iter: int = 300,
+                       start: list[list[float]] | None = None, n_init: int = 1) -> DataFrame:
+    """The same k-means on raw and on min-max scaled features: crosstab of
+    the two labelings ``(cluster_raw, cluster_scaled, count)``."""
+    return compare_scaling(df, key, features, k, seed, max_iter, start=start, n_init=n_init).crosstab
 
 
 def fit_bisecting(df: DataFrame, features, k: int, seed: int = 713, max_iter: int = 20):

@@ -75,6 +75,11 @@ def inverse_scaler(df: DataFrame, stats: ScalerStats, suffix: str = "") -> DataF
         for i, c in enumerate(stats.cols)})
 
 
+def forward_values(stats: ScalerStats, rows: list[list[float]]) -> list[list[float]]:
+    """Scale a few points held on the driver (k start centres)."""
+    return [[(v - stats.center[i]) / stats.scale[i] for i, v in enumerate(r)] for r in rows]
+
+
 def inverse_values(stats: ScalerStats, rows: list[list[float]]) -> list[list[float]]:
     """Inverse transform of a few points held on the driver (k centres)."""
     return [[v * stats.scale[i] + stats.center[i] for i, v in enumerate(r)] for r in rows]

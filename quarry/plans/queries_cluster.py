@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import label_concat
-from quarry.operators import cluster
+from quarry.operators import cluster, kmeans
 from quarry.operators.joins import attach_centroids
 from quarry.operators.scale import apply_scaler, fit_scaler
 from quarry.plans.catalog import register
 from quarry.plans.acquire import customer_features
+from quarry.plans.materialize import materialize
 from quarry.sources.tables import read_table
 
 _FEATS = ["l_quantity", "l_discount"]
@@ -69,6 +70,49 @@ def _assign_sql(src_pts: str, centers: str, k: int, dims: int, extra: str = "")
   FROM (SELECT p.*{extra}, {dists} FROM {src_pts} p, {_wide_centers_sql(centers, k, dims)} w))"""
 
 
+def _d2_sql(a: str, b: str, dims: int) -> str:
+    return f"list_sum([({a}[j] - {b}[j]) * ({a}[j] - {b}[j]) FOR j IN range(1, {dims + 1})])"
+
+
+def kmeans_sql(ctes: str, dims: int, ks: list[int], final: str, seed: int = 713, start: str | None = None,
+               tol: float = 1e-4, name: str = "") -> str:
+    """CTEs of k-means fits over ``pts<name>(key VARCHAR, v DOUBLE[])``: hash-drawn
+    starts (or ``start``, a SELECT of one list of centres), Lloyd iterations until
+    the centres rest, then ``fin<name>(k, cen, it)`` and
+    ``lab<name>(k, key, v, cluster, d2)``; ``final`` closes the query."""
+    p, kmax, n = f"pts{name}", max(ks), name
+    die = "(CAST('0x' || substr(md5('{seed}:' || CAST({step} AS VARCHAR) || ':' || key), 1, 13) AS BIGINT) + 0.5)::DOUBLE / 4503599627370496.0"
+    means = ", ".join(f"avg(v[{j}])" for j in range(1, dims + 1))
+    variance = " + ".join(f"var_pop(v[{j}])" for j in range(1, dims + 1))
+    dists = f"[{_d2_sql('p.v', 'c', dims)} FOR c IN {{t}}.cen]"
+    draws = "" if start else f"""
+draw{n}(step, cen) AS (
+  SELECT 1, [list(v ORDER BY {die.format(seed=seed, step=1)}, key)[1]] FROM {p}
+  UNION ALL
+  SELECT step + 1, list_append(cen, list(v ORDER BY -ln(u) / w, key)[1])
+  FROM (SELECT t.step, t.cen, p.key, p.v, list_min({dists.format(t='t')}) AS w, {die.format(seed=seed, step='t.step + 1')} AS u
+        FROM draw{n} t, {p} p WHERE t.step < {kmax}) AS x
+  WHERE w > 0 GROUP BY step, cen),"""
+    first = f"SELECT {ks[0]}, 0, ({start}), 1e300::DOUBLE" if start else f"SELECT step, 0, cen, 1e300::DOUBLE FROM draw{n} WHERE step IN ({', '.join(map(str, ks))})"
+    return f"""{ctes},{draws}
+rest{n} AS (SELECT {tol!r} * ({variance}) / {dims} AS rest FROM {p}),
+run{n}(k, it, cen, shift) AS (
+  {first}
+  UNION ALL
+  SELECT k, it + 1, now, list_sum([{_d2_sql('now[i]', 'cen[i]', dims)} FOR i IN range(1, len(cen) + 1)])
+  FROM (SELECT k, it, cen, [coalesce(mm[i], cen[i]) FOR i IN range(1, len(cen) + 1)] AS now
+        FROM (SELECT k, it, cen, map(list(c), list(m)) AS mm
+              FROM (SELECT k, it, cen, list_position(ds, list_min(ds)) AS c, [{means}] AS m
+                    FROM (SELECT t.k, t.it, t.cen, p.v, {dists.format(t='t')} AS ds
+                          FROM run{n} t, {p} p, rest{n} WHERE t.shift > rest AND t.it < 300) AS a
+                    GROUP BY k, it, cen, c) AS b
+              GROUP BY k, it, cen) AS d) AS e),
+fin{n} AS (SELECT k, arg_max(cen, it) AS cen, max(it) AS it FROM run{n} GROUP BY k),
+lab{n} AS (SELECT k, key, v, CAST(list_position(ds, list_min(ds)) - 1 AS INT) AS cluster, list_min(ds) AS d2
+        FROM (SELECT f.k, p.key, p.v, {dists.format(t='f')} AS ds FROM fin{n} f, {p} p) AS a)
+{final}"""
+
+
 @register("assign_nearest", "WITH " + _PTS_SQL + """
 SELECT l_orderkey, l_linenumber, cluster, round_even(least(d0, d1, d2), 9) AS dist2
 FROM """ + _assign_sql("pts", "c0", 3, 2))
@@ -115,26 +159,18 @@ def inertia_fixed_centers(spark, sf_dir):
         F.bround("inertia", 6).alias("inertia"))
 
 
-def _lloyd_sql(k: int, dims: int, iters: int, pts_sql: str = _PTS_SQL,
-               final: str | None = None) -> str:
-    """Unrolled Lloyd iterations as a CTE chain over ``pts(f0..)`` from start
-    centres ``c0``; ``final`` is the closing SELECT over ``c<iters>``."""
-    ctes = [pts_sql]
-    for t in range(1, iters + 1):
-        feats = ", ".join(f"avg(f{i}) AS f{i}" for i in range(dims))
-        ctes.append(f"a{t} AS {_assign_sql('pts', f'c{t - 1}', k, dims)}")
-        ctes.append(f"""c{t} AS (SELECT cluster, {feats} FROM a{t} GROUP BY cluster
-  UNION ALL SELECT * FROM c{t - 1} WHERE cluster NOT IN (SELECT cluster FROM a{t}))""")
-    rounded = ", ".join(f"round_even(f{i}, 6) AS f{i}" for i in range(dims))
-    tail = final or f"SELECT cluster, {rounded} FROM c{iters}"
-    return "WITH " + ",\n".join(ctes) + "\n" + tail
+_START = "SELECT list([f0, f1] ORDER BY cluster) FROM c0"
 
 
-@register("lloyd_fixed_start", _lloyd_sql(3, 2, 4))
+@register("lloyd_fixed_start", "WITH RECURSIVE " + kmeans_sql(
+    _PTS_SQL.replace("pts AS", "raw AS").replace("FROM pts", "FROM raw") + """,
+pts AS (SELECT '' AS key, [f0, f1] AS v FROM raw)""", 2, [3], """
+SELECT CAST(i - 1 AS INT) AS cluster, round_even(cen[i][1], 6) AS f0, round_even(cen[i][2], 6) AS f1
+FROM fin, unnest(range(1, 4)) AS r(i)""", start=_START, tol=1e-12))
 def lloyd_fixed_start(spark, sf_dir):
     pts = scaled_lineitem(spark, sf_dir)
     init = first_row_centers(pts, "l_returnflag", ["l_orderkey", "l_linenumber"], _FEATS)
-    centers = cluster.lloyd(pts, _FEATS, init, iterations=4)
+    centers = cluster.lloyd(pts, _FEATS, init, tol=1e-12)
     out = cluster.centers_frame(spark, centers, ["f0", "f1"])
     return out.select("cluster", F.bround("f0", 6).alias("f0"), F.bround("f1", 6).alias("f1"))
 
@@ -195,49 +231,148 @@ def cluster_vs_class(spark, sf_dir):
     return cluster.contingency(lab, "label", "cluster")
 
 
-# ----------------------------------------------- MLlib fits (rows-only checks)
+# ------------------------------------------------------ fits with drawn starts
 
+_EMB_PTS = "pts AS (SELECT CAST(vec_id AS VARCHAR) AS key, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings)"
+_CUST_FEAT = """
+feat AS (SELECT c.c_custkey, c.c_mktsegment, c.c_acctbal, COALESCE(s.total_spend, 0.0) AS total_spend
+         FROM customer c LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS total_spend
+                                    FROM orders GROUP BY o_custkey) s
+           ON s.o_custkey = c.c_custkey)"""
+_CUST_PTS = _CUST_FEAT + """,
+st AS (SELECT min(c_acctbal) AS mna, max(c_acctbal) AS mxa,
+              min(total_spend) AS mns, max(total_spend) AS mxs FROM feat),
+pts AS (SELECT CAST(c_custkey AS VARCHAR) AS key, [(c_acctbal - mna) / (mxa - mna), (total_spend - mns) / (mxs - mns)] AS v FROM feat, st)"""
+_CUST = ["c_acctbal", "total_spend"]
 
-@register("kmeans_fit")
+
+@register("kmeans_fit", "WITH RECURSIVE " + kmeans_sql(_EMB_PTS, 64, [10], """
+SELECT cluster, count(*) AS n_members, round_even(sum(d2), 6) AS inertia FROM lab GROUP BY cluster"""))
 def kmeans_fit(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings")
-    model = cluster.fit_kmeans(emb, "embedding", 10, seed=713)
-    return cluster.predict(model, emb, "embedding").groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n_members"))
+    fit = kmeans.fit(emb, "embedding", 10, key="vec_id", seed=713)
+    return (cluster.assign_nearest(emb, "embedding", fit.centers).groupBy("cluster")
+            .agg(F.count(F.lit(1)).alias("n_members"), F.bround(F.sum("dist2"), 6).alias("inertia")))
+
+
+@register("cluster_labels", "WITH RECURSIVE " + kmeans_sql(_EMB_PTS, 64, [3], """
+SELECT e.vec_id, e.label, 'cluster' || CAST(l.cluster AS VARCHAR) AS cluster
+FROM embeddings e JOIN lab l ON l.key = CAST(e.vec_id AS VARCHAR)""", seed=123))
+def cluster_labels(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings")
+    fit = kmeans.fit(emb, "embedding", 3, key="vec_id", seed=123)
+    return (cluster.assign_nearest(emb, "embedding", fit.centers, dist_col=None)
+            .select("vec_id", "label", label_concat("cluster", F.col("cluster")).alias("cluster")))
 
 
-@register("create_cluster")
+@register("create_cluster", "WITH RECURSIVE " + kmeans_sql(_CUST_PTS, 2, [5], """
+SELECT f.c_custkey, f.c_acctbal, round_even(f.total_spend, 4) AS total_spend, 'cluster_' || CAST(l.cluster AS VARCHAR) AS cluster
+FROM feat f JOIN lab l ON l.key = CAST(f.c_custkey AS VARCHAR)"""))
 def create_cluster(spark, sf_dir):
-    feats = customer_features(spark, sf_dir)
-    res = cluster.create_cluster(feats, "c_custkey", ["c_acctbal", "total_spend"], 5,
-                                 scaler="minmax", seed=713)
-    return res.rows.select("c_custkey", "c_acctbal", "total_spend", "cluster")
+    res = cluster.create_cluster(customer_features(spark, sf_dir), "c_custkey", _CUST, 5, scaler="minmax", seed=713)
+    return res.rows.select("c_custkey", "c_acctbal", F.bround("total_spend", 4).alias("total_spend"), "cluster")
 
 
-@register("create_cluster_centroids")
+_CENTROIDS = """
+SELECT {label} AS cluster,
+       round_even(cen[i][1] * (st.mxa - st.mna) + st.mna, 4) AS c_acctbal,
+       round_even(cen[i][2] * (st.mxs - st.mns) + st.mns, 4) AS total_spend
+FROM fin, st, unnest(range(1, 6)) AS r(i)"""
+
+
+@register("create_cluster_centroids", "WITH RECURSIVE " + kmeans_sql(_CUST_PTS, 2, [5], _CENTROIDS.format(label="CAST(i - 1 AS INT)")))
 def create_cluster_centroids(spark, sf_dir):
-    feats = customer_features(spark, sf_dir)
-    res = cluster.create_cluster(feats, "c_custkey", ["c_acctbal", "total_spend"], 5,
-                                 scaler="minmax", seed=713)
-    return res.centroids
+    res = cluster.create_cluster(customer_features(spark, sf_dir), "c_custkey", _CUST, 5, scaler="minmax", seed=713)
+    return res.centroids.select("cluster", *[F.bround(c, 4).alias(c) for c in _CUST])
+
+
+# start centres: the first customer of each market segment
+_SEGMENTS = """
+SELECT list(v ORDER BY c_mktsegment) FROM (
+  SELECT f.c_mktsegment, p.v FROM feat f JOIN pts p ON p.key = CAST(f.c_custkey AS VARCHAR)
+  QUALIFY row_number() OVER (PARTITION BY f.c_mktsegment ORDER BY f.c_custkey) = 1) AS x"""
 
 
-@register("elbow")
+def _with_segments(spark, sf_dir):
+    df = customer_features(spark, sf_dir).join(
+        read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
+    df = materialize(df, "customer-segments")
+    return df, first_row_centers(df, "c_mktsegment", ["c_custkey"], _CUST)
+
+
+@register("create_cluster_fixed_start", "WITH RECURSIVE " + kmeans_sql(
+    _CUST_PTS, 2, [5], _CENTROIDS.format(label="'cluster_' || CAST(i - 1 AS VARCHAR)"), start=_SEGMENTS))
+def create_cluster_fixed_start(spark, sf_dir):
+    df, start = _with_segments(spark, sf_dir)
+    res = cluster.create_cluster(df, "c_custkey", _CUST, 5, scaler="minmax", start=start)
+    return res.centroids.select(label_concat("cluster_", F.col("cluster")).alias("cluster"),
+                                *[F.bround(c, 4).alias(c) for c in _CUST])
+
+
+@register("elbow", "WITH RECURSIVE " + kmeans_sql(_CUST_PTS, 2, list(range(2, 10)), """
+, total AS (SELECT k, sum(d2) AS inertia FROM lab GROUP BY k)
+SELECT k, round_even(inertia, 6) AS inertia,
+       round_even((lag(inertia) OVER (ORDER BY k) - inertia) / lag(inertia) OVER (ORDER BY k), 6) AS "drop"
+FROM total"""))
 def elbow(spark, sf_dir):
-    return cluster.elbow(customer_features(spark, sf_dir), ["c_acctbal", "total_spend"],
-                         ks=range(2, 10), seed=713, scaler="minmax")
+    out = cluster.elbow(customer_features(spark, sf_dir), _CUST, ks=range(2, 10), seed=713, scaler="minmax", key="c_custkey")
+    return out.select("k", F.bround("inertia", 6).alias("inertia"), F.bround("drop", 6).alias("drop"))
 
 
-@register("k_grid")
+@register("k_grid", "WITH RECURSIVE " + kmeans_sql(_EMB_PTS, 64, [2, 3, 4, 5], """
+SELECT CAST(key AS BIGINT) AS vec_id, CAST(k AS INT) AS k, cluster FROM lab"""))
 def k_grid(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return cluster.k_grid(emb, "vec_id", "embedding", ks=range(2, 6), seed=713)
 
 
-@register("scaled_vs_unscaled")
+_RAW_PTS = "pts_raw AS (SELECT CAST(c_custkey AS VARCHAR) AS key, [c_acctbal, total_spend] AS v FROM feat)"
+_BOTH = "WITH RECURSIVE " + kmeans_sql(_CUST_PTS, 2, [2], ", " + _RAW_PTS, start=_SEGMENTS.replace("FROM feat f", "FROM (SELECT * FROM feat WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING')) f"))
+_BOTH = kmeans_sql(_BOTH, 2, [2], """
+, crosstab AS (SELECT r.cluster AS cluster_raw, s.cluster AS cluster_scaled, count(*) AS count
+               FROM lab s JOIN lab_raw r ON r.key = s.key GROUP BY ALL)
+""", start=_SEGMENTS.replace("pts p", "pts_raw p").replace("FROM feat f", "FROM (SELECT * FROM feat WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING')) f"), name="_raw")
+
+
+def _compared(spark, sf_dir):
+    df, start = _with_segments(spark, sf_dir)
+    return cluster.compare_scaling(df, "c_custkey", _CUST, k=2, start=start[:2])
+
+
+@register("scaled_vs_unscaled", _BOTH + "SELECT * FROM crosstab")
 def scaled_vs_unscaled(spark, sf_dir):
-    return cluster.scaled_vs_unscaled(customer_features(spark, sf_dir), "c_custkey",
-                                      ["c_acctbal", "total_spend"], k=2, seed=713)
+    return _compared(spark, sf_dir).crosstab
+
+
+@register("clustering_agreement", _BOTH + """
+SELECT CAST(n AS BIGINT) AS n_rows, CAST(same AS BIGINT) AS n_pairs_both,
+       round_even((same - in_a * in_b / (n * (n - 1) / 2)) / ((in_a + in_b) / 2 - in_a * in_b / (n * (n - 1) / 2)), 9) AS adjusted_rand
+FROM (SELECT sum(count)::DOUBLE AS n, sum(count * (count - 1) / 2)::DOUBLE AS same,
+             (SELECT sum(m * (m - 1) / 2)::DOUBLE FROM (SELECT sum(count) AS m FROM crosstab GROUP BY cluster_raw)) AS in_a,
+             (SELECT sum(m * (m - 1) / 2)::DOUBLE FROM (SELECT sum(count) AS m FROM crosstab GROUP BY cluster_scaled)) AS in_b
+      FROM crosstab)""")
+def clustering_agreement(spark, sf_dir):
+    return _compared(spark, sf_dir).agreement.withColumn("adjusted_rand", F.bround("adjusted_rand", 9))
+
+
+_PROFILE = ", ".join(f"round_even({f}({c}), 4) AS {n}_{c}" for c in _CUST for n, f in (("mean", "avg"), ("min", "min"), ("max", "max")))
+
+
+@register("clustering_profiles", _BOTH + f"""
+, swap AS (SELECT sum(CASE WHEN cluster_raw = cluster_scaled THEN count ELSE -count END) < 0 AS swapped FROM crosstab),
+runs AS (SELECT 'raw' AS run, key, cluster FROM lab_raw UNION ALL SELECT 'scaled', key, cluster FROM lab),
+prof AS (SELECT run, cluster, count(*) AS n_members, {_PROFILE}
+         FROM runs JOIN feat ON key = CAST(c_custkey AS VARCHAR) GROUP BY run, cluster),
+cen AS (SELECT 'raw' AS run, CAST(i - 1 AS INT) AS cluster, cen[i][1] AS a, cen[i][2] AS b FROM fin_raw, unnest(range(1, 3)) AS r(i)
+        UNION ALL
+        SELECT 'scaled', CAST(i - 1 AS INT), cen[i][1] * (mxa - mna) + mna, cen[i][2] * (mxs - mns) + mns FROM fin, st, unnest(range(1, 3)) AS r(i))
+SELECT run, cluster, CASE WHEN swapped THEN 1 - cluster ELSE cluster END AS matched, n_members,
+       round_even(a, 4) AS center_c_acctbal, round_even(b, 4) AS center_total_spend,
+       {", ".join(f"{n}_{c}" for c in _CUST for n in ("mean", "min", "max"))}
+FROM prof JOIN cen USING (run, cluster), swap""")
+def clustering_profiles(spark, sf_dir):
+    out = _compared(spark, sf_dir).profile
+    return out.select("run", "cluster", "matched", "n_members", *[F.bround(c, 4).alias(c) for c in out.columns if c.endswith(tuple(_CUST))])
 
 
 @register("bisecting_kmeans")
@@ -247,50 +382,3 @@ def bisecting_kmeans(spark, sf_dir):
     from quarry.operators.cluster import _assemble
     return (model.transform(_assemble(emb, "embedding")).groupBy("cluster")
             .agg(F.count(F.lit(1)).alias("n_members")))
-
-
-@register("cluster_labels")
-def cluster_labels(spark, sf_dir):
-    emb = read_table(spark, sf_dir, "embeddings")
-    model = cluster.fit_kmeans(emb, "embedding", 3, seed=123)
-    return (cluster.predict(model, emb, "embedding")
-            .select("vec_id", "label", label_concat("cluster", F.col("cluster")).alias("cluster")))
-
-
-_CUST_PTS_SQL = """
-feat AS (SELECT c.c_custkey, c.c_mktsegment, c.c_acctbal, COALESCE(s.total_spend, 0.0) AS total_spend
-         FROM customer c LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS total_spend
-                                    FROM orders GROUP BY o_custkey) s
-           ON s.o_custkey = c.c_custkey),
-st AS (SELECT min(c_acctbal) AS mna, max(c_acctbal) AS mxa,
-              min(total_spend) AS mns, max(total_spend) AS mxs FROM feat),
-pts AS (SELECT c_custkey, c_mktsegment, (c_acctbal - mna) / (mxa - mna) AS f0,
-               (total_spend - mns) / (mxs - mns) AS f1 FROM feat, st),
-c0 AS (SELECT CAST(row_number() OVER (ORDER BY c_mktsegment) - 1 AS INT) AS cluster, f0, f1
-       FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment
-                                          ORDER BY c_custkey, f0, f1) AS rn FROM pts)
-       WHERE rn = 1)"""
-
-
-@register("create_cluster_fixed_start", _lloyd_sql(5, 2, 4, _CUST_PTS_SQL, """
-SELECT 'cluster_' || CAST(cluster AS VARCHAR) AS cluster,
-       round_even(f0 * (st.mxa - st.mna) + st.mna, 4) AS c_acctbal,
-       round_even(f1 * (st.mxs - st.mns) + st.mns, 4) AS total_spend
-FROM c4, st"""))
-def create_cluster_fixed_start(spark, sf_dir):
-    # the create-cluster workflow (min-max scale -> k-means -> cluster_<i>
-    # labels -> unscaled centres) with Lloyd iterations from data-derived
-    # start centres (first customer of each market segment) instead of a
-    # seeded k-means|| start, so the result is deterministic and SQL-checkable
-    from quarry.operators.scale import inverse_values
-    feats = ["c_acctbal", "total_spend"]
-    df = customer_features(spark, sf_dir).join(
-        read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
-    stats = fit_scaler(df, feats, "minmax")
-    scaled = apply_scaler(df, stats)
-    init = first_row_centers(scaled, "c_mktsegment", ["c_custkey"], feats)
-    centers = inverse_values(stats, cluster.lloyd(scaled, feats, init, iterations=4))
-    out = cluster.centers_frame(spark, centers, feats)
-    return out.select(label_concat("cluster_", F.col("cluster")).alias("cluster"),
-                      F.bround("c_acctbal", 4).alias("c_acctbal"),
-                      F.bround("total_spend", 4).alias("total_spend"))

@@ -76,14 +76,21 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def whole_rows(docs: DataFrame, name: str = "row") -> DataFrame:
+    """``docs`` as one struct column, so that no name of a stage can meet one
+    of its columns; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct("*").alias(name))
+
+
 def arrow_slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a record batch into runs of rows of about ``max_bytes`` of one
-    string or binary column, so that what is derived from a run stays small
-    however long the rows are. A single longer row is a run of its own."""
+    string or binary column (or field, ``struct.field``), so that what is derived
+    from a run stays small however long the rows are. A single longer row is a run
+    of its own."""
     n = batch.num_rows
     if not n:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column_of(batch, column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i in range(n):
         if i > start and total + sizes[i] > max_bytes:
@@ -93,6 +100,13 @@ def arrow_slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator
     yield batch.slice(start, n - start)
 
 
+def column_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A column, or a field of a struct column without null structs."""
+    name, _, field = column.partition(".")
+    values = batch.column(name)
+    return values.field(field) if field else values
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder that driver and executors share."""
     if "://" not in uri and not uri.startswith("file:"):

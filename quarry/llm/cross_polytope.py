@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, shuffle_partitions
 from quarry.llm.graph import Forest, components
-from quarry.llm.vectors import usable
+from quarry.llm.vectors import unit, usable
 
 TABLES, HASHES, THRESHOLD, PART_ROWS = 8, 2, 0.95, 512
 
@@ -127,7 +127,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THR
             flat, start = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
             for d in np.unique(sizes):
                 of = np.flatnonzero(sizes == d)
-                codes[of] = buckets(flat[start[of][:, None] + np.arange(d)], tables, hashes)
+                codes[of] = buckets(unit(flat[start[of][:, None] + np.arange(d)]), tables, hashes)
             wide = tables * (1 + hashes)
             yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), pa.array(sizes.astype(np.int32)), lists,
                                               pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * wide), pa.array(codes.reshape(-1)))],
@@ -175,7 +175,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THR
             if stop - start < 2:
                 continue
             v = flat[at[start]:at[start] + d[start] * (stop - start)].reshape(stop - start, d[start])
-            v = v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+            v = unit(v)
             a, b = tile_links(ids[start:stop], v, codes[start:stop], probe[start:stop], part[start:stop], int(t[start]), threshold)
             if not len(a):
                 continue

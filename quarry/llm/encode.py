@@ -28,13 +28,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept per generation of the cache; two generations are alive at most.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 #: Codes expanded to ids at once.
 EXPAND = 1 << 20
 
 # White space in any of the libraries' senses; RE2 syntax for Arrow.
 _WS = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_ODD_SPACES = f"{_WS} | {_WS}"
+ODD_SPACES = f"{_WS} | {_WS}"
 _RUN = re.compile(r"\s*\S+|\s+")
 # Pieces of plain chunks: Latin letters, digits, ASCII signs but "'" (short
 # forms) and "<" (special strings), and one line end between other pieces.
@@ -131,7 +131,7 @@ class Encoder:
         if self.mode == "words":
             column = pc.replace_substring(pc.replace_substring(column, "\n", " "), "\t", " ")
         else:
-            strange = pc.match_substring_regex(column, _ODD_SPACES).to_numpy(zero_copy_only=False)
+            strange = pc.match_substring_regex(column, ODD_SPACES).to_numpy(zero_copy_only=False)
             if strange.any():
                 odd = np.flatnonzero(strange)
                 kept = column

@@ -45,15 +45,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from quarry.llm.common import arrow_slices
+from quarry.llm.common import arrow_slices, column_of, whole_rows
 
 ORDER = 4
 TRAIN_DOCS = 256
 TRAIN_BYTES = 32 << 10
 MIN_COUNT = 6
 MAX_NODES = 12_000
-SLICE = 4 << 20
+SLICE = 512 << 10
 _PLAIN_LETTER = re.compile("[A-Za-z]")
 
 
@@ -76,8 +77,21 @@ class ContextTrees:
         """(node, symbol) x label, bits."""
         return self.code[self.rows].transpose(1, 2, 0).reshape(-1, len(self.labels))
 
-    def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Code lengths (texts x labels) of texts laid end to end."""
+    def bits(self, data: np.ndarray, offsets: np.ndarray, piece: int = 1 << 30) -> np.ndarray:
+        """Code lengths (texts x labels) of texts laid end to end. Texts longer than
+        ``piece`` bytes are scored in pieces, with the bytes before as contexts."""
+        if len(data) <= piece:
+            return self._bits(data, offsets)
+        out = np.zeros((len(offsets) - 1, len(self.labels)))
+        for i, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            for at in range(low, high, piece):
+                known = min(self.order, at - low)
+                part = data[at - known:min(at + piece, high)]
+                out[i] += self._bits(part, np.array([0, len(part)]), known)[0]
+        return out
+
+    def _bits(self, data: np.ndarray, offsets: np.ndarray, skip: int = 0) -> np.ndarray:
+        """Without the first ``skip`` bytes, which are contexts only."""
         n, symbols = len(data), self.child.shape[1]
         x = self.symbol[data].astype(np.int32)
         start = np.zeros(n, np.int32)
@@ -103,6 +117,7 @@ class ContextTrees:
             code = self.code.ravel()
             for k, rows in enumerate(self.rows):
                 cost = code[(rows.astype(np.int64) * symbols)[node] + x]
+                cost[:skip] = 0
                 out[filled, k] = np.add.reduceat(cost, offsets[:-1][filled], dtype=np.float64)
         return out
 
@@ -204,18 +219,17 @@ def training_sample(docs: DataFrame, may_train: Column, train_docs: int = TRAIN_
     return out
 
 
-def predict(docs: DataFrame, trees: ContextTrees | None, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with (_lang, _score, _lettered) of its ``text``."""
-    docs = docs.select(*columns, F.col("text").alias("_text"))
-    keys = [f for f in docs.schema.fields if f.name in columns]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys] + ["_lang string", "_score double", "_lettered boolean"])
+def predict(docs: DataFrame, trees: ContextTrees | None, text: str, keep: str) -> DataFrame:
+    """Column ``keep`` of ``docs`` with (lang, score, lettered) of its ``text`` column
+    (or field)."""
+    schema = docs.select(keep).schema.add("lang", "string").add("score", "double").add("lettered", "boolean")
     model = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
         for batch in batches:
-            for part in arrow_slices(batch, "_text", SLICE):
-                values = pc.fill_null(part.column("_text"), "").cast(pa.large_string())
+            for part in arrow_slices(batch, text, SLICE):
+                values = pc.fill_null(column_of(part, text), "").cast(pa.large_string())
                 offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
                 held = values.buffers()[2]
                 data = np.frombuffer(held, np.uint8)[offsets[0]:offsets[-1]] if held and len(values) else np.empty(0, np.uint8)
@@ -223,13 +237,12 @@ def predict(docs: DataFrame, trees: ContextTrees | None, columns: list[str]) ->
                 if trees is None or not trees.labels:
                     label, score = ["und"] * len(values), np.zeros(len(values))
                 else:
-                    bits = trees.bits(data, offsets - offsets[0])
+                    bits = trees.bits(data, offsets - offsets[0], SLICE)
                     best = bits.argmin(axis=1)
                     score = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
                     label = [trees.labels[b] if k else "und" for b, k in zip(best, lettered, strict=True)]
                     score = np.where(lettered, score, 0.0)
-                columns = [part.column(f.name) for f in keys] + [pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(lettered)]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in keys] + ["_lang", "_score", "_lettered"])
+                yield pa.RecordBatch.from_arrays([part.column(keep), pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(lettered)], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -245,11 +258,17 @@ def trained(docs: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS, t
 def identify(docs: DataFrame, **settings) -> DataFrame:
     """(doc_id, held_out, lang_pred, score), trained on the labelled documents
     that are not held out."""
-    out = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), trained(docs, **settings), ["doc_id"])
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = predict(given, trained(docs, **settings), "text", "doc_id")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
 
 
 def with_language(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the documents whose text is null or holds no letter. What
-    only lacks a learned label stays."""
-    return predict(docs, trained(docs, **settings), docs.columns).where("_lettered").select(*docs.columns)
+    """``docs`` without the documents whose text is null or holds no letter; a null
+    ``lang`` becomes the predicted one. What only lacks a learned label stays (and
+    keeps its null)."""
+    rows = predict(whole_rows(docs), trained(docs, **settings), "row.text", "row").where("lettered")
+    row = F.col("row")
+    if "lang" in docs.columns and docs.schema["lang"].dataType == StringType():
+        row = row.withField("lang", F.coalesce("row.lang", F.nullif("lang", F.lit("und"))))
+    return rows.select(row.alias("row")).select("row.*")

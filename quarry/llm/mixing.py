@@ -42,7 +42,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Scratch, shuffle_partitions
+from quarry.llm.common import Scratch, shuffle_partitions, whole_rows
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -173,14 +173,13 @@ def mixed_documents(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
     the target's end), those words joined by spaces. ``n_chars`` follows the
     text. The rows are numbered and written first, so that rows that share an
     id, or have none, are told apart."""
-    rows = scratch.write(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    mixed = mix(rows, scratch, row=F.col("_row"), **settings)
-    sums = mixed.pieces.groupBy("s", "off", "pass").agg(F.sum("words").alias("_words"))
-    found = (sums.join(mixed.documents.where("size > 0").select("s", "off", F.col("row").alias("_found"), F.col("size").alias("_size")), ["s", "off"])
-             .select("_found", "_size", "_words"))
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
-    cut = (rows.join(found.hint("shuffle_hash"), F.col("_row") == F.col("_found"))
-           .withColumn("text", F.when(F.col("_words") < F.col("_size"), first).otherwise(F.col("text"))))
+    rows = scratch.write(whole_rows(docs).withColumn("number", F.monotonically_increasing_id()), "rows")
+    mixed = mix(rows.select("row.doc_id", "row.source", "row.text", "number"), scratch, row=F.col("number"), **settings)
+    sums = mixed.pieces.groupBy("s", "off", "pass").agg(F.sum("words").alias("words"))
+    found = (sums.join(mixed.documents.where("size > 0").select("s", "off", F.col("row").alias("number"), "size"), ["s", "off"])
+             .select("number", "size", "words"))
+    first = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " ")
+    row = F.col("row").withField("text", F.when(F.col("words") < F.col("size"), first).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        row = row.withField("n_chars", F.length(row["text"]).cast(docs.schema["n_chars"].dataType))
+    return rows.join(found.hint("shuffle_hash"), "number").select(row.alias("row")).select("row.*")

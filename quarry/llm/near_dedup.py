@@ -36,8 +36,10 @@ percent) on the full sets.
 
 A null or empty text, or one without words, has an empty set and is linked
 with nothing. Rows that share an id are one document linked to itself; each
-gives a row. A row with a null id belongs to the class of its set (component
-null if that has no id). An empty table gives an empty result. Other columns
+gives a row. Rows without an id are compared under numbers of their texts from
+2^62 on (ids have to be smaller), so they link like others; their ids are null in
+the result, and so is the component of a group without any id, whose rows all
+count as kept. An empty table gives an empty result. Other columns
 play no part.
 """
 
@@ -47,17 +49,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.bytehash import U, column_bytes, mix, shingles
-from quarry.llm.common import Scratch, arrow_slices, shuffle_partitions, texts
+from quarry.llm.common import Scratch, arrow_slices, shuffle_partitions, texts, whole_rows
 from quarry.llm.graph import Forest, components
 
 BANDS, ROWS = 28, 4
-WORDS, THRESHOLD = 4, 80
-#: Words of a shingle where documents are dropped; fewer link more documents.
-STAGE_WORDS = 5
+WORDS, THRESHOLD = 5, 80
+#: Rows without an id go by numbers from here on while they are compared.
+NO_ID = 1 << 62
 #: Standard errors of the cut, and members of a part, in step 4.
 SLACK, PART_ROWS = 4.5, 512
 SLICE = 2 << 20
@@ -207,11 +209,22 @@ def _tile_links(words: int, threshold: int, least_cells: int):
 def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, threshold: int = THRESHOLD,
                     bands: int = BANDS, rows: int = ROWS, part_rows: int = PART_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
-    given = texts(docs)
+    out = _groups(docs, scratch, words, threshold, bands, rows, part_rows)
+    known = lambda c: F.when(F.col(c) < NO_ID, F.col(c)).alias(c)
+    return out.select(known("doc_id"), "n_shingles", known("component_id"), ((F.col("doc_id") >= NO_ID) & (F.col("component_id") >= NO_ID) | F.col("kept")).alias("kept"))
+
+
+def _numbered(doc_id: Column, text: Column) -> Column:
+    """The id, or for rows without one a number of their text's beyond all ids."""
+    return F.coalesce(doc_id, F.lit(NO_ID).bitwiseOR(F.xxhash64(text).bitwiseAND(F.lit(NO_ID - 1))))
+
+
+def _groups(docs: DataFrame, scratch: Scratch, words: int, threshold: int, bands: int, rows: int, part_rows: int) -> DataFrame:
+    given = texts(docs).withColumn("doc_id", _numbered(F.col("doc_id"), F.col("text")))
     sketch = scratch.write(sketches(given, words, bands, rows), "sketch")
     key = ["d1", "d2", "n_shingles"]
     classes = (sketch.where("n_shingles > 0").groupBy(*key)
-               .agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("cells").alias("cells")).where("rep is not null"))
+               .agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("cells").alias("cells")))
     classes = scratch.write(classes, "classes")
     placed = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
@@ -251,8 +264,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = WORDS, thres
     return out
 
 
-def first_of_each(docs: DataFrame, scratch: Scratch, words: int = STAGE_WORDS, **settings) -> DataFrame:
+def first_of_each(docs: DataFrame, scratch: Scratch, words: int = WORDS, threshold: int = THRESHOLD,
+                  bands: int = BANDS, rows: int = ROWS, part_rows: int = PART_ROWS) -> DataFrame:
     """``docs`` without the documents that are not the first of their group.
-    Rows that share an id are one document; rows with a null id stay."""
-    gone = near_duplicates(docs, scratch, words, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    Rows that share an id are one document, and so are rows without an id that
+    share a text; rows without an id come after all others."""
+    found = _groups(docs, scratch, words, threshold, bands, rows, part_rows)
+    gone = found.where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    given = whole_rows(docs)
+    number = _numbered(F.col("row.doc_id").cast("long"), F.coalesce(F.col("row.text").cast("string"), F.lit("")))
+    return given.join(gone.hint("shuffle_hash"), number == F.col("gone"), "left_anti").select("row.*")

@@ -39,9 +39,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.llm.bytehash import Spans, column_bytes, mix
-from quarry.llm.common import Scratch, arrow_slices
+from quarry.llm.common import Scratch, arrow_slices, whole_rows
 
 WIDTH = 200
 ANCHOR = 48
@@ -97,7 +98,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     not their text, and the text as _text."""
     return docs.withColumns({
         "_key": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))),
-        "_text": F.coalesce(F.col(text_col).cast("string"), F.lit(""))}).withColumn("_th", F.hash("_text"))
+        "_text": F.coalesce(F.col(text_col).cast("string"), F.lit(""))}).withColumn("_th", F.xxhash64("_text"))
 
 
 def _run_rows(width: int, anchor: int):
@@ -196,7 +197,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
         return scratch.write(rows.select("key", "th", "low", (F.col("low") + F.col("n") - 1 + width).alias("high")), name)
 
     runs_ = docs.select(F.col("_key").alias("key"), F.col("_th").alias("th"), F.col("_text").alias("text"))
-    records = scratch.write(runs_.mapInArrow(_run_rows(width, anchor), "key long, th int, low int, n int, back int, one long, two long"), "records")
+    records = scratch.write(runs_.mapInArrow(_run_rows(width, anchor), "key long, th long, low int, n int, back int, one long, two long"), "records")
     again = scratch.write(records.groupBy("one").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("one"), "again")
     shared = scratch.write(records.join(again, "one", "left_semi").withColumn("alone", F.lit(True)), "shared")
     scratch.drop("records", "again")
@@ -205,14 +206,14 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
     open_runs = scratch.write(_with_bytes(docs, open_, width), "open-runs")
     scratch.drop("shared", "runs-kinds", "runs-several")
 
-    schema = "key long, th int, alone boolean, one long, run int, low int, n int, back int, b int, core long, cover long"
+    schema = "key long, th long, alone boolean, one long, run int, low int, n int, back int, b int, core long, cover long"
     blocks = scratch.write(open_runs.mapInArrow(_blocks(width, block), schema), "blocks")
     done, open_ = _refine(blocks, ["one", "b", "core"], "cover", scratch, "blocks")
     whole_blocks = spans(done, "whole-blocks")
     run = [F.col(c).alias(f"_{c}") for c in ("key", "th", "low", "bytes")]
     held = (open_.join(open_runs.select(*run), (F.col("key") == F.col("_key")) & (F.col("th") == F.col("_th")) & (F.col("run") == F.col("_low")))
             .withColumn("bytes", F.substring("_bytes", F.col("low") - F.col("run") + 1, F.col("n") + (width - 1))))
-    schema = "key long, th int, alone boolean, one long, low int, back int, whole long"
+    schema = "key long, th long, alone boolean, one long, low int, back int, whole long"
     windows = scratch.write(held.select("key", "th", "alone", "one", "low", "n", "back", "bytes").mapInArrow(_windows(width), schema), "windows")
     scratch.drop("open-runs", "blocks", "blocks-kinds", "blocks-several")
 
@@ -240,7 +241,8 @@ def remove(docs: DataFrame, spans: DataFrame, columns: list[str], keep_text: boo
     joined = docs.join(lists.hint("shuffle_hash"), (F.col("_key") == F.col("_k")) & (F.col("_th") == F.col("_t")), "left").select(*columns, "_text", "_spans")
     kept = [f for f in joined.schema.fields if f.name in columns]
     names = ["_n_bytes", "_n_removed", "_n_spans", "_sha256"] + ["_kept"] * keep_text
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["_n_bytes long, _n_removed long, _n_spans long, _sha256 string"] + ["_kept string"] * keep_text)
+    schema = StructType([*kept]).add("_n_bytes", "long").add("_n_removed", "long").add("_n_spans", "long").add("_sha256", "string")
+    schema = schema.add("_kept", "string") if keep_text else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,10 +276,10 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> Dat
 def without_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> DataFrame:
     """``docs`` with the repeated bytes cut out of their texts (characters
     that a cut splits go whole); ``n_chars`` follows the text."""
-    given = keyed(docs)
-    others = [c for c in docs.columns if c != "text"]
-    out = remove(given, repeated_spans(given, scratch, width), others, keep_text=True)
-    out = out.withColumnRenamed("_kept", "text")
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    row = F.col("row")
+    given = keyed(whole_rows(docs).select(row.withField("text", F.lit(None).cast("string")).alias("row"), "row.doc_id", "row.text"))
+    out = remove(given, repeated_spans(given, scratch, width), ["row"], keep_text=True)
+    row = row.withField("text", F.col("_kept"))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length("_kept").cast(docs.schema["n_chars"].dataType))
+    return out.select(row.alias("row")).select("row.*")

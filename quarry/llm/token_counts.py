@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, arrow_slices, texts
+from quarry.llm.encode import ODD_SPACES
 
-SLICE = 24 << 20
+SLICE = 8 << 20
+_ODD = rf"^ | $|  |▁|\p{{Cf}}|[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{{84}}\x{{86}}-\x{{9f}}]|{ODD_SPACES}"
 _PIECES: dict = {}
 
 
@@ -40,8 +42,9 @@ class PieceCounter:
     piece has the mark after another character, no token reaches across a
     space that follows another character, and a text's count is the sum of its
     words' counts; each distinct word of a slice is encoded once. Texts with a
-    space at an end or next to another one, and models with other rules, go to
-    the model whole.
+    space at an end or next to other white space, with a mark of their own or with
+    control or format characters (which normalisation may drop), and models with
+    other rules, go to the model whole.
     """
 
     def __init__(self, path: str):
@@ -62,7 +65,7 @@ class PieceCounter:
         if not self.by_word or not n:
             return self.lengths(column.to_pylist())
         column = column.cast(pa.string())
-        odd = pc.match_substring_regex(column, "^ | $|  ").to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(odd), "", column), " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()

@@ -12,7 +12,11 @@ above. Then the tree is passed once in order, each node with the queries that
 still need it: by the triangle inequality a side holds nothing nearer than the
 gap between the query's distance and the side's, and is skipped where
 ``factor`` x gap exceeds the bound. Factor 1 is exact; larger ones skip more.
-A leaf is one matrix product.
+M is the largest norm of the shard. Where a shard's norms differ by more than
+``ALIKE``, the added component keeps queries far from all rows, gaps are large
+whatever the product, and a relaxed gap would skip the best rows: such a shard
+is searched with factor 1. All components are scaled by the largest one before
+they are squared, which changes no order. A leaf is one matrix product.
 
 Every shard meets every block in a join of the two numbered tables, and a
 query's results of all shards are ranked. Scores are products of the original
@@ -40,6 +44,7 @@ from quarry.llm.vectors import common_length, matrix, usable
 
 SHARD_ROWS, BLOCK_ROWS, LEAF = 8192, 1024, 256
 FACTOR = 1.25
+ALIKE = 0.9
 
 
 @dataclass
@@ -168,8 +173,8 @@ def nearest(vectors: DataFrame, is_query: Column, scratch: Scratch, k: int = 20,
     width = common_length(given, "v")
     rows = given.where(F.col("vec_id").isNotNull() & usable("v") & (F.size("v") == width)).groupBy("vec_id").agg(F.min("v").alias("v"), F.max("q").alias("q"))
     rows = scratch.write(rows, "vectors")
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, n_queries, largest = rows.agg(F.count(F.lit(1)), F.count_if("q"), F.coalesce(F.max(square), F.lit(0.0))).first()
+    most = F.array_max(F.transform("v", F.abs))
+    n, n_queries, unit = rows.agg(F.count(F.lit(1)), F.count_if("q"), F.coalesce(F.max(most), F.lit(1.0))).first()
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_queries // BLOCK_ROWS))
 
     def pack(kind: str):
@@ -181,7 +186,7 @@ def nearest(vectors: DataFrame, is_query: Column, scratch: Scratch, k: int = 20,
             ids, v = ids[order], v[order]
             out = {"ids": ids.tobytes(), "data": v.tobytes()}
             if kind == "shard":
-                tree = build(lifted(v, largest), seed=int(key[0].as_py()))
+                tree = build(lifted(v / unit)[0], seed=int(key[0].as_py()))
                 out["tree"] = np.concatenate([[len(tree.low)], tree.order, *(getattr(tree, c).view(np.int64) for c in _NODE)]).astype(np.int64).tobytes()
             yield pa.RecordBatch.from_pylist([{kind: key[0].as_py(), **out}])
         return run
@@ -199,7 +204,8 @@ def nearest(vectors: DataFrame, is_query: Column, scratch: Scratch, k: int = 20,
                 get = lambda c: np.frombuffer(batch.column(c)[i].as_py(), np.int64 if c in ("ids", "q_ids", "tree") else np.float64)  # noqa: B023, E731
                 ids, v, q_ids, q = get("ids"), get("data").reshape(-1, width), get("q_ids"), get("q_data").reshape(-1, width)
                 tree = unpack_tree(get("tree"), len(ids))
-                found = Search(tree, lifted(v, largest), ids, np.column_stack([q, np.zeros(len(q))]), q_ids, k, factor)
+                points, alike = lifted(v / unit)
+                found = Search(tree, points, ids, np.column_stack([q / unit, np.zeros(len(q))]), q_ids, k, factor if alike else 1.0)
                 who, at = found.run()
                 at = tree.order[at]
                 scores = np.empty(len(who))
@@ -218,9 +224,12 @@ def nearest(vectors: DataFrame, is_query: Column, scratch: Scratch, k: int = 20,
 _NODE = ("low", "high", "inside", "near", "far", "left", "right")
 
 
-def lifted(v: np.ndarray, largest: float) -> np.ndarray:
-    """Rows with the component that makes all norms equal."""
-    return np.column_stack([v, np.sqrt(np.maximum(largest - (v ** 2).sum(axis=1), 0))])
+def lifted(v: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Rows with the component that makes all norms equal, and whether they were
+    alike before."""
+    square = (v ** 2).sum(axis=1)
+    largest = square.max(initial=0.0)
+    return np.column_stack([v, np.sqrt(np.maximum(largest - square, 0))]), bool(square.min(initial=largest) >= ALIKE ** 2 * largest)
 
 
 def unpack_tree(packed: np.ndarray, rows: int) -> Tree:

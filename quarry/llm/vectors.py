@@ -24,6 +24,13 @@ def common_length(vectors: DataFrame, column: str) -> int:
     return best["d"] if best else 0
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled by their largest component first, so that no
+    square overflows or vanishes."""
+    v = v / np.abs(v).max(axis=1, keepdims=True, initial=np.finfo(float).tiny)
+    return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+
+
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """A list column without nulls, all of one length, as float64 rows."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)

@@ -90,3 +90,12 @@ def test_odd_vectors(spark):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got if r.vec_id is not None} == want
     assert [(r.n_links, r.component_id, r.kept) for r in got if r.vec_id is None] == [(0, None, True)] * 2
     assert cp.near_duplicates(frame.limit(0), Scratch(spark, "t7")).collect() == []
+
+
+def test_extreme_sizes(spark):
+    """Vectors of any finite size: no square overflows or vanishes."""
+    base, other = [1.0, 2.0, -1.0, 0.5], [1.0, -2.0, 1.0, 0.5]
+    rows = [(i, [x * s for x in v]) for i, (v, s) in enumerate((v, s) for s in (1e-170, 1e160, 1e307, 1.0) for v in (base, other))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = as_dict(cp.near_duplicates(frame, Scratch(spark, "t7")))
+    assert got == {i: (3, i % 2, i < 2) for i in range(8)}

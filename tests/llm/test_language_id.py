@@ -167,3 +167,13 @@ def test_accuracy_with_many_labels():
     shares = np.array([len(np.unique(r)) for r in trees.rows])
     assert shares.min() >= 0.7 * shares.max() > 200
     assert min(accuracy(trees, tests).values()) >= 0.95
+
+
+def test_long_texts_in_pieces():
+    text = b"the quick brown fox and the lazy dog " * 40
+    trees = li.fit({"en": [text], "xx": [b"zzz yyy xxx " * 30]}, order=3, min_count=1)
+    data = np.frombuffer(text + b"ab" + text[:500], np.uint8)
+    offsets = np.array([0, len(text), len(text) + 2, len(data)])
+    whole = trees.bits(data, offsets)
+    for piece in (1, 2, 3, 7, 100, 501):
+        assert trees.bits(data, offsets, piece) == pytest.approx(whole, rel=1e-9)

@@ -74,10 +74,10 @@ def test_chains_groups_and_odd_rows(spark):
     rng.shuffle(rows)
     schema = "doc_id long, text string, bands string, component string"
     docs = spark.createDataFrame([(*r, None, "c") for r in rows], schema)
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_duplicates(docs, Scratch(spark, "t4"), part_rows=4).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in nd.near_duplicates(docs, Scratch(spark, "t4"), words=4, part_rows=4).collect()}
     assert got == plain(rows)
     extra = spark.createDataFrame([(503, "one", None, None), (None, "one two", None, None), (None, None, None, None)], schema)
-    out = nd.near_duplicates(docs.union(extra), Scratch(spark, "t4")).collect()
+    out = nd.near_duplicates(docs.union(extra), Scratch(spark, "t4"), words=4).collect()
     assert len(out) == len(rows) + 3
     assert [(r.component_id, r.kept) for r in out if r.doc_id is None and r.n_shingles] == [(505, False)]
     assert nd.near_duplicates(docs.limit(0), Scratch(spark, "t4")).collect() == []
@@ -90,7 +90,7 @@ def test_mixed_buckets_are_searched_again(spark):
     rows = [(i, " ".join(t)) for i, t in docs]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     for bands, n in ((1, 1), (40, 1)):
-        got = {r.doc_id: r.component_id for r in nd.near_duplicates(frame, Scratch(spark, "t4"), bands=bands, rows=n).collect()}
+        got = {r.doc_id: r.component_id for r in nd.near_duplicates(frame, Scratch(spark, "t4"), words=4, bands=bands, rows=n).collect()}
         if bands == 40:
             assert got == {d: v[1] for d, v in plain(rows).items()}
 
@@ -149,3 +149,20 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.component for r in components(frame, Scratch(spark, "cc")).collect()}
     want = plain_components({x for p in links for x in p}, links)
     assert got == {n: c for n, c in want.items() if any(n in p and p[0] != p[1] for p in links)}
+
+
+def test_rows_without_ids_link(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = [f"y{i}" if i == 30 else w for i, w in enumerate(base)]
+    third = [f"z{i}" if i == 150 else w for i, w in enumerate(base)]
+    apart = [f"q{i}" for i in range(50)]
+    rows = [(None, " ".join(t)) for t in (base, near, third, third, apart)] + [(None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nd.near_duplicates(frame, Scratch(spark, "t4"))
+    assert [(r.doc_id, r.component_id, r.kept) for r in got.collect()] == [(None, None, True)] * 6
+    kept = [r.text for r in nd.first_of_each(frame, Scratch(spark, "t4")).collect()]
+    assert None in kept and " ".join(apart) in kept and len(set(kept)) == 3  # one text of the group stays
+    with_id = frame.union(spark.createDataFrame([(7, " ".join(base))], frame.schema))
+    got = {(r.doc_id, r.component_id) for r in nd.near_duplicates(with_id, Scratch(spark, "t4")).where("n_shingles = 196").collect()}
+    assert got == {(None, 7), (7, 7)}
+    assert sorted(r.doc_id or 0 for r in nd.first_of_each(with_id, Scratch(spark, "t4")).collect()) == [0, 0, 7]

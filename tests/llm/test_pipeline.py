@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm.encode import Encoder, vocabulary
+from quarry.llm.queries import QUERIES
 from test_mixing import plain_targets
 from test_near_dedup import plain as plain_groups
 from test_repeated_bytes import plain as plain_removal
@@ -45,11 +46,16 @@ def test_stages(spark):
     given = docs.collect()
 
     rows = stages["language_id"](spark, docs, SF).collect()
-    assert sorted(map(str, rows)) == sorted(str(r) for r in given if any(c.isalpha() for c in r.text or ""))
+    lettered = [r for r in given if any(c.isalpha() for c in r.text or "")]
+    by_id = {r.doc_id: r for r in rows}
+    assert len(rows) == len(by_id) == len(lettered) and all(by_id[r.doc_id] == r for r in lettered if r.lang is not None)
+    found = {r.doc_id: r.lang_pred for r in QUERIES["op3_language_id"](spark, SF).collect()}
+    filled = [r for r in lettered if r.lang is None]  # a missing language is the predicted one
+    assert filled and all(by_id[r.doc_id].lang is not None and by_id[r.doc_id].lang == found.get(r.doc_id, by_id[r.doc_id].lang) for r in filled)
 
     docs = spark.createDataFrame(rows, docs.schema)
     out = stages["near_dedup"](spark, docs, SF)
-    kept = {d for d, (_n, _c, keep) in plain_groups([(r.doc_id, r.text) for r in rows]).items() if keep}
+    kept = {d for d, (_n, _c, keep) in plain_groups([(r.doc_id, r.text) for r in rows], words=5).items() if keep}
     assert out.columns == columns and 0 < len(kept) < len(rows)
     rows, before = out.collect(), rows
     assert sorted(map(str, rows)) == sorted(str(r) for r in before if r.doc_id in kept)
@@ -97,3 +103,16 @@ def test_near_dedup_stage_compares_five_words(spark):
     out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
     got = sorted(r.doc_id for r in out.collect())
     assert got == kept and got[:2] == [0, 1] and 2 not in got
+
+
+def test_stages_take_any_further_columns(spark):
+    """Names that stages use themselves come out as they went in."""
+    names = ["_text", "_lettered", "_gone", "gone", "_kept", "_words", "words", "_key", "_th", "_row", "row", "number", "size", "key", "score", "group", "ids", "n"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in names], F.struct(F.lit(1).alias("a b")).alias("odd.name"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0

@@ -181,3 +181,14 @@ def test_few_packed_remainders_are_cut():
         for i, start, _ in pieces:
             last[i] += start >= lengths[i] - lengths[i] % 100
         assert len(pieces) >= whole and sum(n > 1 for n in last) <= 512 // 16
+
+
+def test_odd_texts_by_the_dozen():
+    """Marks of the model's own, odd spaces, control and format characters, combining signs."""
+    rng = np.random.default_rng(11)
+    parts = ["a", "The", " ", " ", "  ", "▁", "中", "é", "e\u0301", "\u00a0", "\u2003", "\u3000", "\n", "\t", "\r\n", "\u200b", "\ufeff", "\x00", "\x7f", "\u00ad", "´", "¨", "ﬁ", "１", "😀", "👩\u200d💻", "<s>", "</s>", "<unk>", ".", "12", "ing", "\u0301", "ͺ", "ا", "한", "\u1100\u1161", "Ǆ", "\u2028", "\x85", "-", "'s"]
+    texts = ["".join(rng.choice(parts, size=rng.integers(1, 12))) for _ in range(20_000)] + ["a▁ 中", "▁ ▁", " ▁a"]
+    counter = token_counts.PieceCounter(vocabulary("piece_bpe_32k.model"))
+    got = counter.count(pa.array(texts, pa.string()))
+    want = [len(counter.model.encode(t, add_bos=False, add_eos=False)) for t in texts]
+    assert [t for t, g, w in zip(texts, got.tolist(), want, strict=True) if g != w] == []

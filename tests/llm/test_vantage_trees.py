@@ -83,3 +83,23 @@ def test_odd_vectors(spark):
     assert vt.nearest(frame.limit(0), F.col("vec_id") % 20 == 0, Scratch(spark, "t2")).collect() == []
     one = frame.where("vec_id = 40")
     assert vt.nearest(one, F.col("vec_id") % 20 == 0, Scratch(spark, "t2")).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["one of norm 10", "one of norm 1000", "lognormal", "one of 1e160", "clusters"])
+def test_recall_with_unequal_norms(spark, monkeypatch, kind):
+    monkeypatch.setattr(vt, "SHARD_ROWS", 1000)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 16))
+    if kind == "clusters":
+        x = rng.normal(size=(10, 16))[rng.integers(10, size=3000)] + 0.1 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "lognormal":
+        x *= rng.lognormal(sigma=1.0, size=(3000, 1))
+    elif kind.startswith("one"):
+        x[17] *= {"10": 10.0, "1000": 1e3, "1e160": 1e160}[kind.split()[-1]]
+    rows = {i: v for i, v in enumerate(x.tolist())}
+    frame = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    want = plain(rows, range(0, 3000, 60), 20)
+    got = results(vt.nearest(frame, F.col("vec_id") % 60 == 0, Scratch(spark, "t2")))
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * 20 * len(want)

@@ -102,7 +102,9 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
 
 def histogram_by(df: DataFrame, by: str, cols: list[str], bins: int = 10) -> DataFrame:
     """Per-class histograms on shared (global) edges, for pair-plot
-    diagonals: ``(by, column_name, bin, count)`` for non-empty bins."""
+    diagonals: ``(by, column_name, bin, count)`` for non-empty bins. A missing
+    class is left out."""
+    df = df.filter(~is_missing(df, by))
     st = column_stats(df, cols)
     structs = []
     for c in cols:
@@ -115,6 +117,24 @@ def histogram_by(df: DataFrame, by: str, cols: list[str], bins: int = 10) -> Dat
             .groupBy(by, "column_name", "bin").agg(F.count(F.lit(1)).alias("count")))
 
 
+def histogram_2d_by(df: DataFrame, by: str, cols: list[str], bins: int = 10) -> DataFrame:
+    """Two-dimensional binned counts of every unordered pair of columns per class
+    (a pair plot off its diagonal) on shared edges: ``(by, x, y, bin_x, bin_y,
+    count)`` for non-empty cells. One grouped job for all pairs: a row's bins are
+    worked out once and its cells exploded, with partial aggregation. A missing
+    class is left out, and so is a cell with a missing value."""
+    df = df.filter(~is_missing(df, by))
+    st = column_stats(df, cols)
+    binned = df.select(F.col(by).alias("by"), *[F.when(clean(df, c).isNotNull(), _left_bin(clean(df, c), *st[c][1:], bins)).alias(f"b{i}") for i, c in enumerate(cols)])
+    cells = [F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"), F.col(f"b{i}").alias("bin_x"), F.col(f"b{j}").alias("bin_y"))
+             for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if not cells:
+        raise ValueError("a pair needs two columns")
+    out = binned.select("by", F.explode(F.array(*cells)).alias("s")).select("by", "s.*").filter("bin_x IS NOT NULL AND bin_y IS NOT NULL")
+    out = out.groupBy("by", "x", "y", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("count"))
+    return out.withColumnRenamed("by", by)
+
+
 def pair_regression(df: DataFrame, cols: list[str]) -> DataFrame:
     """Least-squares line and correlation for every unordered column pair:
     ``(x, y, n, slope, intercept, r, r2)`` over the rows where both are
@@ -240,17 +260,42 @@ def kde_by(df: DataFrame, by: str, col: str, gridsize: int = 200, cut: float = 3
     return grid.select(by, curve.alias("s")).select(by, "s.grid_x", "s.density")
 
 
+def kde_grids(df: DataFrame, cols: list[str], gridsize: int = 200, cut: float = 3.0, bins: int = 2048) -> DataFrame:
+    """``kde_grid`` of several columns at once: ``(column_name, grid_x, density)``.
+    One job for all columns' statistics and one for a stacked table of (column,
+    fine bin, count), at most ``bins`` rows a column; each column's bins become one
+    array that its grid points sum over. Columns without spread give no rows."""
+    xs = [clean(df, c) for c in cols]
+    row = df.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(xs) for n, f in (("n", F.count), ("s", F.stddev_samp), ("a", F.min), ("b", F.max))]).first()
+    facts = [(c, row[f"n{i}"], row[f"s{i}"], row[f"a{i}"], row[f"b{i}"], xs[i]) for i, c in enumerate(cols) if row[f"s{i}"]]
+    if not facts:
+        return df.sparkSession.createDataFrame([], "column_name string, grid_x double, density double")
+    at, consts = [], {}
+    for c, n, sd, mn, mx, x in facts:
+        h, w = sd * math.pow(n, -0.2), (mx - mn) / bins
+        lo, hi = mn - cut * h, mx + cut * h
+        consts[c] = (mn, w, h, lo, (hi - lo) / (gridsize - 1), 1.0 / (n * h * math.sqrt(2.0 * math.pi)))
+        at.append(F.struct(F.lit(c).alias("c"), F.when(x.isNotNull(), F.least(F.floor((x - F.lit(mn)) / F.lit(w)), F.lit(bins - 1))).alias("b")))
+    counts = (df.select(F.explode(F.array(*at)).alias("s")).select("s.*").filter(F.col("b").isNotNull())
+              .groupBy("c", "b").agg(F.count(F.lit(1)).alias("n")).groupBy("c").agg(F.collect_list(F.struct("b", "n")).alias("bins")))
+    const = F.create_map(*[v for c, k in consts.items() for v in (F.lit(c), F.struct(*[F.lit(float(a)).alias(m) for a, m in zip(k, ("mn", "w", "h", "lo", "step", "norm"))]))])
+    rows = counts.select("c", "bins", F.element_at(const, F.col("c")).alias("k"))
+    k = F.col("k")
+    centers = F.transform("bins", lambda s: F.struct((k["mn"] + (s["b"] + F.lit(0.5)) * k["w"]).alias("at"), s["n"].alias("n")))
+    points = F.explode(F.transform(F.sequence(F.lit(0), F.lit(gridsize - 1)), lambda i: k["lo"] + i * k["step"]))
+    grid = rows.select("c", "k", centers.alias("bins"), points.alias("grid_x"))
+    density = F.aggregate("bins", F.lit(0.0), lambda acc, s: acc + s["n"] * F.exp(F.lit(-0.5) * F.pow((F.col("grid_x") - s["at"]) / k["h"], F.lit(2.0))))
+    return grid.select(F.col("c").alias("column_name"), "grid_x", (density * k["norm"]).alias("density"))
+
+
 def univariate_panel(df: DataFrame, cols: list[str] | None = None, bins: int = 10,
                      gridsize: int = 200) -> dict[str, DataFrame]:
     """Box statistics, histogram and density curve of every numeric column
-    (the box + histogram-with-density panel), as three small frames."""
+    (the box + histogram-with-density panel), as three small frames; each is one
+    pass for all columns (and their statistics)."""
     from quarry.operators.profile import _numeric_cols
     cols = _numeric_cols(df, cols)
-    kdes = [kde_grid(df, c, gridsize) for c in cols]
-    kde = kdes[0]
-    for k in kdes[1:]:
-        kde = kde.unionByName(k)
-    return {"box": box_stats(df, cols), "hist": histogram(df, cols, bins), "kde": kde}
+    return {"box": box_stats(df, cols), "hist": histogram(df, cols, bins), "kde": kde_grids(df, cols, gridsize)}
 
 
 def outlier_sample(df: DataFrame, col: str, key, n: int | None, whis: float = 1.5,

@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, NumericType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, NumericType, StringType, StructField,
+                               StructType, TimestampNTZType, TimestampType)
 
 from quarry.functions.missing import is_missing, nan_to_null, missing_flag_sum
 from quarry.operators.quantiles import column_stats, exact_quantiles
@@ -251,6 +251,19 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 10) -> D
     return binned_counts(df, cols, bins, closed="left")
 
 
+def as_number(df: DataFrame, col: str):
+    """A column's values as doubles in their own order: dates and times as seconds
+    since 1970 (times without a zone as if in UTC), booleans as 0 and 1."""
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, DateType):
+        return F.unix_date(c) * F.lit(86400.0)
+    if isinstance(kind, TimestampNTZType):
+        return F.unix_micros(F.from_utc_timestamp(c.cast("timestamp"), F.current_timezone())) / F.lit(1e6)
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(c) / F.lit(1e6)
+    return c.cast("int").cast("double") if isinstance(kind, BooleanType) else c.cast("double")
+
+
 def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
              bins: int = 10, sort: str | None = None) -> DataFrame:
     """Per-column overview: distinct count; exact value counts (missing
@@ -259,17 +272,18 @@ def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
 
     Output ``(column_name, n_unique, kind, value, lo, hi, count)`` where kind
     is ``'column'`` (one row per column, ``count`` its present values),
-    ``'value'`` or ``'bin'`` (``value`` holds the bin number for bins).
+    ``'value'`` or ``'bin'`` (``value`` holds the bin number for bins; the edges of
+    dates and times are seconds since 1970).
     ``sort='count'`` orders each column's rows by count (descending),
     ``sort='value'`` by value / bin (ascending, missing last).
     """
     uniq = {r["column_name"]: r["n_unique"] for r in count_unique(df).collect()}
     small, binned = [], []
-    numeric = set(_numeric_cols(df, None))
+    ranged = {f.name for f in df.schema.fields if isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType))}
     for c in df.columns:
         if uniq[c] <= thresh:
             small.append(c)
-        elif uniq[c] < numeric_limit and c in numeric:
+        elif uniq[c] < numeric_limit and c in ranged:
             binned.append(c)
     nu = F.create_map(*[x for c in uniq for x in (F.lit(c), F.lit(uniq[c]))]) if uniq else None
     present = df.agg(*[F.count_if(~is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)]) if df.columns else None
@@ -282,7 +296,8 @@ def overview(df: DataFrame, thresh: int = 10, numeric_limit: int = 150,
             F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
             "count"))
     if binned:
-        parts.append(binned_counts(df, binned, bins, closed="right").select(
+        measured = df.select(*[as_number(df, c).alias(c) for c in binned])
+        parts.append(binned_counts(measured, binned, bins, closed="right").select(
             "column_name", F.lit("bin").alias("kind"), F.col("bin").cast("string").alias("value"),
             "lo", "hi", "count"))
     if not parts:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import label_concat
-from quarry.operators import cluster, kmeans
+from quarry.operators import cluster, hierarchy, kmeans
 from quarry.operators.joins import attach_centroids
 from quarry.operators.scale import apply_scaler, fit_scaler
 from quarry.plans.catalog import register
@@ -375,6 +375,35 @@ def clustering_profiles(spark, sf_dir):
     return out.select("run", "cluster", "matched", "n_members", *[F.bround(c, 4).alias(c) for c in out.columns if c.endswith(tuple(_CUST))])
 
 
+_LEAVES = 40
+
+
+@register("dendrogram", "WITH RECURSIVE " + _CUST_PTS + f""",
+cen AS (SELECT list(v ORDER BY h, key) AS cen FROM (
+          SELECT key, v, md5('713:' || key) AS h FROM pts ORDER BY h, key LIMIT {_LEAVES}) AS x),
+cf AS (SELECT list_position(ds, list_min(ds)) AS id, count(*)::DOUBLE AS n, [avg(v[1]), avg(v[2])] AS m
+       FROM (SELECT p.v, [{_d2_sql('p.v', 'c', 2)} FOR c IN cen.cen] AS ds FROM pts p, cen) AS a GROUP BY id),
+merge(step, cs, height, n, leaves) AS (
+  SELECT 0, list({{'id': id, 'n': n, 'm': m, 'l': 1}} ORDER BY id), 0.0::DOUBLE, 0.0::DOUBLE, 0 FROM cf
+  UNION ALL
+  SELECT step + 1, list_append([c FOR c IN cs IF c.id <> a.id AND c.id <> b.id],
+           {{'id': 1000 + step, 'n': a.n + b.n, 'm': [(a.n * a.m[j] + b.n * b.m[j]) / (a.n + b.n) FOR j IN range(1, 3)], 'l': a.l + b.l}}),
+         height, a.n + b.n, a.l + b.l
+  FROM (SELECT step, cs, a, b, a.n * b.n / (a.n + b.n) * {_d2_sql('a.m', 'b.m', 2)} AS height
+        FROM (SELECT step, cs, unnest(cs) AS a FROM merge WHERE len(cs) > 1) AS x, unnest(x.cs) AS u(b) WHERE a.id < b.id
+        QUALIFY row_number() OVER (ORDER BY height, a.id, b.id) = 1) AS y)
+SELECT CAST(step AS INT) AS step, CAST({_LEAVES} - step AS INT) AS n_clusters, round_even(height, 9) AS height,
+       CAST(n AS BIGINT) AS n_rows, CAST(leaves AS INT) AS n_leaves
+FROM merge WHERE step > 0""")
+def dendrogram(spark, sf_dir):
+    # all customers, summarised by 40 leaves
+    df = customer_features(spark, sf_dir)
+    df = materialize(df, "dendrogram-input")
+    scaled = apply_scaler(df, fit_scaler(df, _CUST, "minmax"))
+    tree = hierarchy.fit(scaled, _CUST, key="c_custkey", leaves=_LEAVES, seed=713)
+    return tree.to_frame(spark).withColumn("height", F.bround("height", 9))
+
+
 @register("bisecting_kmeans")
 def bisecting_kmeans(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings")

@@ -64,6 +64,26 @@ def overview_events(spark, sf_dir):
     return profile.overview(read_table(spark, sf_dir, "events"), thresh=10)
 
 
+@register("overview_months", """
+WITH o AS (SELECT epoch(date_trunc('month', o_orderdate)) AS x, o_orderstatus FROM orders),
+st AS (SELECT min(x)::DOUBLE AS mn, (max(x)::DOUBLE - min(x)::DOUBLE) / 10 AS w, max(x)::DOUBLE AS mx, count(DISTINCT x) AS d, count(x) AS n FROM o),
+b AS (SELECT 1 + (SELECT count(*) FROM range(1, 10) e(i) WHERE o.x > st.mn + e.i * st.w) AS bin, count(*) AS n FROM o, st GROUP BY 1)
+SELECT 'order_month' AS column_name, d AS n_unique, 'column' AS kind, NULL AS value, NULL::DOUBLE AS lo, NULL::DOUBLE AS hi, n AS count FROM st
+UNION ALL
+SELECT 'order_month', d, 'bin', CAST(r.i + 1 AS VARCHAR), CASE WHEN r.i = 0 THEN mn ELSE mn + r.i * w END,
+       CASE WHEN r.i = 9 THEN mx ELSE mn + (r.i + 1) * w END, coalesce(b.n, 0)
+FROM st, range(0, 10) r(i) LEFT JOIN b ON b.bin = r.i + 1
+UNION ALL
+SELECT 'o_orderstatus', (SELECT count(DISTINCT o_orderstatus) FROM o), 'column', NULL, NULL, NULL, count(o_orderstatus) FROM o
+UNION ALL
+SELECT 'o_orderstatus', (SELECT count(DISTINCT o_orderstatus) FROM o), 'value', o_orderstatus, NULL, NULL, count(*) FROM o GROUP BY o_orderstatus
+""")
+def overview_months(spark, sf_dir):
+    # a time column with more than 10 and fewer than 150 values is binned
+    orders = read_table(spark, sf_dir, "orders")
+    return profile.overview(orders.select(F.date_trunc("month", "o_orderdate").alias("order_month"), "o_orderstatus"))
+
+
 # ------------------------------------------------------------- outliers
 
 _IQR_COLS = ["l_extendedprice", "l_quantity", "l_tax"]
@@ -273,6 +293,15 @@ def histogram_by_class(spark, sf_dir):
 _PAIR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
+@register("pair_plot_by_class", "WITH st AS (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _PAIR_COLS) + """ FROM lineitem),
+b AS (SELECT l_returnflag, """ + ", ".join(f"CAST({_left_bin_sql(c, 'st')} AS INT) AS b_{c}" for c in _PAIR_COLS) + " FROM lineitem, st)" + "\nUNION ALL".join(
+    f"""
+SELECT l_returnflag, '{a}' AS x, '{b}' AS y, b_{a} AS bin_x, b_{b} AS bin_y, count(*) AS count FROM b GROUP BY ALL"""
+    for i, a in enumerate(_PAIR_COLS) for b in _PAIR_COLS[i + 1:]))
+def pair_plot_by_class(spark, sf_dir):
+    return plotdata.histogram_2d_by(read_table(spark, sf_dir, "lineitem"), "l_returnflag", _PAIR_COLS)
+
+
 @register("pair_regression", "\nUNION ALL".join(
     f"""
 SELECT '{a}' AS x, '{b}' AS y, CAST(regr_count({b}, {a}) AS BIGINT) AS n,
@@ -306,6 +335,39 @@ def kde_grid(spark, sf_dir):
                       F.bround("density", 15).alias("density"))
 
 
+def _panel_sql(c: str) -> str:
+    """Box, histogram and density of one column as rows of one shape."""
+    return f"""
+SELECT * FROM (
+  WITH st AS (SELECT count({c}) AS n, stddev_samp({c}) AS sd, min({c}) AS mn_{c}, max({c}) AS mx_{c},
+                     quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM lineitem),
+  p AS (SELECT *, mn_{c} AS mn, mx_{c} AS mx, sd * pow(n, -0.2) AS h, (mx_{c} - mn_{c}) / 2048 AS w, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM st),
+  b AS (SELECT p.mn + (least(floor((l.{c} - p.mn) / p.w), 2047) + 0.5) * p.w AS center, count(*) AS c FROM lineitem l, p GROUP BY 1),
+  g AS (SELECT (p.mn - 3.0 * p.h) + r.i * (((p.mx + 3.0 * p.h) - (p.mn - 3.0 * p.h)) / 199) AS grid_x FROM range(0, 200) r(i), p),
+  f AS (SELECT {_left_bin_sql(c, 'st')} AS bin, count(*) AS n FROM lineitem, st GROUP BY 1),
+  v AS (SELECT min(CASE WHEN l.{c} >= low THEN l.{c} END) AS wl, max(CASE WHEN l.{c} <= high THEN l.{c} END) AS wh, count_if(l.{c} < low OR l.{c} > high) AS no FROM lineitem l, p)
+  SELECT '{c}' AS column_name, 'box' AS part, k.name AS name, k.x::DOUBLE AS x, k.y::DOUBLE AS y
+  FROM (SELECT unnest([{{'name': 'q1', 'x': q1, 'y': NULL}}, {{'name': 'median', 'x': q2, 'y': NULL}}, {{'name': 'q3', 'x': q3, 'y': NULL}},
+                       {{'name': 'whisker_lo', 'x': wl, 'y': NULL}}, {{'name': 'whisker_hi', 'x': wh, 'y': NULL}}, {{'name': 'n_outliers', 'x': NULL, 'y': no}}]) AS k FROM p, v) AS z
+  UNION ALL
+  SELECT '{c}', 'histogram', CAST(r.i AS VARCHAR), mn + r.i * ((mx - mn) / 10), coalesce(f.n, 0) FROM p, range(0, 10) r(i) LEFT JOIN f ON f.bin = r.i
+  UNION ALL
+  SELECT '{c}', 'density', NULL, round_even(g.grid_x, 6), round_even(sum(b.c * exp(-0.5 * pow((g.grid_x - b.center) / p.h, 2))) * (1.0 / (p.n * p.h * sqrt(2.0 * pi()))), 12)
+  FROM g, b, p GROUP BY g.grid_x, p.n, p.h)"""
+
+
+@register("univariate_panel", "\nUNION ALL".join(map(_panel_sql, ["l_quantity", "l_extendedprice", "l_discount"])))
+def univariate_panel(spark, sf_dir):
+    panel = plotdata.univariate_panel(read_table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    null = F.lit(None).cast("double")
+    box = panel["box"].select("column_name", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), (null if n == "n_outliers" else F.col(n)).alias("x"), (F.col(n).cast("double") if n == "n_outliers" else null).alias("y"))
+        for n in ("q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")])).alias("s")).select("column_name", F.lit("box").alias("part"), "s.*")
+    hist = panel["hist"].select("column_name", F.lit("histogram").alias("part"), F.col("bin").cast("string").alias("name"), F.col("lo").alias("x"), F.col("count").cast("double").alias("y"))
+    kde = panel["kde"].select("column_name", F.lit("density").alias("part"), F.lit(None).cast("string").alias("name"), F.bround("grid_x", 6).alias("x"), F.bround("density", 12).alias("y"))
+    return box.unionByName(hist).unionByName(kde)
+
+
 @register("scatter_sample", """
 SELECT vec_id, label, x0, x1 FROM (
   SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,

@@ -16,7 +16,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, Nume
                                StructType, TimestampNTZType, TimestampType)
 
 from quarry.functions.missing import is_missing, nan_to_null, missing_flag_sum
-from quarry.operators.quantiles import column_stats, exact_quantiles
+from quarry.operators.quantiles import column_stats, exact_quantiles, quantile_aggs
 
 
 def _spark(df: DataFrame) -> SparkSession:
@@ -331,13 +331,11 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         x = F.when(~F.isnan(x), x)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"mn{i}"),
-                 F.max(x).alias(f"mx{i}")]
-    row = df.agg(*aggs).first()  # one row, O(columns)
-    stats = {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
-    qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75], stats=stats)
-    data = [(c, row[f"n{i}"], row[f"a{i}"], row[f"s{i}"], row[f"mn{i}"], *qs[c], row[f"mx{i}"])
+        aggs += [F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}")]
+    probs = [0.25, 0.5, 0.75]
+    row = df.agg(*aggs, *quantile_aggs(df, cols, probs)).first()  # one row, O(columns)
+    qs = exact_quantiles(df, cols, probs, row)
+    data = [(c, row[f"__n{i}"], row[f"a{i}"], row[f"s{i}"], row[f"__mn{i}"], *qs[c], row[f"__mx{i}"])
             for i, c in enumerate(cols)]
     schema = StructType([StructField("column_name", StringType()), StructField("count", LongType())]
                         + [StructField(n, DoubleType()) for n in

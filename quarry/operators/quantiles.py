@@ -4,13 +4,18 @@ Spark's exact ``percentile`` merges one value->count map per group into a
 single task: for a continuous column of a huge table that is an unbounded
 group. Here the needed order statistics are *selected*.
 
-Whole columns (``exact_quantiles``): each wanted rank has a bracket of values. One job counts, finds the extremes and places the first brackets with
-``percentile_approx``, whose rank error is known to be about n / accuracy.
-One more job counts the rows below and inside every bracket with conditional
-sums (no row is expanded). A bracket of one value is resolved; one that holds
-few rows has its values counted and fetched; another is narrowed by the sketch
-again, which divides its rows by some thousands. Two or three scans settle any
-column, with the same steps at every size, for duplicates and for infinities.
+Whole columns (``exact_quantiles``): each wanted rank has a bracket of values. One
+scan counts, finds the extremes and places the brackets with
+``percentile_approx``, whose rank error is known to be about n / accuracy (a
+caller may add these aggregates to a scan of its own, ``quantile_aggs``).
+While the rows strictly inside all brackets, some 6 in 10,000 by the sketch's
+error, fit ``fetch_values``, a second scan counts the rows below and on the edges
+of each bracket, fetches the few inside, and settles every rank. Where they don't
+fit, or a rank lies outside its bracket, the bracket's rows are counted with
+conditional sums (no row is expanded); a bracket of one value is resolved, one
+that holds few rows has its values fetched, another is narrowed by the sketch
+again, which divides its rows by some thousands. Duplicates and infinities are
+values like others.
 
 Groups (``grouped_quantiles``): rows are sorted by (group, value) in one range
 partitioning, written once, and numbered within their partitions. Counts per
@@ -32,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000           # rank error of the sketch: rows / ACCURACY
+SLACK = 2.0 / ACCURACY      # half a bracket, as a share of the rows
 FETCH_VALUES = 20_000       # distinct rows fetched per job, all brackets together
 
 
@@ -134,13 +140,57 @@ def interpolate(a: float, b: float, t: float) -> float:
     return a if t == 0 or a == b else a + (b - a) * t
 
 
+def quantile_aggs(df: DataFrame, cols: list[str], probs: list[float]) -> list:
+    """Aggregates of the first scan: count, extremes and brackets of each column."""
+    around = [min(1.0, max(0.0, p + side * SLACK)) for p in probs for side in (-1, 1)]
+    out = []
+    for i, c in enumerate(cols):
+        x = clean(df, c)
+        out += [F.count(x).alias(f"__n{i}"), F.min(x).alias(f"__mn{i}"), F.max(x).alias(f"__mx{i}"),
+                F.percentile_approx(x, around, ACCURACY).alias(f"__q{i}")]
+    return out
+
+
+def _second_scan(df: DataFrame, cols: list[str], probs: list[float], row, ranks: dict[str, list[int]], fetch_values: int) -> dict[tuple[str, int], float]:
+    """Values at the ranks that the brackets of the first scan settle."""
+    brackets = {(c, p): tuple(row[f"__q{i}"][2 * j:2 * j + 2]) for i, c in enumerate(cols) if ranks.get(c) for j, p in enumerate(probs)}
+    expected = sum(row[f"__n{cols.index(c)}"] * (2 * SLACK + 2 / ACCURACY) for c, _ in brackets)
+    if not brackets or expected > fetch_values:
+        return {}
+    unique = sorted({(c, *b) for (c, _), b in brackets.items()})
+    aggs = []
+    for m, (c, low, high) in enumerate(unique):
+        x = clean(df, c)
+        aggs += [F.count_if(x < F.lit(low)).alias(f"a{m}"), F.count_if(x == F.lit(low)).alias(f"b{m}"), F.count_if(x == F.lit(high)).alias(f"c{m}"),
+                 F.collect_list(F.when((x > F.lit(low)) & (x < F.lit(high)), x)).alias(f"v{m}")]
+    got = df.agg(*aggs).first()
+    found: dict[tuple[str, int], float] = {}
+    for m, (c, low, high) in enumerate(unique):
+        first, middle = got[f"a{m}"], sorted(got[f"v{m}"])
+        after = first + got[f"b{m}"]
+        last = after + len(middle)
+        for r in ranks[c]:
+            if first <= r < after:
+                found[(c, r)] = low
+            elif after <= r < last:
+                found[(c, r)] = middle[r - after]
+            elif last <= r < last + got[f"c{m}"] and low != high:
+                found[(c, r)] = high
+    return found
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    stats: dict | None = None, fetch_values: int = FETCH_VALUES) -> dict[str, list[float | None]]:
+                    row=None, fetch_values: int = FETCH_VALUES) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles of each column (missing values
-    excluded); ``None`` for a column without values."""
-    stats = stats or column_stats(df, cols)
+    excluded); ``None`` for a column without values. ``row`` holds the results of
+    ``quantile_aggs`` if a scan had them."""
+    row = row if row is not None else df.agg(*quantile_aggs(df, cols, probs)).first()
+    stats = {c: (row[f"__n{i}"], row[f"__mn{i}"], row[f"__mx{i}"]) for i, c in enumerate(cols)}
     ranks = {c: sorted({f(p * (stats[c][0] - 1)) for p in probs for f in (math.floor, math.ceil)}) for c in cols if stats[c][0]}
-    found = order_statistics(df, cols, ranks, stats, fetch_values)
+    found = _second_scan(df, cols, probs, row, ranks, fetch_values)
+    left = {c: [r for r in rs if (c, r) not in found] for c, rs in ranks.items()}
+    if any(left.values()):
+        found |= order_statistics(df, [c for c in cols if left.get(c)], left, stats, fetch_values)
     out: dict[str, list[float | None]] = {}
     for c in cols:
         n = stats[c][0]

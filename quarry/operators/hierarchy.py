@@ -111,13 +111,12 @@ def fit(df: DataFrame, features, key: str | list[str] | None = None, leaves: int
         centers = [list(v) for v in dict.fromkeys(tuple(r["v"]) for r in drawn)]
         if not centers:
             return Hierarchy([], [], [])
-        width = len(centers[0])
-        sums = {r["cluster"]: r for r in kmeans._sums(points, {0: centers}).collect()}  # a row per leaf
+        sums = kmeans.cluster_sums(points, {0: centers})[0]
     finally:
         points.unpersist()
     used = sorted(sums)
-    means = np.array([[sums[i][f"m{j}"] for j in range(width)] for i in used])
-    counts = [int(sums[i]["n"]) for i in used]
+    means = np.array([sums[i][2] for i in used])
+    counts = [sums[i][0] for i in used]
     return Hierarchy([centers[i] for i in used], counts, ward(counts, means))
 
 

@@ -81,8 +81,9 @@ def hashed_starts(points: DataFrame, k: int, seeds: list[int]) -> dict[int, list
     return starts
 
 
-def _sums(points: DataFrame, runs: dict[int, list[list[float]]]) -> DataFrame:
-    """(run, cluster, n, d2, m0..): members, squared distances and means."""
+def cluster_sums(points: DataFrame, runs: dict[int, list[list[float]]]) -> dict[int, dict[int, tuple[int, float, list[float]]]]:
+    """For each run, the clusters with members: (members, squared distances, mean).
+    One scan for all runs; k x d numbers a run reach the driver."""
     centers = {r: np.array(c, float) for r, c in runs.items()}
     width = len(next(iter(runs.values()))[0])
 
@@ -100,11 +101,16 @@ def _sums(points: DataFrame, runs: dict[int, list[list[float]]]) -> DataFrame:
                     sums[r][found, 2:] += np.add.reduceat(x[order], first, axis=0)
         rows = [(r, i, s[i]) for r, s in sums.items() for i in np.flatnonzero(s[:, 0])]
         yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in rows], pa.int32()), pa.array([i for _, i, _ in rows], pa.int32()),
-                                          pa.array([int(s[0]) for *_, s in rows], pa.int64()), pa.array([s[1] for *_, s in rows], pa.float64()),
-                                          pa.array([s[2:] for *_, s in rows], pa.list_(pa.float64()))], names=["run", "cluster", "n", "d2", "s"])
+                                          pa.array([s for *_, s in rows], pa.list_(pa.float64()))], names=["run", "cluster", "s"])
 
-    parts = points.select("v").mapInArrow(run, "run int, cluster int, n long, d2 double, s array<double>")
-    return parts.groupBy("run", "cluster").agg(F.sum("n").alias("n"), F.sum("d2").alias("d2"), *[(F.sum(F.col("s")[i]) / F.sum("n")).alias(f"m{i}") for i in range(width)])
+    parts = points.select("v").mapInArrow(run, "run int, cluster int, s array<double>").select("run", "cluster", F.posexplode("s").alias("i", "x"))
+    out: dict[int, dict[int, tuple[int, float, list[float]]]] = {r: {} for r in runs}
+    totals: dict[tuple[int, int], np.ndarray] = {}
+    for row in parts.groupBy("run", "cluster", "i").agg(F.sum("x").alias("x")).collect():
+        totals.setdefault((row["run"], row["cluster"]), np.zeros(width + 2))[row["i"]] = row["x"]
+    for (r, i), t in totals.items():
+        out[r][i] = (int(t[0]), float(t[1]), (t[2:] / t[0]).tolist())
+    return out
 
 
 def mean_variance(points: DataFrame) -> float:
@@ -123,8 +129,9 @@ def fit_many(points: DataFrame, starts: dict[int, list[list[float]]], max_iter:
         if not going:
             break
         new = {r: [list(x) for x in c] for r, c in going.items()}
-        for row in _sums(points, going).collect():  # k x d numbers a fit
-            new[row["run"]][row["cluster"]] = [row[f"m{i}"] for i in range(len(new[row["run"]][0]))]
+        for r, clusters in cluster_sums(points, going).items():
+            for i, (_n, _d2, mean) in clusters.items():
+                new[r][i] = mean
         for r, c in going.items():
             iterations[r] += 1
             shift = sum((a - b) ** 2 for x, y in zip(c, new[r]) for a, b in zip(x, y))
@@ -134,10 +141,9 @@ def fit_many(points: DataFrame, starts: dict[int, list[list[float]]], max_iter:
                 resting.add(r)
             centers[r] = new[r]
     some = {r: c for r, c in centers.items() if c}
-    final = {r: {} for r in centers}
-    for row in (_sums(points, some).collect() if some else []):
-        final[row["run"]][row["cluster"]] = row
-    return {r: Fit(c, sum(x["d2"] for x in final[r].values()), [final[r][i]["n"] if i in final[r] else 0 for i in range(len(c))], iterations[r], r in resting) for r, c in centers.items()}
+    final = cluster_sums(points, some) if some else {}
+    return {r: Fit(c, sum(d2 for _, d2, _ in final.get(r, {}).values()), [final[r][i][0] if i in final[r] else 0 for i in range(len(c))], iterations[r], r in resting)
+            for r, c in centers.items()}
 
 
 def fit(df: DataFrame, features, k: int, key: str | list[str] | None = None, seed: int = 713, start: list[list[float]] | None = None,

@@ -19,7 +19,7 @@ nodes per byte once for all languages, and adds a look-up for each.
 
 Training uses a bounded sample: of each language the ``train_docs`` documents
 with a text and the smallest hash (a hash bound per label, from their count, keeps the
-candidates few at any size), up to ``train_bytes`` bytes of each. Counting keeps
+candidates few at any size), up to ``train_bytes`` bytes of each, from a hashed place on. Counting keeps
 contexts that a language saw at least ``min_count`` times, and its ``max_nodes``
 most frequent ones at most. Neither other languages nor the size of their samples
 take any from it. The tables have a size that does not grow with the input:
@@ -210,8 +210,10 @@ def training_sample(docs: DataFrame, may_train: Column, train_docs: int = TRAIN_
     if not bounds:
         return {}
     bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
+    # A longer text is learned from a slice anywhere in it.
+    place = F.pmod(F.xxhash64("doc_id", F.lit("slice")), F.greatest(F.octet_length("text") - train_bytes, F.lit(0)) + 1) + 1
     rows = (labelled.withColumn("h", F.xxhash64("doc_id")).where(F.col("h") <= bound[F.col("lang")])
-            .select("lang", "h", "doc_id", F.substring(F.encode("text", "UTF-8"), 1, train_bytes).alias("data")))
+            .select("lang", "h", "doc_id", F.substring(F.encode("text", "UTF-8"), place.cast("int"), F.lit(train_bytes)).alias("data")))
     first = Window.partitionBy("lang").orderBy("h", "doc_id", "data")
     out: dict[str, list[bytes]] = {}
     for r in rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= train_docs).orderBy("lang", "r").collect():

@@ -160,26 +160,28 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.5,
 
 
 def taken(mixed: Mix) -> DataFrame:
-    """(doc_id, size, source_size, target, taken)."""
-    sums = mixed.pieces.groupBy(F.col("s").alias("_s"), F.col("off").alias("_off")).agg(F.sum("words").alias("taken"))
+    """(doc_id, size, source_size, target, taken, slot); ``slot`` is the first of
+    the schedule's slots that takes words of the document, null if none does."""
+    sums = mixed.pieces.groupBy(F.col("s").alias("_s"), F.col("off").alias("_off")).agg(F.sum("words").alias("taken"), F.min("slot").alias("slot"))
     d = mixed.documents
     return (d.join(sums, (d["s"] == sums["_s"]) & (d["off"] == sums["_off"]) & (d["size"] > 0), "left")
-            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "slot"))
 
 
 def mixed_documents(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
     """The rows of the mix with the columns of ``docs``: a document once per
     pass that takes words of it; where a pass takes only its first words (at
     the target's end), those words joined by spaces. ``n_chars`` follows the
-    text. The rows are numbered and written first, so that rows that share an
+    text. The rows come in the order of their first slots in the schedule. The rows are numbered and written first, so that rows that share an
     id, or have none, are told apart."""
     rows = scratch.write(whole_rows(docs).withColumn("number", F.monotonically_increasing_id()), "rows")
     mixed = mix(rows.select("row.doc_id", "row.source", "row.text", "number"), scratch, row=F.col("number"), **settings)
-    sums = mixed.pieces.groupBy("s", "off", "pass").agg(F.sum("words").alias("words"))
+    sums = mixed.pieces.groupBy("s", "off", "pass").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
     found = (sums.join(mixed.documents.where("size > 0").select("s", "off", F.col("row").alias("number"), "size"), ["s", "off"])
-             .select("number", "size", "words"))
+             .select("number", "size", "words", "slot"))
     first = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " ")
     row = F.col("row").withField("text", F.when(F.col("words") < F.col("size"), first).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.length(row["text"]).cast(docs.schema["n_chars"].dataType))
-    return rows.join(found.hint("shuffle_hash"), "number").select(row.alias("row")).select("row.*")
+    mixed_rows = rows.join(found.hint("shuffle_hash"), "number").select(row.alias("row"), "slot", "number")
+    return mixed_rows.orderBy("slot", "number").select("row.*")

@@ -17,17 +17,31 @@ g AS (
          <= (total - coalesce(sum(most) OVER (ORDER BY most / w, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w AS capped
   FROM f),
 t AS (
-  SELECT source, source_size,
+  SELECT source, s, source_size,
          CASE WHEN capped THEN most
               ELSE (total - coalesce(sum(CASE WHEN capped THEN most END) OVER (), 0)) * w / sum(CASE WHEN NOT capped THEN w END) OVER () END AS target
   FROM g),
 o AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.size, t.s, t.source_size, t.target,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+-- the schedule: bit-reversed slots fall into the sources' intervals of blocks
+c AS (
+  SELECT s, CAST(ceil(floor(target) / 1024) AS BIGINT) AS blocks, CAST(sum(ceil(floor(target) / 1024)) OVER (ORDER BY s) AS BIGINT) AS upto,
+         CAST(sum(ceil(floor(target) / 1024)) OVER () AS BIGINT) AS n
+  FROM (SELECT s, any_value(target) AS target FROM t GROUP BY s) AS x),
+i AS (
+  SELECT *, length(bin(n)) + 1 AS bits, ((upto - blocks)::HUGEINT << (length(bin(n)) + 1)) // n AS low, (upto::HUGEINT << (length(bin(n)) + 1)) // n AS high
+  FROM c WHERE blocks > 0),
+j AS (
+  SELECT r.slot, CAST('0b' || reverse(lpad(bin(r.slot), CAST(bits AS INTEGER), '0')) AS BIGINT) AS point
+  FROM (SELECT any_value(n) AS n, any_value(bits) AS bits FROM i) AS y, range(0, n) AS r(slot)),
+e AS (
+  SELECT i.s, j.slot, row_number() OVER (PARTITION BY i.s ORDER BY j.slot) - 1 AS rank FROM i JOIN j ON j.point >= i.low AND j.point < i.high)
 SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, floor(target) - off)) + greatest(0, least(size, floor(target) - source_size - off)) AS BIGINT) AS taken
-FROM o
+       CAST(greatest(0, least(size, floor(target) - off)) + greatest(0, least(size, floor(target) - source_size - off)) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND off < floor(target) THEN coalesce(e.slot, i.n + i.upto - i.blocks + off // 1024) END AS slot
+FROM o LEFT JOIN i ON i.s = o.s LEFT JOIN e ON e.s = o.s AND e.rank = off // 1024
 """
 
 OP11 = r"""

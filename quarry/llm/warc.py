@@ -171,20 +171,22 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, archive_byte
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        # The attempt is part of the name: a task that runs again never touches
+        # the archives that a committed manifest names.
+        part = f"{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId():09d}"
         file = writer = None
         held, done = 0, []
 
         def finish():
             writer.close()
             file.__exit__(None, None, None)
-            done.append((f"{folder}/part-{part:06d}-{len(done):04d}.warc.zst", writer.records))
+            done.append((f"{folder}/part-{part}-{len(done):04d}.warc.zst", writer.records))
 
         for batch in batches:
             for piece in arrow_slices(batch, "payload", SLICE):
                 for page_id, url, payload, first_ in zip(*(piece.column(c).to_pylist() for c in ("page_id", "url", "payload", "first")), strict=True):
                     if file is None:
-                        file = atomic_file(f"{folder}/part-{part:06d}-{len(done):04d}.warc.zst")
+                        file = atomic_file(f"{folder}/part-{part}-{len(done):04d}.warc.zst")
                         writer, held = ArchiveWriter(file.__enter__()), 0
                     writer.add(build_record(page_id, url, payload, first_ if first_ is not None and first_ != page_id else None))
                     held += len(payload)

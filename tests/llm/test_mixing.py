@@ -100,3 +100,17 @@ def test_empty_tables(spark):
     assert mixing.taken(mixing.mix(docs, Scratch(spark, "t8"))).collect() == []
     blank = spark.createDataFrame([(1, None, None), (2, "", "a"), (2, "", "a"), (None, None, "a")], docs.schema)
     assert [r.taken for r in mixing.taken(mixing.mix(blank, Scratch(spark, "t8"))).collect()] == [0] * 4
+
+
+def test_documents_come_in_the_schedules_order(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(10)), "ab"[i % 2]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [r.source for r in mixing.mixed_documents(docs, Scratch(spark, "t8"), weights=(1, 1), share=1.0, block=10).collect()]
+    assert len(out) == 200
+    for n in range(2, 201, 2):  # each prefix of the rows holds both sources alike
+        assert abs(out[:n].count("a") - n / 2) <= 8
+    one = [r.doc_id for r in mixing.mixed_documents(docs, Scratch(spark, "t8"), weights=(1, 1), share=1.0, block=10).collect()]
+    other = [r.doc_id for r in mixing.mixed_documents(docs, Scratch(spark, "t8"), weights=(1, 1), share=1.0, block=500).collect()]
+    assert sorted(one) == sorted(other) and one != other  # another schedule, another order
+    slots = {r.doc_id: r.slot for r in mixing.taken(mixing.mix(docs, Scratch(spark, "t8"), weights=(1, 1), share=1.0, block=10)).collect()}
+    assert [slots[d] for d in one] == sorted(slots.values())

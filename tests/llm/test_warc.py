@@ -84,3 +84,15 @@ def test_few_and_no_records():
 def test_ids_survive():
     for i in (0, 1, -1, 2**63 - 1, -(2**63), 123456789012345):
         assert warc.page_of(warc.record_id(i)) == i
+
+
+def test_another_attempt_leaves_written_archives_alone(spark):
+    """The same pages written again in another order, as a repeated task would."""
+    pages = table(spark, SF, "pages")
+    scratch = Scratch(spark, "t5")
+    one = warc.write_archives(pages, scratch.path("w"), scratch)
+    paths = {r.path for r in one.collect()}
+    other = warc.write_archives(pages.orderBy("html"), scratch.path("w"), Scratch(spark, "t5"))
+    assert not paths & {r.path for r in other.collect()}
+    want = plain([(r.page_id, r.html) for r in pages.collect()])
+    assert all(sorted(map(tuple, warc.read_archives(m).collect()), key=repr) == want for m in (one, other))

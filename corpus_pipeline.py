@@ -4,14 +4,14 @@
 and returns the next stage's ``docs``, which is written as Parquet and read
 again in between. All but the last keep the columns of ``documents``.
 
-1. language_id: PPM language identification; documents without a language
-   (null, or no letter) go.
+1. language_id: PPM language identification; a missing lang is filled, documents
+   without a language (null, or no letter) go.
 2. near_dedup: SuperMinHash near-duplicate groups on five-word shingles at 0.8;
    the document with the smallest id of each group stays.
 3. repeated_bytes: bytes covered by a 200-byte string that also starts
    anywhere else are cut out; documents stay.
 4. mixing: sources are mixed to their target weights; a document is a row per
-   pass over its source that takes words of it.
+   pass over its source that takes words of it, in the order of the schedule.
 5. packing: documents are packed into sequences of at most 2048 tokens; one
    row per piece.
 

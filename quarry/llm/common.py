@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -100,6 +102,20 @@ def arrow_slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator
     yield batch.slice(start, n - start)
 
 
+def releasing(run: Callable) -> Callable:
+    """``run`` over a task's batches, and then what its arrays held goes back to the
+    system: a worker lives on through later stages, whose memory it would take."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # no such call beside glibc
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def column_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     """A column, or a field of a struct column without null structs."""
     name, _, field = column.partition(".")

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 #: Pieces kept per generation of the cache; two generations are alive at most.
 CACHE_PIECES = 100_000
 #: Codes expanded to ids at once.
-EXPAND = 1 << 20
+EXPAND = 1 << 18
 
 # White space in any of the libraries' senses; RE2 syntax for Arrow.
 _WS = r"[\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

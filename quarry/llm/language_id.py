@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from quarry.llm.common import arrow_slices, column_of, whole_rows
+from quarry.llm.common import arrow_slices, column_of, releasing, whole_rows
 
 ORDER = 4
 TRAIN_DOCS = 256
@@ -246,7 +246,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, text: str, keep: str) -
                     score = np.where(lettered, score, 0.0)
                 yield pa.RecordBatch.from_arrays([part.column(keep), pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(lettered)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def trained(docs: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES,

@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.bytehash import U, column_bytes, mix, shingles
-from quarry.llm.common import Scratch, arrow_slices, shuffle_partitions, texts, whole_rows
+from quarry.llm.common import Scratch, arrow_slices, releasing, shuffle_partitions, texts, whole_rows
 from quarry.llm.graph import Forest, components
 
 BANDS, ROWS = 28, 4
@@ -127,7 +127,7 @@ def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
                     [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(sums[0]), pa.array(sums[1]), lists, cells],
                     names=["doc_id", "n_shingles", "d1", "d2", "bands", "cells"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, cells array<short>")
+    return docs.mapInArrow(releasing(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, cells array<short>")
 
 
 def verify(pairs: DataFrame, held: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -249,7 +249,7 @@ def _groups(docs: DataFrame, scratch: Scratch, words: int, threshold: int, bands
     spread = (seats.join(sets, "rep").repartition(shuffle_partitions(docs.sparkSession), *tile).sortWithinPartitions(*tile))
     share, count = threshold / 100, bands * rows
     least = int(max(0.0, share * count - SLACK * (share * (1 - share) * count) ** 0.5))
-    late = spread.mapInArrow(_tile_links(words, threshold, least), "a long, b long").distinct()
+    late = spread.mapInArrow(releasing(_tile_links(words, threshold, least)), "a long, b long").distinct()
     stars = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(scratch.write(stars.union(late), "all-links"), scratch, "final")
 

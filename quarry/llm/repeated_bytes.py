@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarry.llm.bytehash import Spans, column_bytes, mix
-from quarry.llm.common import Scratch, arrow_slices, whole_rows
+from quarry.llm.common import Scratch, arrow_slices, releasing, whole_rows
 
 WIDTH = 200
 ANCHOR = 48
@@ -197,7 +197,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
         return scratch.write(rows.select("key", "th", "low", (F.col("low") + F.col("n") - 1 + width).alias("high")), name)
 
     runs_ = docs.select(F.col("_key").alias("key"), F.col("_th").alias("th"), F.col("_text").alias("text"))
-    records = scratch.write(runs_.mapInArrow(_run_rows(width, anchor), "key long, th long, low int, n int, back int, one long, two long"), "records")
+    records = scratch.write(runs_.mapInArrow(releasing(_run_rows(width, anchor)), "key long, th long, low int, n int, back int, one long, two long"), "records")
     again = scratch.write(records.groupBy("one").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("one"), "again")
     shared = scratch.write(records.join(again, "one", "left_semi").withColumn("alone", F.lit(True)), "shared")
     scratch.drop("records", "again")
@@ -263,7 +263,7 @@ def remove(docs: DataFrame, spans: DataFrame, columns: list[str], keep_text: boo
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + [pa.array([o[i] for o in out], types[i]) for i in range(len(names))], names=[f.name for f in kept] + names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(releasing(run), schema)
 
 
 def remove_repeats(docs: DataFrame, scratch: Scratch, width: int = WIDTH) -> DataFrame:

@@ -38,12 +38,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Scratch, arrow_slices, atomic_file, open_fs, shuffle_partitions, texts
+from quarry.llm.common import Scratch, arrow_slices, atomic_file, open_fs, releasing, shuffle_partitions, texts
 from quarry.llm.encode import loaded
 
 MAGIC = b"QPLANES1"
 BLOCK = 1 << 16
 SLICE = 32 << 20
+#: Bytes of text encoded at once; what that takes is some 20 times as much.
+ENCODE_SLICE = 4 << 20
 _FOOTER = struct.Struct("<IIQQQQ8s")
 _NO_KEY = -(1 << 63)
 
@@ -149,7 +151,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         encoder = loaded(tokenizer)
         zstd = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for part in arrow_slices(batch, "text", SLICE):
+            for part in arrow_slices(batch, "text", ENCODE_SLICE):
                 flat, offsets = encoder.encode(part.column("text"))
                 frames, sizes = [], []
                 for i in range(part.num_rows):
@@ -159,7 +161,7 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 columns = [part.column(f.name) for f in keys] + [pa.array(sizes, pa.int64()), pa.array(frames, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in keys] + ["n", "ids"])
 
-    return docs.mapInArrow(encode, schema)
+    return docs.mapInArrow(releasing(encode), schema)
 
 
 def pack_ids(ids: np.ndarray, zstd: zstandard.ZstdCompressor) -> bytes:

@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept per generation of the cache; two generations are alive at most.
-CACHE_PIECES = 100_000
+CACHE_PIECES = 200_000
 #: Codes expanded to ids at once.
 EXPAND = 1 << 18
 

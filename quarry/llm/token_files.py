@@ -45,7 +45,7 @@ MAGIC = b"QPLANES1"
 BLOCK = 1 << 16
 SLICE = 32 << 20
 #: Bytes of text encoded at once; what that takes is some 20 times as much.
-ENCODE_SLICE = 4 << 20
+ENCODE_SLICE = 12 << 20
 _FOOTER = struct.Struct("<IIQQQQ8s")
 _NO_KEY = -(1 << 63)
 

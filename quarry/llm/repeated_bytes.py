@@ -21,13 +21,16 @@ equality is needed; a group is known by two of them, 128 bits.
 
 Counts are sums by digit, pre-aggregated in each task, and the rows of a group
 are found again by joins whose large side can be split; no group is gathered.
-Long documents are runs like any others.
+A long text is read in pieces that overlap by a window less a byte: what a task
+holds beside the text itself doesn't grow with the text, and a run that a cut
+divides is two runs.
 
 Bytes are those of the UTF-8 text. Matches never cross documents. A null text
 is empty: nothing is removed. Rows that repeat a document are documents of
-their own, so their texts of 200 bytes or more repeat each other. A null id is
-returned as null. An empty table gives an empty result. Other columns play no
-part.
+their own, so their texts of 200 bytes or more repeat each other: such rows are
+counted first, whole texts are their spans, and one of them stands for all in
+the sort. A null id is returned as null. An empty table gives an empty result.
+Other columns play no part.
 """
 
 from __future__ import annotations
@@ -47,6 +50,8 @@ from quarry.llm.common import Scratch, arrow_slices, releasing, whole_rows
 WIDTH = 200
 ANCHOR = 48
 SLICE = 2 << 20
+#: Windows of one text that are looked at together.
+PIECE = 2 << 20
 _ORDER = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -94,23 +99,35 @@ def runs(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, anchor: int
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with (_key, _th), which tell rows apart that share an id but
-    not their text, and the text as _text."""
-    return docs.withColumns({
-        "_key": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))),
-        "_text": F.coalesce(F.col(text_col).cast("string"), F.lit(""))}).withColumn("_th", F.xxhash64("_text"))
+    """``docs`` with (_key, _th), 128 bits which tell rows apart that share an
+    id (or have none) but not their text, and the text as _text."""
+    return (docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+            .withColumns({"_key": F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("no id"), "_text")), "_th": F.xxhash64("_text")}))
 
 
-def _run_rows(width: int, anchor: int):
+def pieces(data: np.ndarray, offsets: np.ndarray, width: int, piece: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Texts of one slice as (bytes, offsets, place in the text): together, or
+    a single text by ``piece`` windows at a time."""
+    if len(offsets) != 2 or offsets[1] - offsets[0] <= piece + width:
+        yield data, offsets, 0
+        return
+    text = data[offsets[0]:offsets[1]]
+    for low in range(0, len(text) - width + 1, piece):
+        part = text[low:low + piece + width - 1]
+        yield part, np.array([0, len(part)]), low
+
+
+def _run_rows(width: int, anchor: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in arrow_slices(batch, "text", SLICE):
-                row, low, count, back, one, two = runs(*column_bytes(part.column("text")), width, anchor)
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key").take(at), part.column("th").take(at), pa.array(low.astype(np.int32)), pa.array(count.astype(np.int32)),
-                     pa.array(back.astype(np.int32)), pa.array(one), pa.array(two)],
-                    names=["key", "th", "low", "n", "back", "one", "two"])
+            for part in arrow_slices(batch, "text", min(SLICE, piece)):
+                for data, offsets, before in pieces(*column_bytes(part.column("text")), width, piece):
+                    row, low, count, back, one, two = runs(data, offsets, width, anchor)
+                    at = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("key").take(at), part.column("th").take(at), pa.array((low + before).astype(np.int32)), pa.array(count.astype(np.int32)),
+                         pa.array(back.astype(np.int32)), pa.array(one), pa.array(two)],
+                        names=["key", "th", "low", "n", "back", "one", "two"])
     return run
 
 
@@ -186,9 +203,26 @@ def _with_bytes(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     return found.select("key", "th", "_r.*", covered.alias("bytes"))
 
 
-def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor: int = ANCHOR, block: int = 8) -> DataFrame:
+def repeated_rows(docs: DataFrame) -> DataFrame:
+    """(key, th, bytes) of the rows of ``docs`` (as of ``keyed``) that are there
+    more than once."""
+    return (docs.groupBy(F.col("_key").alias("key"), F.col("_th").alias("th"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.max(F.octet_length("_text")).alias("bytes")).where("_n > 1").drop("_n"))
+
+
+def one_of_each(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """(_key, _th, _text), one row of each kind; ``again`` as of
+    ``repeated_rows``. Only texts of those are aggregated, in the tasks first."""
+    keys = again.select(F.col("key").alias("_key"), F.col("th").alias("_th"))
+    docs = docs.select("_key", "_th", "_text")
+    return docs.join(keys, ["_key", "_th"], "left_anti").union(
+        docs.join(keys, ["_key", "_th"], "left_semi").groupBy("_key", "_th").agg(F.first("_text").alias("_text")))
+
+
+def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor: int = ANCHOR, block: int = 8, piece: int = PIECE) -> DataFrame:
     """``docs`` as of ``keyed`` -> (key, th, low, high): the bytes low ..
-    high - 1 are covered by repeated windows. Spans may touch and overlap.
+    high - 1 are covered by repeated windows. Spans may touch and overlap; those
+    of rows that are there more than once are given once.
 
     Each pass writes what the next ones need and drops what they don't. Counts
     are written before they are joined to the rows they count: a join of two
@@ -196,8 +230,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
     def spans(rows: DataFrame, name: str) -> DataFrame:
         return scratch.write(rows.select("key", "th", "low", (F.col("low") + F.col("n") - 1 + width).alias("high")), name)
 
+    twice = scratch.write(repeated_rows(docs), "repeated-rows")
+    whole_rows_ = twice.where(F.col("bytes") >= width).select("key", "th", F.lit(0).alias("low"), F.col("bytes").alias("high"))
+    docs = one_of_each(docs, twice)
     runs_ = docs.select(F.col("_key").alias("key"), F.col("_th").alias("th"), F.col("_text").alias("text"))
-    records = scratch.write(runs_.mapInArrow(releasing(_run_rows(width, anchor)), "key long, th long, low int, n int, back int, one long, two long"), "records")
+    records = scratch.write(runs_.mapInArrow(releasing(_run_rows(width, anchor, piece)), "key long, th long, low int, n int, back int, one long, two long"), "records")
     again = scratch.write(records.groupBy("one").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("one"), "again")
     shared = scratch.write(records.join(again, "one", "left_semi").withColumn("alone", F.lit(True)), "shared")
     scratch.drop("records", "again")
@@ -221,7 +258,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, width: int = WIDTH, anchor
     equal = scratch.write(windows.groupBy(*digits).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*digits), "equal")
     single = spans(windows.where("alone").join(equal, digits, "left_semi").withColumn("n", F.lit(1)), "single-windows")
     scratch.drop("windows", "equal")
-    return whole_runs.union(whole_blocks).union(single)
+    return whole_runs.union(whole_blocks).union(single).union(whole_rows_)
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

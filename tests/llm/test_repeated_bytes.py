@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import repeated_bytes as rb
 from quarry.llm.common import Scratch, table
@@ -85,3 +86,41 @@ def test_merged_spans():
         for x, y in zip(a, b, strict=True):
             again[x:y] = True
         assert (marks == again).all() and (a[1:] > b[:-1]).all()
+
+
+def test_long_texts_in_pieces(spark):
+    """Cuts at any place of a text find what the whole text has."""
+    rng = random.Random(8)
+    line = "".join(rng.choices("abcdefghij é", k=700))
+    long = "".join(rng.choice([line, line[:260], "".join(rng.choices("abcdefgh ", k=rng.randint(40, 400)))]) for _ in range(60))
+    rows = [(1, long), (2, "x" + line), (3, "y" * 3000), (4, "".join(rng.choices("abcdefgh", k=4000))), (5, "b" * 200), (6, None)]
+    docs = rb.keyed(spark.createDataFrame(rows, "doc_id long, text string")).drop("text")
+    for piece in (301, 1000):
+        scratch = Scratch(spark, "t1")
+        out = rb.remove(docs, rb.repeated_spans(docs, scratch, 200, piece=piece), ["doc_id"])
+        assert sorted(map(tuple, out.collect()), key=repr) == plain(rows, 200)
+
+
+def test_very_long_text(spark):
+    """16 MiB without a repeat but for one passage at its two ends."""
+    rng = np.random.default_rng(3)
+    body = rng.integers(97, 123, 16 << 20, dtype=np.uint8).tobytes().decode()
+    text = body[:500] + "." + body + "."
+    docs = spark.createDataFrame([(1, text), (2, "z" * 150)], "doc_id long, text string")
+    got = {r.doc_id: r for r in rb.remove_repeats(docs, Scratch(spark, "t1")).collect()}
+    assert (got[1].n_bytes, got[1].n_removed, got[1].n_spans) == (len(text), 1000, 2)
+    assert got[1].kept_sha256 == hashlib.sha256(("." + body[500:] + ".").encode()).hexdigest()
+    assert (got[2].n_removed, got[2].n_spans) == (0, 0)
+
+
+def test_very_many_equal_rows(spark):
+    """Copies with one id, or without one, are settled as one row each."""
+    rng = random.Random(9)
+    text = "".join(rng.choices("abcdefghij ", k=2000))
+    other = "".join(rng.choices("abcdefghij ", k=300)) + text[500:900] + "end"
+    docs = (spark.range(20_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id").withColumn("text", F.lit(text))
+            .union(spark.range(20_000).select(F.lit(7).cast("long"), F.lit(text)))
+            .union(spark.range(5_000).select(F.lit(8).cast("long"), F.lit(text[:150])))
+            .union(spark.createDataFrame([(9, other), (None, other[:250])], "doc_id long, text string")))
+    got = rb.remove_repeats(docs, Scratch(spark, "t1")).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(None, 2000, 2000, 1, 20_000), (7, 2000, 2000, 1, 20_000), (8, 150, 0, 0, 5_000), (9, 703, 650, 2, 1), (None, 250, 250, 1, 1)], key=repr)

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType, StringType, TimestampNTZType, TimestampType
 
 from quarry.functions.scalar import SINGLE_UNIT_LANDUSE, equals_or_null, recode
 
@@ -101,5 +101,9 @@ def recode_column(df: DataFrame, src: str, dst: str, mapping: Mapping,
 
 def parse_date_column(df: DataFrame, col: str = "transactiondate", fmt: str | None = None,
                       strict: bool = True) -> DataFrame:
+    """``col`` as a datetime; one that already is (with or without a zone) stays as
+    it is."""
     from quarry.functions.scalar import parse_datetime
+    if isinstance(df.schema[col].dataType, (TimestampType, TimestampNTZType)):
+        return df
     return df.withColumn(col, parse_datetime(col, fmt, strict))

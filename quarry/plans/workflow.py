@@ -4,7 +4,8 @@ statistics jobs at the data-dependent steps.
 acquire (latest order per customer in a year, ties kept, names looked up)
 -> order-line features -> category / unit filter -> constant fill -> drop
 sparse columns then rows -> drop rows missing low-rate columns -> drop named
-columns -> sequential IQR outlier removal -> recode -> exact 3-way split.
+columns -> sequential IQR outlier removal -> recode -> dates as datetimes
+-> exact 3-way split.
 
 Column pruning and filter pushdown reach the parquet scans through all of
 it: the statistics jobs read only the columns they need.
@@ -55,6 +56,7 @@ def wrangle_orders(spark: SparkSession, sf_dir: str, year: int = 2001, seed: int
     df = columns.drop_columns(df, UNNEEDED, missing_ok=True)
     df = clean.remove_outliers(df, k, OUTLIER_COLS)
     df = columns.recode_column(df, "c_nationkey", "nation_label", NATION_NAMES)
+    df = columns.parse_date_column(df, "o_orderdate")
     return split.three_way_split(df, ["c_custkey", "o_orderkey"], seed=seed)
 
 

@@ -115,6 +115,14 @@ def test_parse_date_strict_and_lenient(spark):
         columns.parse_date_column(df, strict=True).collect()
 
 
+def test_parse_date_of_datetimes_and_dates(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2017-01-02 03:04:05' AS a, TIMESTAMP '2017-01-02 03:04:05' AS b, DATE '2017-01-02' AS c")
+    for c in ("a", "b"):
+        assert columns.parse_date_column(df, c).schema == df.schema
+    parsed = columns.parse_date_column(df, "c")
+    assert parsed.schema["c"].dataType.simpleString() == "timestamp" and parsed.first()["c"].day == 2
+
+
 def test_rename_and_kind(spark):
     df = spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double")
     assert columns.rename_columns(df, ["x", "y", "z"]).columns == ["x", "y", "z"]

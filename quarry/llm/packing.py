@@ -36,11 +36,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Scratch, texts
+from quarry.llm.common import Scratch, shuffle_partitions, texts
 from quarry.llm.token_files import encode_rows, unpack_ids
 
 #: Mean number of documents in a group.
 GROUP_DOCS = 512
+#: Most groups, on average, that a task packs, one after another.
+TASK_GROUPS = 64
 
 
 class RoomTree:
@@ -147,7 +149,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048,
             rows += [(doc_id, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), n, base + s, offset) for start, length, s, offset in pieces]
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(len(_OUT))], names=_OUT)
 
-    return coded.groupBy("group").applyInArrow(pack_one, ", ".join(f"`{c}` long" for c in _OUT))
+    # tasks follow the number of groups, so none reads more of a larger table
+    dealt = coded.repartition(max(shuffle_partitions(docs.sparkSession), -(-groups // TASK_GROUPS)), "group")
+    return dealt.groupBy("group").applyInArrow(pack_one, ", ".join(f"`{c}` long" for c in _OUT))
 
 
 _OUT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
